@@ -20,9 +20,6 @@ class EventCount:
     def fold(self, value: Column) -> Column:
         return F.sum(value)
 
-    def merge(self, old: Column, new: Column) -> Column:
-        return F.coalesce(old + new, old, new)
-
 
 @dataclass(frozen=True)
 class FixedSum:
@@ -53,9 +50,6 @@ class FixedSum:
     def fold(self, value: Column) -> Column:
         return self._from_units(F.sum(self._units(value)))
 
-    def merge(self, old: Column, new: Column) -> Column:
-        return F.coalesce((old + new).cast(self.sql_type), old, new)
-
 
 @dataclass(frozen=True)
 class Latest:
@@ -69,9 +63,6 @@ class Latest:
     def fold(self, value: Column) -> Column:
         return F.max(value)
 
-    def merge(self, old: Column, new: Column) -> Column:
-        return F.greatest(old, new)
-
 
 Metric = EventCount | FixedSum | Latest
 

@@ -79,20 +79,30 @@ def left_join_keys(previous: DataFrame, other: DataFrame) -> DataFrame:
     )
 
 
-def upsert_union(
+def upsert(
     previous: DataFrame,
     daily: DataFrame,
     run_ts: datetime,
     metrics: tuple[Metric, ...] = DEFAULT_METRICS,
+    buckets: int | None = None,
 ) -> DataFrame:
-    """The table after UPDATE and INSERT, in one aggregate: no join, one shuffle by user, each side read once.
+    """The table after UPDATE and INSERT, in one aggregate: no join, and each side read once.
 
     Staging holds all old users and all new ones, so the two statements leave exactly the staging rows. Old users get
     the run's time, new ones the latest of their rows.
+
+    Where ``previous`` is a table bucketed by user, pass its bucket count: only the day's rows then move, to the
+    buckets. The old rows, by far the larger side, stay where they are, and the result comes out in buckets too.
+    Without it both sides are shuffled by user, after partial aggregation.
     """
-    columns = cumulative_columns(metrics)
-    old = previous.select(*columns, F.lit(True).alias("known"))
-    new = daily.where(F.col(KEY).isNotNull()).select(*columns, F.lit(False).alias("known"))
+    columns = cumulative_columns(metrics)[1:]
+    # The alias drops the table's name from the column. With it, Spark does not see that both sides of the union are
+    # partitioned alike, and shuffles them.
+    user = F.col(KEY).alias(KEY)
+    old = previous.select(user, *columns, F.lit(True).alias("known"))
+    new = daily.where(F.col(KEY).isNotNull()).select(KEY, *columns, F.lit(False).alias("known"))
+    if buckets:
+        new = new.repartition(buckets, KEY)
     merged = (
         old.unionByName(new)
         .groupBy(KEY)
@@ -100,29 +110,3 @@ def upsert_union(
     )
     stamp = F.when(F.col("known"), ntz(run_ts)).otherwise(F.col("update_time"))
     return merged.select(KEY, *names(metrics), stamp.alias("update_time"))
-
-
-def upsert_bucketed(
-    previous: DataFrame,
-    daily: DataFrame,
-    run_ts: datetime,
-    buckets: int,
-    metrics: tuple[Metric, ...] = DEFAULT_METRICS,
-) -> DataFrame:
-    """The same result where ``previous`` is bucketed by user: only the day's rows are shuffled.
-
-    The day's rows move once, to the table's buckets, where they are regrouped and joined. The stored table, by far the
-    larger side, is neither shuffled nor (once AQE has seen that the day's part of each bucket is small) sorted.
-    """
-    today = (
-        daily.where(F.col(KEY).isNotNull())
-        .select(*cumulative_columns(metrics))
-        .repartition(buckets, KEY)
-        .groupBy(KEY)
-        .agg(*_folds(metrics), F.max("update_time").alias("update_time"))
-    )
-    old = previous.select(*cumulative_columns(metrics), F.lit(True).alias("known"))
-    both = old.alias("old").join(today.alias("new"), KEY, "full_outer")
-    merged = [m.merge(F.col(f"old.{m.name}"), F.col(f"new.{m.name}")).alias(m.name) for m in metrics]
-    stamp = F.when(F.col("known"), ntz(run_ts)).otherwise(F.col("new.update_time"))
-    return both.select(KEY, *merged, stamp.alias("update_time"))

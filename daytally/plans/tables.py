@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from daytally.functions.dates import days
 from daytally.functions.metrics import DEFAULT_METRICS, Metric, names
 from daytally.functions.rules import USER_ID_LENGTH, daily_rules
-from daytally.operators.cumulative import cumulative_columns, upsert_bucketed
+from daytally.operators.cumulative import cumulative_columns, upsert
 from daytally.operators.quality import tag_rows
 from daytally.operators.serial import assign_ids, with_positions
 
@@ -79,10 +79,10 @@ class CalcTables:
 
     # Partitions
 
-    def partition_days(self, table: str) -> DataFrame:
-        """The days a table has partitions for, from the catalog."""
-        listed = self.spark.sql(f"SHOW PARTITIONS {table}")
-        return listed.select(F.substring_index("partition", "=", -1).cast("date").alias("day"))
+    def partition_days(self, table: str) -> list[date]:
+        """The days a table has partitions for, from the catalog: names only, one per day run."""
+        listed = self.spark.sql(f"SHOW PARTITIONS {table}").collect()
+        return [date.fromisoformat(row["partition"].partition("=")[2]) for row in listed]
 
     def clear_day(self, table: str, column: str, day: date) -> None:
         """Empties one partition. A dynamic overwrite without rows for it would leave it as it is."""
@@ -108,27 +108,26 @@ class CalcTables:
         without it rows are added as they are, and a rerun doubles them. The ids are reserved before the rows are
         written: a run that dies between the two leaves a gap and no duplicate id.
         """
-        last = days(start, end)[-1]
+        run_over = days(start, end)
+        stored = set(self.partition_days(self.daily)).intersection(run_over) if replace else set()
         good = staged.where(~F.col("rejected")).drop("rejected", "broken_rule")
         taken = self.spark.table(self.id_sequence)
         if replace:
-            taken = taken.where(~F.col("upload_date").between(start, last))
+            taken = taken.where(~F.col("upload_date").between(run_over[0], run_over[-1]))
         start_after = taken.agg(F.max("max_id")).first()[0] or 0
         rows = assign_ids(good, start_after).select(*self.daily_columns)
         reserved = rows.groupBy("upload_date").agg(F.max("id").alias("max_id")).select("max_id", "upload_date")
         reserved.write.insertInto(self.id_sequence, overwrite=replace)
         rows.write.insertInto(self.daily, overwrite=replace)
-        if replace:
-            present = good.select(F.col("upload_date").alias("day")).distinct()
-            stored = self.partition_days(self.daily).where(F.col("day").between(start, last))
-            for stale in stored.join(present, "day", "left_anti").collect():
-                self.clear_day(self.daily, "upload_date", stale["day"])
+        if stored:
+            present = {row["upload_date"] for row in good.select("upload_date").distinct().collect()}
+            for day in stored - present:
+                self.clear_day(self.daily, "upload_date", day)
 
     # Cumulative table
 
     def snapshot_before(self, day: date) -> date | None:
-        earlier = self.partition_days(self.final).where(F.col("day") < F.lit(day))
-        return earlier.agg(F.max("day")).first()[0]
+        return max((run for run in self.partition_days(self.final) if run < day), default=None)
 
     def snapshot(self, as_of: date | None) -> DataFrame:
         rows = self.spark.table(self.final)
@@ -143,7 +142,7 @@ class CalcTables:
         """
         today = staged.where(~F.col("rejected"))
         earlier = self.snapshot_before(start)
-        merged = upsert_bucketed(self.snapshot(earlier), today, run_ts, self.buckets, self.metrics)
+        merged = upsert(self.snapshot(earlier), today, run_ts, self.metrics, self.buckets)
         merged.withColumn("as_of", F.lit(as_of)).write.insertInto(self.final, overwrite=True)
         if earlier is None and today.isEmpty():
             self.clear_day(self.final, "as_of", as_of)

@@ -43,7 +43,8 @@ def day_prefix(root: str, ds: str | date) -> str:
 def folder_day(path: Column) -> Column:
     """The date of a log object, from the yyyymmdd at the start of its folder's name."""
     folder = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
-    return F.try_to_date(F.substring(folder, 1, 8), "yyyyMMdd")
+    digits = [F.substring(folder, start, length) for start, length in ((1, 4), (5, 2), (7, 2))]
+    return F.concat_ws("-", *digits).try_cast("date")
 
 
 def landing_gate(spark: SparkSession, root: str, ds: str | date) -> bool:

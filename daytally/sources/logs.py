@@ -37,11 +37,11 @@ def with_upload_date(lines: DataFrame, ds: str | date | None) -> DataFrame:
 
 def route(lines: DataFrame, parser: LineParser) -> DataFrame:
     """Each line as a ``good`` row with its fields, or as a ``rejects`` row that keeps the line."""
-    parsed = lines.select("line", "upload_date", parser(F.col("line")).alias("record"))
-    failed = F.col("record").isNull()
-    return parsed.select(
-        "record.*",
-        F.when(failed, F.col("line")).alias("line"),
-        F.when(failed, F.lit(REJECTS)).otherwise(F.lit(GOOD)).alias("kind"),
+    parsed = lines.select("line", "upload_date", parser.parse(F.col("line")).alias("record"))
+    judged = parsed.withColumn("failed", parser.failed(F.col("record"), F.col("line")))
+    return judged.select(
+        *[F.col("record")[name].alias(name) for name in parser.schema.names],
+        F.when(F.col("failed"), F.col("line")).alias("line"),
+        F.when(F.col("failed"), F.lit(REJECTS)).otherwise(F.lit(GOOD)).alias("kind"),
         "upload_date",
     )

@@ -20,7 +20,7 @@ from daytally.operators.cumulative import (
     left_join_keys,
     merge_staging,
     update_from,
-    upsert_union,
+    upsert,
 )
 from daytally.operators.daily import daily_calc
 from daytally.operators.quality import constraint_violations, duplicate_keys, split_rows
@@ -135,7 +135,7 @@ def q_left_join_keys(spark: SparkSession, sf_dir: str, ds: date) -> DataFrame:
 
 def q_upsert_final(spark: SparkSession, sf_dir: str, ds: date, dirty: bool = False) -> DataFrame:
     previous, daily = previous_of(spark, sf_dir, ds, dirty), good_daily(spark, sf_dir, ds, dirty)
-    return for_output(upsert_union(previous, daily, run_time(ds)))
+    return for_output(upsert(previous, daily, run_time(ds)))
 
 
 def q_upsert_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
