@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daytally.functions.dates import as_day, days, next_day, ntz, run_time, run_time_of
+from daytally.functions.dates import as_day, days, ntz, run_time, run_time_of
 from daytally.operators.daily import daily_calc, daily_range
 from daytally.plans.tables import CalcTables
 from daytally.sources.landing import landing_gate, landing_inventory
@@ -32,7 +32,7 @@ def run_day(
     if landing_root and not landing_gate(tables.spark, landing_root, day):
         return None
     staged = tables.stage_daily(daily_calc(events, day, tables.metrics, inclusive_end=inclusive_end))
-    tables.append_daily(staged, day, next_day(day), replace)
+    tables.append_daily(staged, [day], replace)
     return tables.upsert(staged, day, day, run_time(day))
 
 
@@ -62,16 +62,16 @@ def backfill(
 
     Holds because the metrics merge and each row belongs to one upload day. Intermediate snapshots are not written.
     """
-    first, last = as_day(start), days(start, end)[-1]
+    run_over = days(start, end)
     if landing_root:
-        inventory = landing_inventory(tables.spark, landing_root).select("log_date")
-        landed = [r["log_date"] for r in inventory.where(F.col("log_date").between(first, last)).collect()]
-        if not landed:
-            return None
-        last = max(landed)
-        events = events.where(F.to_date("upload_time").isin(landed))
-    daily = daily_range(events, first, end, tables.metrics, run_time_of(F.col("upload_date")))
+        landed = landing_inventory(tables.spark, landing_root).where(F.col("log_date").isin(run_over))
+        run_over = sorted(row["log_date"] for row in landed.select("log_date").collect())
+        events = events.where(F.to_date("upload_time").isin(run_over))
+    if not run_over:
+        return None
+    last = run_over[-1]
+    daily = daily_range(events, start, end, tables.metrics, run_time_of(F.col("upload_date")))
     staged = tables.stage_daily(daily)
-    tables.append_daily(staged, first, as_day(end))
+    tables.append_daily(staged, run_over)
     stamped = staged.withColumn("update_time", ntz(run_time(last)))
-    return tables.upsert(stamped, first, last, run_time(last))
+    return tables.upsert(stamped, run_over[0], last, run_time(last))

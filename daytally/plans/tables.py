@@ -8,12 +8,11 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daytally.functions.dates import days
 from daytally.functions.metrics import DEFAULT_METRICS, Metric, names
 from daytally.functions.rules import USER_ID_LENGTH, daily_rules
 from daytally.operators.cumulative import cumulative_columns, upsert
 from daytally.operators.quality import tag_rows
-from daytally.operators.serial import assign_ids, with_positions
+from daytally.operators.serial import POSITION, assign_ids, with_positions
 
 
 def recreate_staging(rows: DataFrame, table: str, path: str) -> DataFrame:
@@ -101,19 +100,18 @@ class CalcTables:
         placed = with_positions(tagged, "rejected", "upload_date", "user_id", "event_date")
         return recreate_staging(placed, self.daily_temp, f"{self.location}/user_daily_calc_temp")
 
-    def append_daily(self, staged: DataFrame, start: date, end: date, replace: bool = True) -> None:
+    def append_daily(self, staged: DataFrame, run_over: list[date], replace: bool = True) -> None:
         """Adds the staged good rows with new ids.
 
-        ``replace`` swaps the upload days of [start, end), so that a rerun gives the same table with the same ids;
-        without it rows are added as they are, and a rerun doubles them. The ids are reserved before the rows are
-        written: a run that dies between the two leaves a gap and no duplicate id.
+        ``replace`` swaps the upload days ``run_over``, so that a rerun gives the same table with the same ids; without
+        it rows are added as they are, and a rerun doubles them. The ids are reserved before the rows are written: a
+        run that dies between the two leaves a gap and no duplicate id.
         """
-        run_over = days(start, end)
         stored = set(self.partition_days(self.daily)).intersection(run_over) if replace else set()
         good = staged.where(~F.col("rejected")).drop("rejected", "broken_rule")
         taken = self.spark.table(self.id_sequence)
         if replace:
-            taken = taken.where(~F.col("upload_date").between(run_over[0], run_over[-1]))
+            taken = taken.where(~F.col("upload_date").isin(run_over))
         start_after = taken.agg(F.max("max_id")).first()[0] or 0
         rows = assign_ids(good, start_after).select(*self.daily_columns)
         reserved = rows.groupBy("upload_date").agg(F.max("id").alias("max_id")).select("max_id", "upload_date")
@@ -124,6 +122,11 @@ class CalcTables:
             for day in stored - present:
                 self.clear_day(self.daily, "upload_date", day)
 
+    def rejected(self) -> DataFrame:
+        """Rows the last run kept out of both tables, with the rule each breaks."""
+        staged = self.spark.table(self.daily_temp)
+        return staged.where("rejected").drop("rejected", POSITION)
+
     # Cumulative table
 
     def snapshot_before(self, day: date) -> date | None:

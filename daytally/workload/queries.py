@@ -85,7 +85,7 @@ def q_recreate_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_daily_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = new_tables(spark, "append")
     staged = tables.stage_daily(daily_of(spark, sf_dir, FIFTH_DAY))
-    tables.append_daily(staged, FIFTH_DAY, next_day(FIFTH_DAY))
+    tables.append_daily(staged, [FIFTH_DAY])
     return for_output(spark.table(tables.daily))
 
 
