@@ -55,6 +55,12 @@ def in_days(moment: Column, start: str | date, end: str | date, inclusive_end: b
     return (moment >= ntz(as_day(start))) & ((moment <= upper) if inclusive_end else (moment < upper))
 
 
+def on_days(day: Column, start: str | date, end: str | date, inclusive_end: bool = False) -> Column:
+    """``in_days`` for the date of a moment: a superset of its rows, for pruning partitions."""
+    upper = F.lit(as_day(end))
+    return (day >= F.lit(as_day(start))) & ((day <= upper) if inclusive_end else (day < upper))
+
+
 def local_wall_clock(instant: Column, tz: str) -> Column:
     """An instant (TIMESTAMP) as the wall clock of ``tz`` (TIMESTAMP_NTZ). Apply once, at ingest."""
     return F.convert_timezone(F.current_timezone(), F.lit(tz), instant.cast("timestamp_ntz"))

@@ -20,10 +20,11 @@ def run_day(
     landing_root: str | None = None,
     replace: bool = True,
     inclusive_end: bool = False,
+    partition_day: str | None = None,
 ) -> DataFrame | None:
     """One day: daily figures, appended to the daily table and merged into the cumulative one. Returns the latter.
 
-    With ``landing_root``, a day without logs is skipped and None comes back.
+    With ``landing_root``, a day without logs is skipped and None comes back. ``partition_day``: see ``daily_calc``.
     """
     if inclusive_end and replace:
         # The next midnight's rows carry the next day's upload date and would replace that day's partition.
@@ -31,7 +32,8 @@ def run_day(
     day = as_day(ds)
     if landing_root and not landing_gate(tables.spark, landing_root, day):
         return None
-    staged = tables.stage_daily(daily_calc(events, day, tables.metrics, inclusive_end=inclusive_end))
+    daily = daily_calc(events, day, tables.metrics, inclusive_end=inclusive_end, partition_day=partition_day)
+    staged = tables.stage_daily(daily)
     tables.append_daily(staged, [day], replace)
     return tables.upsert(staged, day, day, run_time(day))
 
@@ -42,11 +44,12 @@ def run_days(
     start: str | date,
     end: str | date,
     landing_root: str | None = None,
+    partition_day: str | None = None,
 ) -> DataFrame | None:
     """``run_day`` over the days of [start, end), in order: all daily rows and a snapshot per day."""
     latest = None
     for day in days(start, end):
-        done = run_day(tables, events, day, landing_root)
+        done = run_day(tables, events, day, landing_root, partition_day=partition_day)
         latest = latest if done is None else done
     return latest
 
@@ -57,6 +60,7 @@ def backfill(
     start: str | date,
     end: str | date,
     landing_root: str | None = None,
+    partition_day: str | None = None,
 ) -> DataFrame | None:
     """The daily rows and the last snapshot that ``run_days`` gives, from one aggregate over all the days.
 
@@ -70,7 +74,8 @@ def backfill(
     if not run_over:
         return None
     last = run_over[-1]
-    daily = daily_range(events, start, end, tables.metrics, run_time_of(F.col("upload_date")))
+    stamp = run_time_of(F.col("upload_date"))
+    daily = daily_range(events, start, end, tables.metrics, stamp, partition_day=partition_day)
     staged = tables.stage_daily(daily)
     tables.append_daily(staged, run_over)
     stamped = staged.withColumn("update_time", ntz(run_time(last)))

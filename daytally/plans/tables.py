@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date, datetime
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -107,19 +108,22 @@ class CalcTables:
         it rows are added as they are, and a rerun doubles them. The ids are reserved before the rows are written: a
         run that dies between the two leaves a gap and no duplicate id.
         """
-        stored = set(self.partition_days(self.daily)).intersection(run_over) if replace else set()
         good = staged.where(~F.col("rejected")).drop("rejected", "broken_rule")
+        counts = good.groupBy("upload_date").agg(F.count(F.lit(1)).alias("n")).collect()
+        per_day = sorted((row["upload_date"], row["n"]) for row in counts)
         taken = self.spark.table(self.id_sequence)
         if replace:
             taken = taken.where(~F.col("upload_date").isin(run_over))
         start_after = taken.agg(F.max("max_id")).first()[0] or 0
-        rows = assign_ids(good, start_after).select(*self.daily_columns)
-        reserved = rows.groupBy("upload_date").agg(F.max("id").alias("max_id")).select("max_id", "upload_date")
-        reserved.write.insertInto(self.id_sequence, overwrite=replace)
-        rows.write.insertInto(self.daily, overwrite=replace)
-        if stored:
-            present = {row["upload_date"] for row in good.select("upload_date").distinct().collect()}
-            for day in stored - present:
+        if per_day:
+            last_ids = list(accumulate((n for _, n in per_day), initial=start_after))[1:]
+            values = ", ".join(f"({last}, DATE '{day}')" for last, (day, _) in zip(last_ids, per_day))
+            self.spark.sql(f"INSERT {'OVERWRITE' if replace else 'INTO'} {self.id_sequence} VALUES {values}")
+            rows = assign_ids(good, start_after).select(*self.daily_columns)
+            rows.write.insertInto(self.daily, overwrite=replace)
+        if replace:
+            emptied = set(run_over).intersection(self.partition_days(self.daily))
+            for day in emptied.difference(day for day, _ in per_day):
                 self.clear_day(self.daily, "upload_date", day)
 
     def rejected(self) -> DataFrame:

@@ -9,7 +9,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daytally.functions.dates import nodash
+from daytally.functions.dates import as_day, days, nodash
+
+# A listing has one task per 128 MB of files otherwise, though it reads none of them.
+LISTING_TASKS = 1_000
 
 # Folder and suffix of the log objects, and the size rule.
 LOG_FOLDER = "logs"
@@ -29,11 +32,11 @@ def list_objects(spark: SparkSession, prefix: str, suffix: str | None = None) ->
     if suffix:
         reader = reader.option("pathGlobFilter", f"*{suffix}")
     try:
-        return reader.load(f"{prefix}*").select("path", "length")
+        return reader.load(f"{prefix}*").select("path", "length").coalesce(LISTING_TASKS)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], "path string, length bigint")
+        return spark.range(0).select(F.lit("").alias("path"), F.col("id").alias("length"))
 
 
 def day_prefix(root: str, ds: str | date) -> str:
@@ -61,9 +64,11 @@ def landing_inventory(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def landing_status(spark: SparkSession, root: str, wanted: list[date]) -> DataFrame:
-    """The gate of many days at once, from one listing: a row per wanted day."""
-    calendar = spark.createDataFrame([(day,) for day in wanted], "log_date date")
+def landing_status(spark: SparkSession, root: str, start: str | date, end: str | date) -> DataFrame:
+    """The gate of every day of [start, end), from one listing."""
+    calendar = spark.range(len(days(start, end))).select(
+        F.date_add(F.lit(as_day(start)), F.col("id").cast("int")).alias("log_date")
+    )
     found = landing_inventory(spark, root).select("log_date", F.lit(True).alias("landed"))
     return calendar.join(found, "log_date", "left").select(
         "log_date", F.coalesce("landed", F.lit(False)).alias("landed")

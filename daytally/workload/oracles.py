@@ -108,12 +108,12 @@ LEFT_JOIN = """SELECT a.user_id, b.user_id AS b_user_id
 FROM final_prev a LEFT JOIN daily_tmp b ON a.user_id = b.user_id"""
 
 
-def _closed_form(end: date) -> str:
+def _closed_form(end: date, where: str = "TRUE") -> str:
     return f"""{_with(_uploads())}
 SELECT user_id,
        {METRICS},
        {_ts(run_time(days(FIRST_DAY, end)[-1]))} AS update_time
-FROM uploads WHERE upload_time < {_ts(end)} GROUP BY user_id"""
+FROM uploads WHERE upload_time < {_ts(end)} AND {where} GROUP BY user_id"""
 
 
 BACKFILL_DAILY = f"""{_with(_uploads(dirty=True))}
@@ -183,6 +183,8 @@ SELECT user_id, COUNT(*) AS n_rows FROM uploads GROUP BY user_id HAVING COUNT(*)
 SELECT 'garbage ' || event_id AS line, CAST(upload_time AS DATE) AS upload_date
 FROM uploads WHERE event_id % 50 = 0""",
     "lake_partition_read": f"{SECOND_DAY_UPLOADS}\nSELECT * FROM day_rows",
+    "daily_calc_lake": f"{_with(_uploads(), _daily(FIFTH_DAY))}\nSELECT * FROM daily_tmp",
+    "logs_to_final": _closed_form(END, "event_id % 50 <> 0"),
     "warehouse_append": f"{SECOND_DAY_UPLOADS}\n{WAREHOUSE_ROWS}",
     "warehouse_append_twice": f"{SECOND_DAY_UPLOADS}\n{WAREHOUSE_ROWS} UNION ALL {WAREHOUSE_ROWS}",
     "landing_inventory": f"""{LINES}

@@ -209,6 +209,20 @@ def q_lake_partition_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_events(spark, shared_lake(spark, sf_dir), UPLOAD_SCHEMA, SECOND_DAY)
 
 
+def q_daily_calc_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = read_events(spark, shared_lake(spark, sf_dir), UPLOAD_SCHEMA)
+    return for_output(daily_calc(events, FIFTH_DAY, partition_day="upload_date"))
+
+
+def q_logs_to_final(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole way: logs that have landed, the lake, the daily table, the cumulative table."""
+    tables = new_tables(spark, "logs")
+    lake = new_lake(spark, sf_dir, garbage=True)
+    events = read_events(spark, lake, UPLOAD_SCHEMA)
+    root = log_tree(spark, sf_dir, garbage=True)
+    return for_output(backfill(tables, events, FIRST_DAY, END, root, partition_day="upload_date"))
+
+
 def q_warehouse(spark: SparkSession, sf_dir: str, loads: list[date]) -> DataFrame:
     configure(spark)
     lake = shared_lake(spark, sf_dir)
@@ -223,7 +237,7 @@ def q_landing_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_landing_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return landing_status(spark, log_tree(spark, sf_dir), days(date(2023, 12, 30), date(2024, 2, 5)))
+    return landing_status(spark, log_tree(spark, sf_dir), date(2023, 12, 30), date(2024, 2, 5))
 
 
 def q_input_size_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -272,6 +286,8 @@ QUERIES: dict[str, Query] = {
     "ingest_good": q_ingest_good,
     "ingest_rejects": q_ingest_rejects,
     "lake_partition_read": q_lake_partition_read,
+    "daily_calc_lake": q_daily_calc_lake,
+    "logs_to_final": q_logs_to_final,
     "warehouse_append": partial(q_warehouse, loads=[SECOND_DAY]),
     "warehouse_append_twice": partial(q_warehouse, loads=[SECOND_DAY, SECOND_DAY]),
     "landing_inventory": q_landing_inventory,
