@@ -5,28 +5,22 @@ from __future__ import annotations
 import math
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from daytally.functions.loglines import LineParser
 from daytally.sources.lake import dataset
-from daytally.sources.landing import (
-    LOG_SUFFIX,
-    SizeRule,
-    day_prefix,
-    input_size_profile,
-    landing_gate,
-    list_objects,
-)
+from daytally.sources.landing import LOG_SUFFIX, SizeRule, day_prefix, input_size_profile, list_objects
 from daytally.sources.logs import GOOD, REJECTS, log_glob, route, scan_lines
 
 BYTES_PER_WRITER = 128 << 20
 
 
-def write_lake(routed: DataFrame, lake: str) -> None:
-    """Replaces the days that occur in ``routed``. No shuffle: a hot day just has more files."""
+def write_lake(routed: DataFrame, lake: str, mode: str) -> None:
+    """``overwrite`` replaces the folders that occur in ``routed``. No shuffle: a hot day just has more files."""
     (
-        routed.write.mode("overwrite")
+        routed.write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("kind", "upload_date")
         .parquet(lake)
@@ -34,8 +28,11 @@ def write_lake(routed: DataFrame, lake: str) -> None:
 
 
 def ingest_logs(spark: SparkSession, root: str, lake: str, parser: LineParser) -> None:
-    """All days of logs into the lake. Days are read off the folder names."""
-    write_lake(route(scan_lines(spark, log_glob(root)), parser), lake)
+    """The logs of all days into a new lake, in one job. Days are read off the folder names.
+
+    Fails if the lake exists: days are added to it, or done again, with ``ingest_day``.
+    """
+    write_lake(route(scan_lines(spark, log_glob(root)), parser), lake, "errorifexists")
 
 
 def ingest_day(
@@ -51,9 +48,13 @@ def ingest_day(
     Without any log of the day, nothing is written and None comes back. With ``size_rule`` the files written are
     limited to the number the input's size picks.
     """
-    if not landing_gate(spark, root, ds):
+    try:
+        lines = scan_lines(spark, log_glob(root, ds), ds)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
-    routed = route(scan_lines(spark, f"{day_prefix(root, ds)}/*{LOG_SUFFIX}", ds), parser)
+    routed = route(lines, parser)
     if size_rule:
         # Narrow: fewer, larger tasks over the same splits, no shuffle.
         routed = routed.coalesce(writers_for(spark, root, ds, size_rule))
@@ -62,7 +63,7 @@ def ingest_day(
         counts,
         *[F.count(F.when(F.col("kind") == kind, 1)).alias(kind) for kind in (GOOD, REJECTS)],
     )
-    write_lake(observed, lake)
+    write_lake(observed, lake, "overwrite")
     written = {kind: counts.get[kind] for kind in (GOOD, REJECTS)}
     for kind, rows in written.items():
         if rows == 0:

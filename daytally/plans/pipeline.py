@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,10 +21,12 @@ def run_day(
     replace: bool = True,
     inclusive_end: bool = False,
     partition_day: str | None = None,
+    run_ts: datetime | None = None,
 ) -> DataFrame | None:
     """One day: daily figures, appended to the daily table and merged into the cumulative one. Returns the latter.
 
-    With ``landing_root``, a day without logs is skipped and None comes back. ``partition_day``: see ``daily_calc``.
+    With ``landing_root``, a day without logs is skipped and None comes back. ``run_ts`` is the time both tables are
+    stamped with, by default the scheduled time of the day. ``partition_day``: see ``daily_calc``.
     """
     if inclusive_end and replace:
         # The next midnight's rows carry the next day's upload date and would replace that day's partition.
@@ -32,10 +34,11 @@ def run_day(
     day = as_day(ds)
     if landing_root and not landing_gate(tables.spark, landing_root, day):
         return None
-    daily = daily_calc(events, day, tables.metrics, inclusive_end=inclusive_end, partition_day=partition_day)
+    stamp = run_ts or run_time(day)
+    daily = daily_calc(events, day, tables.metrics, ntz(stamp), inclusive_end, partition_day)
     staged = tables.stage_daily(daily)
     tables.append_daily(staged, [day], replace)
-    return tables.upsert(staged, day, day, run_time(day))
+    return tables.upsert(staged, day, day, stamp)
 
 
 def run_days(

@@ -11,8 +11,6 @@ from pyspark.sql import SparkSession
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
-    # Partitioned writes see few (kind, day) pairs per task: keep those files open instead of sorting every task's rows.
-    "spark.sql.maxConcurrentOutputFileWriters": "32",
     # Let AQE swap a sort-merge join for a hash join once the measured side is small enough in every partition.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "128m",
     # Nearly every aggregate here is by user. With millions of groups per task the small first-level map only costs:

@@ -40,7 +40,7 @@ def route(lines: DataFrame, parser: LineParser) -> DataFrame:
     parsed = lines.select("line", "upload_date", parser.parse(F.col("line")).alias("record"))
     judged = parsed.withColumn("failed", parser.failed(F.col("record"), F.col("line")))
     return judged.select(
-        *[F.col("record")[name].alias(name) for name in parser.schema.names],
+        *[F.when(~F.col("failed"), F.col("record")[name]).alias(name) for name in parser.schema.names],
         F.when(F.col("failed"), F.col("line")).alias("line"),
         F.when(F.col("failed"), F.lit(REJECTS)).otherwise(F.lit(GOOD)).alias("kind"),
         "upload_date",

@@ -3,6 +3,7 @@ from pathlib import Path
 
 import pytest
 from helpers import plan_of, exchanges, rows
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -152,10 +153,9 @@ def test_good_and_rejects_add_up(spark, lake):
     assert good.where("event_id IS NULL").isEmpty()
 
 
-def test_ingest_shuffles_and_sorts_nothing(spark, root):
+def test_ingest_shuffles_nothing(spark, root):
     put(root, "20240105/a.log", line("a"))
-    plan = plan_of(route(scan_lines(spark, log_glob(root)), SMALL_PARSER))
-    assert "Exchange" not in plan and "Sort" not in plan
+    assert "Exchange" not in plan_of(route(scan_lines(spark, log_glob(root)), SMALL_PARSER))
 
 
 def test_a_day_is_replaced_and_others_stay(spark, root, lake):
@@ -180,8 +180,23 @@ def test_a_corrected_day_leaves_no_old_rejects_or_rows(spark, root, lake):
     assert rows(read_rejects(spark, lake, "2024-01-05"), "line") == [("all broken",)]
 
 
+def test_the_first_load_refuses_a_lake_that_exists(spark, root, lake):
+    put(root, "20240105/a.log", line("a"))
+    ingest_logs(spark, root, lake, SMALL_PARSER)
+    with pytest.raises(AnalysisException, match="PATH_ALREADY_EXISTS"):
+        ingest_logs(spark, root, lake, SMALL_PARSER)
+    assert read_events(spark, lake, SMALL).count() == 1
+
+
+def test_rejects_keep_the_line_and_no_fields(spark, root):
+    put(root, "20240105/a.log", line("a") + line("b"))
+    found = route(scan_lines(spark, log_glob(root)), SMALL_PARSER).first()
+    assert (found["user_id"], found["value"], found["line"]) == (None, None, line("a") + line("b"))
+
+
 def test_a_day_without_logs_writes_nothing(spark, root, lake):
     put(root, "20240105/a.txt", line("a"))
+    put(root, "20240105x/a.log", line("a"))
     assert ingest_day(spark, root, lake, "2024-01-05", SMALL_PARSER) is None
     assert not Path(lake).exists()
     assert read_events(spark, lake, SMALL, "2024-01-05").isEmpty()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from daytally.functions.dates import days
 from daytally.operators.cumulative import upsert
+from daytally.operators.daily import daily_calc
 from daytally.plans.pipeline import backfill, run_day, run_days
 from daytally.plans.tables import CalcTables, recreate_staging
 from daytally.workload.views import log_tree, uploads
@@ -104,6 +105,23 @@ def test_a_gated_day_is_not_in_the_way_of_the_next(spark, tables, events):
     assert rows(run_day(tables, feed, D3), "event_count", "update_time") == [(2, datetime(2024, 1, 3, 17, 36))]
 
 
+def test_the_run_time_can_be_given(spark, tables, events):
+    now = datetime(2024, 1, 1, 23, 59, 1)
+    feed = events(("a", "2024-01-01 01:00:00", "2024-01-01 02:00:00", 1.0))
+    assert rows(run_day(tables, feed, D1, run_ts=now), "update_time") == [(now,)]
+    assert rows(spark.table(tables.daily), "update_time") == [(now,)]
+
+
+def test_partition_pruning_gives_the_same_run(spark, tables, other, tmp_path):
+    path = str(tmp_path / "lake")
+    feed = uploads(spark, SF).withColumn("upload_date", F.to_date("upload_time"))
+    feed.write.partitionBy("upload_date").parquet(path)
+    lake = spark.read.parquet(path)
+    assert rows(run_days(tables, lake, D1, D3, partition_day="upload_date")) == rows(run_days(other, feed, D1, D3))
+    plan = plan_of(daily_calc(lake, D2, partition_day="upload_date"))
+    assert "PartitionFilters: [isnotnull(upload_date" in plan and "InMemoryFileIndex(32 paths)" not in plan
+
+
 def test_rejects_stay_out_of_both_tables(spark, tables, events):
     feed = events(
         ("a", "2024-01-01 01:00:00", "2024-01-01 02:00:00", 1.0),
