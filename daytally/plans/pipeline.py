@@ -71,8 +71,8 @@ def backfill(
     """
     run_over = days(start, end)
     if landing_root:
-        landed = landing_inventory(tables.spark, landing_root).where(F.col("log_date").isin(run_over))
-        run_over = sorted(row["log_date"] for row in landed.select("log_date").collect())
+        landed = landing_inventory(tables.spark, landing_root, run_over).select("log_date")
+        run_over = sorted(row["log_date"] for row in landed.collect())
         events = events.where(F.to_date("upload_time").isin(run_over))
     if not run_over:
         return None

@@ -71,8 +71,7 @@ class CalcTables:
             f"""CREATE TABLE IF NOT EXISTS {self.daily}
                 (id BIGINT, {user_id}, event_date DATE, {figures}, {stamp}, upload_date DATE)
                 {layout} PARTITIONED BY (upload_date)""",
-            f"""CREATE TABLE IF NOT EXISTS {self.id_sequence} (max_id BIGINT, upload_date DATE)
-                {layout} PARTITIONED BY (upload_date)""",
+            f"CREATE TABLE IF NOT EXISTS {self.id_sequence} (max_id BIGINT, upload_date DATE) USING parquet",
         ):
             self.spark.sql(statement)
         return self
@@ -105,8 +104,8 @@ class CalcTables:
         """Adds the staged good rows with new ids.
 
         ``replace`` swaps the upload days ``run_over``, so that a rerun gives the same table with the same ids; without
-        it rows are added as they are, and a rerun doubles them. The ids are reserved before the rows are written: a
-        run that dies between the two leaves a gap and no duplicate id.
+        it rows are added as they are, and a rerun doubles them. The ids are reserved, by a row per day in a table that
+        only grows, before the rows are written: a run that dies between the two leaves a gap and no duplicate id.
         """
         good = staged.where(~F.col("rejected")).drop("rejected", "broken_rule")
         counts = good.groupBy("upload_date").agg(F.count(F.lit(1)).alias("n")).collect()
@@ -118,7 +117,7 @@ class CalcTables:
         if per_day:
             last_ids = list(accumulate((n for _, n in per_day), initial=start_after))[1:]
             values = ", ".join(f"({last}, DATE '{day}')" for last, (day, _) in zip(last_ids, per_day))
-            self.spark.sql(f"INSERT {'OVERWRITE' if replace else 'INTO'} {self.id_sequence} VALUES {values}")
+            self.spark.sql(f"INSERT INTO {self.id_sequence} VALUES {values}")
             rows = assign_ids(good, start_after).select(*self.daily_columns)
             rows.write.insertInto(self.daily, overwrite=replace)
         if replace:
@@ -133,6 +132,17 @@ class CalcTables:
 
     # Cumulative table
 
+    def stored_buckets(self) -> int:
+        """The bucket count the cumulative table was created with, which counts if it differs from ``buckets``."""
+        described = self.spark.sql(f"DESCRIBE FORMATTED {self.final}").where("col_name = 'Num Buckets'")
+        return int(described.first()["data_type"])
+
+    def drop_snapshots_before(self, day: date) -> None:
+        """Drops old snapshots. No rerun can start from a day before the first one kept."""
+        for run in self.partition_days(self.final):
+            if run < day:
+                self.spark.sql(f"ALTER TABLE {self.final} DROP IF EXISTS PARTITION (as_of = DATE '{run}')")
+
     def snapshot_before(self, day: date) -> date | None:
         return max((run for run in self.partition_days(self.final) if run < day), default=None)
 
@@ -149,7 +159,7 @@ class CalcTables:
         """
         today = staged.where(~F.col("rejected"))
         earlier = self.snapshot_before(start)
-        merged = upsert(self.snapshot(earlier), today, run_ts, self.metrics, self.buckets)
+        merged = upsert(self.snapshot(earlier), today, run_ts, self.metrics, self.stored_buckets())
         merged.withColumn("as_of", F.lit(as_of)).write.insertInto(self.final, overwrite=True)
         if earlier is None and today.isEmpty():
             self.clear_day(self.final, "as_of", as_of)

@@ -25,7 +25,7 @@ UP_TO_THRESHOLD = 2
 def list_objects(spark: SparkSession, prefix: str, suffix: str | None = None) -> DataFrame:
     """Path and length of every object whose path starts with ``prefix`` and ends with ``suffix``.
 
-    ``prefix`` is cut anywhere, not only at folder borders. The file contents are never read. As in every Spark
+    ``prefix`` is cut anywhere, not only at folder borders, and may hold glob patterns. The file contents are never read. As in every Spark
     listing, names that start with ``_`` or ``.`` are left out.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
@@ -55,10 +55,14 @@ def landing_gate(spark: SparkSession, root: str, ds: str | date) -> bool:
     return not list_objects(spark, day_prefix(root, ds), LOG_SUFFIX).isEmpty()
 
 
-def landing_inventory(spark: SparkSession, root: str) -> DataFrame:
-    """Objects and bytes per day, over all days that have logs."""
+def landing_inventory(spark: SparkSession, root: str, wanted: list[date] | None = None) -> DataFrame:
+    """Objects and bytes per day, over the wanted days that have logs, or all days. Other folders are not listed."""
+    folders = f"{{{','.join(map(nodash, wanted))}}}" if wanted else ""
+    found = list_objects(spark, f"{root}/{LOG_FOLDER}/{folders}", LOG_SUFFIX)
+    if wanted is not None:
+        found = found.where(folder_day(F.col("path")).isin(wanted))
     return (
-        list_objects(spark, f"{root}/{LOG_FOLDER}/", LOG_SUFFIX)
+        found
         .groupBy(folder_day(F.col("path")).alias("log_date"))
         .agg(F.count(F.lit(1)).alias("n_objects"), F.sum("length").alias("total_bytes"))
     )
@@ -69,7 +73,7 @@ def landing_status(spark: SparkSession, root: str, start: str | date, end: str |
     calendar = spark.range(len(days(start, end))).select(
         F.date_add(F.lit(as_day(start)), F.col("id").cast("int")).alias("log_date")
     )
-    found = landing_inventory(spark, root).select("log_date", F.lit(True).alias("landed"))
+    found = landing_inventory(spark, root, days(start, end)).select("log_date", F.lit(True).alias("landed"))
     return calendar.join(found, "log_date", "left").select(
         "log_date", F.coalesce("landed", F.lit(False)).alias("landed")
     )

@@ -119,13 +119,20 @@ def q_merge(
     return for_output(merge_staging(previous, daily, metrics, distinct))
 
 
+def stored(rows: DataFrame, label: str) -> DataFrame:
+    """Rows as a table of their own: what a plan uses twice is computed once."""
+    path = run_dir(rows.sparkSession, label)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.parquet(path)
+
+
 def q_update_from(spark: SparkSession, sf_dir: str, ds: date) -> DataFrame:
-    previous, daily = previous_of(spark, sf_dir, ds), good_daily(spark, sf_dir, ds)
+    previous, daily = stored(previous_of(spark, sf_dir, ds), "previous"), good_daily(spark, sf_dir, ds)
     return for_output(update_from(previous, merge_staging(previous, daily), run_time(ds)))
 
 
 def q_insert_new_users(spark: SparkSession, sf_dir: str, ds: date, dirty: bool = False) -> DataFrame:
-    previous, daily = previous_of(spark, sf_dir, ds, dirty), good_daily(spark, sf_dir, ds, dirty)
+    previous, daily = stored(previous_of(spark, sf_dir, ds, dirty), "previous"), good_daily(spark, sf_dir, ds, dirty)
     return for_output(insert_new_users(previous, merge_staging(previous, daily)))
 
 

@@ -18,6 +18,7 @@ from daytally.sources.landing import (
     input_size_profile,
     landing_gate,
     landing_inventory,
+    landing_status,
     list_objects,
 )
 from daytally.sources.logs import log_glob, route, scan_lines
@@ -77,6 +78,13 @@ def test_inventory_counts_objects_and_bytes(spark, root):
     put(root, "20240105/b.log", "22")
     put(root, "20240106/c.log", "4444")
     assert rows(landing_inventory(spark, root)) == [(date(2024, 1, 5), 2, 5), (date(2024, 1, 6), 1, 5)]
+    wanted = [date(2024, 1, 4), date(2024, 1, 6)]
+    assert rows(landing_inventory(spark, root, wanted), "log_date") == [(date(2024, 1, 6),)]
+    assert rows(landing_inventory(spark, root, wanted[:1]), "log_date") == []
+    assert rows(landing_status(spark, root, "2024-01-04", "2024-01-06")) == [
+        (date(2024, 1, 4), False),
+        (date(2024, 1, 5), True),
+    ]
 
 
 def test_listing_reads_no_contents(spark, root):

@@ -168,6 +168,24 @@ def test_the_snapshot_is_not_shuffled_and_has_a_file_per_bucket(spark, tables):
     assert len(spark.table(tables.final).inputFiles()) <= tables.buckets
 
 
+def test_another_bucket_count_leaves_the_result_alone(spark, tables):
+    feed = uploads(spark, SF)
+    run_day(tables, feed, D1)
+    changed = CalcTables(spark, tables.database, tables.location, buckets=9).create()
+    assert changed.stored_buckets() == 4
+    before = rows(run_day(tables, feed, D2))
+    assert rows(run_day(changed, feed, D2)) == before
+
+
+def test_old_snapshots_can_be_dropped(spark, tables):
+    feed = uploads(spark, SF)
+    run_days(tables, feed, D1, D4)
+    kept = rows(tables.snapshot(D3))
+    tables.drop_snapshots_before(D2)
+    assert tables.partition_days(tables.final) == [D2, D3]
+    assert rows(run_day(tables, feed, D3)) == kept
+
+
 def test_one_day_reads_one_snapshot(spark, tables):
     run_days(tables, uploads(spark, SF), D1, D4)
     snapshot = tables.snapshot(tables.snapshot_before(D3))
