@@ -25,8 +25,8 @@ UP_TO_THRESHOLD = 2
 def list_objects(spark: SparkSession, prefix: str, suffix: str | None = None) -> DataFrame:
     """Path and length of every object whose path starts with ``prefix`` and ends with ``suffix``.
 
-    ``prefix`` is cut anywhere, not only at folder borders, and may hold glob patterns. The file contents are never read. As in every Spark
-    listing, names that start with ``_`` or ``.`` are left out.
+    ``prefix`` is cut anywhere, not only at folder borders, and may hold glob patterns. The file contents are never
+    read. As in every Spark listing, names that start with ``_`` or ``.`` are left out.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if suffix:
@@ -44,9 +44,9 @@ def day_prefix(root: str, ds: str | date) -> str:
 
 
 def folder_day(path: Column) -> Column:
-    """The date of a log object, from the yyyymmdd at the start of its folder's name."""
-    folder = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
-    digits = [F.substring(folder, start, length) for start, length in ((1, 4), (5, 2), (7, 2))]
+    """The date of a log object, from the yyyymmdd that its path has behind the log folder."""
+    day = F.substring_index(path, f"/{LOG_FOLDER}/", -1)
+    digits = [F.substring(day, start, length) for start, length in ((1, 4), (5, 2), (7, 2))]
     return F.concat_ws("-", *digits).try_cast("date")
 
 
@@ -61,11 +61,8 @@ def landing_inventory(spark: SparkSession, root: str, wanted: list[date] | None
     found = list_objects(spark, f"{root}/{LOG_FOLDER}/{folders}", LOG_SUFFIX)
     if wanted is not None:
         found = found.where(folder_day(F.col("path")).isin(wanted))
-    return (
-        found
-        .groupBy(folder_day(F.col("path")).alias("log_date"))
-        .agg(F.count(F.lit(1)).alias("n_objects"), F.sum("length").alias("total_bytes"))
-    )
+    by_day = found.groupBy(folder_day(F.col("path")).alias("log_date"))
+    return by_day.agg(F.count(F.lit(1)).alias("n_objects"), F.sum("length").alias("total_bytes"))
 
 
 def landing_status(spark: SparkSession, root: str, start: str | date, end: str | date) -> DataFrame:

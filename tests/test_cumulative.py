@@ -19,7 +19,9 @@ from daytally.workload.queries import LATE_DAY, SECOND_DAY, good_daily, previous
 SF = "/root/testdata/sf0.01"
 RUN = datetime(2024, 1, 2, 17, 36)
 OLD = datetime(2024, 1, 1, 17, 36)
-SCHEMA = "user_id string, event_count long, total_value decimal(18,2), last_seen timestamp_ntz, update_time timestamp_ntz"
+SCHEMA = (
+    "user_id string, event_count long, total_value decimal(18,2), last_seen timestamp_ntz, update_time timestamp_ntz"
+)
 
 
 def table(spark, *figures, at=OLD):
@@ -43,7 +45,8 @@ def test_distinct_union_takes_one_shuffle(spark):
 def test_update_from_keeps_only_old_users(spark):
     previous = table(spark, ("a", 1, "1.00", 1), ("b", 1, "1.00", 1))
     staging = merge_staging(previous, table(spark, ("a", 2, "0.25", 2), ("c", 1, "3.00", 2), at=RUN))
-    assert rows(update_from(previous, staging, RUN), "user_id", "event_count", "update_time") == [("a", 3, RUN), ("b", 1, RUN)]
+    updated = update_from(previous, staging, RUN)
+    assert rows(updated, "user_id", "event_count", "update_time") == [("a", 3, RUN), ("b", 1, RUN)]
 
 
 def test_insert_new_users_never_takes_a_null_key(spark):

@@ -145,8 +145,8 @@ def test_inclusive_end_needs_append(spark, tables, events):
 
 def test_declared_lengths_and_defaults_hold_for_plain_inserts(spark, tables):
     with pytest.raises(PySparkException, match="EXCEED_LIMIT_LENGTH"):
-        spark.sql(f"INSERT INTO {tables.daily} (id, user_id, upload_date) VALUES (1, repeat('u', 21), DATE '2024-01-01')")
-    spark.sql(f"INSERT INTO {tables.daily} (id, user_id, upload_date) VALUES (1, 'u', DATE '2024-01-01')")
+        spark.sql(f"INSERT INTO {tables.daily} (id, user_id, upload_date) VALUES (1, repeat('u', 21), DATE '{D1}')")
+    spark.sql(f"INSERT INTO {tables.daily} (id, user_id, upload_date) VALUES (1, 'u', DATE '{D1}')")
     assert spark.table(tables.daily).first()["update_time"] is not None
 
 
