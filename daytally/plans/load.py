@@ -38,8 +38,24 @@ def load_day(
     path: str | None = None,
 ) -> None:
     """Appends one upload day of the lake to ``table``, created if absent. Loading a day twice doubles its rows."""
-    day = clustered(read_events(spark, lake, schema, ds), event_time, cluster_by)
-    writer = day.write.mode("append").partitionBy("event_day").format("parquet")
+    append(clustered(read_events(spark, lake, schema, ds), event_time, cluster_by), table, path)
+
+
+def load_lake(
+    spark: SparkSession,
+    lake: str,
+    table: str,
+    schema: T.StructType,
+    event_time: str = "start_time",
+    cluster_by: tuple[str, ...] = ("user_id",),
+    path: str | None = None,
+) -> None:
+    """Appends all days of the lake in one job, for a first load."""
+    append(clustered(read_events(spark, lake, schema), event_time, cluster_by), table, path)
+
+
+def append(rows: DataFrame, table: str, path: str | None) -> None:
+    writer = rows.write.mode("append").partitionBy("event_day").format("parquet")
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(table)

@@ -74,8 +74,15 @@ class CalcTables:
             f"CREATE TABLE IF NOT EXISTS {self.id_sequence} (max_id BIGINT, upload_date DATE) USING parquet",
         ):
             self.spark.sql(statement)
+        for table in (self.final, self.daily):
+            if "partitionOverwriteMode=dynamic" not in (self._described(table, "Storage Properties") or ""):
+                raise ValueError(f"{table} lacks the option partitionOverwriteMode=dynamic: a run would wipe other days")
         return self
 
+    def _described(self, table: str, name: str) -> str | None:
+        found = self.spark.sql(f"DESCRIBE FORMATTED {table}").where(F.col("col_name") == name).first()
+        return found and found["data_type"]
+
     # Partitions
 
     def partition_days(self, table: str) -> list[date]:
@@ -134,8 +141,7 @@ class CalcTables:
 
     def stored_buckets(self) -> int:
         """The bucket count the cumulative table was created with, which counts if it differs from ``buckets``."""
-        described = self.spark.sql(f"DESCRIBE FORMATTED {self.final}").where("col_name = 'Num Buckets'")
-        return int(described.first()["data_type"])
+        return int(self._described(self.final, "Num Buckets"))
 
     def drop_snapshots_before(self, day: date) -> None:
         """Drops old snapshots. No rerun can start from a day before the first one kept."""

@@ -187,6 +187,8 @@ FROM uploads WHERE event_id % 50 = 0""",
     "logs_to_final": _closed_form(END, "event_id % 50 <> 0"),
     "warehouse_append": f"{SECOND_DAY_UPLOADS}\n{WAREHOUSE_ROWS}",
     "warehouse_append_twice": f"{SECOND_DAY_UPLOADS}\n{WAREHOUSE_ROWS} UNION ALL {WAREHOUSE_ROWS}",
+    "warehouse_load_lake": f"""{_with(_uploads())}
+SELECT {LANDED}, CAST(start_time AS DATE) AS event_day FROM uploads""",
     "landing_inventory": f"""{LINES}
 SELECT log_date, CAST(SUM(strlen(line) + 1) AS BIGINT) AS total_bytes FROM lines GROUP BY log_date""",
     "landing_gate": f"""{_with(_uploads())}

@@ -25,7 +25,7 @@ from daytally.operators.cumulative import (
 from daytally.operators.daily import daily_calc
 from daytally.operators.quality import constraint_violations, duplicate_keys, split_rows
 from daytally.plans.ingest import ingest_logs
-from daytally.plans.load import load_day
+from daytally.plans.load import load_day, load_lake
 from daytally.plans.pipeline import backfill, run_day
 from daytally.plans.tables import CalcTables, recreate_staging
 from daytally.session import configure, run_dir
@@ -239,6 +239,14 @@ def q_warehouse(spark: SparkSession, sf_dir: str, loads: list[date]) -> DataFram
     return spark.table(table)
 
 
+def q_warehouse_load_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    lake = shared_lake(spark, sf_dir)
+    table = f"daytally_warehouse_{uuid.uuid4().hex[:12]}"
+    load_lake(spark, lake, table, UPLOAD_SCHEMA, path=run_dir(spark, "warehouse"))
+    return spark.table(table)
+
+
 def q_landing_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing_inventory(spark, log_tree(spark, sf_dir)).select("log_date", "total_bytes")
 
@@ -297,6 +305,7 @@ QUERIES: dict[str, Query] = {
     "logs_to_final": q_logs_to_final,
     "warehouse_append": partial(q_warehouse, loads=[SECOND_DAY]),
     "warehouse_append_twice": partial(q_warehouse, loads=[SECOND_DAY, SECOND_DAY]),
+    "warehouse_load_lake": q_warehouse_load_lake,
     "landing_inventory": q_landing_inventory,
     "landing_gate": q_landing_gate,
     "input_size_profile": q_input_size_profile,

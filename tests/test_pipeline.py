@@ -33,6 +33,13 @@ def test_creating_twice_keeps_rows(spark, tables):
     assert both(tables) == before
 
 
+def test_a_table_without_dynamic_overwrite_is_refused(spark, tables):
+    spark.sql(f"DROP TABLE {tables.daily}")
+    spark.sql(f"CREATE TABLE {tables.daily} (id BIGINT, upload_date DATE) USING parquet PARTITIONED BY (upload_date)")
+    with pytest.raises(ValueError, match="wipe other days"):
+        tables.create()
+
+
 def test_running_a_day_twice_changes_nothing(spark, tables):
     feed = uploads(spark, SF)
     run_days(tables, feed, D1, D3)
