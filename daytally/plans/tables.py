@@ -157,6 +157,10 @@ class CalcTables:
         wanted = F.lit(False) if as_of is None else F.col("as_of") == F.lit(as_of)
         return rows.where(wanted).select(*cumulative_columns(self.metrics))
 
+    def latest(self) -> DataFrame:
+        """The cumulative table as of its last run, one row per user."""
+        return self.snapshot(max(self.partition_days(self.final), default=None))
+
     def upsert(self, staged: DataFrame, start: date, as_of: date, run_ts: datetime) -> DataFrame:
         """Merges the staged good rows into the latest snapshot before ``start``, as the snapshot ``as_of``.
 

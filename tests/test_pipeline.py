@@ -184,6 +184,32 @@ def test_another_bucket_count_leaves_the_result_alone(spark, tables):
     assert rows(run_day(changed, feed, D2)) == before
 
 
+def test_a_run_that_died_between_reserving_and_writing_leaves_a_gap(spark, tables):
+    feed = uploads(spark, SF)
+    spark.sql(f"INSERT INTO {tables.id_sequence} VALUES (100, DATE '{D1}')")
+    run_day(tables, feed, D2)
+    assert spark.table(tables.daily).agg(F.min("id")).first()[0] == 101
+    run_day(tables, feed, D1)
+    ids = [r["id"] for r in spark.table(tables.daily).select("id").collect()]
+    assert len(ids) == len(set(ids))
+
+
+def test_a_run_that_died_half_way_is_made_good_by_a_rerun(spark, tables, other):
+    feed = uploads(spark, SF)
+    for one in (tables, other):
+        run_day(one, feed, D1)
+    staged = tables.stage_daily(daily_calc(feed, D2))
+    tables.append_daily(staged, [D2])  # and no upsert
+    assert rows(run_day(tables, feed, D2)) == rows(run_day(other, feed, D2))
+    assert both(tables) == both(other)
+
+
+def test_latest_is_the_last_snapshot(spark, tables):
+    assert tables.latest().isEmpty()
+    last = run_days(tables, uploads(spark, SF), D1, D3)
+    assert rows(tables.latest()) == rows(last)
+
+
 def test_old_snapshots_can_be_dropped(spark, tables):
     feed = uploads(spark, SF)
     run_days(tables, feed, D1, D4)
