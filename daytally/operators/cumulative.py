@@ -24,22 +24,38 @@ def _folds(metrics: tuple[Metric, ...]) -> list[Column]:
     return [m.fold(F.col(m.name)).alias(m.name) for m in metrics]
 
 
+def _stack(previous: DataFrame, daily: DataFrame, buckets: int | None) -> DataFrame:
+    """Union of old rows and the day's rows.
+
+    Where ``previous`` is partitioned by user, as a table bucketed by user is, its bucket count lets the day's rows move
+    to the buckets and the old rows, by far the larger side, stay where they are: what groups the union by user needs
+    no other shuffle, and its result comes out in buckets too.
+    """
+    # The alias drops the table's name from the column. With it, Spark does not see that both sides of the union are
+    # partitioned alike, and shuffles them.
+    columns = [F.col(KEY).alias(KEY), *previous.columns[1:]]
+    if buckets:
+        daily = daily.repartition(buckets, KEY)
+    return previous.select(columns).unionByName(daily)
+
+
 def merge_staging(
     previous: DataFrame,
     daily: DataFrame,
     metrics: tuple[Metric, ...] = DEFAULT_METRICS,
     distinct: bool = False,
+    buckets: int | None = None,
 ) -> DataFrame:
-    """Union of old rows and the day's rows, regrouped by user.
+    """Union of old rows and the day's rows, regrouped by user. ``buckets``: see ``upsert``.
 
     ``distinct`` drops equal rows first, as UNION does. Daily rows have lost their dates by then, so two dates of a user
     with equal figures collapse into one and the sums come out low; the default keeps all rows.
     """
     columns = cumulative_columns(metrics)
-    rows = previous.select(*columns).unionByName(daily.select(*columns))
+    rows = _stack(previous.select(columns), daily.select(columns), buckets)
     if distinct:
         # Spread by user before the de-duplication: both it and the regrouping then run on this one shuffle.
-        rows = rows.repartition(KEY).distinct()
+        rows = rows.distinct() if buckets else rows.repartition(KEY).distinct()
     return rows.groupBy(KEY).agg(*_folds(metrics), F.max("update_time").alias("update_time"))
 
 
@@ -91,20 +107,14 @@ def upsert(
     Staging holds all old users and all new ones, so the two statements leave exactly the staging rows. Old users get
     the run's time, new ones the latest of their rows.
 
-    Where ``previous`` is a table bucketed by user, pass its bucket count: only the day's rows then move, to the
-    buckets. The old rows, by far the larger side, stay where they are, and the result comes out in buckets too.
-    Without it both sides are shuffled by user, after partial aggregation.
+    ``buckets`` is the partition count of a ``previous`` that is partitioned by user, such as the bucket count of a
+    table; only the day's rows are shuffled then. Without it both sides are, after partial aggregation.
     """
-    columns = cumulative_columns(metrics)[1:]
-    # The alias drops the table's name from the column. With it, Spark does not see that both sides of the union are
-    # partitioned alike, and shuffles them.
-    user = F.col(KEY).alias(KEY)
-    old = previous.select(user, *columns, F.lit(True).alias("known"))
-    new = daily.where(F.col(KEY).isNotNull()).select(KEY, *columns, F.lit(False).alias("known"))
-    if buckets:
-        new = new.repartition(buckets, KEY)
+    columns = cumulative_columns(metrics)
+    old = previous.select(*columns, F.lit(True).alias("known"))
+    new = daily.where(F.col(KEY).isNotNull()).select(*columns, F.lit(False).alias("known"))
     merged = (
-        old.unionByName(new)
+        _stack(old, new, buckets)
         .groupBy(KEY)
         .agg(*_folds(metrics), F.max("update_time").alias("update_time"), F.max("known").alias("known"))
     )

@@ -112,11 +112,16 @@ def good_daily(spark: SparkSession, sf_dir: str, ds: date, dirty: bool = False)
     return good
 
 
+def partitions_of(previous: DataFrame) -> int:
+    """``previous_of`` ends in an aggregate by user, which leaves this many partitions by user."""
+    return int(previous.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def q_merge(
     spark: SparkSession, sf_dir: str, ds: date, distinct: bool = False, metrics: tuple[Metric, ...] = DEFAULT_METRICS
 ) -> DataFrame:
     previous, daily = previous_of(spark, sf_dir, ds), good_daily(spark, sf_dir, ds)
-    return for_output(merge_staging(previous, daily, metrics, distinct))
+    return for_output(merge_staging(previous, daily, metrics, distinct, partitions_of(previous)))
 
 
 def stored(rows: DataFrame, label: str) -> DataFrame:
@@ -142,7 +147,7 @@ def q_left_join_keys(spark: SparkSession, sf_dir: str, ds: date) -> DataFrame:
 
 def q_upsert_final(spark: SparkSession, sf_dir: str, ds: date, dirty: bool = False) -> DataFrame:
     previous, daily = previous_of(spark, sf_dir, ds, dirty), good_daily(spark, sf_dir, ds, dirty)
-    return for_output(upsert(previous, daily, run_time(ds)))
+    return for_output(upsert(previous, daily, run_time(ds), buckets=partitions_of(previous)))
 
 
 def q_upsert_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:

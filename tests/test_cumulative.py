@@ -42,6 +42,15 @@ def test_distinct_union_takes_one_shuffle(spark):
     assert exchanges(merge_staging(previous, daily, distinct=True)) == ["hashpartitioning"]
 
 
+@pytest.mark.parametrize("distinct", [False, True])
+def test_a_side_that_is_partitioned_by_user_is_not_shuffled_again(spark, distinct):
+    previous = table(spark, ("a", 5, "1.00", 1), ("b", 1, "1.00", 1)).repartition(4, "user_id")
+    daily = table(spark, ("a", 2, "0.50", 2), ("a", 2, "0.50", 2), at=RUN)
+    merged = merge_staging(previous, daily, distinct=distinct, buckets=4)
+    assert exchanges(merged) == ["hashpartitioning"] * 2  # the two repartitions, and none after the union
+    assert rows(merged) == rows(merge_staging(previous, daily, distinct=distinct))
+
+
 def test_update_from_keeps_only_old_users(spark):
     previous = table(spark, ("a", 1, "1.00", 1), ("b", 1, "1.00", 1))
     staging = merge_staging(previous, table(spark, ("a", 2, "0.25", 2), ("c", 1, "3.00", 2), at=RUN))
