@@ -4,11 +4,26 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from decimal import Decimal
+from typing import Protocol
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+class Metric(Protocol):
+    """``per_day`` aggregates events; ``fold`` aggregates values that ``per_day`` or ``fold`` gave before."""
+
+    @property
+    def name(self) -> str: ...
+
+    @property
+    def sql_type(self) -> str: ...
+
+    def per_day(self) -> Column: ...
+
+    def fold(self, value: Column) -> Column: ...
+
+
 @dataclass(frozen=True)
 class EventCount:
     name: str = "event_count"
@@ -64,8 +79,6 @@ class Latest:
         return F.max(value)
 
 
-Metric = EventCount | FixedSum | Latest
-
 DEFAULT_METRICS: tuple[Metric, ...] = (EventCount(), FixedSum(), Latest())
 
 

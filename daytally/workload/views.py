@@ -108,4 +108,6 @@ def write_log_tree(lines: DataFrame, root: str) -> None:
     for status in files.listStatus(base):
         name = status.getPath().getName()
         if name.startswith("folder="):
-            files.rename(status.getPath(), jvm.org.apache.hadoop.fs.Path(base, name.removeprefix("folder=")))
+            target = jvm.org.apache.hadoop.fs.Path(base, name.removeprefix("folder="))
+            if not files.rename(status.getPath(), target):
+                raise RuntimeError(f"could not rename {name} below {tree}")

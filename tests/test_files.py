@@ -7,7 +7,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daytally.functions.loglines import json_lines
+from daytally.functions.loglines import LineParser, json_lines
 from daytally.plans.ingest import ingest_day, ingest_logs, writers_for
 from daytally.plans.load import clustered, load_day
 from daytally.session import run_dir, shared_dir
@@ -136,6 +136,25 @@ def test_a_line_is_one_whole_object_or_a_reject(spark, text, good):
     assert found["line"] == (None if good else text)
 
 
+def test_another_line_format(spark, root, lake):
+    def parse(text):
+        parts = F.split(text, "\\|")
+        return F.struct(
+            F.get(parts, 0).alias("user_id"),
+            F.get(parts, 1).try_cast("timestamp_ntz").alias("start_time"),
+            F.get(parts, 2).try_cast("double").alias("value"),
+            F.size(parts).alias("n"),
+        )
+
+    def failed(record, text):
+        return (record["n"] != 3) | record["start_time"].isNull() | record["value"].isNull()
+
+    put(root, "20240105/a.log", "a|2024-01-05 01:00:00|1.5", "a|noon|1.5", "a|2024-01-05 01:00:00")
+    ingest_logs(spark, root, lake, LineParser(SMALL, parse, failed))
+    assert rows(read_events(spark, lake, SMALL), "user_id", "value") == [("a", 1.5)]
+    assert rows(read_rejects(spark, lake), "line") == [("a|2024-01-05 01:00:00",), ("a|noon|1.5",)]
+
+
 def test_each_line_is_parsed_once(spark, root):
     put(root, "20240105/a.log", line("a"))
     plan = plan_of(route(scan_lines(spark, log_glob(root)), SMALL_PARSER))

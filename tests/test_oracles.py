@@ -2,6 +2,7 @@
 
 import pytest
 from compare import assert_same
+from helpers import plan_of
 
 import __spark_entry__ as contract
 
@@ -14,7 +15,10 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", contract.queries())
 def test_query_matches_sql(spark, name):
-    assert assert_same(contract.queries()[name](spark, SF), contract.oracle_sql()[name], SF) > 0
+    result = contract.queries()[name](spark, SF)
+    plan = plan_of(result)
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "Python" not in plan
+    assert assert_same(result, contract.oracle_sql()[name], SF) > 0
 
 
 def test_entry(spark):
