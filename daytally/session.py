@@ -11,6 +11,8 @@ from pyspark.sql import SparkSession
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
+    # A value that does not fit stops the run. Otherwise it would become NULL and be missing from a sum unseen.
+    "spark.sql.ansi.enabled": "true",
     # Let AQE swap a sort-merge join for a hash join once the measured side is small enough in every partition.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "128m",
     # Nearly every aggregate here is by user. With millions of groups per task the small first-level map only costs:

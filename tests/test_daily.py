@@ -1,6 +1,8 @@
 from datetime import date, datetime
 
-from helpers import plan_of, exchanges, rows
+import pytest
+from helpers import exchanges, plan_of, rows
+from pyspark.errors import ArithmeticException
 from pyspark.sql import functions as F
 
 from daytally.functions.dates import days, in_days, local_wall_clock, next_day, nodash, ntz, run_time
@@ -59,6 +61,12 @@ def test_sum_rounds_to_cents_like_a_decimal_cast(spark, events):
     assert daily_calc(feed, "2024-01-02").first()["total_value"] == want
 
 
+def test_a_value_that_does_not_fit_stops_the_run(events):
+    feed = events(("a", "2024-01-02 01:00:00", "2024-01-02 02:00:00", 1e17))
+    with pytest.raises(ArithmeticException):
+        daily_calc(feed, "2024-01-02").collect()
+
+
 def test_range_reaches_the_scan_and_only_needed_columns_are_read(spark, tmp_path):
     path = str(tmp_path / "feed")
     uploads(spark, SF).write.parquet(path)
