@@ -2,24 +2,48 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daytally.llm import line_quality
+from daytally.llm import bpe, decontaminate, line_quality, simhash
 from daytally.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+TOKENIZER = "word_bpe_49k.json"
+
+
+def tokenizer_path() -> str:
+    """Where the public vocabulary file is on the driver; ``TOKENIZER_DIR`` names another folder."""
+    return os.path.join(os.environ.get("TOKENIZER_DIR", "/opt/tokenizers"), TOKENIZER)
+
 
 def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.line_quality(table(spark, sf_dir, "documents"))
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.digests(table(spark, sf_dir, "documents"))
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip_digests(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_line_quality": op2_line_quality,
+    "op3_simhash": op3_simhash,
+    "op9_bpe": op9_bpe,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLES: dict[str, str] = {
     "op2_line_quality": line_quality.ORACLE,
+    "op10_decontamination": decontaminate.ORACLE,
 }
