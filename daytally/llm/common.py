@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,8 +42,3 @@ def written(rows: DataFrame, label: str) -> DataFrame:
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
-
-def one_blas_thread() -> None:
-    """Called inside tasks: one core per task, however many the machine has."""
-    for name in ("OMP_NUM_THREADS", "OPENBLAS_NUM_THREADS", "MKL_NUM_THREADS"):
-        os.environ.setdefault(name, "1")
