@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daytally.llm import bpe, decontaminate, language_id, line_quality, quality_classifier, simhash
+from daytally.llm import bpe, decontaminate, language_id, line_quality, quality_classifier, simhash, toxicity
 from daytally.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -48,6 +52,7 @@ QUERIES: dict[str, Query] = {
     "op2_line_quality": op2_line_quality,
     "op3_simhash": op3_simhash,
     "op4_language_id": op4_language_id,
+    "op5_toxicity": op5_toxicity,
     "op7_quality": op7_quality,
     "op9_bpe": op9_bpe,
     "op10_decontamination": op10_decontamination,
