@@ -7,7 +7,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daytally.llm import bpe, decontaminate, language_id, line_quality, quality_classifier, simhash, toxicity
+from daytally.llm import (
+    bpe,
+    decontaminate,
+    html_text,
+    language_id,
+    line_quality,
+    quality_classifier,
+    simhash,
+    toxicity,
+)
 from daytally.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +45,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -53,6 +66,7 @@ QUERIES: dict[str, Query] = {
     "op3_simhash": op3_simhash,
     "op4_language_id": op4_language_id,
     "op5_toxicity": op5_toxicity,
+    "op6_html_text": op6_html_text,
     "op7_quality": op7_quality,
     "op9_bpe": op9_bpe,
     "op10_decontamination": op10_decontamination,
