@@ -32,13 +32,13 @@ def remainder(doc_id: str | Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def written(rows: DataFrame, label: str) -> DataFrame:
-    """Writes the rows to the cluster's shared folder and reads them back.
+def written(rows: DataFrame, label: str, by: str | None = None) -> DataFrame:
+    """Writes the rows to the cluster's shared folder, partitioned by a last column if one is named; reads them back.
 
     It cuts the lineage: a lost executor costs its running tasks and none of the work before.
     """
     spark = rows.sparkSession
     path = run_dir(spark, label)
-    rows.write.parquet(path)
+    (rows.write.partitionBy(by) if by else rows.write).parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 

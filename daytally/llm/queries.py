@@ -11,6 +11,7 @@ from daytally.llm import (
     bpe,
     decontaminate,
     html_text,
+    katz,
     language_id,
     line_quality,
     quality_classifier,
@@ -29,6 +30,10 @@ def tokenizer_path() -> str:
     return os.path.join(os.environ.get("TOKENIZER_DIR", "/opt/tokenizers"), TOKENIZER)
 
 
+def op1_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(table(spark, sf_dir, "documents"))
+
+
 def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.line_quality(table(spark, sf_dir, "documents"))
 
@@ -62,6 +67,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_katz": op1_katz,
     "op2_line_quality": op2_line_quality,
     "op3_simhash": op3_simhash,
     "op4_language_id": op4_language_id,
