@@ -240,7 +240,7 @@ def without_spans(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, tex
     return boxed.select(*columns)
 
 
-def cut_spans(text: str, spans) -> str:
+def cut_spans(text: str, spans: list) -> str:
     raw = text.encode()
     places = [m.span() for m in _WORD.finditer(raw.translate(_TO_WORDS))]
     out, at = [], 0

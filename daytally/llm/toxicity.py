@@ -4,9 +4,9 @@ Voters. Lexicon voters hold words, and beginnings of words, that labelled rows m
 group of them. Pattern voters look at shouting, repeated characters, stretches of symbols, and at how many
 lexicon entries a text has. The lexicon is learned from a bounded sample of labelled rows (``MAX_LABELLED``).
 
-Label model. Every text's votes are written; expectation-maximisation over sums of all of them estimates the share of
-toxic texts, each voter's mean vote in both classes (its accuracy) and the voters' covariance within the classes (their
-correlations). Weights that take the covariance into account give each text a posterior label.
+Label model. The labelled sample gives the voters' covariance within the classes (their correlations). Every text's votes
+are written; expectation-maximisation over sums of all of them estimates the share of toxic texts and each voter's mean
+vote in both classes (its accuracy). Weights that take the covariance into account give each text a posterior label.
 
 Classifier. A logistic regression on votes and counts is fitted to the posterior labels by Newton steps, each a sum over
 all rows; it gives the scores.
@@ -189,29 +189,39 @@ class LabelModel:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
     @classmethod
-    def of(cls, n, toxic, total, total_toxic, outer) -> LabelModel:
-        """From sums of: rows, posteriors, votes, votes by posterior, products of votes."""
+    def of_labels(cls, n, toxic, total, total_toxic, outer) -> LabelModel:
+        """From sums over labelled rows of: rows, labels, votes, votes by label, products of votes."""
         share = float(np.clip(toxic / n, 1e-4, 1 - 1e-4))
         means = np.stack([(total - total_toxic) / max(n - toxic, 1e-9), total_toxic / max(toxic, 1e-9)])
         within = outer / n - (1 - share) * np.outer(means[0], means[0]) - share * np.outer(means[1], means[1])
         return cls(share, means, within + SMOOTH * np.eye(len(total)))
 
+    def with_sums(self, n, toxic, total, total_toxic) -> LabelModel:
+        """Share and means of other sums, with the same covariance.
+
+        Were the covariance fitted along, voters that copy each other would be taken for the label itself.
+        """
+        share = float(np.clip(toxic / n, 1e-4, 1 - 1e-4))
+        means = np.stack([(total - total_toxic) / max(n - toxic, 1e-9), total_toxic / max(toxic, 1e-9)])
+        return LabelModel(share, means, self.covariance)
+
 
 def _sums(votes: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, ...]:
-    return np.array(float(len(p))), np.array(p.sum()), votes.sum(0), p @ votes, votes.T @ votes
+    return np.array(float(len(p))), np.array(p.sum()), votes.sum(0), p @ votes
 
 
 def fit_label_model(table: DataFrame, labelled: DataFrame) -> LabelModel:
-    """Begins with the labelled sample; then every step is a sum over the votes of all texts.
+    """The voters' correlations come from the labelled sample; share and accuracies from the votes of all texts.
 
     The labelled rows stay in the sums with their known labels, so that the classes cannot change places.
     """
 
     def known(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
-        return _sums(matrix(batch.column("votes")).astype(float)[:, :N_VOTERS], batch.column("label").to_numpy())
+        v = matrix(batch.column("votes")).astype(float)[:, :N_VOTERS]
+        return *_sums(v, batch.column("label").to_numpy()), v.T @ v
 
-    anchor = partition_sums(labelled, known)
-    model = LabelModel.of(*anchor)
+    *anchor, outer = partition_sums(labelled, known)
+    model = LabelModel.of_labels(*anchor, outer)
     for _ in range(EM_STEPS):
         now = model
 
@@ -219,7 +229,7 @@ def fit_label_model(table: DataFrame, labelled: DataFrame) -> LabelModel:
             v = matrix(batch.column("votes")).astype(float)[:, :N_VOTERS]
             return _sums(v, now.posterior(v))
 
-        model = LabelModel.of(*(a + b for a, b in zip(anchor, partition_sums(table, step))))
+        model = now.with_sums(*(a + b for a, b in zip(anchor, partition_sums(table, step))))
         if np.abs(model.means - now.means).max() < 1e-4:
             break
     return model

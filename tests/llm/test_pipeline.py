@@ -1,0 +1,85 @@
+"""The pipeline against its stages done by brute force on a small table."""
+
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+from test_bpe import expected
+from test_decontaminate import brute as brute_hits
+from test_line_quality import brute as figures
+from test_simhash import brute_components, brute_print
+
+import corpus_pipeline as pipeline
+from daytally.llm.common import table, written
+from edge_cases import COLUMNS, SF
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    docs = table(spark, SF, "documents")
+    out = [docs]
+    for _, stage in pipeline.STAGES:
+        docs = written(stage(spark, docs, SF), "stage")
+        out.append(docs)
+    return out
+
+
+def ids(rows):
+    return sorted(r.doc_id for r in rows.select("doc_id").collect())
+
+
+def test_columns(stages):
+    for rows in stages[1:-1]:
+        assert rows.columns == stages[0].columns and rows.dtypes == stages[0].dtypes
+    assert stages[-1].columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
+def test_quality_rules_keep_what_passes(stages):
+    want = []
+    for r in stages[0].collect():
+        n, _, _, _, repeated = figures(r.text)
+        if n >= 20 and 100 * repeated <= 30 * n:
+            want.append(r.doc_id)
+    # At this size no line is above the limits, so nothing else goes and no text changes.
+    assert ids(stages[1]) == sorted(want)
+    assert stages[1].join(stages[0], ["doc_id", "text"], "left_anti").count() == 0
+
+
+def test_the_classifier_keeps_good_rows(spark):
+    folder = "/root/testdata/sf0.01"
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    kept = dict(pipeline.STAGES)["quality classifier"](spark, docs, folder).select("doc_id", F.lit(1).alias("kept"))
+    rows = labels.join(kept, "doc_id", "left").collect()
+    good, bad = ([r.kept == 1 for r in rows if r.quality == q] for q in (1, 0))
+    assert sum(good) / len(good) > 0.98 and sum(bad) / len(bad) < 0.1
+
+
+def test_dedup_keeps_the_first_of_each_component(stages):
+    rows = stages[2].collect()
+    component = brute_components([r.doc_id for r in rows], [brute_print(r.text) for r in rows])
+    assert ids(stages[3]) == sorted(set(component))
+
+
+def test_decontamination_keeps_what_is_not_hit(spark, stages):
+    items = [(r.item_id, r.text) for r in table(spark, SF, "benchmark").collect()]
+    hits = brute_hits([(r.doc_id, r.text) for r in stages[3].collect()], items)
+    assert ids(stages[4]) == sorted(h[0] for h in hits if not h[5])
+
+
+def test_last_stage_and_run(spark, stages):
+    want = set()
+    for r in stages[4].collect():
+        tokens, decoded = expected(r.text)
+        sha = [hashlib.sha256(x.encode()).hexdigest() for x in (" ".join(map(str, tokens)), decoded)]
+        want.add((r.doc_id, len(tokens), *sha))
+    assert {tuple(r) for r in stages[5].collect()} == want
+    assert {tuple(r) for r in pipeline.run(spark, SF).collect()} == want
+
+
+def test_odd_rows(spark, edges, no_docs):
+    for docs in (edges, no_docs, spark.createDataFrame([(None, None, None, None, None)] * 3, COLUMNS)):
+        columns = docs.columns
+        for _, stage in pipeline.STAGES[:-1]:
+            docs = written(stage(spark, docs, SF), "stage")
+            assert docs.columns == columns
+        assert pipeline.STAGES[-1][1](spark, docs, SF).count() == docs.count()
