@@ -34,16 +34,22 @@ def to_json_line(*columns: Column | str) -> Column:
     return F.to_json(F.struct(*columns), {"timestampNTZFormat": TIMESTAMP_PATTERN})
 
 
-def json_lines(schema: T.StructType) -> LineParser:
-    """One JSON object per line. Broken JSON, a field of the wrong type, or text after the object fails the line."""
+def json_lines(schema: T.StructType, required: tuple[str, ...] = ()) -> LineParser:
+    """One JSON object per line. Broken JSON, a field of the wrong type, or text after the object fails the line.
+
+    So does a ``required`` field that is missing or null, and a number that is NaN or infinite: neither can be summed.
+    """
     full = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT, "allowNonNumericNumbers": "false"}
 
     def parse(line: Column) -> Column:
         return F.from_json(line, full, options)
 
     def failed(record: Column, line: Column) -> Column:
-        return record.isNull() | record[_CORRUPT].isNotNull() | ~_one_object(line)
+        broken = record.isNull() | record[_CORRUPT].isNotNull()
+        for name in required:
+            broken |= record[name].isNull()
+        return broken | ~_one_object(line)
 
     return LineParser(schema, parse, failed)
 

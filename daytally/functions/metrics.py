@@ -42,11 +42,14 @@ class FixedSum:
 
     The sum runs over whole units (cents for scale 2) in a long: a decimal sum of the same width keeps its buffer as a
     big integer and measured 2.5 times slower per row.
+
+    A value with more decimals is rounded, half up; with ``checked`` it stops the run, as NaN always does.
     """
 
     name: str = "total_value"
     column: str = "value"
     scale: int = 2
+    checked: bool = False
 
     @property
     def sql_type(self) -> str:
@@ -59,8 +62,17 @@ class FixedSum:
         unit = Decimal(1).scaleb(-self.scale)
         return (units.cast("decimal(19,0)") * F.lit(unit)).cast(self.sql_type)
 
+    def _fits(self, value: Column) -> Column:
+        """The value as a decimal; an error where that would lose it, since a NULL would be missing from the sum unseen."""
+        fixed = value.cast(self.sql_type)
+        lost = value.isNotNull() & fixed.isNull()
+        if self.checked:
+            lost |= fixed.cast("double") != value.cast("double")
+        message = F.concat(F.lit(f"{self.column} does not fit {self.sql_type}: "), value.cast("string"))
+        return F.when(lost, F.raise_error(message).cast(self.sql_type)).otherwise(fixed)
+
     def per_day(self) -> Column:
-        return self._from_units(F.sum(self._units(F.col(self.column))))
+        return self._from_units(F.sum(self._units(self._fits(F.col(self.column)))))
 
     def fold(self, value: Column) -> Column:
         return self._from_units(F.sum(self._units(value)))

@@ -2,21 +2,18 @@
 
 from __future__ import annotations
 
-import math
 from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from daytally.functions.dates import as_day
 from daytally.functions.loglines import LineParser
 from daytally.sources.lake import dataset
-from daytally.sources.landing import LOG_SUFFIX, SizeRule, day_prefix, input_size_profile, list_objects
+from daytally.sources.landing import SizeRule, input_size_profile, log_objects
 from daytally.sources.logs import GOOD, REJECTS, log_glob, route, scan_lines
 
-BYTES_PER_WRITER = 128 << 20
-
-
 def write_lake(routed: DataFrame, lake: str, mode: str) -> None:
     """``overwrite`` replaces the folders that occur in ``routed``. No shuffle: a hot day just has more files."""
     (
@@ -48,6 +45,7 @@ def ingest_day(
     Without any log of the day, nothing is written and None comes back. With ``size_rule`` the files written are
     limited to the number the input's size picks.
     """
+    ds = as_day(ds)
     try:
         lines = scan_lines(spark, log_glob(root, ds), ds)
     except AnalysisException as error:
@@ -74,8 +72,7 @@ def ingest_day(
 
 
 def writers_for(spark: SparkSession, root: str, ds: str | date, rule: SizeRule) -> int:
-    """The number the size rule picks; past that many full-size files, one writer per ``BYTES_PER_WRITER``."""
-    found = input_size_profile(list_objects(spark, day_prefix(root, ds), LOG_SUFFIX), rule).first()
-    return max(found["writers"], math.ceil(found["total_bytes"] / BYTES_PER_WRITER))
+    """The number the size rule picks for a day's logs."""
+    return input_size_profile(log_objects(spark, root, [as_day(ds)]), rule).first()["writers"]
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from datetime import date
 
@@ -11,57 +12,81 @@ from pyspark.sql import functions as F
 
 from daytally.functions.dates import as_day, days, nodash
 
-# A listing has one task per 128 MB of files otherwise, though it reads none of them.
-LISTING_TASKS = 1_000
-
 # Folder and suffix of the log objects, and the size rule.
 LOG_FOLDER = "logs"
 LOG_SUFFIX = ".log"
+# Every reader of logs goes by this: the folder's whole name is the date, and the object lies directly in it.
+DAY_DIGITS = 8
 SIZE_THRESHOLD = 10_000_000
 ABOVE_THRESHOLD = 4
 UP_TO_THRESHOLD = 2
 
 
-def list_objects(spark: SparkSession, prefix: str, suffix: str | None = None) -> DataFrame:
+def list_objects(spark: SparkSession, prefix: str, suffix: str | None = None, tasks: int = 1_000) -> DataFrame:
     """Path and length of every object whose path starts with ``prefix`` and ends with ``suffix``.
 
     ``prefix`` is cut anywhere, not only at folder borders, and may hold glob patterns. The file contents are never
-    read. As in every Spark listing, names that start with ``_`` or ``.`` are left out.
+    read, so ``tasks`` bounds the number of tasks, of which there would be one per 128 MB of files. As in every Spark
+    listing, names that start with ``_`` or ``.`` are left out; ``object_totals`` counts them too.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if suffix:
         reader = reader.option("pathGlobFilter", f"*{suffix}")
     try:
-        return reader.load(f"{prefix}*").select("path", "length").coalesce(LISTING_TASKS)
+        return reader.load(f"{prefix}*").select("path", "length").coalesce(tasks)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.range(0).select(F.lit("").alias("path"), F.col("id").alias("length"))
 
 
-def day_prefix(root: str, ds: str | date) -> str:
-    return f"{root}/{LOG_FOLDER}/{nodash(ds)}"
+def object_totals(spark: SparkSession, prefix: str) -> tuple[int, int]:
+    """Number and bytes of all objects whose path starts with ``prefix``, whatever their names begin with.
+
+    The file system adds them up; the driver gets one sum per file or folder right at the prefix.
+    """
+    jvm = spark.sparkContext._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{prefix}*")
+    files = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    sums = [files.getContentSummary(status.getPath()) for status in files.globStatus(pattern) or []]
+    return sum(s.getFileCount() for s in sums), sum(s.getLength() for s in sums)
 
 
 def folder_day(path: Column) -> Column:
-    """The date of a log object, from the yyyymmdd that its path has behind the log folder."""
-    day = F.substring_index(path, f"/{LOG_FOLDER}/", -1)
+    """The date of a log object, from its folder's name; NULL if the path is none of a log."""
+    day = F.regexp_extract(path, rf"/{LOG_FOLDER}/(\d{{{DAY_DIGITS}}})/[^/]+\.log$", 1)
     digits = [F.substring(day, start, length) for start, length in ((1, 4), (5, 2), (7, 2))]
     return F.concat_ws("-", *digits).try_cast("date")
 
 
+def log_objects(spark: SparkSession, root: str, wanted: list[date] | None = None) -> DataFrame:
+    """path, length and log_date of the logs of the wanted days, or of all. Folders of other days are not listed."""
+    if wanted == []:
+        return spark.createDataFrame([], "path string, length long, log_date date")
+    folders = f"{{{','.join(map(nodash, wanted))}}}/" if wanted else ""
+    found = list_objects(spark, f"{root}/{LOG_FOLDER}/{folders}", LOG_SUFFIX)
+    return found.withColumn("log_date", folder_day(F.col("path"))).where(F.col("log_date").isNotNull())
+
+
+def stray_objects(spark: SparkSession, root: str) -> DataFrame:
+    """Objects below the log folder that no job takes: in a folder that is no date, nested deeper, or of another suffix."""
+    found = list_objects(spark, f"{root}/{LOG_FOLDER}/")
+    return found.where(folder_day(F.col("path")).isNull())
+
+
+def prefix_gate(spark: SparkSession, prefix: str, suffix: str | None = None) -> bool:
+    """Whether any object's path starts with ``prefix`` (and ends with ``suffix``)."""
+    return not list_objects(spark, prefix, suffix).isEmpty()
+
+
 def landing_gate(spark: SparkSession, root: str, ds: str | date) -> bool:
     """Whether any log of the day has landed."""
-    return not list_objects(spark, day_prefix(root, ds), LOG_SUFFIX).isEmpty()
+    return not log_objects(spark, root, [as_day(ds)]).isEmpty()
 
 
 def landing_inventory(spark: SparkSession, root: str, wanted: list[date] | None = None) -> DataFrame:
-    """Objects and bytes per day, over the wanted days that have logs, or all days. Other folders are not listed."""
-    folders = f"{{{','.join(map(nodash, wanted))}}}" if wanted else ""
-    found = list_objects(spark, f"{root}/{LOG_FOLDER}/{folders}", LOG_SUFFIX)
-    if wanted is not None:
-        found = found.where(folder_day(F.col("path")).isin(wanted))
-    by_day = found.groupBy(folder_day(F.col("path")).alias("log_date"))
+    """Objects and bytes per day, over the wanted days that have logs, or all days."""
+    by_day = log_objects(spark, root, wanted).groupBy("log_date")
     return by_day.agg(F.count(F.lit(1)).alias("n_objects"), F.sum("length").alias("total_bytes"))
 
 
@@ -78,14 +103,32 @@ def landing_status(spark: SparkSession, root: str, start: str | date, end: str |
 
 @dataclass(frozen=True)
 class SizeRule:
-    """``above`` writers for inputs over the threshold, ``up_to`` for all others."""
+    """``above`` writers for inputs over the threshold, ``up_to`` for all others.
+
+    With ``bytes_per_writer``, inputs that give each of these more than so many bytes get further writers.
+    """
 
     threshold: int = SIZE_THRESHOLD
     above: int = ABOVE_THRESHOLD
     up_to: int = UP_TO_THRESHOLD
+    bytes_per_writer: int | None = None
+
+    def writers(self, total_bytes: int) -> int:
+        least = self.above if total_bytes > self.threshold else self.up_to
+        return max(least, math.ceil(total_bytes / self.bytes_per_writer)) if self.bytes_per_writer else least
 
     def column(self, total_bytes: Column) -> Column:
-        return F.when(total_bytes > self.threshold, F.lit(self.above)).otherwise(F.lit(self.up_to))
+        least = F.when(total_bytes > self.threshold, F.lit(self.above)).otherwise(F.lit(self.up_to))
+        if not self.bytes_per_writer:
+            return least
+        return F.greatest(least, F.ceil(total_bytes / self.bytes_per_writer).cast("int"))
+
+
+def size_profile(spark: SparkSession, prefix: str, rule: SizeRule = SizeRule()) -> DataFrame:
+    """``input_size_profile`` over all objects at the prefix, those with hidden names included."""
+    n_objects, total = object_totals(spark, prefix)
+    one = spark.range(1).select(F.lit(n_objects).cast("long").alias("n_objects"), F.lit(total).cast("long").alias("total_bytes"))
+    return one.withColumn("writers", rule.column(F.col("total_bytes")))
 
 
 def input_size_profile(listing: DataFrame, rule: SizeRule = SizeRule()) -> DataFrame:

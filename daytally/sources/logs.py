@@ -9,15 +9,20 @@ from pyspark.sql import functions as F
 
 from daytally.functions.dates import as_day, nodash
 from daytally.functions.loglines import LineParser
-from daytally.sources.landing import LOG_FOLDER, LOG_SUFFIX, folder_day
+from daytally.sources.landing import DAY_DIGITS, LOG_FOLDER, LOG_SUFFIX, folder_day
 
 GOOD = "good"
 REJECTS = "rejects"
 
 
 def log_glob(root: str, ds: str | date | None = None) -> str:
-    """The log objects of one day, or of all days."""
-    return f"{root}/{LOG_FOLDER}/{nodash(ds) if ds else '*'}/*{LOG_SUFFIX}"
+    """The log objects of one day, or of all days: folders whose whole name is the date."""
+    return f"{root}/{LOG_FOLDER}/{nodash(ds) if ds else '[0-9]' * DAY_DIGITS}/*{LOG_SUFFIX}"
+
+
+def month_glob(root: str, year: int, month: int) -> str:
+    """The log objects of a month, for a stream that need not list the whole history."""
+    return f"{root}/{LOG_FOLDER}/{year:04d}{month:02d}[0-9][0-9]/*{LOG_SUFFIX}"
 
 
 def scan_lines(spark: SparkSession, glob: str, ds: str | date | None = None) -> DataFrame:
@@ -25,14 +30,16 @@ def scan_lines(spark: SparkSession, glob: str, ds: str | date | None = None) ->
     return with_upload_date(spark.read.format("text").load(glob), ds)
 
 
-def stream_lines(spark: SparkSession, glob: str, max_files_per_batch: int) -> DataFrame:
-    reader = spark.readStream.format("text").option("maxFilesPerTrigger", max_files_per_batch)
+def stream_lines(spark: SparkSession, glob: str, max_files_per_batch: int, max_file_age: str) -> DataFrame:
+    reader = spark.readStream.format("text").options(maxFilesPerTrigger=max_files_per_batch, maxFileAge=max_file_age)
     return with_upload_date(reader.load(glob), None)
 
 
 def with_upload_date(lines: DataFrame, ds: str | date | None) -> DataFrame:
+    """The lines with their folder's date. Those of a folder like 20241399 have none and are left out, as in listings."""
     day: Column = F.lit(as_day(ds)) if ds else folder_day(F.col("_metadata.file_path"))
-    return lines.select(F.col("value").alias("line"), day.alias("upload_date"))
+    dated = lines.select(F.col("value").alias("line"), day.alias("upload_date"))
+    return dated if ds else dated.where(F.col("upload_date").isNotNull())
 
 
 def route(lines: DataFrame, parser: LineParser) -> DataFrame:

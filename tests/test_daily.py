@@ -1,11 +1,13 @@
 from datetime import date, datetime
+from decimal import Decimal
 
 import pytest
 from helpers import exchanges, plan_of, rows
-from pyspark.errors import ArithmeticException
+from pyspark.errors import ArithmeticException, PySparkException
 from pyspark.sql import functions as F
 
 from daytally.functions.dates import days, in_days, local_wall_clock, next_day, nodash, ntz, run_time
+from daytally.functions.metrics import FixedSum
 from daytally.operators.daily import daily_calc
 from daytally.workload.views import uploads
 
@@ -67,6 +69,23 @@ def test_a_value_that_does_not_fit_stops_the_run(events):
         daily_calc(feed, "2024-01-02").collect()
 
 
+@pytest.mark.parametrize("value", [float("nan"), float("inf")])
+def test_what_is_no_number_stops_the_run(events, value):
+    feed = events(*[("a", "2024-01-02 01:00:00", "2024-01-02 02:00:00", v) for v in (value, 1.0)])
+    with pytest.raises(PySparkException):
+        daily_calc(feed, "2024-01-02").collect()
+
+
+def test_a_checked_sum_refuses_further_decimals(events):
+    def total(*values):
+        feed = events(*[("a", "2024-01-02 01:00:00", "2024-01-02 02:00:00", v) for v in values])
+        return daily_calc(feed, "2024-01-02", (FixedSum(checked=True),)).first()["total_value"]
+
+    assert total(0.1, 0.2, 1234567.89, None) == Decimal("1234568.19")
+    with pytest.raises(PySparkException, match="does not fit"):
+        total(1.005)
+
+
 def test_range_reaches_the_scan_and_only_needed_columns_are_read(spark, tmp_path):
     path = str(tmp_path / "feed")
     uploads(spark, SF).write.parquet(path)

@@ -1,3 +1,5 @@
+import os
+import time
 from datetime import date
 from pathlib import Path
 
@@ -11,17 +13,21 @@ from daytally.functions.loglines import LineParser, json_lines
 from daytally.plans.ingest import ingest_day, ingest_logs, writers_for
 from daytally.plans.load import clustered, load_day
 from daytally.session import run_dir, shared_dir
-from daytally.sources.lake import read_events, read_rejects
+from daytally.sources.lake import misplaced, read_events, read_rejects
 from daytally.sources.landing import (
     SizeRule,
-    day_prefix,
     input_size_profile,
     landing_gate,
     landing_inventory,
     landing_status,
     list_objects,
+    log_objects,
+    object_totals,
+    prefix_gate,
+    size_profile,
+    stray_objects,
 )
-from daytally.sources.logs import log_glob, route, scan_lines
+from daytally.sources.logs import log_glob, month_glob, route, scan_lines
 from daytally.streaming.ingest import stream_ingest
 from daytally.workload.queries import PARSER, UPLOAD_SCHEMA
 from daytally.workload.views import log_lines, log_tree, uploads
@@ -60,7 +66,7 @@ def test_listing_is_by_string_prefix_and_suffix(spark, root):
     put(root, "20240105/c.txt", "333")
     put(root, "20240106/d.log", "4444")
     names = lambda df: sorted(Path(r["path"]).name for r in df.collect())
-    assert names(list_objects(spark, day_prefix(root, "2024-01-05"), ".log")) == ["a.log", "b.log"]
+    assert names(list_objects(spark, f"{root}/logs/20240105", ".log")) == ["a.log", "b.log"]
     assert names(list_objects(spark, f"{root}/logs/")) == ["a.log", "b.log", "c.txt", "d.log"]
     assert names(list_objects(spark, f"{root}/nothing", ".log")) == []
 
@@ -77,7 +83,8 @@ def test_inventory_counts_objects_and_bytes(spark, root):
     put(root, "20240105/a.log", "1")
     put(root, "20240105x/deep/b.log", "22")
     put(root, "20240106/c.log", "4444")
-    assert rows(landing_inventory(spark, root)) == [(date(2024, 1, 5), 2, 5), (date(2024, 1, 6), 1, 5)]
+    put(root, "20240105/e.log", "1")
+    assert rows(landing_inventory(spark, root)) == [(date(2024, 1, 5), 2, 4), (date(2024, 1, 6), 1, 5)]
     wanted = [date(2024, 1, 4), date(2024, 1, 6)]
     assert rows(landing_inventory(spark, root, wanted), "log_date") == [(date(2024, 1, 6),)]
     assert rows(landing_inventory(spark, root, wanted[:1]), "log_date") == []
@@ -89,7 +96,7 @@ def test_inventory_counts_objects_and_bytes(spark, root):
 
 def test_listing_reads_no_contents(spark, root):
     put(root, "20240105/a.log", "1")
-    plan = plan_of(list_objects(spark, day_prefix(root, "2024-01-05"), ".log"))
+    plan = plan_of(log_objects(spark, root, [date(2024, 1, 5)]))
     assert "ReadSchema: struct<path:string,length:bigint>" in plan
 
 
@@ -104,6 +111,51 @@ def test_size_rule_over_the_tables(spark):
         assert input_size_profile(list_objects(spark, f"/root/testdata/sf{sf}/")).first()["writers"] == writers
 
 
+def test_hidden_names_count_in_totals(spark, root):
+    put(root, "20240105/a.log", "1234567890")
+    put(root, "20240105/_SUCCESS", "x" * 100)
+    put(root, "20240105/.part.log", "y" * 10)
+    assert object_totals(spark, f"{root}/logs/20240105/") == (3, 11 + 101 + 11)
+    assert object_totals(spark, f"{root}/") == object_totals(spark, root)
+    assert object_totals(spark, f"{root}/nothing") == (0, 0)
+    assert rows(size_profile(spark, f"{root}/", SizeRule(threshold=100))) == [(3, 123, 4)]
+    assert input_size_profile(list_objects(spark, f"{root}/logs/")).first()["total_bytes"] == 11
+
+
+def test_a_gate_over_any_prefix(spark, root):
+    put(root, "20240105/a.log", "1")
+    assert prefix_gate(spark, f"{root}/lo") and prefix_gate(spark, f"{root}/logs/2024", ".log")
+    assert not prefix_gate(spark, f"{root}/lx") and not prefix_gate(spark, f"{root}/logs/", ".txt")
+
+
+def test_all_jobs_go_by_one_rule_for_folders(spark, root, lake, tmp_path):
+    put(root, "20240105/a.log", line("a"))
+    for stray in ("20240105x/b.log", "junk/c.log", "20240106x/d.log", "20240105/deep/e.log", "20241399/f.log", "20240105/g.txt"):
+        put(root, stray, line(stray))
+    assert not landing_gate(spark, root, "2024-01-06") and landing_gate(spark, root, date(2024, 1, 5))
+    assert rows(landing_inventory(spark, root), "log_date", "n_objects") == [(date(2024, 1, 5), 1)]
+    assert rows(log_objects(spark, root, [])) == []
+    strays = [Path(r["path"]).name for r in stray_objects(spark, root).collect()]
+    assert sorted(strays) == ["b.log", "c.log", "d.log", "e.log", "f.log", "g.txt"]
+    want = [("a", date(2024, 1, 5))]
+    ingest_logs(spark, root, lake, SMALL_PARSER)
+    assert rows(read_events(spark, lake, SMALL), "user_id", "upload_date") == want
+    assert ingest_day(spark, root, lake, "2024-01-05", SMALL_PARSER) == {"good": 1, "rejects": 0}
+    assert ingest_day(spark, root, lake, "2024-01-06", SMALL_PARSER) is None
+    assert rows(read_events(spark, lake, SMALL), "user_id", "upload_date") == want
+    stream_ingest(spark, root, str(tmp_path / "s"), str(tmp_path / "c"), SMALL_PARSER)
+    assert rows(spark.read.parquet(str(tmp_path / "s")), "user_id", "upload_date") == want
+
+
+def test_a_day_may_be_written_in_either_form(spark, root, lake):
+    put(root, "20240105/a.log", line("a"), "broken")
+    ingest_day(spark, root, lake, "2024-01-05", SMALL_PARSER)
+    put(root, "20240105/a.log", line("a"))
+    assert ingest_day(spark, root, lake, "20240105", SMALL_PARSER) == {"good": 1, "rejects": 0}
+    assert read_rejects(spark, lake).isEmpty()
+    assert [p.name for p in Path(lake, "kind=rejects").iterdir() if p.is_dir()] == ["upload_date=2024-01-05"]
+
+
 # Parsing
 
 
@@ -124,6 +176,10 @@ def test_size_rule_over_the_tables(spark):
         ('{"user_id":"a"', False),
         ('{"user_id":"a","value":"much"}', False),
         ('{"user_id":"a","start_time":"not a time"}', False),
+        (line("a", value="NaN"), False),
+        (line("a", value='"NaN"'), False),
+        (line("a", value='"Infinity"'), False),
+        (line("a", value="-Infinity"), False),
         (line("a") + " trailing", False),
         (line("a") + line("b"), False),
         (line("a") + ", " + line("b"), False),
@@ -136,6 +192,13 @@ def test_a_line_is_one_whole_object_or_a_reject(spark, text, good):
     assert found["line"] == (None if good else text)
 
 
+def test_required_fields(spark):
+    lines = spark.createDataFrame([("{}",), (line("a"),), ('{"user_id":null,"value":1}',)], "line string")
+    parser = json_lines(SMALL, required=("user_id",))
+    found = route(lines.withColumn("upload_date", F.lit(None).cast("date")), parser)
+    assert rows(found, "kind") == [("good",), ("rejects",), ("rejects",)]
+
+
 def test_another_line_format(spark, root, lake):
     def parse(text):
         parts = F.split(text, "\\|")
@@ -234,6 +297,9 @@ def test_the_size_rule_limits_files(spark, root, lake):
         put(root, f"20240105/{n}.log", *[line(f"u{n}-{i}") for i in range(20)])
     assert writers_for(spark, root, "2024-01-05", SizeRule()) == 2
     assert writers_for(spark, root, "2024-01-05", SizeRule(threshold=100)) == 4
+    total = object_totals(spark, f"{root}/logs/20240105/")[1]
+    assert writers_for(spark, root, "2024-01-05", SizeRule(bytes_per_writer=total // 7 - 1)) == 8
+    assert SizeRule(bytes_per_writer=total // 7 - 1).writers(total) == 8
     ingest_day(spark, root, lake, "2024-01-05", SMALL_PARSER, SizeRule())
     assert len(read_events(spark, lake, SMALL, "2024-01-05").inputFiles()) <= 2
     assert read_events(spark, lake, SMALL).count() == 800
@@ -248,6 +314,25 @@ def test_a_day_is_read_from_its_own_folder(spark, root, lake):
     assert rows(day, "user_id", "upload_date") == [("20240105", date(2024, 1, 5))]
 
 
+def test_a_range_of_days_lists_their_folders_only(spark, root, lake):
+    for day in ("20240104", "20240105", "20240107", "20240108"):
+        put(root, f"{day}/a.log", line(day))
+    ingest_logs(spark, root, lake, SMALL_PARSER)
+    found = read_events(spark, lake, SMALL, "2024-01-05", "2024-01-08")
+    assert rows(found, "user_id") == [("20240105",), ("20240107",)]
+    assert not any("2024-01-04" in f or "2024-01-08" in f for f in found.inputFiles())
+    assert read_events(spark, lake, SMALL, "2024-01-05", "2024-01-05").isEmpty()
+    assert read_events(spark, lake, SMALL, "2025-01-05", "2025-01-08").isEmpty()
+
+
+def test_misplaced_rows_are_counted(spark):
+    events = spark.sql(
+        """SELECT * FROM VALUES (TIMESTAMP_NTZ '2024-01-05 01:00:00', DATE '2024-01-05'),
+        (TIMESTAMP_NTZ '2024-01-06 00:00:00', DATE '2024-01-05'), (NULL, DATE '2024-01-05') t(upload_time, upload_date)"""
+    )
+    assert rows(misplaced(events)) == [(1, 1)]
+
+
 # Warehouse load
 
 
@@ -270,7 +355,7 @@ def test_clustering_splits_a_hot_value_and_keeps_order(spark, tmp_path):
     ).write.parquet(path)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        ordered = clustered(spark.read.parquet(path), "start_time", ("user_id",))
+        ordered = clustered(spark.read.parquet(path), "start_time", ("user_id",), 8)
         parts = ordered.withColumn("part", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id())
         found = [(r["part"], r["user_id"]) for r in parts.orderBy("at").collect()]
     finally:
@@ -279,13 +364,35 @@ def test_clustering_splits_a_hot_value_and_keeps_order(spark, tmp_path):
     hot = [part for part, user in found if user == "hot"]
     assert len(hot) == 10_000 and len(set(hot)) > 1
     assert max(hot.count(part) for part in set(hot)) < 7_000
+    assert len({part for part, _ in found}) == 8
 
 
 def test_load_shuffles_once(spark, root, lake):
     put(root, "20240105/a.log", line("a"))
     ingest_logs(spark, root, lake, SMALL_PARSER)
-    day = clustered(read_events(spark, lake, SMALL, "2024-01-05"), "start_time", ("user_id",))
-    assert exchanges(day) == ["rangepartitioning"]
+    rows_of = read_events(spark, lake, SMALL, "2024-01-05")
+    day = clustered(rows_of, "start_time", ("user_id",), 4)
+    plan = plan_of(day)
+    main, _, sample = plan.partition("===== Subqueries =====")
+    assert main.count("REPARTITION_BY_NUM") == 1
+    # The bounds come from the key columns alone.
+    assert "ReadSchema: struct<user_id:string,start_time:timestamp_ntz,_tmp_metadata_row_index:bigint>" in sample
+    assert exchanges(clustered(rows_of, "start_time", ("user_id",), 1)) == []
+
+
+@pytest.mark.parametrize("partitions", [2, 3, 7, 16])
+def test_clustering_places_every_row(spark, tmp_path, partitions):
+    path = str(tmp_path / "rows")
+    spark.range(0, 3_000, 1, 3).selectExpr(
+        "IF(id % 11 = 0, NULL, CAST(id % 97 AS STRING)) AS user_id",
+        "TIMESTAMP_NTZ '2024-01-05 00:00:00' + make_dt_interval(CAST(id % 3 AS INT)) AS start_time",
+        "id AS value",
+    ).write.parquet(path)
+    ordered = clustered(spark.read.parquet(path), "start_time", ("user_id",), partitions)
+    found = [tuple(r) for r in ordered.withColumn("at", F.monotonically_increasing_id()).orderBy("at").collect()]
+    key = lambda r: (r[1].date(), r[0] is not None, r[0] or "")
+    assert [key(r) for r in found] == sorted(map(key, found))
+    assert sorted(r[2] for r in found) == list(range(3_000))
 
 
 # Stream
@@ -311,6 +418,27 @@ def test_each_run_takes_only_new_files(spark, root, tmp_path):
     assert rows(found.where("kind = 'rejects'"), "line") == [("broken",)]
 
 
+def test_late_files_with_old_times_are_taken(spark, root, tmp_path):
+    lake, checkpoint = str(tmp_path / "stream"), str(tmp_path / "checkpoint")
+    put(root, "20240105/a.log", line("a"))
+    stream_ingest(spark, root, lake, checkpoint, SMALL_PARSER)
+    put(root, "20240104/b.log", line("b"))
+    put(root, "20240104/c.log", line("c"))
+    then = time.time() - 30 * 86_400
+    os.utime(Path(root) / "logs/20240104/b.log", (then, then))
+    for _ in range(2):
+        stream_ingest(spark, root, lake, checkpoint, SMALL_PARSER)
+    assert rows(spark.read.parquet(lake), "user_id") == [("a",), ("b",), ("c",)]
+
+
+def test_a_stream_over_one_month(spark, root, tmp_path):
+    put(root, "20240105/a.log", line("a"))
+    put(root, "20240205/b.log", line("b"))
+    glob = month_glob(root, 2024, 2)
+    stream_ingest(spark, root, str(tmp_path / "s"), str(tmp_path / "c"), SMALL_PARSER, glob=glob)
+    assert rows(spark.read.parquet(str(tmp_path / "s")), "user_id") == [("b",)]
+
+
 def test_stream_and_batch_agree(spark, lake, tmp_path):
     root = log_tree(spark, SF, garbage=True)
     ingest_logs(spark, root, lake, PARSER)
