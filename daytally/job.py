@@ -2,71 +2,149 @@
 
     spark-submit --py-files daytally.zip daytally/job.py ingest --root <landing> --lake <lake> --ds 2024-01-05 --schema <ddl>
 
-``check`` prints what has landed for a day and the number its size picks; ``ingest`` brings the day's logs into the
-lake; ``load`` appends the day to a warehouse table; ``run`` does the daily run, over several days with ``--until``.
+``check`` prints what has landed for a day, or for any prefix, and the number its size picks; ``ingest`` brings the day's
+logs into the lake, and ``stream`` all logs that no run has taken yet; ``load`` appends the day, or ``--all`` of the
+lake, to a warehouse table; ``run`` does the daily run, over several days with ``--until``; ``rebucket`` gives the
+cumulative table another number of buckets.
 """
 
 from __future__ import annotations
 
 import argparse
+from datetime import timedelta
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from daytally.functions.loglines import json_lines
+from daytally.functions.dates import as_day
+from daytally.functions.loglines import LineParser, json_lines
 from daytally.plans.ingest import ingest_day
-from daytally.plans.load import load_day
+from daytally.plans.load import load_day, load_lake
 from daytally.plans.pipeline import backfill, run_day
 from daytally.plans.tables import CalcTables
 from daytally.session import configure
-from daytally.sources.lake import read_events
-from daytally.sources.landing import LOG_SUFFIX, day_prefix, input_size_profile, landing_gate, list_objects
+from daytally.sources.lake import misplaced, read_events
+from daytally.sources.landing import (
+    SizeRule,
+    input_size_profile,
+    landing_gate,
+    log_objects,
+    prefix_gate,
+    size_profile,
+)
+from daytally.streaming.ingest import stream_ingest
 
 
 def parse_args(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="daytally", description=__doc__, formatter_class=argparse.RawTextHelpFormatter)
     jobs = parser.add_subparsers(dest="job", required=True)
 
-    def job(name: str, *options: str) -> argparse.ArgumentParser:
+    def job(name: str, *options: str, ds: bool = True) -> argparse.ArgumentParser:
         sub = jobs.add_parser(name)
-        for option in ("ds", *options):
+        sub.add_argument("--ds", required=ds, type=as_day)
+        for option in options:
             sub.add_argument(f"--{option}", required=True)
         return sub
 
-    job("check", "root")
-    job("ingest", "root", "lake", "schema")
-    load = job("load", "lake", "table", "schema")
+    def required_fields(sub: argparse.ArgumentParser) -> None:
+        sub.add_argument("--required", default="upload_time", help="fields without which a line is a reject, by commas")
+
+    check = job("check", ds=False)
+    check.add_argument("--root", help="folder that holds the log folder; with --ds")
+    check.add_argument("--prefix", help="any prefix of object paths, instead of a day's logs")
+    check.add_argument("--suffix")
+    ingest = job("ingest", "root", "lake", "schema")
+    ingest.add_argument("--size-rule", action="store_true", help="limit the files written to what the input's size picks")
+    required_fields(ingest)
+    stream = job("stream", "root", "lake", "schema", "checkpoint", ds=False)
+    stream.add_argument("--max-file-age", default="3650d")
+    stream.add_argument("--glob", help="log objects to watch, by default those of all days")
+    required_fields(stream)
+    load = job("load", "lake", "table", "schema", ds=False)
+    load.add_argument("--all", action="store_true", help="all days, for a first load")
     load.add_argument("--event-time", default="start_time")
     load.add_argument("--cluster-by", default="user_id", help="columns, separated by commas")
     load.add_argument("--path", help="folder of the table; the warehouse's own if left out")
+    load.add_argument("--partitions", type=int, help="tasks that sort and write")
     run = job("run", "lake", "schema", "database", "location")
-    run.add_argument("--until", help="first day not to run: a backfill of the days before it")
+    run.add_argument("--until", type=as_day, help="first day not to run: a backfill of the days before it")
     run.add_argument("--root", help="skip days without logs below this folder")
-    run.add_argument("--partition-day", help="upload_date, if it equals the date of upload_time in every row")
+    run.add_argument("--whole-lake", action="store_true", help="read all folders, not only those of the days run")
+    run.add_argument("--append", action="store_true", help="add to the daily table: a rerun doubles the day")
+    run.add_argument("--keep-days", type=int, help="drop snapshots that are older than so many days")
     run.add_argument("--buckets", type=int, default=CalcTables.buckets)
+    job("rebucket", "database", "location", "buckets", ds=False)
     return parser.parse_args(argv)
 
 
 def main(argv: list[str] | None = None) -> dict:
     args = parse_args(argv)
-    spark = configure(SparkSession.builder.appName(f"daytally {args.job} {args.ds}").getOrCreate())
-    if args.job == "check":
-        listing = list_objects(spark, day_prefix(args.root, args.ds), LOG_SUFFIX)
-        return {"landed": landing_gate(spark, args.root, args.ds), **input_size_profile(listing).first().asDict()}
+    spark = configure(SparkSession.builder.appName(f"daytally {args.job} {args.ds or ''}".strip()).getOrCreate())
+    return JOBS[args.job](spark, args)
+
+
+def check(spark: SparkSession, args: argparse.Namespace) -> dict:
+    if args.prefix:
+        landed = prefix_gate(spark, args.prefix, args.suffix)
+        return {"landed": landed, **size_profile(spark, args.prefix).first().asDict()}
+    listing = log_objects(spark, args.root, [args.ds])
+    return {"landed": landing_gate(spark, args.root, args.ds), **input_size_profile(listing).first().asDict()}
+
+
+def ingest(spark: SparkSession, args: argparse.Namespace) -> dict:
+    rule = SizeRule() if args.size_rule else None
+    return ingest_day(spark, args.root, args.lake, args.ds, _parser(args), rule) or {}
+
+
+def stream(spark: SparkSession, args: argparse.Namespace) -> dict:
+    stream_ingest(
+        spark, args.root, args.lake, args.checkpoint, _parser(args), max_file_age=args.max_file_age, glob=args.glob
+    )
+    return {"streamed": args.root}
+
+
+def load(spark: SparkSession, args: argparse.Namespace) -> dict:
+    schema, columns = T.StructType.fromDDL(args.schema), tuple(args.cluster_by.split(","))
+    options = {"event_time": args.event_time, "cluster_by": columns, "path": args.path, "partitions": args.partitions}
+    if args.all:
+        load_lake(spark, args.lake, args.table, schema, **options)
+    else:
+        load_day(spark, args.lake, args.table, args.ds, schema, **options)
+    return {"loaded": "all" if args.all else str(args.ds)}
+
+
+def events_of(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    """The events a run reads: those in the folders of its days, unless the whole lake is asked for."""
     schema = T.StructType.fromDDL(args.schema)
-    if args.job == "ingest":
-        return ingest_day(spark, args.root, args.lake, args.ds, json_lines(schema)) or {}
-    if args.job == "load":
-        cluster_by = tuple(args.cluster_by.split(","))
-        load_day(spark, args.lake, args.table, args.ds, schema, args.event_time, cluster_by, args.path)
-        return {"loaded": args.ds}
+    if args.whole_lake:
+        return read_events(spark, args.lake, schema)
+    return read_events(spark, args.lake, schema, args.ds, args.until)
+
+
+def run(spark: SparkSession, args: argparse.Namespace) -> dict:
     tables = CalcTables(spark, args.database, args.location, args.buckets).create()
-    events = read_events(spark, args.lake, schema)
+    events = events_of(spark, args)
     if args.until:
-        users = backfill(tables, events, args.ds, args.until, args.root, args.partition_day)
+        users = backfill(tables, events, args.ds, args.until, args.root)
     else:
-        users = run_day(tables, events, args.ds, args.root, partition_day=args.partition_day)
-    return {"users": users.count() if users is not None else 0}
+        users = run_day(tables, events, args.ds, args.root, replace=not args.append)
+    if args.keep_days is not None:
+        tables.drop_snapshots_before(args.ds - timedelta(days=args.keep_days))
+    # Rows that the folders read have and that do not count on their day are reported, not lost unseen.
+    return {"users": users.count() if users is not None else 0, **misplaced(events).first().asDict()}
+
+
+def rebucket(spark: SparkSession, args: argparse.Namespace) -> dict:
+    tables = CalcTables(spark, args.database, args.location).create()
+    tables.rebucket(int(args.buckets))
+    return {"buckets": tables.stored_buckets()}
+
+
+def _parser(args: argparse.Namespace) -> LineParser:
+    return json_lines(T.StructType.fromDDL(args.schema), tuple(filter(None, args.required.split(","))))
+
+
+JOBS = {"check": check, "ingest": ingest, "stream": stream, "load": load, "run": run, "rebucket": rebucket}
 
 
 if __name__ == "__main__":

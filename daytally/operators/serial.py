@@ -31,13 +31,21 @@ def _place() -> Column:
     return F.col(POSITION).bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
 
 
-def assign_ids(written: DataFrame, start_after: int = 0, id_column: str = "id") -> DataFrame:
+def partition_sizes(written: DataFrame, *by: str) -> DataFrame:
+    """Rows per partition of the write (part, n), and per value of further columns."""
+    return written.groupBy(*by, _partition().alias("part")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def assign_ids(
+    written: DataFrame, start_after: int = 0, id_column: str = "id", sizes: DataFrame | None = None
+) -> DataFrame:
     """Numbers written rows from ``start_after + 1`` on. In every partition the rows must be the first ones.
 
     What is broadcast, and what the unpartitioned window sees, is one row per partition of the write, so their size
-    follows the partition count and not the data.
+    follows the partition count and not the data. ``sizes`` (``partition_sizes``) saves counting again.
     """
-    sizes = written.groupBy(_partition().alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    if sizes is None:
+        sizes = partition_sizes(written)
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     return (

@@ -1,30 +1,71 @@
-"""Lake to warehouse table: append one upload day, partitioned by event day and clustered."""
+"""Lake to warehouse table: append upload days, partitioned by event day and clustered."""
 
 from __future__ import annotations
 
+import math
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daytally.sources.lake import read_events
+from daytally.functions.dates import as_day
+from daytally.sources.lake import dataset, read_events
+from daytally.sources.landing import object_totals
 
+BYTES_PER_PARTITION = 128 << 20
+SAMPLED_PER_PARTITION = 100
 
-def clustered(rows: DataFrame, event_time: str, cluster_by: tuple[str, ...]) -> DataFrame:
+
+def _place(key: Column, bounds: Column, partitions: int) -> Column:
+    """How many of the sorted bounds are not above the key, by halving."""
+    halvings = F.sequence(F.lit(1), F.lit(max(1, math.ceil(math.log2(partitions)) + 1)))
+    start = F.struct(F.lit(0).alias("low"), F.size(bounds).alias("high"))
+
+    def halve(at: Column, _: Column) -> Column:
+        middle = F.floor((at["low"] + at["high"]) / 2).cast("int")
+        up = (at["low"] < at["high"]) & (F.get(bounds, middle) <= key)
+        down = (at["low"] < at["high"]) & ~(F.get(bounds, middle) <= key)
+        return F.struct(
+            F.when(up, middle + 1).otherwise(at["low"]).alias("low"), F.when(down, middle).otherwise(at["high"]).alias("high")
+        )
+
+    return F.aggregate(halvings, start, halve, lambda at: at["low"])
+
+
+def clustered(rows: DataFrame, event_time: str, cluster_by: tuple[str, ...], partitions: int) -> DataFrame:
     """Rows by event day, and within it ordered by the cluster columns across files and inside each.
 
     A cluster value may hold a third of the rows. Its rows are split further by event time and, where that is equal
     too, by their place in the source file, so that no single task gets them all.
+
+    The bounds between partitions come from a sample of the key columns alone, so the other columns are read once;
+    ``repartitionByRange`` would read all of them a first time for its own sample.
     """
     order = ["event_day", *cluster_by, event_time, "source_row"]
-    return (
-        rows.withColumn("event_day", F.to_date(event_time))
-        .withColumn("source_row", F.col("_metadata.row_index"))
-        .repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .drop("source_row")
-    )
+    dated = rows.withColumn("event_day", F.to_date(event_time)).withColumn("source_row", F.col("_metadata.row_index"))
+    wanted = SAMPLED_PER_PARTITION * partitions
+    total = rows.count()  # from the files' footers
+    keys = dated.select(F.struct(*order).alias("key"))
+    if total > wanted:
+        keys = keys.sample(min(1.0, wanted / total), seed=7)
+    ordered = keys.agg(F.array_sort(F.collect_list("key")).alias("keys"))  # about SAMPLED_PER_PARTITION * partitions
+    cut = lambda i: F.get("keys", F.floor(F.size("keys") * i / partitions).cast("int"))
+    bounds = ordered.select(F.array_distinct(F.array_compact(F.array(*[cut(i) for i in range(1, partitions)]))).alias("bounds"))
+    if partitions > 1:
+        placed = dated.withColumn("bounds", bounds.scalar()).withColumn(
+            "place", _place(F.struct(*order), F.col("bounds"), partitions)
+        )
+        dated = placed.drop("bounds").repartitionById(partitions, "place").drop("place")
+    else:
+        dated = dated.coalesce(1)
+    return dated.sortWithinPartitions(*order).drop("source_row")
+
+
+def partitions_for(spark: SparkSession, lake: str, ds: str | date | None = None) -> int:
+    """One per ``BYTES_PER_PARTITION`` of the lake's files, of a day or of all days."""
+    folder = f"{dataset(lake)}/upload_date={as_day(ds)}/" if ds else f"{dataset(lake)}/"
+    return max(1, math.ceil(object_totals(spark, folder)[1] / BYTES_PER_PARTITION))
 
 
 def load_day(
@@ -36,9 +77,14 @@ def load_day(
     event_time: str = "start_time",
     cluster_by: tuple[str, ...] = ("user_id",),
     path: str | None = None,
+    partitions: int | None = None,
 ) -> None:
-    """Appends one upload day of the lake to ``table``, created if absent. Loading a day twice doubles its rows."""
-    append(clustered(read_events(spark, lake, schema, ds), event_time, cluster_by), table, path)
+    """Appends one upload day of the lake to ``table``, created if absent. Loading a day twice doubles its rows.
+
+    ``partitions`` is the number of tasks that sort and write, by default what the size of the day asks for.
+    """
+    rows = read_events(spark, lake, schema, ds)
+    append(clustered(rows, event_time, cluster_by, partitions or partitions_for(spark, lake, ds)), table, path)
 
 
 def load_lake(
@@ -49,9 +95,11 @@ def load_lake(
     event_time: str = "start_time",
     cluster_by: tuple[str, ...] = ("user_id",),
     path: str | None = None,
+    partitions: int | None = None,
 ) -> None:
-    """Appends all days of the lake in one job, for a first load."""
-    append(clustered(read_events(spark, lake, schema), event_time, cluster_by), table, path)
+    """Appends all days of the lake in one job, for a first load; ``partitions`` goes by the size of the whole lake."""
+    rows = read_events(spark, lake, schema)
+    append(clustered(rows, event_time, cluster_by, partitions or partitions_for(spark, lake)), table, path)
 
 
 def append(rows: DataFrame, table: str, path: str | None) -> None:

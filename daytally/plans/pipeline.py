@@ -67,7 +67,8 @@ def backfill(
 ) -> DataFrame | None:
     """The daily rows and the last snapshot that ``run_days`` gives, from one aggregate over all the days.
 
-    Holds because the metrics merge and each row belongs to one upload day. Intermediate snapshots are not written.
+    Holds because the metrics merge and each row belongs to one upload day. Intermediate snapshots are not written, and
+    those of earlier runs are dropped; a later run of a day in between starts from the daily rows.
     """
     run_over = days(start, end)
     if landing_root:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 from datetime import date, datetime
 from itertools import accumulate
@@ -11,9 +12,12 @@ from pyspark.sql import functions as F
 
 from daytally.functions.metrics import DEFAULT_METRICS, Metric, names
 from daytally.functions.rules import USER_ID_LENGTH, daily_rules
-from daytally.operators.cumulative import cumulative_columns, upsert
+from daytally.operators.cumulative import cumulative_columns, merge_staging, upsert
 from daytally.operators.quality import tag_rows
-from daytally.operators.serial import POSITION, assign_ids, with_positions
+from daytally.operators.serial import POSITION, assign_ids, partition_sizes, with_positions
+
+
+LAYOUT = "USING parquet OPTIONS (partitionOverwriteMode 'dynamic')"
 
 
 def recreate_staging(rows: DataFrame, table: str, path: str) -> DataFrame:
@@ -29,7 +33,8 @@ class CalcTables:
     """The daily table, the cumulative table and their helpers, in one database.
 
     ``user_final_calc`` keeps one snapshot per run day, bucketed by user, so that an upsert need not move the old
-    rows. Choose ``buckets`` so that a bucket of a snapshot is a few hundred MB.
+    rows. Choose ``buckets`` so that a bucket of a snapshot is a few hundred MB; ``rebucket`` changes it later. Runs on the
+    same tables must not overlap: they share the staging table and the id sequence.
     """
 
     spark: SparkSession
@@ -54,31 +59,55 @@ class CalcTables:
     def daily_temp(self) -> str:
         return f"{self.database}.user_daily_calc_temp"
 
-    @property
-    def daily_columns(self) -> list[str]:
-        return ["id", "user_id", "event_date", *names(self.metrics), "update_time", "upload_date"]
-
     def create(self) -> CalcTables:
-        """Creates what is missing. Overwrites replace only the partitions they write to."""
-        figures = ", ".join(f"{m.name} {m.sql_type}" for m in self.metrics)
-        user_id = f"user_id VARCHAR({USER_ID_LENGTH})"
-        stamp = "update_time TIMESTAMP_NTZ DEFAULT LOCALTIMESTAMP()"
-        layout = "USING parquet OPTIONS (partitionOverwriteMode 'dynamic')"
+        """Creates what is missing. Overwrites replace only the partitions they write to.
+
+        Tables that exist must have the columns that these metrics give, by name, order and type.
+        """
+        final, daily = self._final_columns(), self._daily_columns()
         for statement in (
             f"CREATE DATABASE IF NOT EXISTS {self.database} LOCATION '{self.location}'",
-            f"""CREATE TABLE IF NOT EXISTS {self.final} ({user_id}, {figures}, {stamp}, as_of DATE)
-                {layout} PARTITIONED BY (as_of) CLUSTERED BY (user_id) INTO {self.buckets} BUCKETS""",
-            f"""CREATE TABLE IF NOT EXISTS {self.daily}
-                (id BIGINT, {user_id}, event_date DATE, {figures}, {stamp}, upload_date DATE)
-                {layout} PARTITIONED BY (upload_date)""",
+            self._create_final(self.final, self.buckets),
+            f"""CREATE TABLE IF NOT EXISTS {self.daily} ({self._ddl(daily)})
+                {LAYOUT} PARTITIONED BY (upload_date)""",
             f"CREATE TABLE IF NOT EXISTS {self.id_sequence} (max_id BIGINT, upload_date DATE) USING parquet",
         ):
             self.spark.sql(statement)
-        for table in (self.final, self.daily):
+        for table, wanted in ((self.final, final), (self.daily, daily)):
             if "partitionOverwriteMode=dynamic" not in (self._described(table, "Storage Properties") or ""):
                 raise ValueError(f"{table} lacks the option partitionOverwriteMode=dynamic: a run would wipe other days")
+            stored = self._stored_columns(table)
+            if stored != wanted:
+                raise ValueError(f"{table} has other columns than these metrics give: {stored}, not {wanted}")
         return self
 
+    def _final_columns(self) -> list[tuple[str, str]]:
+        figures = [(m.name, m.sql_type) for m in self.metrics]
+        return [("user_id", f"varchar({USER_ID_LENGTH})"), *figures, ("update_time", "timestamp_ntz"), ("as_of", "date")]
+
+    def _daily_columns(self) -> list[tuple[str, str]]:
+        keys = [("id", "bigint"), ("user_id", f"varchar({USER_ID_LENGTH})"), ("event_date", "date")]
+        figures = [(m.name, m.sql_type) for m in self.metrics]
+        return [*keys, *figures, ("update_time", "timestamp_ntz"), ("upload_date", "date")]
+
+    @staticmethod
+    def _ddl(columns: list[tuple[str, str]]) -> str:
+        default = {"update_time": " DEFAULT LOCALTIMESTAMP()"}
+        return ", ".join(f"{name} {kind}{default.get(name, '')}" for name, kind in columns)
+
+    def _create_final(self, table: str, buckets: int) -> str:
+        return f"""CREATE TABLE IF NOT EXISTS {table} ({self._ddl(self._final_columns())})
+            {LAYOUT} PARTITIONED BY (as_of) CLUSTERED BY (user_id) INTO {buckets} BUCKETS"""
+
+    def _stored_columns(self, table: str) -> list[tuple[str, str]]:
+        described = [(r["col_name"], r["data_type"].lower()) for r in self.spark.sql(f"DESCRIBE {table}").collect()]
+        end = next((i for i, (name, _) in enumerate(described) if not name or name.startswith("#")), len(described))
+        return described[:end]
+
+    def _insert(self, rows: DataFrame, table: str, overwrite: bool) -> None:
+        """Inserts go by position; so the columns are brought into the table's own order first."""
+        rows.select(*self.spark.table(table).columns).write.insertInto(table, overwrite=overwrite)
+
     def _described(self, table: str, name: str) -> str | None:
         found = self.spark.sql(f"DESCRIBE FORMATTED {table}").where(F.col("col_name") == name).first()
         return found and found["data_type"]
@@ -115,8 +144,14 @@ class CalcTables:
         only grows, before the rows are written: a run that dies between the two leaves a gap and no duplicate id.
         """
         good = staged.where(~F.col("rejected")).drop("rejected", "broken_rule")
-        counts = good.groupBy("upload_date").agg(F.count(F.lit(1)).alias("n")).collect()
-        per_day = sorted((row["upload_date"], row["n"]) for row in counts)
+        # One pass gives the rows per day and those per partition of the write. It has a row for each partition, and
+        # one more for each day that begins inside one.
+        counts = partition_sizes(good, "upload_date").collect()
+        by_day, by_part = Counter(), Counter()
+        for row in counts:
+            by_day[row["upload_date"]] += row["n"]
+            by_part[row["part"]] += row["n"]
+        per_day = sorted(by_day.items())
         taken = self.spark.table(self.id_sequence)
         if replace:
             taken = taken.where(~F.col("upload_date").isin(run_over))
@@ -125,8 +160,8 @@ class CalcTables:
             last_ids = list(accumulate((n for _, n in per_day), initial=start_after))[1:]
             values = ", ".join(f"({last}, DATE '{day}')" for last, (day, _) in zip(last_ids, per_day))
             self.spark.sql(f"INSERT INTO {self.id_sequence} VALUES {values}")
-            rows = assign_ids(good, start_after).select(*self.daily_columns)
-            rows.write.insertInto(self.daily, overwrite=replace)
+            sizes = self.spark.createDataFrame(sorted(by_part.items()), "part long, n long")
+            self._insert(assign_ids(good, start_after, sizes=sizes), self.daily, replace)
         if replace:
             emptied = set(run_over).intersection(self.partition_days(self.daily))
             for day in emptied.difference(day for day, _ in per_day):
@@ -144,10 +179,29 @@ class CalcTables:
         return int(self._described(self.final, "Num Buckets"))
 
     def drop_snapshots_before(self, day: date) -> None:
-        """Drops old snapshots. No rerun can start from a day before the first one kept."""
+        """Drops old snapshots. A rerun of a day before the first one kept adds up all daily rows before it."""
         for run in self.partition_days(self.final):
             if run < day:
-                self.spark.sql(f"ALTER TABLE {self.final} DROP IF EXISTS PARTITION (as_of = DATE '{run}')")
+                self._drop_snapshot(run)
+
+    def _drop_snapshot(self, run: date) -> None:
+        self.spark.sql(f"ALTER TABLE {self.final} DROP IF EXISTS PARTITION (as_of = DATE '{run}')")
+
+    def rebucket(self, buckets: int) -> None:
+        """Moves the latest snapshot to a table with another number of buckets, which takes the place of the old one.
+
+        The old table, with the earlier snapshots, stays as ``user_final_calc_before``; drop it when it is not needed.
+        """
+        latest = max(self.partition_days(self.final), default=None)
+        made, before = f"{self.final}_rebucketed", f"{self.final}_before"
+        for table in (made, before):
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        self.spark.sql(self._create_final(made, buckets))
+        if latest is not None:
+            moved = self.snapshot(latest).repartition(buckets, "user_id").withColumn("as_of", F.lit(latest))
+            self._insert(moved, made, True)
+        self.spark.sql(f"ALTER TABLE {self.final} RENAME TO {before}")
+        self.spark.sql(f"ALTER TABLE {made} RENAME TO {self.final}")
 
     def snapshot_before(self, day: date) -> date | None:
         return max((run for run in self.partition_days(self.final) if run < day), default=None)
@@ -162,16 +216,28 @@ class CalcTables:
         return self.snapshot(max(self.partition_days(self.final), default=None))
 
     def upsert(self, staged: DataFrame, start: date, as_of: date, run_ts: datetime) -> DataFrame:
-        """Merges the staged good rows into the latest snapshot before ``start``, as the snapshot ``as_of``.
+        """Merges the staged good rows into the users before ``start``, as the snapshot ``as_of``.
 
-        The snapshot read is never the one written, so a rerun starts from the same rows. Snapshots after ``as_of`` are
-        stale after a rerun, until their days run again.
+        The users before are the latest snapshot before ``start`` and the daily rows since, if days have run that have
+        no snapshot. The snapshot read is never the one written, so a rerun starts from the same rows.
+
+        Snapshots from ``start`` on are stale now and dropped, but for the one written. So ``latest`` is the run just
+        done, and a later day that runs again starts from the corrected daily rows.
         """
         today = staged.where(~F.col("rejected"))
+        buckets = self.stored_buckets()
+        for run in self.partition_days(self.final):
+            if run >= start and run != as_of:
+                self._drop_snapshot(run)
         earlier = self.snapshot_before(start)
-        merged = upsert(self.snapshot(earlier), today, run_ts, self.metrics, self.stored_buckets())
-        merged.withColumn("as_of", F.lit(as_of)).write.insertInto(self.final, overwrite=True)
-        if earlier is None and today.isEmpty():
+        known = self.snapshot(earlier)
+        since = [d for d in self.partition_days(self.daily) if d < start and (earlier is None or d > earlier)]
+        if since:
+            rows = self.spark.table(self.daily).where(F.col("upload_date").isin(since))
+            known = merge_staging(known, rows, self.metrics, buckets=buckets)
+        merged = upsert(known, today, run_ts, self.metrics, buckets)
+        self._insert(merged.withColumn("as_of", F.lit(as_of)), self.final, True)
+        if earlier is None and not since and today.isEmpty():
             self.clear_day(self.final, "as_of", as_of)
         return self.snapshot(as_of)
 

@@ -6,6 +6,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from daytally.functions.dates import days
+from daytally.functions.metrics import EventCount, Latest
 from daytally.operators.cumulative import upsert
 from daytally.operators.daily import daily_calc
 from daytally.plans.pipeline import backfill, run_day, run_days
@@ -225,3 +226,64 @@ def test_one_day_reads_one_snapshot(spark, tables):
     assert f"as_of={D2}" in plan_of(snapshot) and f"as_of={D1}" not in plan_of(snapshot)
     assert tables.snapshot_before(D1) is None
     assert tables.snapshot_before(date(2030, 1, 1)) == D3
+
+
+# Runs of earlier days
+
+
+def without(feed, day, late):
+    """The feed as it was before some uploads of a day came in."""
+    return feed.where(~((F.to_date("upload_time") == F.lit(day)) & late))
+
+
+def test_a_run_after_a_backfill_starts_from_the_corrected_days(spark, tables, other):
+    feed, late = uploads(spark, SF), F.col("event_id") % 2 == 0
+    run_days(tables, without(feed, D1, late), D1, D3)
+    backfill(tables, feed, D1, D3)
+    assert tables.partition_days(tables.final) == [D2]
+    again = run_day(tables, feed, D2)
+    assert rows(again) == rows(run_days(other, feed, D1, D3)) == rows(tables.latest())
+
+
+def test_a_rerun_of_an_old_day_leaves_no_later_snapshot(spark, tables, other):
+    feed, late = uploads(spark, SF), F.col("event_id") % 2 == 0
+    run_days(tables, without(feed, D1, late), D1, D4)
+    corrected = run_day(tables, feed, D1)
+    assert tables.partition_days(tables.final) == [D1]
+    assert rows(tables.latest()) == rows(corrected) == rows(run_day(other, feed, D1))
+    run_days(other, feed, D2, D4)
+    assert rows(run_day(tables, feed, D3)) == rows(other.latest())
+
+
+def test_rebucketing_moves_the_latest_snapshot(spark, tables):
+    feed = uploads(spark, SF)
+    run_days(tables, feed, D1, D3)
+    before = rows(tables.latest())
+    tables.rebucket(7)
+    assert tables.create().stored_buckets() == 7 and rows(tables.latest()) == before
+    assert tables.partition_days(tables.final) == [D2]
+    after = rows(run_day(tables, feed, D3))
+    assert len(after) >= len(before)
+    tables.rebucket(3)
+    assert tables.stored_buckets() == 3 and rows(tables.latest()) == after
+
+
+def test_rebucketing_an_empty_table(spark, tables):
+    tables.rebucket(5)
+    assert tables.stored_buckets() == 5 and tables.latest().isEmpty()
+
+
+@pytest.mark.parametrize("metrics", [(Latest(), EventCount()), (EventCount(),), (EventCount(), Latest("last", "start_time"))])
+def test_other_columns_are_refused(spark, tables, metrics):
+    spark.sql(f"CREATE DATABASE {tables.database}_m LOCATION '{tables.location}-m'")
+    CalcTables(spark, f"{tables.database}_m", f"{tables.location}-m", 4, (EventCount(), Latest())).create()
+    with pytest.raises(ValueError, match="other columns"):
+        CalcTables(spark, f"{tables.database}_m", f"{tables.location}-m", 4, metrics).create()
+
+
+def test_the_staged_rows_are_counted_once(spark, tables):
+    """The day counts and the id offsets come from one aggregate."""
+    staged = tables.stage_daily(daily_calc(uploads(spark, SF), D1))
+    tables.append_daily(staged, [D1])
+    ids = sorted(r["id"] for r in spark.table(tables.daily).select("id").collect())
+    assert ids == list(range(1, len(ids) + 1))
