@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, timedelta
 
-from daytally.functions.dates import days, next_day, run_time
-from daytally.workload.queries import END, FIFTH_DAY, FIRST_DAY, LATE_DAY, SECOND_DAY
+from daytally.workload.queries import END, FIFTH_DAY, LATE_DAY, SECOND_DAY
 
 METRICS = """COUNT(*) AS event_count,
        CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value,
@@ -22,8 +21,16 @@ DIRTY_ID = """CASE WHEN event_id % 101 = 0 THEN NULL
 GOOD_ID = "user_id IS NOT NULL AND length(user_id) <= 20"
 
 
-def _ts(moment: datetime | date) -> str:
-    return f"TIMESTAMP '{moment:%Y-%m-%d %H:%M:%S}'"
+DAY = timedelta(days=1)
+
+
+def _ts(day: date) -> str:
+    return f"TIMESTAMP '{day} 00:00:00'"
+
+
+def _run(day: date) -> str:
+    """The time that the run of a day stamps."""
+    return f"TIMESTAMP '{day} 17:36:00'"
 
 
 def _uploads(dirty: bool = False) -> str:
@@ -40,9 +47,9 @@ def _daily(ds: date, end_operator: str = "<", where: str = "TRUE") -> str:
 SELECT user_id, CAST(start_time AS DATE) AS event_date,
        {METRICS},
        CAST(upload_time AS DATE) AS upload_date,
-       {_ts(run_time(ds))} AS update_time
+       {_run(ds)} AS update_time
 FROM uploads
-WHERE upload_time >= {_ts(ds)} AND upload_time {end_operator} {_ts(next_day(ds))} AND {where}
+WHERE upload_time >= {_ts(ds)} AND upload_time {end_operator} {_ts(ds + DAY)} AND {where}
 GROUP BY user_id, CAST(start_time AS DATE), CAST(upload_time AS DATE))"""
 
 
@@ -50,7 +57,7 @@ def _previous(ds: date) -> str:
     return f"""final_prev AS (
 SELECT user_id,
        {METRICS},
-       {_ts(run_time(days(FIRST_DAY, ds)[-1]))} AS update_time
+       {_run(ds - DAY)} AS update_time
 FROM uploads
 WHERE {GOOD_ID} AND upload_time < {_ts(ds)}
 GROUP BY user_id)"""
@@ -86,7 +93,7 @@ GROUP BY user_id""",
 def _update_from(ds: date) -> str:
     return _cumulative(
         ds,
-        f"""SELECT user_id, a.event_count, a.total_value, a.last_seen, {_ts(run_time(ds))} AS update_time
+        f"""SELECT user_id, a.event_count, a.total_value, a.last_seen, {_run(ds)} AS update_time
 FROM final_prev f JOIN final_tmp a USING (user_id)""",
     )
 
@@ -95,7 +102,7 @@ def _upsert(ds: date, dirty: bool = False) -> str:
     return _cumulative(
         ds,
         f"""SELECT a.user_id, a.event_count, a.total_value, a.last_seen,
-       CASE WHEN f.user_id IS NULL THEN a.update_time ELSE {_ts(run_time(ds))} END AS update_time
+       CASE WHEN f.user_id IS NULL THEN a.update_time ELSE {_run(ds)} END AS update_time
 FROM final_tmp a LEFT JOIN final_prev f ON a.user_id = f.user_id""",
         dirty,
     )
@@ -112,7 +119,7 @@ def _closed_form(end: date, where: str = "TRUE") -> str:
     return f"""{_with(_uploads())}
 SELECT user_id,
        {METRICS},
-       {_ts(run_time(days(FIRST_DAY, end)[-1]))} AS update_time
+       {_run(end - DAY)} AS update_time
 FROM uploads WHERE upload_time < {_ts(end)} AND {where} GROUP BY user_id"""
 
 
@@ -152,6 +159,21 @@ lines AS (SELECT CAST(upload_time AS DATE) AS log_date,
        || '","upload_time":"' || strftime(upload_time, '%Y-%m-%dT%H:%M:%S.%f')
        || '","event_type":"' || event_type || '","value":' || value || '}}' AS line FROM uploads)"""
 
+# A stray folder repeats the lines of 5 January under names that are no date; no job takes it.
+INGEST_SIZED = f"""{LINES}
+SELECT log_date, CAST(SUM(strlen(line) + 1) AS BIGINT) AS total_bytes,
+       CASE WHEN SUM(strlen(line) + 1) > 100000 THEN 4 ELSE 2 END AS writers, TRUE AS within
+FROM lines GROUP BY log_date"""
+
+# Each of the four runs takes its day and the midnight after it.
+INCLUSIVE_DAILY = f"""{_with(_uploads())},
+runs AS (SELECT CAST(d AS TIMESTAMP) AS d FROM generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-04', INTERVAL 1 DAY) t(d))
+SELECT user_id, CAST(start_time AS DATE) AS event_date,
+       {METRICS},
+       CAST(upload_time AS DATE) AS upload_date, d + INTERVAL '17 hours 36 minutes' AS update_time
+FROM uploads JOIN runs ON upload_time >= d AND upload_time <= d + INTERVAL 1 DAY
+GROUP BY user_id, CAST(start_time AS DATE), CAST(upload_time AS DATE), d"""
+
 ORACLES: dict[str, str] = {
     "daily_calc": f"{_with(_uploads(), _daily(FIFTH_DAY))}\nSELECT * FROM daily_tmp",
     "daily_calc_inclusive": f"{_with(_uploads(), _daily(FIFTH_DAY, '<='))}\nSELECT * FROM daily_tmp",
@@ -172,7 +194,10 @@ ORACLES: dict[str, str] = {
     "upsert_final_dirty": _upsert(SECOND_DAY, dirty=True),
     "upsert_final_late": _upsert(LATE_DAY),
     "upsert_bucketed": _upsert(LATE_DAY, dirty=True),
-    "run_days": _closed_form(date(2024, 1, 4)),
+    "run_days": _closed_form(END),
+    "run_days_gated": _closed_form(END),
+    "run_days_inclusive": INCLUSIVE_DAILY,
+    "rerun_after_backfill": _closed_form(FIFTH_DAY),
     "backfill_closed_form": _closed_form(END),
     "constraint_violations": VIOLATIONS,
     "duplicate_keys": f"""{_with(_uploads())}
@@ -182,6 +207,8 @@ SELECT user_id, COUNT(*) AS n_rows FROM uploads GROUP BY user_id HAVING COUNT(*)
     "ingest_rejects": f"""{_with(_uploads())}
 SELECT 'garbage ' || event_id AS line, CAST(upload_time AS DATE) AS upload_date
 FROM uploads WHERE event_id % 50 = 0""",
+    "ingest_days": ALL_UPLOADS,
+    "ingest_sized": INGEST_SIZED,
     "lake_partition_read": f"{SECOND_DAY_UPLOADS}\nSELECT * FROM day_rows",
     "daily_calc_lake": f"{_with(_uploads(), _daily(FIFTH_DAY))}\nSELECT * FROM daily_tmp",
     "logs_to_final": _closed_form(END, "event_id % 50 <> 0"),
@@ -199,4 +226,5 @@ FROM generate_series(TIMESTAMP '2023-12-30', TIMESTAMP '2024-02-04', INTERVAL 1
 SELECT CAST(SUM(strlen(line) + 1) AS BIGINT) AS total_bytes,
        CASE WHEN SUM(strlen(line) + 1) > 10000000 THEN 4 ELSE 2 END AS writers FROM lines""",
     "stream_ingest": ALL_UPLOADS,
+    "stream_ingest_late": ALL_UPLOADS,
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,20 +24,20 @@ from daytally.operators.cumulative import (
 )
 from daytally.operators.daily import daily_calc
 from daytally.operators.quality import constraint_violations, duplicate_keys, split_rows
-from daytally.plans.ingest import ingest_logs
+from daytally.plans.ingest import ingest_day, ingest_logs
 from daytally.plans.load import load_day, load_lake
-from daytally.plans.pipeline import backfill, run_day
+from daytally.plans.pipeline import backfill, run_day, run_days
 from daytally.plans.tables import CalcTables, recreate_staging
 from daytally.session import configure, run_dir
 from daytally.sources.lake import read_events, read_rejects
 from daytally.sources.landing import (
-    input_size_profile,
+    SizeRule,
     landing_inventory,
     landing_status,
-    list_objects,
+    size_profile,
 )
 from daytally.streaming.ingest import stream_ingest
-from daytally.workload.views import UPLOAD_SCHEMA, log_tree, uploads
+from daytally.workload.views import UPLOAD_SCHEMA, log_lines, log_tree, uploads, write_log_tree
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,7 +47,10 @@ SECOND_DAY = date(2024, 1, 2)
 FIFTH_DAY = date(2024, 1, 5)
 LATE_DAY = date(2024, 1, 29)
 
-PARSER = json_lines(UPLOAD_SCHEMA)
+PARSER = json_lines(UPLOAD_SCHEMA, required=("upload_time",))
+
+# So that some days of the smaller tables are above it and some are not.
+SMALL_RULE = SizeRule(threshold=100_000)
 
 
 def for_output(rows: DataFrame) -> DataFrame:
@@ -160,14 +163,42 @@ def q_upsert_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return for_output(run_day(tables, events, LATE_DAY))
 
 
-def q_run_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_run_days(spark: SparkSession, sf_dir: str, end: date = END) -> DataFrame:
+    """Day by day over all upload days; the last snapshot."""
     tables = new_tables(spark, "run")
-    rows = None
-    for ds in days(FIRST_DAY, date(2024, 1, 4)):
-        rows = run_day(tables, uploads(spark, sf_dir, ds, next_day(ds)), ds)
+    return for_output(run_days(tables, stored(uploads(spark, sf_dir), "uploads"), FIRST_DAY, end))
+
+
+def q_run_days_gated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Over a range that is wider than what has landed, each day from its own folder of the lake."""
+    tables, lake = new_tables(spark, "gated"), shared_lake(spark, sf_dir)
+    root, rows = log_tree(spark, sf_dir), None
+    for ds in days(date(2023, 12, 30), date(2024, 2, 4)):
+        done = run_day(tables, read_events(spark, lake, UPLOAD_SCHEMA, ds), ds, landing_root=root)
+        rows = rows if done is None else done
     return for_output(rows)
 
 
+def q_run_days_inclusive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Appending runs that also take the next midnight, as the reference's BETWEEN does; the daily table."""
+    tables = new_tables(spark, "inclusive")
+    events = stored(uploads(spark, sf_dir), "uploads")
+    for ds in days(FIRST_DAY, FIFTH_DAY):
+        run_day(tables, events, ds, replace=False, inclusive_end=True)
+    return for_output(spark.table(tables.daily).drop("id"))
+
+
+def q_rerun_after_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four days run while the second lacks some uploads; a backfill corrects the first three; the fourth runs again."""
+    tables, events = new_tables(spark, "rerun"), stored(uploads(spark, sf_dir), "uploads")
+    fourth = days(FIRST_DAY, FIFTH_DAY)[-1]
+    late = (F.to_date("upload_time") == F.lit(SECOND_DAY)) & (F.col("event_id") % 3 == 0)
+    run_days(tables, events.where(~late), FIRST_DAY, FIFTH_DAY)
+    backfill(tables, events, FIRST_DAY, fourth)
+    run_day(tables, events, fourth)
+    return for_output(tables.latest())
+
+
 def q_backfill_closed_form(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = new_tables(spark, "closed")
     return for_output(backfill(tables, uploads(spark, sf_dir), FIRST_DAY, END))
@@ -217,6 +248,34 @@ def q_ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_rejects(spark, new_lake(spark, sf_dir, garbage=True))
 
 
+def ingested_by_day(spark: SparkSession, sf_dir: str, rule: SizeRule | None = None) -> tuple[str, str]:
+    """A lake filled day by day, one day done again, from a tree that also has folders which are no dates."""
+    configure(spark)
+    root, lake = run_dir(spark, "landing"), run_dir(spark, "lake")
+    lines = log_lines(spark, sf_dir)
+    stray = lines.where("folder = '20240105'").withColumn("folder", F.explode(F.array(F.lit("20240105x"), F.lit("20241399"))))
+    write_log_tree(lines.unionByName(stray), root)
+    for ds in [*days(FIRST_DAY, END), FIFTH_DAY]:
+        ingest_day(spark, root, lake, ds, PARSER, rule)
+    return root, lake
+
+
+def q_ingest_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, lake = ingested_by_day(spark, sf_dir)
+    return read_events(spark, lake, UPLOAD_SCHEMA)
+
+
+def q_ingest_sized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of each day, the number the rule picks, and whether no more files than that were written."""
+    root, lake = ingested_by_day(spark, sf_dir, SMALL_RULE)
+    written = read_events(spark, lake, UPLOAD_SCHEMA).select("upload_date", F.input_file_name().alias("file"))
+    files = written.groupBy("upload_date").agg(F.countDistinct("file").alias("n_files"))
+    sizes = landing_inventory(spark, root).withColumn("writers", SMALL_RULE.column(F.col("total_bytes")))
+    return sizes.join(files, F.col("log_date") == F.col("upload_date")).select(
+        "log_date", "total_bytes", "writers", (F.col("n_files") <= F.col("writers")).alias("within")
+    )
+
+
 def q_lake_partition_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_events(spark, shared_lake(spark, sf_dir), UPLOAD_SCHEMA, SECOND_DAY)
 
@@ -261,7 +320,7 @@ def q_landing_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_input_size_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return input_size_profile(list_objects(spark, f"{log_tree(spark, sf_dir)}/"))
+    return size_profile(spark, f"{log_tree(spark, sf_dir)}/").select("total_bytes", "writers")
 
 
 def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -273,9 +332,22 @@ def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(lake).where(F.col("kind") == "good").drop("kind", "line")
 
 
+def q_stream_ingest_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second run finds logs that came late, as copies with modification times of long ago."""
+    configure(spark)
+    root, lake, checkpoint = run_dir(spark, "landing"), run_dir(spark, "stream"), run_dir(spark, "stream-checkpoint")
+    lines = log_lines(spark, sf_dir)
+    early = F.col("folder") % 2 == 0
+    write_log_tree(lines.where(early), root)
+    stream_ingest(spark, root, lake, checkpoint, PARSER)
+    write_log_tree(lines.where(~early), root, age=timedelta(days=30))
+    stream_ingest(spark, root, lake, checkpoint, PARSER)
+    return spark.read.parquet(lake).where(F.col("kind") == "good").drop("kind", "line")
+
+
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily run over the first three days; the last snapshot."""
-    return q_run_days(spark, sf_dir)
+    return q_run_days(spark, sf_dir, date(2024, 1, 4))
 
 
 QUERIES: dict[str, Query] = {
@@ -299,12 +371,17 @@ QUERIES: dict[str, Query] = {
     "upsert_final_late": partial(q_upsert_final, ds=LATE_DAY),
     "upsert_bucketed": q_upsert_bucketed,
     "run_days": q_run_days,
+    "run_days_gated": q_run_days_gated,
+    "run_days_inclusive": q_run_days_inclusive,
+    "rerun_after_backfill": q_rerun_after_backfill,
     "backfill_closed_form": q_backfill_closed_form,
     "constraint_violations": q_constraint_violations,
     "duplicate_keys": q_duplicate_keys,
     "ingest_logs": q_ingest_logs,
     "ingest_good": q_ingest_good,
     "ingest_rejects": q_ingest_rejects,
+    "ingest_days": q_ingest_days,
+    "ingest_sized": q_ingest_sized,
     "lake_partition_read": q_lake_partition_read,
     "daily_calc_lake": q_daily_calc_lake,
     "logs_to_final": q_logs_to_final,
@@ -315,4 +392,5 @@ QUERIES: dict[str, Query] = {
     "landing_gate": q_landing_gate,
     "input_size_profile": q_input_size_profile,
     "stream_ingest": q_stream_ingest,
+    "stream_ingest_late": q_stream_ingest_late,
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -88,26 +89,31 @@ def log_tree(spark: SparkSession, sf_dir: str, garbage: bool = False) -> str:
     return _trees[key]
 
 
-def write_log_tree(lines: DataFrame, root: str) -> None:
-    """Writes ``line`` into ``.log`` files, below folders named by ``folder``.
+def write_log_tree(lines: DataFrame, root: str, age: timedelta | None = None) -> None:
+    """Writes ``line`` into ``.log`` files, below folders named by ``folder``; with ``age`` as if so long ago.
 
     The text writer cannot name its files ``.log``; the CSV writer can, and with one column and neither separator nor
     quote in the text it writes the lines as they are. The ``folder=`` that the writer puts before each folder's name
     is taken off afterwards.
     """
     spark = lines.sparkSession
-    tree = f"{root}/{LOG_FOLDER}"
+    tree, staged = f"{root}/{LOG_FOLDER}", f"{root}-{uuid.uuid4().hex}"
     (
         lines.write.partitionBy("folder")
         .options(extension="log", sep="\u0001", quote="\u0000", escape="\u0000", compression="none")
-        .csv(tree)
+        .csv(staged)
     )
     jvm = spark.sparkContext._jvm
     base = jvm.org.apache.hadoop.fs.Path(tree)
     files = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for status in files.listStatus(base):
+    files.mkdirs(base)
+    for status in files.listStatus(jvm.org.apache.hadoop.fs.Path(staged)):
         name = status.getPath().getName()
         if name.startswith("folder="):
+            if age:
+                then = int((datetime.now() - age).timestamp() * 1000)
+                for log in files.listStatus(status.getPath()):
+                    files.setTimes(log.getPath(), then, -1)
             target = jvm.org.apache.hadoop.fs.Path(base, name.removeprefix("folder="))
             if not files.rename(status.getPath(), target):
                 raise RuntimeError(f"could not rename {name} below {tree}")
