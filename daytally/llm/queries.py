@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from daytally.llm import (
     bpe,
+    chat,
     decontaminate,
     html_text,
     katz,
@@ -58,6 +59,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.repair(table(spark, sf_dir, "conversations"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -74,6 +79,7 @@ QUERIES: dict[str, Query] = {
     "op5_toxicity": op5_toxicity,
     "op6_html_text": op6_html_text,
     "op7_quality": op7_quality,
+    "op8_chat": op8_chat,
     "op9_bpe": op9_bpe,
     "op10_decontamination": op10_decontamination,
 }
