@@ -17,18 +17,24 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_VOCABULARY_BYTES = 64 << 20
 ROWS_AT_ONCE = 512
-CACHED_PIECES = 200_000
+CACHED_PIECES, CACHED_CHUNKS = 300_000, 100_000
+SHIFT, LOW = 24, (1 << 24) - 1
 # Code points that Unicode calls white space.
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# Neither letters nor digits, and not the beginning of a contraction.
+MARKS = ".,;:!?*&%$#|"
+# These split words in Python and are not white space in Unicode.
+SEPARATORS = "\x1c\x1d\x1e\x1f"
 
 
 def byte_characters() -> list[str]:
@@ -43,6 +49,70 @@ def byte_characters() -> list[str]:
     return out
 
 
+# What Unicode 16 and 17 added and the tokenizer library knows, as code points. A Python that is older does
+# not know them. Letters and numbers (ranges), and lower-case forms (first-last:first of the lower-case forms).
+NEW = {
+    "L": "1c89-1c8a a7cb-a7cd a7da-a7dc 105c0-105f3 10d4a-10d65 10d6f-10d85 10ec2-10ec4 11380-11389 1138b-1138b 1138e-1138e "
+    "11390-113b5 113b7-113b7 113d1-113d1 113d3-113d3 11bc0-11be0 13460-143fa 16100-1611d 16d40-16d6c 18cff-18cff "
+    "1e5d0-1e5ed 1e5f0-1e5f0",
+    "N": "10d40-10d49 116d0-116e3 11bf0-11bf9 16130-16139 16d70-16d79 1ccf0-1ccf9 1e5f1-1e5fa",
+}
+NEW_LOWER = (
+    "1c89-1c89:1c8a a7cb-a7cb:264 a7cc-a7cc:a7cd a7ce-a7ce:a7cf a7d2-a7d2:a7d3 a7d4-a7d4:a7d5 a7da-a7da:a7db "
+    "a7dc-a7dc:19b 10d50-10d65:10d70 16ea0-16eb8:16ebb"
+)
+
+
+def category_ranges(initial: str) -> str:
+    """The code points of a general category (L: letters, N: numbers), as ranges of a character class."""
+    ranges, first = [], None
+    for c in range(0x110001):
+        inside = c < 0x110000 and unicodedata.category(chr(c))[0] == initial
+        if inside and first is None:
+            first = c
+        elif not inside and first is not None:
+            ranges.append((first, c - 1))
+            first = None
+    ranges += [tuple(int(x, 16) for x in r.split("-")) for r in NEW[initial].split()]
+    return "".join(f"{chr(a)}-{chr(b)}" for a, b in ranges)
+
+
+def _lower_forms() -> dict[int, int]:
+    out = {}
+    for entry in NEW_LOWER.split():
+        first, last, low = (int(x, 16) for x in re.split("[-:]", entry))
+        out.update({c: low + c - first for c in range(first, last + 1)})
+    return out
+
+
+LOWER_FORMS = _lower_forms()
+_HAS_NEW = re.compile("[" + "".join(map(chr, LOWER_FORMS)) + "]").search
+
+
+def lower(text: str) -> str:
+    """Each character by itself: no special form of a sigma at the end of a word."""
+    text = text.replace("Σ", "σ").lower()
+    return text.translate(LOWER_FORMS) if not text.isascii() and _HAS_NEW(text) else text
+
+
+class Recent(dict):
+    """Results of a function: when full, all but those used since the last time are forgotten."""
+
+    def __init__(self, function, size: int):
+        super().__init__()
+        self.function, self.size, self.older = function, size, {}
+
+    def __missing__(self, key):
+        if len(self) >= self.size:
+            self.older = dict(self)
+            self.clear()
+        found = self.older.get(key)
+        if found is None:
+            found = self.function(key)
+        self[key] = found
+        return found
+
+
 class WordBpe:
     """Encoder and decoder built from the text of a tokenizer file."""
 
@@ -51,70 +121,86 @@ class WordBpe:
         model = file["model"]
         self.vocab: dict[str, int] = model["vocab"]
         self.suffix: str = model["end_of_word_suffix"] or ""
+        # By left and right id: the rank above the id that the pair becomes.
         self.merges = {
-            (self.vocab[a], self.vocab[b]): (rank, self.vocab[a + b]) for rank, (a, b) in enumerate(model["merges"])
+            self.vocab[a] << SHIFT | self.vocab[b]: rank << SHIFT | self.vocab[a + b]
+            for rank, (a, b) in enumerate(model["merges"])
         }
         self.special = {t["content"]: t["id"] for t in file["added_tokens"]}
         self.strings = {i: s for s, i in self.vocab.items()} | {i: s for s, i in self.special.items()}
         split = file["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self.pieces = regex.compile(split.replace(r"\s", WHITE)).findall
-        self.spaces = regex.compile(f"[{WHITE}]+").sub
+        for name, members in (("\\s", WHITE), ("\\p{L}", category_ranges("L")), ("\\p{N}", category_ranges("N"))):
+            split = split.replace(name, members)
+        self.pieces = re.compile(split).findall
         self.cuts = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        self.characters = byte_characters()
-        self.cache: dict[str, tuple[int, ...]] = {}
+        letters = byte_characters()
+        self.inner = [self.vocab.get(c, -1) for c in letters]
+        self.final = [self.vocab.get(c + self.suffix, -1) for c in letters]
+        self.pieces_seen = Recent(self.merge, CACHED_PIECES)
+        self.chunks_seen = Recent(self.chunk, CACHED_CHUNKS)
+        # Whether the pattern cuts letters from marks in the usual way, which chunk() then does without it.
+        self.usual = self.pieces(f"ab{MARKS}") == ["ab", MARKS]
 
     def merge(self, piece: str) -> tuple[int, ...]:
-        letters = [self.characters[b] for b in piece.encode()]
-        letters[-1] += self.suffix
-        ids = [self.vocab[x] for x in letters if x in self.vocab]
-        n, merges = len(ids), self.merges
+        raw = piece.encode()
+        ids = [self.inner[b] for b in raw]
+        ids[-1] = self.final[raw[-1]]
+        if -1 in ids:  # the vocabulary has no such symbol, and the file names no substitute
+            ids = [x for x in ids if x >= 0]
+        n, pair = len(ids), self.merges.get
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         queue = []
         for i in range(n - 1):
-            if m := merges.get((ids[i], ids[i + 1])):
-                queue.append((m[0], i, m[1]))
+            if m := pair(ids[i] << SHIFT | ids[i + 1]):
+                queue.append(m >> SHIFT << SHIFT | i)
         heapify(queue)
         while queue:
-            rank, i, made = heappop(queue)
+            top = heappop(queue)
+            i = top & LOW
             j = after[i]
             if j >= n or ids[i] < 0:
                 continue
-            m = merges.get((ids[i], ids[j]))
-            if m is None or m[0] != rank:
+            m = pair(ids[i] << SHIFT | ids[j])
+            if not m or m >> SHIFT != top >> SHIFT:
                 continue  # stale: one of the two symbols has been merged since
-            ids[i], ids[j] = made, -1
+            made = ids[i] = m & LOW
+            ids[j] = -1
             k = after[i] = after[j]
             if k < n:
                 before[k] = i
-                if m := merges.get((made, ids[k])):
-                    heappush(queue, (m[0], i, m[1]))
+                if m := pair(made << SHIFT | ids[k]):
+                    heappush(queue, m >> SHIFT << SHIFT | i)
             h = before[i]
-            if h >= 0 and (m := merges.get((ids[h], made))):
-                heappush(queue, (m[0], h, m[1]))
-        return tuple(x for x in ids if x >= 0)
-
-    def piece_ids(self, piece: str) -> tuple[int, ...]:
-        if len(self.cache) >= CACHED_PIECES:
-            self.cache.clear()
-        ids = self.cache[piece] = self.merge(piece)
-        return ids
-
-    def _normalise(self, text: str) -> str:
-        text = self.spaces(" ", unicodedata.normalize("NFC", text))
-        # Each character by itself: no special form of a sigma at the end of a word.
-        return text.replace("Σ", "σ").lower()
+            if h >= 0 and (m := pair(ids[h] << SHIFT | made)):
+                heappush(queue, m >> SHIFT << SHIFT | h)
+        return tuple([x for x in ids if x >= 0])
+
+    def chunk(self, chunk: str) -> tuple[int, ...]:
+        """The ids of a stretch without white space."""
+        piece = self.pieces_seen
+        if self.usual and chunk.isalpha():  # letters only: one piece
+            return piece[chunk]
+        word = chunk.rstrip(MARKS)
+        if self.usual and word.isalpha():  # letters, then marks: two pieces
+            return piece[word] + piece[chunk[len(word) :]]
+        return tuple([x for p in self.pieces(chunk) for x in piece[p]])
 
     def encode(self, text: str | None) -> list[int]:
         out: list[int] = []
         if not text:
             return out
-        known, extend = self.cache.get, out.extend
+        seen, extend = self.chunks_seen, out.extend
         for part in self.cuts.split(text) if self.cuts else [text]:
             if part in self.special:
                 out.append(self.special[part])
                 continue
-            for piece in self.pieces(self._normalise(part)):
-                extend(known(piece) or self.piece_ids(piece))
+            # No piece has white space, so it need not be collapsed, and the stretches between can be looked up whole.
+            part = lower(unicodedata.normalize("NFC", part))
+            if any(c in part for c in SEPARATORS):
+                extend(self.chunk(part))
+                continue
+            for chunk in part.split():
+                extend(seen[chunk])
         return out
 
     def decode(self, ids: list[int] | None) -> str:
@@ -159,7 +245,9 @@ def encode(docs: DataFrame, tokenizer_path: str, text: str = "text", ids: str =
             for at in range(0, whole.num_rows, ROWS_AT_ONCE):
                 batch = whole.slice(at, ROWS_AT_ONCE)
                 found = [bpe.encode(t.as_py()) for t in batch.column(text)]
-                yield _with_column(batch, ids, pa.array(found, pa.list_(pa.int32())))
+                ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
+                flat = np.fromiter(chain.from_iterable(found), np.int32, ends[-1])
+                yield _with_column(batch, ids, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)))
 
     return docs.mapInArrow(run, _schema(docs, ids, T.ArrayType(T.IntegerType(), True)))
 
@@ -173,7 +261,12 @@ def decode(rows: DataFrame, tokenizer_path: str, ids: str = "ids", text: str = "
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS_AT_ONCE):
                 batch = whole.slice(at, ROWS_AT_ONCE)
-                found = [bpe.decode(x.as_py()) for x in batch.column(ids)]
+                lists = batch.column(ids)
+                flat = lists.flatten().to_numpy(zero_copy_only=False).tolist()
+                found, at = [], 0
+                for n in lists.value_lengths().fill_null(0).to_pylist():
+                    found.append(bpe.decode(flat[at : at + n]))
+                    at += n
                 yield _with_column(batch, text, pa.array(found, pa.string()))
 
     return rows.mapInArrow(run, _schema(rows, text, T.StringType()))
