@@ -83,6 +83,12 @@ def narrow(counts: np.ndarray) -> np.ndarray:
     return counts.astype(np.min_scalar_type(int(counts.max())) if counts.size else np.uint8)
 
 
+def listed(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers as a list of the distinct ones and the place of each in it; most sums are of one term, so few differ."""
+    distinct, place = np.unique(values, return_inverse=True)
+    return distinct, narrow(place)
+
+
 def mix(context: np.ndarray, word: np.ndarray) -> np.ndarray:
     """The key of an n-gram from those of its context and its last word."""
     x = (context * U(0x9E3779B97F4A7C15)) ^ (word + U(0x7F4A7C159E3779B9))
@@ -393,7 +399,7 @@ def _walk(tokens: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
             kept = np.bincount(where, model.levels[k - 1].discounted(c[k - 1][mine]), len(contexts))
             lower = np.bincount(where, probability(g, c, k - 1, grams.suffix[mine]), len(contexts))
             for bucket, part in dealt(g[k - 2].keys[contexts], buckets):
-                data = pack(deltas(g[k - 2].keys[contexts][part]), kept[part], lower[part])
+                data = pack(deltas(g[k - 2].keys[contexts][part]), *listed(kept[part]), *listed(lower[part]))
                 out.append(("sum", k, bucket, row["batch"], data))
         at, count = np.flatnonzero(todo), known[todo]
         with np.errstate(divide="ignore"):
@@ -423,8 +429,8 @@ def backoff_weights(walked: DataFrame) -> DataFrame:
                 continue
             sums = [unpack(d) for d in rows.loc[rows["kind"] == "sum", "data"]]
             keys, place = np.unique(np.concatenate([undelta(s[0]) for s in sums]), return_inverse=True)
-            kept = np.bincount(place, np.concatenate([s[1] for s in sums]), len(keys))
-            lower = np.bincount(place, np.concatenate([s[2] for s in sums]), len(keys))
+            kept = np.bincount(place, np.concatenate([s[1][s[2]] for s in sums]), len(keys))
+            lower = np.bincount(place, np.concatenate([s[3][s[4]] for s in sums]), len(keys))
             for batch, data in asked[["batch", "data"]].to_numpy():
                 steps, total = unpack(data)
                 at = np.searchsorted(keys, undelta(steps))
