@@ -3,38 +3,47 @@
 from __future__ import annotations
 
 import pickle
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-PARTS = 16
+PARTS = 8
+DIGITS = 9  # of scores
 SAMPLE_STEPS = 1_000_000
 
 
 def partition_sums(
-    rows: DataFrame, of_batch: Callable[[pa.RecordBatch], tuple[np.ndarray, ...]], by: str = "doc_id"
+    rows: DataFrame, of_batch: Callable[[pa.RecordBatch], tuple[np.ndarray, ...]]
 ) -> tuple[np.ndarray, ...] | None:
     """The sum, array by array, of what ``of_batch`` gives for each batch of rows; None if there is no row.
 
-    The rows are dealt to ``PARTS`` tasks, each of which sends one set of sums.
+    Each partition makes one set of sums; these are dealt to ``PARTS`` tasks, which send one set each to the driver.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: list[np.ndarray] | None = None
-        for batch in batches:
-            if batch.num_rows:
-                found = of_batch(batch)
-                total = list(found) if total is None else [a + b for a, b in zip(total, found)]
-        if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(total)], pa.binary())], names=["sums"])
-
-    parts = rows.repartition(PARTS, by).mapInArrow(run, "sums binary").collect()
-    if not parts:
-        return None
-    return tuple(map(sum, zip(*(pickle.loads(bytes(p["sums"])) for p in parts))))
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _one_row(of_batch(batch) for batch in batches if batch.num_rows)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _one_row(pickle.loads(row.as_py()) for batch in batches for row in batch.column(0))
+
+    parts = rows.mapInArrow(make, "sums binary").repartition(PARTS).mapInArrow(add, "sums binary").collect()
+    return _total(pickle.loads(bytes(p["sums"])) for p in parts)
+
+
+def _total(sums: Iterable[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...] | None:
+    total: list[np.ndarray] | None = None
+    for found in sums:
+        total = [np.array(a) for a in found] if total is None else [a + b for a, b in zip(total, found)]
+    return None if total is None else tuple(total)
+
+
+def _one_row(sums: Iterable[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+    total = _total(sums)
+    if total is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(total)], pa.binary())], names=["sums"])
 
 
 def bounded_sample(rows: DataFrame, key: str, most: int, seed: int = 7, count: int | None = None) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daytally.llm.common import remainder, text_or_empty
-from daytally.llm.fitting import SAMPLE_STEPS, partition_sums, ridge, with_constant
+from daytally.llm.fitting import DIGITS, SAMPLE_STEPS, partition_sums, ridge, with_constant
 
 LANDMARKS = 64
 MAX_FIT = 500
@@ -192,7 +192,7 @@ def identify(docs: DataFrame) -> DataFrame:
                     p = np.exp(s - s.max(axis=1, keepdims=True))
                     p /= p.sum(axis=1, keepdims=True)
                     best = p.argmax(axis=1)
-                    score[some] = p[np.arange(len(some)), best]
+                    score[some] = np.round(p[np.arange(len(some)), best], DIGITS)
                     for i, b in zip(some, best):
                         lang[i] = model.languages[b]
                 yield pa.RecordBatch.from_arrays(

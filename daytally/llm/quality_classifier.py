@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from daytally.llm.common import remainder, text_or_empty, written
 from daytally.llm.fitting import (
+    DIGITS,
     array_column,
     bounded_sample,
     labels_of,
@@ -121,7 +122,8 @@ class Model:
         return self.features(stats) @ self.weights
 
     def score(self, stats: np.ndarray) -> np.ndarray:
-        return np.clip(np.interp(self.raw(stats), self.places, self.values), 0, 1)
+        # Rounded, as the last digits depend on a row's place in the matrix product.
+        return np.round(np.clip(np.interp(self.raw(stats), self.places, self.values), 0, 1), DIGITS)
 
 
 def fit(stats: DataFrame, labels: DataFrame, column: str, modulus: int = 3, held: int = 1) -> Model | float:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daytally.llm.common import remainder, text_or_empty, written
-from daytally.llm.fitting import array_column, bounded_sample, labels_of, matrix, partition_sums, with_constant
+from daytally.llm.fitting import DIGITS, array_column, bounded_sample, labels_of, matrix, partition_sums, with_constant
 
 MAX_LABELLED = 20_000
 LEXICON = 400
@@ -285,7 +285,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, column: str = "toxic", threshol
             if batch.num_rows:
                 z = with_constant(matrix(batch.column("votes")).astype(float)) @ shared.value
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))], names=["doc_id", "score"]
+                    [batch.column("doc_id"), pa.array(np.round(1 / (1 + np.exp(-np.clip(z, -30, 30))), DIGITS))], names=["doc_id", "score"]
                 )
 
     kind = table.schema["doc_id"].dataType.simpleString()
