@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_VOCABULARY_BYTES = 64 << 20
-ROWS_AT_ONCE = 512
-CACHED_PIECES, CACHED_CHUNKS = 300_000, 100_000
+ROWS_AT_ONCE = 256
+CACHED = 250_000
 SHIFT, LOW = 24, (1 << 24) - 1
 # Code points that Unicode calls white space.
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -121,13 +121,15 @@ class WordBpe:
         model = file["model"]
         self.vocab: dict[str, int] = model["vocab"]
         self.suffix: str = model["end_of_word_suffix"] or ""
-        # By left and right id: the rank above the id that the pair becomes.
-        self.merges = {
-            self.vocab[a] << SHIFT | self.vocab[b]: rank << SHIFT | self.vocab[a + b]
-            for rank, (a, b) in enumerate(model["merges"])
-        }
+        # For each left id, by right id: the pair's rank; by rank: the id that it becomes.
+        ids = max(self.vocab.values()) + 1
+        self.ranks: list[dict[int, int]] = [{} for _ in range(ids)]
+        for rank, (a, b) in enumerate(model["merges"]):
+            self.ranks[self.vocab[a]][self.vocab[b]] = rank
+        self.made = [self.vocab[a + b] for a, b in model["merges"]]
         self.special = {t["content"]: t["id"] for t in file["added_tokens"]}
-        self.strings = {i: s for s, i in self.vocab.items()} | {i: s for s, i in self.special.items()}
+        by_id = {i: s for s, i in (self.vocab | self.special).items()}
+        self.strings = [by_id.get(i, "") for i in range(max(by_id) + 1)]
         split = file["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         for name, members in (("\\s", WHITE), ("\\p{L}", category_ranges("L")), ("\\p{N}", category_ranges("N"))):
             split = split.replace(name, members)
@@ -136,8 +138,7 @@ class WordBpe:
         letters = byte_characters()
         self.inner = [self.vocab.get(c, -1) for c in letters]
         self.final = [self.vocab.get(c + self.suffix, -1) for c in letters]
-        self.pieces_seen = Recent(self.merge, CACHED_PIECES)
-        self.chunks_seen = Recent(self.chunk, CACHED_CHUNKS)
+        self.seen = Recent(self.chunk, CACHED)
         # Whether the pattern cuts letters from marks in the usual way, which chunk() then does without it.
         self.usual = self.pieces(f"ab{MARKS}") == ["ab", MARKS]
 
@@ -147,49 +148,56 @@ class WordBpe:
         ids[-1] = self.final[raw[-1]]
         if -1 in ids:  # the vocabulary has no such symbol, and the file names no substitute
             ids = [x for x in ids if x >= 0]
-        n, pair = len(ids), self.merges.get
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        n, ranks, made = len(ids), self.ranks, self.made
+        if n == 1:
+            return (ids[0],)
         queue = []
         for i in range(n - 1):
-            if m := pair(ids[i] << SHIFT | ids[i + 1]):
-                queue.append(m >> SHIFT << SHIFT | i)
+            rank = ranks[ids[i]].get(ids[i + 1])
+            if rank is not None:
+                queue.append(rank << SHIFT | i)
         heapify(queue)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         while queue:
             top = heappop(queue)
-            i = top & LOW
-            j = after[i]
-            if j >= n or ids[i] < 0:
-                continue
-            m = pair(ids[i] << SHIFT | ids[j])
-            if not m or m >> SHIFT != top >> SHIFT:
+            i, rank = top & LOW, top >> SHIFT
+            left, j = ids[i], after[i]
+            if left < 0 or j == n or ranks[left].get(ids[j]) != rank:
                 continue  # stale: one of the two symbols has been merged since
-            made = ids[i] = m & LOW
+            x = ids[i] = made[rank]
             ids[j] = -1
             k = after[i] = after[j]
-            if k < n:
+            if k != n:
                 before[k] = i
-                if m := pair(made << SHIFT | ids[k]):
-                    heappush(queue, m >> SHIFT << SHIFT | i)
+                rank = ranks[x].get(ids[k])
+                if rank is not None:
+                    heappush(queue, rank << SHIFT | i)
             h = before[i]
-            if h >= 0 and (m := pair(ids[h] << SHIFT | made)):
-                heappush(queue, m >> SHIFT << SHIFT | h)
+            if h >= 0:
+                rank = ranks[ids[h]].get(x)
+                if rank is not None:
+                    heappush(queue, rank << SHIFT | h)
         return tuple([x for x in ids if x >= 0])
 
     def chunk(self, chunk: str) -> tuple[int, ...]:
         """The ids of a stretch without white space."""
-        piece = self.pieces_seen
-        if self.usual and chunk.isalpha():  # letters only: one piece
-            return piece[chunk]
-        word = chunk.rstrip(MARKS)
-        if self.usual and word.isalpha():  # letters, then marks: two pieces
-            return piece[word] + piece[chunk[len(word) :]]
-        return tuple([x for p in self.pieces(chunk) for x in piece[p]])
+        seen = self.seen
+        if self.usual:
+            if chunk.isalpha():  # letters only: one piece
+                return self.merge(chunk)
+            word = chunk.rstrip(MARKS)
+            if word.isalpha():  # letters, then marks: two pieces
+                return seen[word] + seen[chunk[len(word) :]]
+        pieces = self.pieces(chunk)
+        if len(pieces) == 1:
+            return self.merge(pieces[0])
+        return tuple([x for p in pieces for x in seen[p]])
 
     def encode(self, text: str | None) -> list[int]:
         out: list[int] = []
         if not text:
             return out
-        seen, extend = self.chunks_seen, out.extend
+        seen, extend = self.seen, out.extend
         for part in self.cuts.split(text) if self.cuts else [text]:
             if part in self.special:
                 out.append(self.special[part])
@@ -226,55 +234,69 @@ def definition_of(path: str) -> str:
         return file.read()
 
 
-def _with_column(batch: pa.RecordBatch, name: str, column: pa.Array) -> pa.RecordBatch:
-    names = [n for n in batch.schema.names if n != name]
-    return pa.RecordBatch.from_arrays([batch.column(n) for n in names] + [column], names=[*names, name])
+STRING = pa.string()
 
 
-def _schema(rows: DataFrame, name: str, kind: T.DataType) -> T.StructType:
-    return T.StructType([f for f in rows.schema if f.name != name] + [T.StructField(name, kind, False)])
+def _encoded(bpe: WordBpe, texts: pa.Array) -> tuple[list[list[int]], pa.Array]:
+    found = [bpe.encode(t.as_py()) for t in texts]
+    ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
+    flat = np.fromiter(chain.from_iterable(found), np.int32, ends[-1])
+    return found, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
 
 
-def encode(docs: DataFrame, tokenizer_path: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """The rows with the ids of their whole texts, array<int>."""
-    shared = docs.sparkSession.sparkContext.broadcast(definition_of(tokenizer_path))
+def _decoded(bpe: WordBpe, lists: pa.Array) -> pa.Array:
+    flat = lists.flatten().to_numpy(zero_copy_only=False).tolist()
+    found, at = [], 0
+    for n in lists.value_lengths().fill_null(0).to_pylist():
+        found.append(bpe.decode(flat[at : at + n]))
+        at += n
+    return pa.array(found, STRING)
+
+
+def _mapped(rows: DataFrame, tokenizer_path: str, added: dict[str, T.DataType], make) -> DataFrame:
+    """The rows with further columns, which ``make`` builds from some rows at a time; columns of these names go."""
+    shared = rows.sparkSession.sparkContext.broadcast(definition_of(tokenizer_path))
+    kept = [f for f in rows.schema if f.name not in added]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _bpe(shared.value)
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS_AT_ONCE):
                 batch = whole.slice(at, ROWS_AT_ONCE)
-                found = [bpe.encode(t.as_py()) for t in batch.column(text)]
-                ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
-                flat = np.fromiter(chain.from_iterable(found), np.int32, ends[-1])
-                yield _with_column(batch, ids, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)))
+                names = [n for n in batch.schema.names if n not in added]
+                columns = [*(batch.column(n) for n in names), *make(bpe, batch)]
+                yield pa.RecordBatch.from_arrays(columns, names=[*names, *added])
+
+    schema = T.StructType([*kept, *(T.StructField(name, kind, False) for name, kind in added.items())])
+    return rows.mapInArrow(run, schema)
+
+
+IDS_TYPE = T.ArrayType(T.IntegerType(), True)
 
-    return docs.mapInArrow(run, _schema(docs, ids, T.ArrayType(T.IntegerType(), True)))
+
+def encode(docs: DataFrame, tokenizer_path: str, text: str = "text", ids: str = "ids") -> DataFrame:
+    """The rows with the ids of their whole texts, array<int>."""
+    return _mapped(docs, tokenizer_path, {ids: IDS_TYPE}, lambda bpe, batch: [_encoded(bpe, batch.column(text))[1]])
 
 
 def decode(rows: DataFrame, tokenizer_path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """The rows with the text that their ids stand for."""
-    shared = rows.sparkSession.sparkContext.broadcast(definition_of(tokenizer_path))
+    return _mapped(rows, tokenizer_path, {text: T.StringType()}, lambda bpe, batch: [_decoded(bpe, batch.column(ids))])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = _bpe(shared.value)
-        for whole in batches:
-            for at in range(0, whole.num_rows, ROWS_AT_ONCE):
-                batch = whole.slice(at, ROWS_AT_ONCE)
-                lists = batch.column(ids)
-                flat = lists.flatten().to_numpy(zero_copy_only=False).tolist()
-                found, at = [], 0
-                for n in lists.value_lengths().fill_null(0).to_pylist():
-                    found.append(bpe.decode(flat[at : at + n]))
-                    at += n
-                yield _with_column(batch, text, pa.array(found, pa.string()))
 
-    return rows.mapInArrow(run, _schema(rows, text, T.StringType()))
+def round_trip(docs: DataFrame, tokenizer_path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``encode`` and ``decode`` in one pass: with a pass for each, a task keeps two Python workers at a time."""
+
+    def make(bpe: WordBpe, batch: pa.RecordBatch) -> list[pa.Array]:
+        found, lists = _encoded(bpe, batch.column(text))
+        return [lists, pa.array(map(bpe.decode, found), STRING)]
+
+    return _mapped(docs, tokenizer_path, {ids: IDS_TYPE, decoded: T.StringType()}, make)
 
 
 def round_trip_digests(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """doc_id, n_tokens, and the SHA-256 of the ids and of the decoded text."""
-    coded = decode(encode(docs.select("doc_id", "text"), tokenizer_path).select("doc_id", "ids"), tokenizer_path)
+    coded = round_trip(docs.select("doc_id", "text"), tokenizer_path)
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
