@@ -44,9 +44,10 @@ BUCKET = 2_000_000
 # Counts up to LARGEST are discounted by Good-Turing; larger ones keep nearly all, so that every context leaves something.
 LARGEST = 5
 KEEP_LARGE = 0.999
-CACHED_WORDS = 500_000
+CACHED_WORDS = 300_000
 
 U = np.uint64
+CODEC = pa.Codec("zstd", compression_level=6)
 END, BEGIN = U(xxhash.xxh64_intdigest(b"\n")), U(xxhash.xxh64_intdigest(b"\n\n"))  # no word has a line break
 
 
@@ -57,7 +58,7 @@ def pack(*arrays: np.ndarray) -> bytes:
         a = np.ascontiguousarray(a)
         planes = a.view(np.uint8).reshape(-1, a.itemsize).T if a.size else a.view(np.uint8)
         raw = np.ascontiguousarray(planes).tobytes()
-        parts.append((a.dtype.str, a.size, len(raw), pa.compress(raw, codec="zstd", asbytes=True) if raw else b""))
+        parts.append((a.dtype.str, a.size, len(raw), CODEC.compress(raw, asbytes=True) if raw else b""))
     return pickle.dumps(parts)
 
 
@@ -65,7 +66,7 @@ def unpack(data: bytes) -> list[np.ndarray]:
     out = []
     for kind, n, size, packed in pickle.loads(data):
         dtype = np.dtype(kind)
-        raw = pa.decompress(packed, decompressed_size=size, codec="zstd", asbytes=True) if size else b""
+        raw = CODEC.decompress(packed, size, asbytes=True) if size else b""
         planes = np.frombuffer(raw, np.uint8).reshape(dtype.itemsize, n)
         out.append(np.ascontiguousarray(planes.T).view(dtype).reshape(n))
     return out
@@ -202,7 +203,10 @@ def grams_of(lengths: np.ndarray, words: np.ndarray, order: int) -> list[Grams]:
 
 
 def dealt(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Each bucket, and the places of its keys in ascending order."""
+    """Each bucket, and the places of its keys in ascending order.
+
+    A bucket has the keys of one remainder by ``buckets``, so what is sent of a key is the quotient.
+    """
     bucket = (keys % U(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     cuts = np.flatnonzero(np.diff(bucket[order])) + 1
@@ -238,7 +242,7 @@ def count_table(tokens: DataFrame, order: int, buckets: int) -> DataFrame:
                     if k == 1:
                         counts[np.searchsorted(g.keys, BEGIN)] = trained.sum()
                     for bucket, part in dealt(g.keys, buckets):
-                        out.append((bucket, k, row["batch"], pack(deltas(g.keys[part]), narrow(counts[part]))))
+                        out.append((bucket, k, row["batch"], pack(deltas(g.keys[part] // U(buckets)), narrow(counts[part]))))
                 yield pd.DataFrame(out, columns=["bucket", "order", "batch", "data"])
 
     def add(frame: pd.DataFrame) -> pd.DataFrame:
@@ -247,10 +251,11 @@ def count_table(tokens: DataFrame, order: int, buckets: int) -> DataFrame:
             sent = [unpack(d) for d in rows["data"]]
             keys = [undelta(s) for s, _ in sent]
             distinct, first, place = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+            begin = distinct == BEGIN // U(buckets) if bucket == int(BEGIN % U(buckets)) else np.zeros(len(distinct), bool)
             total = np.bincount(place, np.concatenate([c for _, c in sent]), len(distinct)).astype(np.int64)
             owned = np.zeros(len(place), bool)
             owned[first] = True
-            real = total[(distinct != BEGIN) & (total > 0)] if k == 1 else total[total > 0]
+            real = total[~begin & (total > 0)] if k == 1 else total[total > 0]
             stats = [int(real.sum()), len(real), *np.bincount(real[real <= LARGEST + 1], minlength=LARGEST + 2)[1:].tolist()]
             out.append((-1, int(bucket), b"", stats, int(k)))
             answers, at = total[place], 0
@@ -392,14 +397,14 @@ def _walk(tokens: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
             used, which = np.unique(pairs[:, 1], return_inverse=True)
             needed.append((k, pairs[:, 0].astype(np.int32), which.astype(np.int32), narrow(times), g[k - 2].keys[used]))
             for bucket, part in dealt(g[k - 2].keys[used], buckets):
-                data = pack(deltas(g[k - 2].keys[used][part]), narrow(c[k - 2][used[part]]))
+                data = pack(deltas(g[k - 2].keys[used][part] // U(buckets)), narrow(c[k - 2][used[part]]))
                 out.append(("ask", k, bucket, row["batch"], data))
             mine = np.flatnonzero(owned[k - 1] & (c[k - 1] > 0))
             contexts, where = np.unique(grams.context[mine], return_inverse=True)
             kept = np.bincount(where, model.levels[k - 1].discounted(c[k - 1][mine]), len(contexts))
             lower = np.bincount(where, probability(g, c, k - 1, grams.suffix[mine]), len(contexts))
             for bucket, part in dealt(g[k - 2].keys[contexts], buckets):
-                data = pack(deltas(g[k - 2].keys[contexts][part]), *listed(kept[part]), *listed(lower[part]))
+                data = pack(deltas(g[k - 2].keys[contexts][part] // U(buckets)), *listed(kept[part]), *listed(lower[part]))
                 out.append(("sum", k, bucket, row["batch"], data))
         at, count = np.flatnonzero(todo), known[todo]
         with np.errstate(divide="ignore"):
