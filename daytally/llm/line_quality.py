@@ -4,6 +4,11 @@ Lines are normalised (A-Z lower-cased, blanks collapsed and trimmed) and hashed.
 each line are counted; a line in more of them than the limits allow is boilerplate and is removed. A document that loses
 too much is rejected. Documents with the same text count as one, so copies do not make their own lines look common.
 
+``line_quality`` gives the figures of that rule. ``clean_documents`` leaves each common line in its first document of the
+host, the one with the smallest id of those that pass the base rules, so that of a group of near copies, whose lines are
+all common, one member is left. A line goes everywhere if no document with an id passes, and with its first document if
+other lines deplete that.
+
 Cases: null text is the empty text, and is rejected by the base rules. A null host is a host of its own. Repeated rows
 get the same verdict each. Empty tables give empty results. Extra columns are kept by ``clean_documents`` and ignored
 elsewhere; columns whose names clash with the results' do not disturb them.
@@ -131,17 +136,28 @@ def base_figures(text: Column) -> dict[str, Column]:
     }
 
 
-def _doc_lines(docs: DataFrame, text: str, host: str) -> DataFrame:
+def base_failed(n_words: Column, n_repeat: Column, limits: LineLimits) -> Column:
+    return (n_words < limits.min_words) | (n_repeat * 100 > n_words * limits.max_repeat_percent)
+
+
+def _doc_lines(docs: DataFrame, limits: LineLimits, text: str, host: str, doc_id: str | None) -> DataFrame:
     """A row for each line with a word: host, text hash, place in the text, line hash, words.
 
-    The line hash has 96 bits, so that two lines of one host do not meet by chance in any corpus.
+    With ``doc_id`` also the id, null where the document fails the base rules. The line hash has 96 bits, so that two
+    lines of one host do not meet by chance in any corpus.
     """
-    lines = docs.select(F.col(host).alias("host"), text_or_empty(text).alias("t")).select(
-        "host", F.xxhash64("t").alias("text_hash"), F.posexplode(lines_of(F.col("t"))).alias("place", "line")
+    ids = {}
+    if doc_id is not None:
+        body = text_or_empty(text)
+        failed = base_failed(n_words_of(body), n_repeat_words(words_of(body)), limits)
+        ids["id"] = F.when(~failed, F.col(doc_id)).alias("id")
+    lines = docs.select(F.col(host).alias("host"), text_or_empty(text).alias("t"), *ids.values()).select(
+        "host", *ids, F.xxhash64("t").alias("text_hash"), F.posexplode(lines_of(F.col("t"))).alias("place", "line")
     )
     norm = lines.filter(has_word(F.col("line"))).withColumn("line", normalised(F.col("line")))
     return norm.select(
         "host",
+        *ids,
         "text_hash",
         "place",
         F.xxhash64("line").alias("line_hash"),
@@ -150,15 +166,25 @@ def _doc_lines(docs: DataFrame, text: str, host: str) -> DataFrame:
     )
 
 
-def common_lines(docs: DataFrame, limits: LineLimits = LineLimits(), text: str = "text", host: str = "source") -> DataFrame:
-    """Lines above the limits: host, line_hash, line_check, n_docs (documents with different texts)."""
-    lines = _doc_lines(docs, text, host)
+def common_lines(
+    docs: DataFrame,
+    limits: LineLimits = LineLimits(),
+    text: str = "text",
+    host: str = "source",
+    doc_id: str | None = None,
+) -> DataFrame:
+    """Lines above the limits: host, line_hash, line_check, n_docs (documents with different texts).
+
+    With ``doc_id`` also first_id, the smallest id of the documents that have the line and pass the base rules.
+    """
+    lines = _doc_lines(docs, limits, text, host, doc_id)
+    smallest = lambda c: [] if doc_id is None else [F.min(c).alias("first_id")]
     # Two aggregates, both combined before their shuffle: a line that is in a third of all documents is spread by text.
     counted = (
         lines.groupBy("host", "line_hash", "line_check", "text_hash")
-        .agg(F.lit(1).alias("one"))
+        .agg(F.lit(1).alias("one"), *smallest("id"))
         .groupBy("host", "line_hash", "line_check")
-        .agg(F.count("one").alias("n_docs"))
+        .agg(F.count("one").alias("n_docs"), *smallest("first_id"))
         .filter(F.col("n_docs") > limits.max_docs)
     )
     hosts = (
@@ -171,39 +197,52 @@ def common_lines(docs: DataFrame, limits: LineLimits = LineLimits(), text: str =
     return (
         counted.join(named, F.col("host").eqNullSafe(F.col("of_host")))
         .filter(F.col("n_docs") * 100 > F.col("host_docs") * limits.max_percent)
-        .select("host", "line_hash", "line_check", "n_docs")
+        .select(*counted.columns)
     )
 
 
 SALTS = 16
 
 
-def removed_lines(docs: DataFrame, limits: LineLimits = LineLimits(), text: str = "text", host: str = "source") -> DataFrame:
-    """Per host and text: places (of the lines that go, ascending) and removed_words."""
+def removed_lines(
+    docs: DataFrame,
+    limits: LineLimits = LineLimits(),
+    text: str = "text",
+    host: str = "source",
+    doc_id: str | None = None,
+) -> DataFrame:
+    """Per host and text: places (of the lines that go, ascending) and removed_words.
+
+    With ``doc_id``, a line stays in the first document of its host that has it.
+    """
     # A line that is in a third of the documents would make one task of the join; its documents are spread over salts.
     common = (
-        common_lines(docs, limits, text, host)
-        .select(
-            F.col("host").alias("c_host"),
-            F.col("line_hash").alias("c_line"),
-            F.col("line_check").alias("c_check"),
-            F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("c_salt"),
-        )
+        common_lines(docs, limits, text, host, doc_id)
+        .withColumnsRenamed({"host": "c_host", "line_hash": "c_line", "line_check": "c_check"})
+        .withColumn("c_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        .drop("n_docs")
     )
-    lines = _doc_lines(docs, text, host).withColumn("salt", F.pmod("text_hash", F.lit(SALTS)).cast("int"))
+    lines = _doc_lines(docs, limits, text, host, doc_id).withColumn("salt", F.pmod("text_hash", F.lit(SALTS)).cast("int"))
     hits = lines.join(
         common,
         (F.col("line_hash") == F.col("c_line"))
         & (F.col("line_check") == F.col("c_check"))
         & (F.col("salt") == F.col("c_salt"))
         & F.col("host").eqNullSafe(F.col("c_host")),
-        "left_semi",
+        "left_semi" if doc_id is None else "inner",
     )
-    return (
-        hits.groupBy("host", "text_hash", "place")
-        .agg(F.first("words").alias("words"))
-        .groupBy("host", "text_hash")
-        .agg(F.array_sort(F.collect_list("place")).alias("places"), F.sum("words").alias("removed_words"))
+    words = F.first("words").alias("words")
+    if doc_id is None:
+        gone = hits.groupBy("host", "text_hash", "place").agg(words)
+    else:
+        # All copies of a text have the id of the first of them.
+        gone = (
+            hits.groupBy("host", "text_hash", "place")
+            .agg(words, F.min("id").alias("id"), F.min("first_id").alias("first_id"))
+            .filter(F.coalesce(F.col("id") != F.col("first_id"), F.lit(True)))
+        )
+    return gone.groupBy("host", "text_hash").agg(
+        F.array_sort(F.collect_list("place")).alias("places"), F.sum("words").alias("removed_words")
     )
 
 
@@ -220,9 +259,7 @@ def line_quality(
     )
     joined = _with_removed(figures, removed_lines(docs, limits, text, host))
     removed = F.coalesce("removed_words", F.lit(0))
-    failed = (F.col("n_words") < limits.min_words) | (
-        F.col("n_repeat_words") * 100 > F.col("n_words") * limits.max_repeat_percent
-    )
+    failed = base_failed(F.col("n_words"), F.col("n_repeat_words"), limits)
     return joined.select(
         "doc_id",
         "n_words",
@@ -256,15 +293,20 @@ def _text_without(lines: Column, places: Column) -> Column:
     )
 
 
-def clean_documents(docs: DataFrame, limits: LineLimits = LineLimits(), text: str = "text", host: str = "source") -> DataFrame:
-    """The documents that are kept, with all their columns and without the common lines; n_chars follows the text."""
+def clean_documents(
+    docs: DataFrame, limits: LineLimits = LineLimits(), text: str = "text", host: str = "source", doc_id: str = "doc_id"
+) -> DataFrame:
+    """The documents that are kept, with all their columns and without the common lines; n_chars follows the text.
+
+    Each common line stays in its first document of the host.
+    """
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
     whole = whole.select(
         "doc",
         F.col(f"doc.`{host}`").alias("d_host"),
         F.xxhash64(text_or_empty(F.col(f"doc.`{text}`"))).alias("d_text"),
     )
-    joined = _with_removed(whole, removed_lines(docs, limits, text, host))
+    joined = _with_removed(whole, removed_lines(docs, limits, text, host, doc_id))
     body = text_or_empty(F.col(f"doc.`{text}`"))
     joined = joined.withColumn("n_words", n_words_of(body)).filter(
         (F.col("n_words") >= limits.min_words)

@@ -66,6 +66,25 @@ def test_common_lines_go_and_depleted_documents_are_rejected(boilerplate):
     assert clean[200].text.startswith("Cookie") and clean[300].text == prose(7777, 50)
 
 
+def test_one_member_of_a_group_of_near_copies_is_left(spark):
+    """Near copies of a text of several lines are a third of the host: their lines are common, the first member stays."""
+    lines = [prose(800 + k, 12) for k in range(10)]
+
+    def member(i):
+        place = i % len(lines)
+        changed = lines[place].split(" ")
+        changed[i % 12] = f"other{i}"
+        return "\n".join([*lines[:place], " ".join(changed), *lines[place + 1 :]])
+
+    rows = [(i, member(i), "a") for i in range(40, 100)]
+    rows += [(100 + i, f"{prose(900, 30)}\n{prose(1000 + i, 40)}", "a") for i in range(120)]  # boilerplate
+    rows += [(1, f"{lines[0]} {lines[0]}\n{lines[0]}\n{lines[1]}", "a")]  # repeats too much, so it is no line's first
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    clean = {r.doc_id: r.text for r in lq.clean_documents(docs).collect()}
+    assert clean.keys() == {40, *range(100, 220)} and clean[40] == member(40)
+    assert clean[100] == rows[60][1] and all(clean[100 + i] == prose(1000 + i, 40) for i in range(1, 120))
+
+
 def test_kept_documents_keep_their_columns(edges):
     clean = lq.clean_documents(edges)
     assert clean.columns == edges.columns and clean.dtypes == edges.dtypes
