@@ -17,8 +17,11 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and are not depleted, without their common lines."""
-    return line_quality.clean_documents(docs)
+    """Documents that pass the base rules and are not depleted, without their common lines.
+
+    A line is common by the number of its documents alone: a share of the host would spare boilerplate in large hosts.
+    """
+    return line_quality.clean_documents(docs, line_quality.LineLimits(max_percent=0))
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

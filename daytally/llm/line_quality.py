@@ -31,6 +31,7 @@ WINDOW = 8
 @dataclass(frozen=True)
 class LineLimits:
     """A line goes if more documents of its host have it than ``max_docs`` and than ``max_percent`` of the host's.
+    With ``max_percent`` 0 the number of documents is enough, however large the host.
 
     A document is rejected if more than ``max_removed_percent`` of its words go.
     """

@@ -11,7 +11,7 @@ from test_simhash import brute_components, brute_print
 
 import corpus_pipeline as pipeline
 from daytally.llm.common import table, written
-from edge_cases import COLUMNS, SF
+from edge_cases import COLUMNS, SF, prose
 
 
 @pytest.fixture(scope="module")
@@ -45,6 +45,17 @@ def test_quality_rules_keep_what_passes(stages):
     assert stages[1].join(stages[0], ["doc_id", "text"], "left_anti").count() == 0
 
 
+def test_boilerplate_of_a_hot_host_goes(spark):
+    """One host has a third of all rows, and a line in 24 of its documents, which are under 5 % of it."""
+    line = prose(999, 12)
+    hot = [(i, f"{line}\n{prose(i, 30)}" if i < 24 else prose(i, 30), "en", "hot", 0) for i in range(600)]
+    rest = [(1000 + i, prose(1000 + i, 30), "en", f"s{i % 40}", 0) for i in range(1200)]
+    stage = dict(pipeline.STAGES)["quality rules"]
+    got = {r.doc_id: r.text for r in stage(spark, spark.createDataFrame(hot + rest, COLUMNS), SF).collect()}
+    assert len(got) == 1800 and all(got[i] == prose(i, 30) for i in range(1, 24))
+    assert got[0] == f"{line}\n{prose(0, 30)}"  # it stays in the first one
+
+
 def test_the_classifier_keeps_good_rows(spark):
     folder = "/root/testdata/sf0.01"
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
