@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 MAX_VOCABULARY_BYTES = 64 << 20
 ROWS_AT_ONCE = 256
 CACHED = 250_000
-SHIFT, LOW = 24, (1 << 24) - 1
+SHIFT = 24  # bits for a place in a piece; longer pieces take more
 # Code points that Unicode calls white space.
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # Neither letters nor digits, and not the beginning of a contraction.
@@ -151,16 +151,18 @@ class WordBpe:
         n, ranks, made = len(ids), self.ranks, self.made
         if n == 1:
             return (ids[0],)
+        shift = max(SHIFT, n.bit_length())
+        low = (1 << shift) - 1
         queue = []
         for i in range(n - 1):
             rank = ranks[ids[i]].get(ids[i + 1])
             if rank is not None:
-                queue.append(rank << SHIFT | i)
+                queue.append(rank << shift | i)
         heapify(queue)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         while queue:
             top = heappop(queue)
-            i, rank = top & LOW, top >> SHIFT
+            i, rank = top & low, top >> shift
             left, j = ids[i], after[i]
             if left < 0 or j == n or ranks[left].get(ids[j]) != rank:
                 continue  # stale: one of the two symbols has been merged since
@@ -171,12 +173,12 @@ class WordBpe:
                 before[k] = i
                 rank = ranks[x].get(ids[k])
                 if rank is not None:
-                    heappush(queue, rank << SHIFT | i)
+                    heappush(queue, rank << shift | i)
             h = before[i]
             if h >= 0:
                 rank = ranks[ids[h]].get(x)
                 if rank is not None:
-                    heappush(queue, rank << SHIFT | h)
+                    heappush(queue, rank << shift | h)
         return tuple([x for x in ids if x >= 0])
 
     def chunk(self, chunk: str) -> tuple[int, ...]:

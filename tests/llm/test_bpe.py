@@ -66,6 +66,14 @@ def test_forgetting_changes_nothing(monkeypatch):
     assert len(small.seen) <= 3
 
 
+def test_pieces_longer_than_the_least_shift(monkeypatch):
+    """As for pieces of over 2**24 bytes, with fewer bits."""
+    monkeypatch.setattr(bpe, "SHIFT", 4)
+    monkeypatch.setattr(bpe, "LOW", 15, raising=False)
+    for text in ("abcdefghinorst" * 20, "internationalisations" * 5, "漢字" * 50):
+        assert OWN.merge(text) == tuple(expected(text)[0])
+
+
 def check(got, rows):
     want = []
     for r in rows:
