@@ -2,7 +2,7 @@
 
 A page is cut into blocks at block-level tags. Each block has its word count and link density, those of the blocks before
 and after it, and what its enclosing elements say: whether it is in the article, in an element for something else (such
-as nav or footer), or below a class, id or role that names something else. A decision tree, grown on the blocks of the
+as nav or footer), below a class, id or role that names something else, or in a hidden one. A decision tree, grown on the blocks of the
 small labelled pages below, decides which blocks are main text.
 
 Cases: null and empty pages, and pages without main text, give the empty text. Unclosed and stray tags are tolerated;
@@ -32,24 +32,29 @@ BLOCK_TAGS = frozenset(
 SILENT_TAGS = "script|style|noscript|template|svg|iframe|object|textarea|math|canvas|audio|video"
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 OTHER_TAGS = frozenset("nav footer aside form head title button select option label fieldset dialog menu".split())
-# Words in a class, id or role that name something other than the article.
+# Whole words of a class, id or role that name something other than the article (with - for _).
 OTHER_WORDS = frozenset(
     "ad ads advert adverts advertisement advertisements advertising sponsor sponsored promo promotion promoted banner "
     "sidebar widget menu nav navbar navigation breadcrumb breadcrumbs pager pagination footer masthead comment comments "
     "commentlist reply replies respond disqus discussion cookie cookies consent gdpr notice notices notification alert "
     "popup modal overlay newsletter subscribe subscription signup login search share sharing social related recommended "
-    "toolbar copyright disclaimer skip complementary contentinfo dialog feedback reviews".split()
+    "toolbar copyright disclaimer skip complementary contentinfo dialog feedback reviews "
+    "ad-banner ad-container ad-slot side-bar main-nav site-nav nav-menu main-menu site-footer page-footer comment-list "
+    "comments-area comment-respond reader-comments cookie-notice cookie-banner cookie-consent share-buttons "
+    "social-share social-links related-posts related-articles".split()
 )
-PAGE_HEADERS = frozenset(["header", "banner", "topbar"])
+PAGE_HEADERS = frozenset(["header", "banner", "topbar", "site-header"])
+# What has the article itself; their classes describe the page, as in "no-sidebar" or "comments-open".
+WHOLE_TAGS = frozenset(["html", "body", "main", "article"])
 
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?P<silent>{SILENT_TAGS})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=silent)\s*[^>]*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)",
     re.S | re.I,
 )
-_NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
-_HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?(?:until|false))|display\s*:\s*none|visibility\s*:\s*hidden", re.I)
-_ALPHA = re.compile(r"[a-z]+")
+# Name and value of each attribute; a value's quotes are not part of it.
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.I)
 
 
 @dataclass
@@ -75,10 +80,17 @@ def _names_other(tag: str, rest: str, in_article: bool) -> bool:
         return True
     if not rest:
         return False
-    names = set()
-    for m in _NAMES.finditer(rest):
-        names.update(_ALPHA.findall(m[1].lower()))
-    return bool(names & OTHER_WORDS) or (not in_article and bool(names & PAGE_HEADERS)) or bool(_HIDDEN.search(rest))
+    attributes: dict[str, str] = {}
+    for name, *values in _ATTRIBUTE.findall(rest):
+        attributes.setdefault(name.lower(), "".join(values))
+    if "hidden" in attributes and not attributes["hidden"].lower().startswith(("until", "false")):
+        return True
+    if _UNSEEN.search(attributes.get("style", "")):
+        return True
+    if tag in WHOLE_TAGS:
+        return False
+    names = {w for a in ("class", "id", "role") for w in attributes.get(a, "").lower().replace("_", "-").split()}
+    return bool(names & OTHER_WORDS) or (not in_article and bool(names & PAGE_HEADERS))
 
 
 def blocks_of(page: str) -> list[Block]:

@@ -33,6 +33,42 @@ def test_pages(page, text):
     assert ht.main_text(page, TREE) == text
 
 
+@pytest.mark.parametrize(
+    "tags",
+    [
+        "<div style='overflow:hidden'>",
+        "<div class=overflow-hidden>",
+        "<div data-x=hidden data-id=ad>",
+        "<div hidden=until-found>",
+        "<body class='no-sidebar comments-open'>",
+        "<html class=has-cookie-notice><body id=page class='single-post-share ad'>",
+        "<main class=has-sidebar>",
+        "<article class='post comments share'>",
+        "<div class='no-sidebar'>",
+        "<div title='display:none'>",
+    ],
+)
+def test_attributes_that_say_nothing_of_the_text(tags):
+    article = f"<article><h1>T</h1><p>{LINE}</p></article>"
+    assert ht.main_text(f"{tags}{article}", TREE) == f"T\n\n{LINE}"
+
+
+@pytest.mark.parametrize(
+    "tag",
+    [
+        "div hidden",
+        "div class=x hidden=''",
+        "div HIDDEN=hidden",
+        "section style=\"color:red; visibility : hidden\"",
+        "div style=display:none",
+        "div class='x Site_Footer'",
+        "div id=reader-comments",
+    ],
+)
+def test_hidden_and_named_elements_go(tag):
+    assert ht.main_text(f"<article><p>{LINE}</p><{tag}><p>{LINE}</p></article>", TREE) == LINE
+
+
 def test_pages_without_article_go_by_words_and_links():
     page = f"<div><a>Home</a> <a>News</a></div><h1>Title words</h1><p>{LINE} {LINE}</p><p>{LINE}</p><div><a>More of this</a></div>"
     assert LINE in ht.main_text(page, TREE) and "Home" not in ht.main_text(page, TREE) and "More" not in ht.main_text(page, TREE)
