@@ -32,7 +32,7 @@ def tokenizer_path() -> str:
 
 
 def op1_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return katz.score(table(spark, sf_dir, "documents"))
+    return katz.score(table(spark, sf_dir, "documents"), order=3)
 
 
 def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

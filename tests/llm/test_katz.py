@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from daytally.llm import katz
+from daytally.llm.queries import op1_katz
 
 from edge_cases import EDGES, SF
 
@@ -100,6 +101,12 @@ def test_against_dictionaries(spark, order, sizes):
     check(katz.score(docs, order=order, **sizes).collect(), brute.rows())
 
 
+def test_the_query_goes_down_from_trigrams(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    brute = Brute([(r.doc_id, r.text) for r in docs.collect()], 3)
+    check(op1_katz(spark, SF).collect(), brute.rows())
+
+
 def test_each_context_adds_up_to_one(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
     brute = Brute([(r.doc_id, r.text) for r in docs.collect()], 3)
