@@ -32,7 +32,6 @@ from daytally.llm.common import remainder, text_or_empty, written
 from daytally.llm.fitting import DIGITS, array_column, bounded_sample, labels_of, matrix, partition_sums, with_constant
 
 MAX_LABELLED = 20_000
-LEXICON = 400
 GROUPS = 24
 SHORTEST, LONGEST = 4, 8
 LEAST_PRECISION = 0.7
@@ -91,7 +90,7 @@ def gram_counts(sample: DataFrame) -> DataFrame:
 
 
 def learn_lexicon(sample: DataFrame, n_toxic: int, n_clean: int) -> list[tuple[str, float]]:
-    """The ``LEXICON`` most telling grams (of equally telling ones the shortest, then by spelling) and how sure they are."""
+    """All telling grams (the most telling first, of equals the shortest, then by spelling) and how sure they are."""
     toxic, clean = F.col("toxic"), F.col("clean")
     expected = (toxic + clean) / (n_toxic + n_clean)
     evidence = 2 * (
@@ -105,7 +104,6 @@ def learn_lexicon(sample: DataFrame, n_toxic: int, n_clean: int) -> list[tuple[s
         .filter((toxic / (toxic + clean) >= LEAST_PRECISION) & (evidence >= LEAST_EVIDENCE))
         .withColumn("gain", gain)
         .orderBy(F.desc("gain"), F.length("gram"), "gram")
-        .limit(LEXICON)
     )
     sure = lambda r: (r["toxic"] + 0.5) / (n_toxic + 1) / ((r["clean"] + 0.5) / (n_clean + 1))
     return [(r["gram"], sure(r)) for r in found.collect()]

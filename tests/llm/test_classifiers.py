@@ -49,6 +49,20 @@ def test_toxicity_on_held_out_rows(spark):
     assert (predicted[label == 0] == 0).mean() > 0.985
 
 
+def test_toxic_held_out_rows_are_found(spark):
+    labels = read(spark, "labels")
+    label, _, predicted = held_out(toxicity.toxicity(read(spark, "documents"), labels), labels, "toxic")
+    recall = (predicted[label == 1] == 1).mean()
+    assert recall > 0.8, recall
+
+
+def test_every_telling_word_is_in_the_lexicon(spark):
+    words = [a + b + c for a in "abcdefghi" for b in "jklmnopqr" for c in "stuvwxyz"]
+    rows = [(" ".join(words), 1.0)] * 60 + [("fine clean text", 0.0)] * 600
+    sample = spark.createDataFrame(rows, "text string, label double")
+    assert {g for g, _ in toxicity.learn_lexicon(sample, 60, 600)} == set(words) and len(words) > 600
+
+
 def test_language_on_held_out_rows(spark):
     docs = read(spark, "documents")
     rows = language_id.identify(docs).filter("held_out").join(docs.select("doc_id", "lang"), "doc_id").toPandas()
