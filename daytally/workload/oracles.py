@@ -174,6 +174,9 @@ SELECT user_id, CAST(start_time AS DATE) AS event_date,
 FROM uploads JOIN runs ON upload_time >= d AND upload_time <= d + INTERVAL 1 DAY
 GROUP BY user_id, CAST(start_time AS DATE), CAST(upload_time AS DATE), d"""
 
+# The same over all upload days.
+INCLUSIVE_DAILY_ALL = INCLUSIVE_DAILY.replace("TIMESTAMP '2024-01-04'", f"TIMESTAMP '{END - DAY}'")
+
 ORACLES: dict[str, str] = {
     "daily_calc": f"{_with(_uploads(), _daily(FIFTH_DAY))}\nSELECT * FROM daily_tmp",
     "daily_calc_inclusive": f"{_with(_uploads(), _daily(FIFTH_DAY, '<='))}\nSELECT * FROM daily_tmp",
@@ -197,7 +200,9 @@ ORACLES: dict[str, str] = {
     "run_days": _closed_form(END),
     "run_days_gated": _closed_form(END),
     "run_days_inclusive": INCLUSIVE_DAILY,
+    "run_days_inclusive_all": INCLUSIVE_DAILY_ALL,
     "rerun_after_backfill": _closed_form(FIFTH_DAY),
+    "rerun_after_backfill_all": _closed_form(END),
     "backfill_closed_form": _closed_form(END),
     "constraint_violations": VIOLATIONS,
     "duplicate_keys": f"""{_with(_uploads())}

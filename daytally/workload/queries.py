@@ -179,23 +179,23 @@ def q_run_days_gated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return for_output(rows)
 
 
-def q_run_days_inclusive(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_run_days_inclusive(spark: SparkSession, sf_dir: str, end: date = FIFTH_DAY) -> DataFrame:
     """Appending runs that also take the next midnight, as the reference's BETWEEN does; the daily table."""
     tables = new_tables(spark, "inclusive")
     events = stored(uploads(spark, sf_dir), "uploads")
-    for ds in days(FIRST_DAY, FIFTH_DAY):
+    for ds in days(FIRST_DAY, end):
         run_day(tables, events, ds, replace=False, inclusive_end=True)
     return for_output(spark.table(tables.daily).drop("id"))
 
 
-def q_rerun_after_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four days run while the second lacks some uploads; a backfill corrects the first three; the fourth runs again."""
+def q_rerun_after_backfill(spark: SparkSession, sf_dir: str, end: date = FIFTH_DAY) -> DataFrame:
+    """All days run while the second lacks some uploads; a backfill corrects all but the last; the last runs again."""
     tables, events = new_tables(spark, "rerun"), stored(uploads(spark, sf_dir), "uploads")
-    fourth = days(FIRST_DAY, FIFTH_DAY)[-1]
+    last = days(FIRST_DAY, end)[-1]
     late = (F.to_date("upload_time") == F.lit(SECOND_DAY)) & (F.col("event_id") % 3 == 0)
-    run_days(tables, events.where(~late), FIRST_DAY, FIFTH_DAY)
-    backfill(tables, events, FIRST_DAY, fourth)
-    run_day(tables, events, fourth)
+    run_days(tables, events.where(~late), FIRST_DAY, end)
+    backfill(tables, events, FIRST_DAY, last)
+    run_day(tables, events, last)
     return for_output(tables.latest())
 
 
@@ -373,7 +373,9 @@ QUERIES: dict[str, Query] = {
     "run_days": q_run_days,
     "run_days_gated": q_run_days_gated,
     "run_days_inclusive": q_run_days_inclusive,
+    "run_days_inclusive_all": partial(q_run_days_inclusive, end=END),
     "rerun_after_backfill": q_rerun_after_backfill,
+    "rerun_after_backfill_all": partial(q_rerun_after_backfill, end=END),
     "backfill_closed_form": q_backfill_closed_form,
     "constraint_violations": q_constraint_violations,
     "duplicate_keys": q_duplicate_keys,
