@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -21,6 +23,7 @@ SETTINGS = {
 }
 
 SHARED_DIR_KEY = "spark.checkpoint.dir"
+SHUFFLE_CLEANUP_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 _local_dirs: dict[str, str] = {}
 
@@ -50,6 +53,23 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, **extra:
     return configure(spark)
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Within it a query's shuffle files go as soon as it ends, not when the driver's JVM happens to collect garbage.
+
+    For writes that are read again from the table: a DataFrame that is itself run twice would look for its old files.
+    """
+    before = spark.conf.get(SHUFFLE_CLEANUP_KEY, None)
+    spark.conf.set(SHUFFLE_CLEANUP_KEY, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP_KEY)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP_KEY, before)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach. Only a local session without the setting gets a folder of its own."""
     folder = spark.conf.get(SHARED_DIR_KEY, None)
