@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daytally.session import run_dir
+from daytally.session import run_dir, shuffles_dropped
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # The white space that separates words: space, tab, line feed, vertical tab, form feed, carriage return.
@@ -35,10 +35,12 @@ def remainder(doc_id: str | Column, modulus: int) -> Column:
 def written(rows: DataFrame, label: str, by: str | None = None) -> DataFrame:
     """Writes the rows to the cluster's shared folder, partitioned by a last column if one is named; reads them back.
 
-    It cuts the lineage: a lost executor costs its running tasks and none of the work before.
+    It cuts the lineage: a lost executor costs its running tasks and none of the work before. The shuffle files of the
+    write go with it.
     """
     spark = rows.sparkSession
     path = run_dir(spark, label)
-    (rows.write.partitionBy(by) if by else rows.write).parquet(path)
+    with shuffles_dropped(spark):
+        (rows.write.partitionBy(by) if by else rows.write).parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
