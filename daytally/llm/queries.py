@@ -17,6 +17,7 @@ from daytally.llm import (
     line_quality,
     quality_classifier,
     simhash,
+    suffix_dedup,
     toxicity,
 )
 from daytally.llm.common import table
@@ -71,6 +72,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_katz": op1_katz,
     "op2_line_quality": op2_line_quality,
@@ -82,6 +87,7 @@ QUERIES: dict[str, Query] = {
     "op8_chat": op8_chat,
     "op9_bpe": op9_bpe,
     "op10_decontamination": op10_decontamination,
+    "op11_suffix_dedup": op11_suffix_dedup,
 }
 
 ORACLES: dict[str, str] = {
