@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from daytally.llm import (
@@ -17,7 +18,9 @@ from daytally.llm import (
     line_quality,
     quality_classifier,
     simhash,
+    structure_repair,
     suffix_dedup,
+    token_alignment,
     toxicity,
 )
 from daytally.llm.common import table
@@ -25,11 +28,13 @@ from daytally.llm.common import table
 Query = Callable[[SparkSession, str], DataFrame]
 
 TOKENIZER = "word_bpe_49k.json"
+BYTE_LEVEL, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
-def tokenizer_path() -> str:
-    """Where the public vocabulary file is on the driver; ``TOKENIZER_DIR`` names another folder."""
-    return os.path.join(os.environ.get("TOKENIZER_DIR", "/opt/tokenizers"), TOKENIZER)
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    """Where a public vocabulary file is on the driver; ``TOKENIZER_DIR`` names another folder."""
+    folder = os.environ.get("TOKENIZER_DIR")
+    return os.path.join(folder, name) if folder else str(public_tokenizers.path(name))
 
 
 def op1_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,6 +81,15 @@ def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(table(spark, sf_dir, "documents"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = token_alignment.Vocabularies.read(tokenizer_path(BYTE_LEVEL), tokenizer_path(PIECES))
+    return token_alignment.digests(table(spark, sf_dir, "documents"), files)
+
+
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return structure_repair.digests(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_katz": op1_katz,
     "op2_line_quality": op2_line_quality,
@@ -88,6 +102,8 @@ QUERIES: dict[str, Query] = {
     "op9_bpe": op9_bpe,
     "op10_decontamination": op10_decontamination,
     "op11_suffix_dedup": op11_suffix_dedup,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_structure_repair": op13_structure_repair,
 }
 
 ORACLES: dict[str, str] = {

@@ -1,0 +1,206 @@
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from daytally.llm import token_alignment
+from daytally.llm.token_alignment import Block, Encoders, Rows, Vocabularies, alignments, digests, gustavson, whole_product
+from edge_cases import SF
+from helpers import rows
+
+A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+
+
+@pytest.fixture(scope="module")
+def files():
+    return Vocabularies.read(A, B)
+
+
+@pytest.fixture(scope="module")
+def own(files):
+    return Encoders(files)
+
+
+@pytest.fixture(scope="module")
+def libraries():
+    a = Tokenizer.from_file(A)
+    a.encode_special_tokens = True
+    b = sentencepiece.SentencePieceProcessor(model_file=B)
+    return a, b
+
+
+def tokens_by_library(libraries, text):
+    """Ids and bytes of both, of the libraries alone."""
+    a, b = libraries
+    if not text:
+        return [], []
+    whole = " " + text
+    encoded = a.encode(whole, add_special_tokens=False)
+    letters = {}
+    spare = 256
+    for x in range(256):
+        if 33 <= x <= 126 or 161 <= x <= 172 or 174 <= x <= 255:
+            letters[chr(x)] = x
+        else:
+            letters[chr(spare)] = x
+            spare += 1
+    left = [(i, bytes(letters[c] for c in a.id_to_token(i))) for i in encoded.ids]
+    right = []
+    for i in b.encode(text):
+        piece = b.id_to_piece(i)
+        right.append((i, bytes([int(piece[3:5], 16)]) if b.is_byte(i) else piece.replace("▁", " ").encode()))
+    if any(b"".join(x for _, x in side) != whole.encode() for side in (left, right)):
+        return [], []
+    return left, right
+
+
+def spans(tokens):
+    out, at = [], 0
+    for i, x in tokens:
+        out.append((i, at, at + len(x)))
+        at += len(x)
+    return out
+
+
+def by_brute_force(libraries, texts):
+    linked, found = [], []
+    for text in texts:
+        left, right = (spans(t) for t in tokens_by_library(libraries, text))
+        pairs = [(a, b) for a, s, e in left for b, u, v in right if s < v and u < e]
+        linked.append(pairs)
+        ends = sorted({e for _, _, e in left} & {e for _, _, e in right})
+        groups, begin = [], 0
+        for end in ends:
+            sides = [",".join(str(i) for i, _, e in t if begin < e <= end) for t in (left, right)]
+            groups.append("|".join(sides))
+            begin = end
+        digest = hashlib.sha256(";".join(groups).encode()).hexdigest() if left else ""
+        found.append((len(left), len(right), len(groups), len(pairs), digest))
+    counts = Counter(p for pairs in linked for p in set(pairs))
+    most = {}
+    for (a, _), n in counts.items():
+        most[a] = max(most.get(a, 0), n)
+    return [
+        (*f[:4], sum(counts[p] == most[p[0]] for p in pairs), sum(counts[p] for p in pairs), f[4]) for f, pairs in zip(found, linked)
+    ]
+
+
+ODD = [
+    "",
+    None,
+    "a",
+    " ",
+    "   ",
+    "two  spaces   here ",
+    "\n\n a\tb \r\n",
+    "x▁y",
+    "<|endoftext|> <s> </s> <unk> <0x41>",
+    "Ünï cödé 漢字 \U0001f600\U0001f468‍\U0001f469‍\U0001f467 　x",
+    "a\x00b\x7f",
+    "don't 'S it's 1234567 $$$",
+    "ﬁ ½ Ａ é",
+    "word" * 300,
+    "  lead" + " " * 40 + "trail   ",
+]
+
+
+def test_odd_texts_and_batches(spark, files, libraries):
+    rng = random.Random(1)
+    texts = ODD + ["".join(rng.choices("ab é\n漢'<0x", k=rng.randint(0, 60))) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    want = [(i, *w) for i, w in enumerate(by_brute_force(libraries, texts))]
+    assert rows(digests(docs, files)) == sorted(want, key=repr)
+    assert rows(digests(docs, files, batch=50)) == sorted(want, key=repr)
+
+
+def test_given_documents(spark, files, libraries):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").filter("length(text) < 3000")
+    table = docs.collect()
+    want = [(r.doc_id, *w) for r, w in zip(table, by_brute_force(libraries, [r.text for r in table]))]
+    assert rows(digests(docs, files)) == sorted(want, key=repr)
+
+
+def test_encoders_are_those_of_the_libraries(own, libraries):
+    rng = random.Random(2)
+    letters = [chr(c) for c in rng.sample([c for c in range(1, 0x30000) if not 0xD800 <= c < 0xE000], 3000)]
+    texts = ["".join(rng.choices(letters + list(" abcd.") * 300, k=40)) for _ in range(1500)]
+    for text in texts:
+        left, right = tokens_by_library(libraries, text)
+        a, b = own.encode(text)
+        assert (a.tolist(), b.tolist()) == ([i for i, _ in left], [i for i, _ in right]), text
+
+
+def test_edge_cases(spark, files, libraries, edges, no_docs):
+    table = edges.select("doc_id", "text").collect()
+    texts = [t if t is None or len(t) < 5000 else None for _, t in table]
+    short = spark.createDataFrame([(d, t, 1, "x") for (d, _), t in zip(table, texts)], "doc_id long, text string, batch int, pair string")
+    want = [(d, *w) for (d, _), w in zip(table, by_brute_force(libraries, texts))]
+    assert rows(digests(short, files)) == sorted(want, key=repr)
+    assert digests(edges, files).count() == len(table)
+    assert digests(no_docs, files).collect() == []
+
+
+def test_a_very_long_text(own):
+    text = "".join(random.Random(3).choices("abcdefgh  \n", k=300_000))
+    block = Block.of([own.encode(text)], own)
+    assert int(own.a_size[block.a].sum()) == int(block.shared.sum()) == len(text) + 1
+    groups = int(block.groups_of_docs()[0])
+    assert len(block.link_a) == len(block.a) + len(block.b) - groups
+
+
+def test_products_against_whole_matrices(monkeypatch):
+    rng = np.random.default_rng(4)
+    for _ in range(20):
+        n, k, m = rng.integers(1, 12, 3)
+        x, y = (rng.random(s) < 0.3 for s in ((n, k), (k, m)))
+        x, y = x * rng.integers(1, 5, (n, k)), y * rng.integers(1, 5, (k, m))
+
+        def compressed(matrix):
+            row, column = np.nonzero(matrix)
+            return Rows(np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(matrix)))]), column, matrix[row, column])
+
+        want = x @ y
+        for at_once in (1, 7, 1 << 20):
+            got = np.zeros_like(want)
+            for row, column, value in gustavson(compressed(x), compressed(y), at_once):
+                got[row, column] += value
+            assert (got == want).all()
+        turned = compressed(y).transposed(m)
+        row, column, value = whole_product(turned, compressed(y))
+        got = np.zeros((m, m), int)
+        got[row, column] = value
+        assert (got == y.T @ y).all()
+
+
+def test_links_and_groups_of_the_general_operator(spark, files, own, libraries):
+    docs = spark.createDataFrame([(1, "Ein kurzer Text, zum Beispiel."), (2, "unwahrscheinliché"), (3, None)], "doc_id long, text string")
+    found = alignments(docs, files).collect()
+    for doc_id, text in docs.collect():
+        left, right = (spans(t) for t in tokens_by_library(libraries, text))
+        want = [
+            (i, j, a, b, min(e, v) - max(s, u))
+            for i, (a, s, e) in enumerate(left)
+            for j, (b, u, v) in enumerate(right)
+            if s < v and u < e
+        ]
+        assert sorted(tuple(r)[1:] for r in found if r[0] == doc_id) == want
+    shared = alignments(docs, files, shared_groups=True).collect()
+    links = {tuple(r)[:3] for r in found}
+    assert links <= {tuple(r)[:3] for r in shared}
+    for doc_id, text in docs.collect():
+        left, right = (spans(t) for t in tokens_by_library(libraries, text))
+        ends = sorted({e for *_, e in left} & {e for *_, e in right})
+        group = lambda e: next(i for i, x in enumerate(ends) if e <= x)
+        want = {(i, j) for i, (*_, e) in enumerate(left) for j, (*_, f) in enumerate(right) if group(e) == group(f)}
+        assert {(r[1], r[2]) for r in shared if r[0] == doc_id} == want
+
+
+def test_files_of_another_kind_are_refused(tmp_path):
+    with pytest.raises(ValueError):
+        Encoders(Vocabularies.read(public_tokenizers.path("word_bpe_49k.json"), B))
+    assert token_alignment.MAX_VOCABULARY_BYTES >= 1 << 20
