@@ -405,7 +405,8 @@ def link_batches(docs: DataFrame, files: Vocabularies, size: int = BATCH) -> Dat
 
 def _pairs(batches: DataFrame) -> DataFrame:
     zipped = F.explode(F.arrays_zip("pairs", "with_it")).alias("x")
-    return batches.select("batch", zipped).select("batch", F.col("x.pairs").alias("pair"), F.col("x.with_it").alias("with_it"))
+    exploded = batches.select(F.col("batch").alias("batch"), zipped)
+    return exploded.select("batch", F.col("x.pairs").alias("pair"), F.col("x.with_it").alias("with_it"))
 
 
 def pair_counts(batches: DataFrame, b_ids: int) -> DataFrame:
