@@ -1,4 +1,8 @@
-"""Mergeable metrics: what a day computes from events, and how days add up."""
+"""Mergeable metrics: what a day computes from events, how days add up, and the figure that is shown.
+
+A metric keeps one or more state columns in both result tables. States merge, figures need not: an average is kept as sum
+and count, a number of different values as a sketch.
+"""
 
 from __future__ import annotations
 
@@ -6,38 +10,65 @@ from dataclasses import dataclass
 from decimal import Decimal
 from typing import Protocol
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+@dataclass(frozen=True)
+class State:
+    """A stored column."""
+
+    name: str
+    sql_type: str
+
+
 class Metric(Protocol):
-    """``per_day`` aggregates events; ``fold`` aggregates values that ``per_day`` or ``fold`` gave before."""
+    """``per_day`` aggregates events into the states; ``fold`` aggregates states that either gave before.
+
+    Both give a column for each state, in the order of ``states``. ``figure`` is what a reader of the table sees.
+    """
 
     @property
     def name(self) -> str: ...
 
     @property
-    def sql_type(self) -> str: ...
+    def states(self) -> tuple[State, ...]: ...
+
+    def per_day(self) -> tuple[Column, ...]: ...
 
-    def per_day(self) -> Column: ...
+    def fold(self) -> tuple[Column, ...]: ...
 
-    def fold(self, value: Column) -> Column: ...
+    def figure(self) -> Column: ...
+
+
+class OneState:
+    """A metric whose figure is its only state, under its own name."""
+
+    name: str
+    sql_type: str
+
+    @property
+    def states(self) -> tuple[State, ...]:
+        return (State(self.name, self.sql_type),)
+
+    def figure(self) -> Column:
+        return F.col(self.name)
 
 
 @dataclass(frozen=True)
-class EventCount:
+class EventCount(OneState):
     name: str = "event_count"
     sql_type: str = "bigint"
 
-    def per_day(self) -> Column:
-        return F.count(F.lit(1))
+    def per_day(self) -> tuple[Column, ...]:
+        return (F.count(F.lit(1)),)
 
-    def fold(self, value: Column) -> Column:
-        return F.sum(value)
+    def fold(self) -> tuple[Column, ...]:
+        return (F.sum(self.name),)
 
 
 @dataclass(frozen=True)
-class FixedSum:
+class FixedSum(OneState):
     """Sum of a number with a fixed count of decimals, exact and independent of row order.
 
     The sum runs over whole units (cents for scale 2) in a long: a decimal sum of the same width keeps its buffer as a
@@ -71,28 +102,150 @@ class FixedSum:
         message = F.concat(F.lit(f"{self.column} does not fit {self.sql_type}: "), value.cast("string"))
         return F.when(lost, F.raise_error(message).cast(self.sql_type)).otherwise(fixed)
 
-    def per_day(self) -> Column:
-        return self._from_units(F.sum(self._units(self._fits(F.col(self.column)))))
+    def per_day(self) -> tuple[Column, ...]:
+        return (self._from_units(F.sum(self._units(self._fits(F.col(self.column))))),)
 
-    def fold(self, value: Column) -> Column:
-        return self._from_units(F.sum(self._units(value)))
+    def fold(self) -> tuple[Column, ...]:
+        return (self._from_units(F.sum(self._units(F.col(self.name)))),)
 
 
 @dataclass(frozen=True)
-class Latest:
+class Latest(OneState):
     name: str = "last_seen"
     column: str = "start_time"
     sql_type: str = "timestamp_ntz"
 
-    def per_day(self) -> Column:
-        return F.max(self.column)
+    def per_day(self) -> tuple[Column, ...]:
+        return (F.max(self.column),)
+
+    def fold(self) -> tuple[Column, ...]:
+        return (F.max(self.name),)
+
+
+@dataclass(frozen=True)
+class Average:
+    """Mean of the values that are not null, kept as an exact sum and a count; null where there is no value."""
+
+    name: str = "average_value"
+    column: str = "value"
+    scale: int = 2
+
+    @property
+    def _sum(self) -> FixedSum:
+        return FixedSum(f"{self.name}_sum", self.column, self.scale)
+
+    @property
+    def _count(self) -> str:
+        return f"{self.name}_count"
+
+    @property
+    def states(self) -> tuple[State, ...]:
+        return (*self._sum.states, State(self._count, "bigint"))
+
+    def per_day(self) -> tuple[Column, ...]:
+        return (*self._sum.per_day(), F.count(self.column))
+
+    def fold(self) -> tuple[Column, ...]:
+        return (*self._sum.fold(), F.sum(self._count))
+
+    def figure(self) -> Column:
+        count = F.col(self._count)
+        return F.when(count > 0, F.col(self._sum.name).cast("double") / count)
+
+
+@dataclass(frozen=True)
+class Different:
+    """About how many different values there are, kept as a HyperLogLog sketch of 2^``log_size`` registers.
+
+    The relative standard error is 1.04 / sqrt(2^log_size), 1.6 % for 12, and less for few values: some hundreds are
+    counted exactly. A state takes up to 2^(log_size - 1) bytes.
+    """
+
+    name: str = "event_types"
+    column: str = "event_type"
+    log_size: int = 12
+
+    @property
+    def _sketch(self) -> str:
+        return f"{self.name}_sketch"
+
+    @property
+    def states(self) -> tuple[State, ...]:
+        return (State(self._sketch, "binary"),)
+
+    def per_day(self) -> tuple[Column, ...]:
+        return (F.hll_sketch_agg(self.column, self.log_size),)
+
+    def fold(self) -> tuple[Column, ...]:
+        return (F.hll_union_agg(self._sketch),)
+
+    def figure(self) -> Column:
+        return F.hll_sketch_estimate(self._sketch)
+
+
+@dataclass(frozen=True)
+class Quantile:
+    """A value below or at which about a share ``q`` of the values lies, kept as a KLL sketch.
+
+    Up to ``k`` values the answer is exact. Beyond, the rank of the answer is off by 1.65 % of the values at most for k =
+    200, with 99 % confidence, however often states are merged; twice the ``k`` gives half of that. Null where there is
+    no value.
+    """
 
-    def fold(self, value: Column) -> Column:
-        return F.max(value)
+    name: str = "median_value"
+    column: str = "value"
+    q: float = 0.5
+    k: int = 200
+
+    @property
+    def _sketch(self) -> str:
+        return f"{self.name}_sketch"
+
+    @property
+    def states(self) -> tuple[State, ...]:
+        return (State(self._sketch, "binary"),)
+
+    def per_day(self) -> tuple[Column, ...]:
+        return (F.kll_sketch_agg_double(F.col(self.column).cast("double"), F.lit(self.k)),)
+
+    def fold(self) -> tuple[Column, ...]:
+        return (F.kll_merge_agg_double(F.col(self._sketch), F.lit(self.k)),)
+
+    def figure(self) -> Column:
+        some = F.kll_sketch_get_n_double(self._sketch) > 0
+        return F.when(some, F.kll_sketch_get_quantile_double(self._sketch, F.lit(self.q)))
 
 
 DEFAULT_METRICS: tuple[Metric, ...] = (EventCount(), FixedSum(), Latest())
+# With an average, a number of different values and a median.
+RICH_METRICS: tuple[Metric, ...] = (*DEFAULT_METRICS, Average(), Different(), Quantile())
+
+
+def states(metrics: tuple[Metric, ...]) -> list[State]:
+    return [state for m in metrics for state in m.states]
+
+
+def state_names(metrics: tuple[Metric, ...]) -> list[str]:
+    return [state.name for state in states(metrics)]
+
+
+def per_day(metrics: tuple[Metric, ...]) -> list[Column]:
+    """Aggregates of events, named as the states."""
+    return [c.alias(s.name) for m in metrics for s, c in zip(m.states, m.per_day(), strict=True)]
+
+
+def folds(metrics: tuple[Metric, ...]) -> list[Column]:
+    """Aggregates of states, named as the states."""
+    return [c.alias(s.name) for m in metrics for s, c in zip(m.states, m.fold(), strict=True)]
 
 
-def names(metrics: tuple[Metric, ...]) -> list[str]:
-    return [m.name for m in metrics]
+def figures(rows: DataFrame, metrics: tuple[Metric, ...]) -> DataFrame:
+    """Rows of a result table with the metrics' figures in place of their states; other columns stay."""
+    shown: list[Column] = []
+    by_state = {s.name: m for m in metrics for s in m.states[:1]}
+    for column in rows.columns:
+        if column in by_state:
+            shown.append(by_state[column].figure().alias(by_state[column].name))
+        elif column not in state_names(metrics):
+            shown.append(F.col(column))
+    return rows.select(*shown)

@@ -11,17 +11,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daytally.functions.dates import ntz
-from daytally.functions.metrics import DEFAULT_METRICS, Metric, names
+from daytally.functions.metrics import DEFAULT_METRICS, Metric, folds, state_names
 
 KEY = "user_id"
 
 
 def cumulative_columns(metrics: tuple[Metric, ...]) -> list[str]:
-    return [KEY, *names(metrics), "update_time"]
-
-
-def _folds(metrics: tuple[Metric, ...]) -> list[Column]:
-    return [m.fold(F.col(m.name)).alias(m.name) for m in metrics]
+    return [KEY, *state_names(metrics), "update_time"]
 
 
 def _stack(previous: DataFrame, daily: DataFrame, buckets: int | None) -> DataFrame:
@@ -56,7 +52,7 @@ def merge_staging(
     if distinct:
         # Spread by user before the de-duplication: both it and the regrouping then run on this one shuffle.
         rows = rows.distinct() if buckets else rows.repartition(KEY).distinct()
-    return rows.groupBy(KEY).agg(*_folds(metrics), F.max("update_time").alias("update_time"))
+    return rows.groupBy(KEY).agg(*folds(metrics), F.max("update_time").alias("update_time"))
 
 
 def update_from(
@@ -67,7 +63,7 @@ def update_from(
 ) -> DataFrame:
     """The old users, with the staged figures and the run's time."""
     return previous.select(KEY).join(staging, KEY, "inner").select(
-        KEY, *names(metrics), ntz(run_ts).alias("update_time")
+        KEY, *state_names(metrics), ntz(run_ts).alias("update_time")
     )
 
 
@@ -116,7 +112,7 @@ def upsert(
     merged = (
         _stack(old, new, buckets)
         .groupBy(KEY)
-        .agg(*_folds(metrics), F.max("update_time").alias("update_time"), F.max("known").alias("known"))
+        .agg(*folds(metrics), F.max("update_time").alias("update_time"), F.max("known").alias("known"))
     )
     stamp = F.when(F.col("known"), ntz(run_ts)).otherwise(F.col("update_time"))
-    return merged.select(KEY, *names(metrics), stamp.alias("update_time"))
+    return merged.select(KEY, *state_names(metrics), stamp.alias("update_time"))

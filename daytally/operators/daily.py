@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daytally.functions.dates import in_days, next_day, ntz, on_days, run_time
-from daytally.functions.metrics import DEFAULT_METRICS, Metric
+from daytally.functions.metrics import DEFAULT_METRICS, Metric, per_day
 
 DAILY_KEYS = ("user_id", "event_date", "upload_date")
 
@@ -53,6 +53,6 @@ def daily_range(
             F.to_date("start_time").alias("event_date"),
             F.to_date("upload_time").alias("upload_date"),
         )
-        .agg(*[m.per_day().alias(m.name) for m in metrics])
+        .agg(*per_day(metrics))
         .withColumn("update_time", update_time)
     )

@@ -10,7 +10,7 @@ from itertools import accumulate
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daytally.functions.metrics import DEFAULT_METRICS, Metric, names
+from daytally.functions.metrics import DEFAULT_METRICS, Metric, states
 from daytally.functions.rules import USER_ID_LENGTH, daily_rules
 from daytally.operators.cumulative import cumulative_columns, merge_staging, upsert
 from daytally.operators.quality import tag_rows
@@ -82,12 +82,12 @@ class CalcTables:
         return self
 
     def _final_columns(self) -> list[tuple[str, str]]:
-        figures = [(m.name, m.sql_type) for m in self.metrics]
+        figures = [(s.name, s.sql_type) for s in states(self.metrics)]
         return [("user_id", f"varchar({USER_ID_LENGTH})"), *figures, ("update_time", "timestamp_ntz"), ("as_of", "date")]
 
     def _daily_columns(self) -> list[tuple[str, str]]:
         keys = [("id", "bigint"), ("user_id", f"varchar({USER_ID_LENGTH})"), ("event_date", "date")]
-        figures = [(m.name, m.sql_type) for m in self.metrics]
+        figures = [(s.name, s.sql_type) for s in states(self.metrics)]
         return [*keys, *figures, ("update_time", "timestamp_ntz"), ("upload_date", "date")]
 
     @staticmethod

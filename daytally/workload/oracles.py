@@ -10,6 +10,11 @@ METRICS = """COUNT(*) AS event_count,
        CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value,
        MAX(start_time) AS last_seen"""
 
+RICH_METRICS = f"""{METRICS},
+       CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / COUNT(value) AS average_value,
+       COUNT(DISTINCT event_type) AS event_types,
+       quantile_disc(value, 0.5) AS median_value"""
+
 MERGED_METRICS = """CAST(SUM(event_count) AS BIGINT) AS event_count,
        CAST(SUM(CAST(total_value AS DECIMAL(18,2))) AS DOUBLE) AS total_value,
        MAX(last_seen) AS last_seen"""
@@ -115,10 +120,10 @@ LEFT_JOIN = """SELECT a.user_id, b.user_id AS b_user_id
 FROM final_prev a LEFT JOIN daily_tmp b ON a.user_id = b.user_id"""
 
 
-def _closed_form(end: date, where: str = "TRUE") -> str:
+def _closed_form(end: date, where: str = "TRUE", metrics: str = METRICS) -> str:
     return f"""{_with(_uploads())}
 SELECT user_id,
-       {METRICS},
+       {metrics},
        {_run(end - DAY)} AS update_time
 FROM uploads WHERE upload_time < {_ts(end)} AND {where} GROUP BY user_id"""
 
@@ -131,6 +136,12 @@ FROM (SELECT user_id, CAST(start_time AS DATE) AS event_date, CAST(upload_time A
        {METRICS}
       FROM uploads WHERE {GOOD_ID} GROUP BY ALL) d"""
 
+DAILY_FIGURES = f"""{_with(_uploads())}
+SELECT user_id, CAST(start_time AS DATE) AS event_date, CAST(upload_time AS DATE) AS upload_date,
+       {RICH_METRICS},
+       CAST(CAST(upload_time AS DATE) AS TIMESTAMP) + INTERVAL '17 hours 36 minutes' AS update_time
+FROM uploads GROUP BY user_id, CAST(start_time AS DATE), CAST(upload_time AS DATE)"""
+
 DAILY_APPEND = f"""{_with(_uploads(), _daily(FIFTH_DAY))}
 SELECT row_number() OVER (ORDER BY user_id, event_date, upload_date) AS id,
        user_id, event_date, event_count, total_value, last_seen, upload_date, update_time
@@ -180,6 +191,8 @@ INCLUSIVE_DAILY_ALL = INCLUSIVE_DAILY.replace("TIMESTAMP '2024-01-04'", f"TIMEST
 ORACLES: dict[str, str] = {
     "daily_calc": f"{_with(_uploads(), _daily(FIFTH_DAY))}\nSELECT * FROM daily_tmp",
     "daily_calc_inclusive": f"{_with(_uploads(), _daily(FIFTH_DAY, '<='))}\nSELECT * FROM daily_tmp",
+    "daily_figures": DAILY_FIGURES,
+    "upsert_figures": _closed_form(END, metrics=RICH_METRICS),
     "recreate_staging": f"{_with(_uploads(), _daily(SECOND_DAY))}\nSELECT * FROM daily_tmp",
     "daily_append": DAILY_APPEND,
     "backfill_daily": BACKFILL_DAILY,

@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daytally.functions.dates import days, next_day, ntz, run_time
+from daytally.functions.dates import days, next_day, ntz, run_time, run_time_of
 from daytally.functions.loglines import json_lines
-from daytally.functions.metrics import DEFAULT_METRICS, EventCount, Metric
+from daytally.functions.metrics import DEFAULT_METRICS, RICH_METRICS, EventCount, Metric, figures, per_day
 from daytally.functions.rules import user_rules
 from daytally.operators.cumulative import (
     insert_new_users,
@@ -22,7 +22,7 @@ from daytally.operators.cumulative import (
     update_from,
     upsert,
 )
-from daytally.operators.daily import daily_calc
+from daytally.operators.daily import daily_calc, daily_range
 from daytally.operators.quality import constraint_violations, duplicate_keys, split_rows
 from daytally.plans.ingest import ingest_day, ingest_logs
 from daytally.plans.load import load_day, load_lake
@@ -59,11 +59,11 @@ def for_output(rows: DataFrame) -> DataFrame:
     return rows.withColumns(casts) if casts else rows
 
 
-def new_tables(spark: SparkSession, label: str) -> CalcTables:
+def new_tables(spark: SparkSession, label: str, kind: type[CalcTables] = CalcTables, **options) -> CalcTables:
     configure(spark)
     database = f"daytally_{label}_{uuid.uuid4().hex[:12]}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return CalcTables(spark, database, run_dir(spark, label), buckets).create()
+    return kind(spark, database, run_dir(spark, label), buckets, **options).create()
 
 
 # Daily table
@@ -98,6 +98,14 @@ def q_backfill_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return for_output(spark.table(tables.daily))
 
 
+def q_daily_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Averages, numbers of different event types and medians of all days."""
+    configure(spark)
+    stamp = run_time_of(F.col("upload_date"))
+    daily = daily_range(uploads(spark, sf_dir), FIRST_DAY, END, RICH_METRICS, stamp)
+    return for_output(figures(daily, RICH_METRICS))
+
+
 # Cumulative table
 
 
@@ -106,8 +114,7 @@ def previous_of(spark: SparkSession, sf_dir: str, ds: date, dirty: bool = False)
     rows = uploads(spark, sf_dir, end=ds, dirty=dirty).where(F.col("upload_time") < ntz(ds))
     good, _ = split_rows(rows, user_rules())
     stamp = ntz(run_time(days(FIRST_DAY, ds)[-1]))
-    figures = [m.per_day().alias(m.name) for m in DEFAULT_METRICS]
-    return good.groupBy("user_id").agg(*figures).withColumn("update_time", stamp)
+    return good.groupBy("user_id").agg(*per_day(DEFAULT_METRICS)).withColumn("update_time", stamp)
 
 
 def good_daily(spark: SparkSession, sf_dir: str, ds: date, dirty: bool = False) -> DataFrame:
@@ -163,6 +170,14 @@ def q_upsert_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return for_output(run_day(tables, events, LATE_DAY))
 
 
+def q_upsert_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same figures per user: a backfill, then four days one by one, so that states are folded over and over."""
+    tables, events = new_tables(spark, "figures", metrics=RICH_METRICS), stored(uploads(spark, sf_dir), "uploads")
+    backfill(tables, events, FIRST_DAY, LATE_DAY)
+    run_days(tables, events, LATE_DAY, END)
+    return for_output(figures(tables.latest(), RICH_METRICS))
+
+
 def q_run_days(spark: SparkSession, sf_dir: str, end: date = END) -> DataFrame:
     """Day by day over all upload days; the last snapshot."""
     tables = new_tables(spark, "run")
@@ -353,6 +368,7 @@ def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "daily_calc": q_daily_calc,
     "daily_calc_inclusive": partial(q_daily_calc, inclusive_end=True),
+    "daily_figures": q_daily_figures,
     "recreate_staging": q_recreate_staging,
     "daily_append": q_daily_append,
     "backfill_daily": q_backfill_daily,
@@ -370,6 +386,7 @@ QUERIES: dict[str, Query] = {
     "upsert_final_dirty": partial(q_upsert_final, ds=SECOND_DAY, dirty=True),
     "upsert_final_late": partial(q_upsert_final, ds=LATE_DAY),
     "upsert_bucketed": q_upsert_bucketed,
+    "upsert_figures": q_upsert_figures,
     "run_days": q_run_days,
     "run_days_gated": q_run_days_gated,
     "run_days_inclusive": q_run_days_inclusive,

@@ -1,0 +1,87 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from daytally.functions.metrics import (
+    DEFAULT_METRICS,
+    RICH_METRICS,
+    Average,
+    Different,
+    EventCount,
+    Quantile,
+    figures,
+    folds,
+    per_day,
+    state_names,
+)
+from daytally.operators.cumulative import upsert
+from daytally.operators.daily import daily_calc
+from daytally.functions.dates import run_time
+
+
+def test_a_metric_of_one_state_is_its_own_figure(spark):
+    rows = spark.createDataFrame([("a", 3)], "user_id string, event_count long")
+    assert figures(rows, (EventCount(),)).columns == ["user_id", "event_count"]
+
+
+def test_states_and_figures_have_their_own_names():
+    assert state_names(DEFAULT_METRICS) == ["event_count", "total_value", "last_seen"]
+    names = state_names(RICH_METRICS)
+    assert names[3:] == ["average_value_sum", "average_value_count", "event_types_sketch", "median_value_sketch"]
+    assert len(set(names)) == len(names)
+
+
+def test_days_add_up_to_the_whole(spark):
+    """States folded over days, in several steps, give the figures of all rows at once, not the mean of means."""
+    rng = random.Random(1)
+    rows = [(f"u{rng.randint(0, 5)}", rng.randint(0, 6), rng.choice([None, 0.25, 1.5, -3.0, 99.99]), rng.choice("abcde")) for _ in range(400)]
+    rows.append(("nothing", 1, None, None))
+    metrics = (EventCount(), Average(), Different(), Quantile())
+    events = spark.createDataFrame(rows, "user_id string, day int, value double, event_type string")
+    daily = events.groupBy("user_id", "day").agg(*per_day(metrics))
+    twice = daily.groupBy("user_id", (F.col("day") % 3).alias("part")).agg(*folds(metrics))
+    got = {r["user_id"]: r for r in figures(twice.groupBy("user_id").agg(*folds(metrics)), metrics).collect()}
+    for user in {r[0] for r in rows}:
+        own = [r for r in rows if r[0] == user]
+        values = sorted(r[2] for r in own if r[2] is not None)
+        assert got[user]["event_count"] == len(own)
+        assert got[user]["event_types"] == len({r[3] for r in own if r[3]})
+        if values:
+            assert got[user]["average_value"] == pytest.approx(sum(values) / len(values), rel=1e-12)
+            assert got[user]["median_value"] == values[(len(values) - 1) // 2]
+    assert got["nothing"]["average_value"] is None and got["nothing"]["median_value"] is None
+
+
+def test_the_error_of_a_number_of_different_values(spark):
+    """Within four standard errors, from many states and from one."""
+    for n in (1_000, 50_000, 200_000):
+        rows = spark.range(n).select((F.col("id") % 7).alias("day"), F.col("id").cast("string").alias("event_type"))
+        rows = rows.unionByName(rows.filter("day < 3"))  # the same values again
+        days = rows.groupBy("day").agg(*per_day((Different(),)))
+        found = figures(days.agg(*folds((Different(),))), (Different(),)).first()["event_types"]
+        assert abs(found - n) <= 4 * 0.01625 * n
+
+
+def test_the_error_of_a_median(spark):
+    n = 100_000
+    rows = spark.range(n).select((F.col("id") % 40).alias("day"), ((F.col("id") * 7919) % n).cast("double").alias("value"))
+    for q in (0.05, 0.5, 0.99):
+        metric = Quantile(q=q)
+        days = rows.groupBy("day").agg(*per_day((metric,)))
+        found = figures(days.agg(*folds((metric,))), (metric,)).first()["median_value"]
+        assert abs(found / n - q) <= 0.0165 + 0.005
+
+
+def test_upsert_keeps_the_states(spark, events):
+    feed = events(
+        ("a", "2024-01-01 10:00:00", "2024-01-01 11:00:00", 1.0),
+        ("a", "2024-01-01 12:00:00", "2024-01-01 13:00:00", 2.0),
+        ("a", "2024-01-02 10:00:00", "2024-01-02 11:00:00", 6.0),
+        ("b", "2024-01-02 10:00:00", "2024-01-02 11:00:00", None),
+    ).withColumn("event_type", F.lit("x"))
+    none = daily_calc(feed, "2023-12-31", RICH_METRICS).drop("event_date", "upload_date")
+    first = upsert(none, daily_calc(feed, "2024-01-01", RICH_METRICS), run_time("2024-01-01"), RICH_METRICS)
+    second = upsert(first, daily_calc(feed, "2024-01-02", RICH_METRICS), run_time("2024-01-02"), RICH_METRICS)
+    got = {r["user_id"]: (r["average_value"], r["event_types"], r["median_value"]) for r in figures(second, RICH_METRICS).collect()}
+    assert got == {"a": (3.0, 1, 2.0), "b": (None, 1, None)}
