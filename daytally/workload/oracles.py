@@ -211,6 +211,8 @@ ORACLES: dict[str, str] = {
     "upsert_final_late": _upsert(LATE_DAY),
     "upsert_bucketed": _upsert(LATE_DAY, dirty=True),
     "run_days": _closed_form(END),
+    "run_days_deltas": _closed_form(END),
+    "correct_day": _closed_form(END),
     "run_days_gated": _closed_form(END),
     "run_days_inclusive": INCLUSIVE_DAILY,
     "run_days_inclusive_all": INCLUSIVE_DAILY_ALL,

@@ -24,6 +24,7 @@ from daytally.operators.cumulative import (
 )
 from daytally.operators.daily import daily_calc, daily_range
 from daytally.operators.quality import constraint_violations, duplicate_keys, split_rows
+from daytally.plans.deltas import DeltaTables
 from daytally.plans.ingest import ingest_day, ingest_logs
 from daytally.plans.load import load_day, load_lake
 from daytally.plans.pipeline import backfill, run_day, run_days
@@ -184,6 +185,22 @@ def q_run_days(spark: SparkSession, sf_dir: str, end: date = END) -> DataFrame:
     return for_output(run_days(tables, stored(uploads(spark, sf_dir), "uploads"), FIRST_DAY, end))
 
 
+def q_run_days_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Day by day as deltas, with a base now and then; all users as of the last run."""
+    tables = new_tables(spark, "deltas", DeltaTables, compact_after=12)
+    return for_output(run_days(tables, stored(uploads(spark, sf_dir), "uploads"), FIRST_DAY, END))
+
+
+def q_correct_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All days run while the second lacks some uploads and has others twice; then that day alone is corrected."""
+    tables, events = new_tables(spark, "correct", DeltaTables), stored(uploads(spark, sf_dir), "uploads")
+    second = F.to_date("upload_time") == F.lit(SECOND_DAY)
+    wrong = events.where(~(second & (F.col("event_id") % 3 == 0))).unionByName(events.where(second & (F.col("event_id") % 7 == 0)))
+    backfill(tables, wrong, FIRST_DAY, LATE_DAY)
+    run_days(tables, wrong, LATE_DAY, END)
+    return for_output(tables.correct_day(events, SECOND_DAY))
+
+
 def q_run_days_gated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Over a range that is wider than what has landed, each day from its own folder of the lake."""
     tables, lake = new_tables(spark, "gated"), shared_lake(spark, sf_dir)
@@ -388,6 +405,8 @@ QUERIES: dict[str, Query] = {
     "upsert_bucketed": q_upsert_bucketed,
     "upsert_figures": q_upsert_figures,
     "run_days": q_run_days,
+    "run_days_deltas": q_run_days_deltas,
+    "correct_day": q_correct_day,
     "run_days_gated": q_run_days_gated,
     "run_days_inclusive": q_run_days_inclusive,
     "run_days_inclusive_all": partial(q_run_days_inclusive, end=END),

@@ -1,0 +1,173 @@
+import uuid
+from datetime import date
+
+import pytest
+from helpers import exchanges, plan_of, rows
+from pyspark.sql import functions as F
+
+from daytally.functions.metrics import RICH_METRICS, figures
+from daytally.plans.deltas import DeltaTables
+from daytally.plans.pipeline import backfill, run_day, run_days
+from daytally.plans.tables import CalcTables
+from daytally.session import run_dir
+
+JAN = [date(2024, 1, d) for d in range(1, 10)]
+
+
+def new(spark, kind=DeltaTables, **options):
+    return kind(spark, f"calc_{uuid.uuid4().hex[:12]}", run_dir(spark, "tables"), buckets=4, **options).create()
+
+
+@pytest.fixture
+def feed(events):
+    """Users that come and go, late events, and a day without uploads."""
+    made = []
+    for day in (1, 2, 3, 5, 6):
+        for user in range(1, 8):
+            if (user + day) % 3 == 0 or user == day:
+                made.append((f"u{user}", f"2024-01-0{max(1, day - user % 2)} 10:00:00", f"2024-01-0{day} 12:00:00", user + day / 4))
+    return events(*made, (None, "2024-01-01 01:00:00", "2024-01-01 02:00:00", 1.0))
+
+
+def same(a, b):
+    assert rows(a) == rows(b)
+
+
+def test_every_day_equals_the_full_snapshot(spark, feed):
+    full, deltas = new(spark, CalcTables), new(spark, compact_after=2)
+    for day in JAN[:6]:
+        run_day(full, feed, day)
+        same(run_day(deltas, feed, day), full.latest())
+    for day in JAN[:6]:
+        same(deltas.snapshot(day), full.snapshot(day))
+    assert [e.kind for e in deltas.entries()].count("base") >= 1
+
+
+def test_a_run_writes_the_users_of_its_day(spark, feed):
+    tables = new(spark)
+    run_days(tables, feed, JAN[0], JAN[5])
+    run_day(tables, feed, JAN[5])
+    active = feed.where(F.to_date("upload_time") == F.lit(JAN[5])).where("user_id IS NOT NULL").select("user_id").distinct().count()
+    assert spark.table(tables.delta).where(F.col("as_of") == F.lit(JAN[5])).count() == active < tables.latest().count()
+    assert tables.partition_days(tables.final) == []
+
+
+def test_reads_do_not_shuffle_the_base(spark, feed):
+    tables = new(spark)
+    run_days(tables, feed, JAN[0], JAN[3])
+    tables.compact()
+    run_day(tables, feed, JAN[4])
+    assert exchanges(tables.latest()) == []
+    tables.correct_day(feed.where("user_id <> 'u2'"), JAN[1])
+    assert exchanges(tables.latest()) == []
+    assert "user_final_calc_delta" in plan_of(tables.latest())
+
+
+def test_reruns_and_backfills_start_from_what_was_before(spark, feed):
+    full, deltas = new(spark, CalcTables), new(spark, compact_after=3)
+    early = feed.where("user_id <> 'u3' OR user_id IS NULL")
+    for tables in (full, deltas):
+        run_days(tables, early, JAN[0], JAN[6])
+        backfill(tables, feed, JAN[1], JAN[4])
+        run_day(tables, feed, JAN[5])
+    same(deltas.latest(), full.latest())
+    for tables in (full, deltas):
+        run_days(tables, feed, JAN[0], JAN[2])
+    same(deltas.latest(), full.latest())
+    assert max(e.as_of for e in deltas.entries()) == JAN[1]
+
+
+def test_a_run_that_dies_before_its_ledger_row_is_not_read(spark, feed, monkeypatch):
+    tables = new(spark)
+    run_days(tables, feed, JAN[0], JAN[2])
+    before = rows(tables.latest())
+    monkeypatch.setattr(DeltaTables, "_record", lambda self, entry: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        run_day(tables, feed, JAN[2])
+    monkeypatch.undo()
+    assert rows(tables.latest()) == before
+    full = new(spark, CalcTables)
+    run_days(full, feed, JAN[0], JAN[3])
+    same(run_day(tables, feed, JAN[2]), full.latest())
+
+
+def test_a_correction_equals_running_all_days_again(spark, feed):
+    wrong = feed.where("user_id <> 'u5' OR upload_time > TIMESTAMP_NTZ '2024-01-03'").unionByName(
+        feed.where("user_id = 'u1' AND upload_time < TIMESTAMP_NTZ '2024-01-02'").withColumn("user_id", F.lit("ghost"))
+    )
+    for compact_after in (30, 3):
+        tables, again = new(spark, compact_after=compact_after), new(spark, CalcTables)
+        run_days(tables, wrong, JAN[0], JAN[6])
+        assert "ghost" in [r[0] for r in rows(tables.latest(), "user_id")]
+        tables.correct_day(feed, JAN[0])
+        tables.correct_day(feed, JAN[1])
+        run_days(again, feed, JAN[0], JAN[6])
+        same(tables.latest(), again.latest())
+        daily = lambda t: spark.table(t.daily).drop("id")
+        same(daily(tables), daily(again))
+        later = feed.withColumn("upload_time", F.col("upload_time") + F.expr("INTERVAL 6 DAYS"))
+        same(run_day(tables, later, JAN[6]), run_day(again, later, JAN[6]))
+        tables.compact()
+        same(tables.latest(), again.latest())
+
+
+def test_a_correction_writes_changed_users_only(spark, feed):
+    tables = new(spark)
+    run_days(tables, feed.where("user_id <> 'u2'"), JAN[0], JAN[6])
+    tables.correct_day(feed, JAN[1])
+    assert rows(spark.table(tables.changed_temp)) == [("u2",)]
+    corrected = max(tables.entries())
+    assert corrected.kind == "correction"
+    assert spark.table(tables.delta).where(f"seq = {corrected.seq}").count() == 1
+
+
+def test_a_correction_needs_a_day_that_has_run(spark, feed):
+    tables = new(spark)
+    with pytest.raises(ValueError):
+        tables.correct_day(feed, JAN[0])
+    run_day(tables, feed, JAN[0])
+    with pytest.raises(ValueError):
+        tables.correct_day(feed, JAN[1])
+
+
+def test_a_second_base_of_a_day(spark, feed):
+    tables, full = new(spark), new(spark, CalcTables)
+    run_days(tables, feed.where("user_id <> 'u4'"), JAN[0], JAN[4])
+    tables.compact()
+    tables.correct_day(feed, JAN[2])
+    tables.correct_day(feed, JAN[1])
+    tables.correct_day(feed, JAN[0])
+    tables.compact()
+    run_days(full, feed, JAN[0], JAN[4])
+    same(tables.latest(), full.latest())
+    assert tables.latest().inputFiles() and not tables._live(tables.entries())[1]
+
+
+def test_old_entries_are_dropped_up_to_a_base(spark, feed):
+    tables = new(spark)
+    run_days(tables, feed, JAN[0], JAN[3])
+    tables.drop_snapshots_before(JAN[2])
+    assert len(tables.entries()) == 3
+    tables.compact()
+    run_days(tables, feed, JAN[3], JAN[6])
+    before = rows(tables.latest())
+    tables.drop_snapshots_before(JAN[5])
+    assert [e.kind for e in tables.entries()] == ["base", "run", "run", "run"]
+    assert rows(tables.latest()) == before
+
+
+def test_sketches_in_deltas(spark, feed):
+    feed = feed.withColumn("event_type", F.substring("user_id", 2, 1))
+    full, deltas = new(spark, CalcTables, metrics=RICH_METRICS), new(spark, metrics=RICH_METRICS, compact_after=2)
+    for tables in (full, deltas):
+        run_days(tables, feed, JAN[0], JAN[6])
+    deltas.correct_day(feed, JAN[1])
+    same(figures(deltas.latest(), RICH_METRICS), figures(full.latest(), RICH_METRICS))
+
+
+def test_tables_that_exist_must_fit(spark):
+    tables = new(spark)
+    with pytest.raises(ValueError):
+        DeltaTables(spark, tables.database, tables.location, 4, RICH_METRICS).create()
+    with pytest.raises(NotImplementedError):
+        tables.rebucket(8)
