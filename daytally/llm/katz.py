@@ -28,6 +28,7 @@ from __future__ import annotations
 import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -47,6 +48,7 @@ KEEP_LARGE = 0.999
 CACHED_WORDS = 300_000
 
 U = np.uint64
+PLACE = np.int32
 CODEC = pa.Codec("zstd", compression_level=6)
 END, BEGIN = U(xxhash.xxh64_intdigest(b"\n")), U(xxhash.xxh64_intdigest(b"\n\n"))  # no word has a line break
 
@@ -180,25 +182,25 @@ class Grams:
 
 
 def grams_of(lengths: np.ndarray, words: np.ndarray, order: int) -> list[Grams]:
-    """By order, from 1. The unigrams also have BEGIN, which ends no token and is the context of first words."""
+    """By order, from 1. The unigrams also have BEGIN, which ends no token and is the context of first words.
+
+    Places take 32 bits: a batch has far fewer tokens than 2^31, but for a single text that long.
+    """
     n = len(words)
-    inside = np.arange(n) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    inside = np.arange(n, dtype=PLACE) - np.repeat((np.cumsum(lengths) - lengths).astype(PLACE), lengths)
     keys, place = np.unique(np.concatenate([words, [BEGIN]]), return_inverse=True)
-    begin, place = place[-1], place[:-1]
-    none = np.zeros(0, int)
-    out = [Grams(keys, np.arange(n), place, none, none)]
-    raw = words
+    begin, place = place[-1], place[:-1].astype(PLACE)
+    none = np.zeros(0, PLACE)
+    out = [Grams(keys, np.arange(n, dtype=PLACE), place, none, none)]
     for k in range(2, order + 1):
         below = out[-1]
-        at = np.flatnonzero(inside >= k - 2)
-        before = np.full(n, -1)
+        at = np.flatnonzero(inside >= k - 2).astype(PLACE)
+        before = np.full(n, -1, PLACE)
         before[below.at] = below.place
         # The context ends one token earlier; before a first word stands BEGIN.
-        context = np.where(inside[at] > 0, before[at - 1], begin)
-        raw_context = below.keys[context]
-        raw = mix(raw_context, words[at])
-        keys, first, place = np.unique(raw, return_index=True, return_inverse=True)
-        out.append(Grams(keys, at, place, context[first], before[at][first]))
+        context = np.where(inside[at] > 0, before[at - 1], PLACE(begin))
+        keys, first, place = np.unique(mix(below.keys[context], words[at]), return_index=True, return_inverse=True)
+        out.append(Grams(keys, at, place.astype(PLACE), context[first], before[at[first]]))
     return out
 
 
@@ -224,12 +226,20 @@ def _read(row) -> tuple[np.ndarray, np.ndarray]:
 
 
 def count_table(tokens: DataFrame, order: int, buckets: int) -> DataFrame:
-    """The totals, written by order.
+    """The totals, written by order: the first two orders together, then each by itself.
+
+    So the messages of one order are gone from the disks before those of the next, and larger, are made.
 
     Answers: batch, order, bucket, data (count of each key the batch sent; whether the batch owns it). Statistics: batch
     -1, and stats: training tokens, distinct n-grams, and numbers of n-grams that occur 1, 2, ... times.
     """
 
+    steps = [range(1, min(order, 2) + 1), *(range(k, k + 1) for k in range(3, order + 1))]
+    tables = [_counts_of(tokens, orders, buckets) for orders in steps]
+    return reduce(DataFrame.unionByName, tables)
+
+
+def _counts_of(tokens: DataFrame, orders: range, buckets: int) -> DataFrame:
     def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for row in frame.to_dict("records"):
@@ -237,7 +247,9 @@ def count_table(tokens: DataFrame, order: int, buckets: int) -> DataFrame:
                 trained = ~np.asarray(row["held_out"], bool)
                 weight = np.repeat(trained, lengths)
                 out = []
-                for k, g in enumerate(grams_of(lengths, words, order), 1):
+                all_grams = grams_of(lengths, words, orders[-1])
+                for k in orders:
+                    g = all_grams[k - 1]
                     counts = np.bincount(g.place, weight[g.at], len(g.keys)).astype(np.int64)
                     if k == 1:
                         counts[np.searchsorted(g.keys, BEGIN)] = trained.sum()
@@ -369,18 +381,22 @@ def _walk(tokens: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
             count, own = np.zeros(len(g[k - 1].keys), np.int64), np.zeros(len(g[k - 1].keys), bool)
             answers = {b: unpack(d) for b, d in right.loc[right["order"] == k, ["bucket", "data"]].to_numpy()}
             for bucket, part in dealt(g[k - 1].keys, buckets):
-                count[part] = answers[bucket][0]
-                own[part] = np.unpackbits(answers[bucket][1], count=len(part)).astype(bool)
+                total, bits = answers.pop(bucket)
+                count[part] = total
+                own[part] = np.unpackbits(bits, count=len(part)).astype(bool)
             c.append(count)
             owned.append(own)
         n = len(words)
-        doc = np.repeat(np.arange(len(lengths)), lengths)
+        del words
+        doc = np.repeat(np.arange(len(lengths), dtype=PLACE), lengths)
         first = model.levels[0]
         known = c[0][g[0].place]
         base = np.log10((known + 0.5) / (first.tokens + 0.5 * (first.distinct + 1)))
+        n_known, base = (np.bincount(doc, x, len(lengths)) for x in (known > 0, base))
         score = np.zeros(n)
         todo = np.ones(n, bool)
         out, needed = [], []
+        # From the highest order down; what only an order above needs is let go.
         for k in range(order, 1, -1):
             grams = g[k - 1]
             here = todo[grams.at]
@@ -392,10 +408,10 @@ def _walk(tokens: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
             # A context that has never been seen has the weight 1.
             met = c[k - 2][context] > 0
             pairs, times = np.unique(
-                np.stack([doc[at[~seen][met]], context[met]], axis=1), axis=0, return_counts=True
+                (doc[at[~seen][met]].astype(np.int64) << 32) | context[met], return_counts=True
             )
-            used, which = np.unique(pairs[:, 1], return_inverse=True)
-            needed.append((k, pairs[:, 0].astype(np.int32), which.astype(np.int32), narrow(times), g[k - 2].keys[used]))
+            used, which = np.unique(pairs & 0xFFFFFFFF, return_inverse=True)
+            needed.append((k, (pairs >> 32).astype(PLACE), which.astype(PLACE), narrow(times), g[k - 2].keys[used]))
             for bucket, part in dealt(g[k - 2].keys[used], buckets):
                 data = pack(deltas(g[k - 2].keys[used][part] // U(buckets)), narrow(c[k - 2][used[part]]))
                 out.append(("ask", k, bucket, row["batch"], data))
@@ -406,10 +422,14 @@ def _walk(tokens: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
             for bucket, part in dealt(g[k - 2].keys[contexts], buckets):
                 data = pack(deltas(g[k - 2].keys[contexts][part] // U(buckets)), *listed(kept[part]), *listed(lower[part]))
                 out.append(("sum", k, bucket, row["batch"], data))
+            del grams, here, at, place, seen, context, met, pairs, mine, contexts, where, kept, lower
+            g.pop()
+            c.pop()
+            owned.pop()
         at, count = np.flatnonzero(todo), known[todo]
         with np.errstate(divide="ignore"):
             score[at] += np.log10(np.where(count > 0, first.discounted(count) / max(first.tokens, 1), unknown))
-        per_doc = [lengths.astype(np.int64), *(np.bincount(doc, x, len(lengths)) for x in (known > 0, base, score))]
+        per_doc = [lengths.astype(np.int64), n_known, base, np.bincount(doc, score, len(lengths))]
         flat = [x for k, a, b, t, keys in needed for x in (np.array([k]), a, b, t, keys)]
         out.append(("doc", 0, -1, row["batch"], pack(*per_doc, *flat)))
         return pd.DataFrame(out, columns=["kind", "order", "bucket", "batch", "data"])
