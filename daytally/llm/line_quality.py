@@ -1,13 +1,14 @@
 """Quality rules from the frequency of lines across documents, in DataFrame functions only.
 
 Lines are normalised (A-Z lower-cased, blanks collapsed and trimmed) and hashed. For each host the distinct documents of
-each line are counted; a line in more of them than the limits allow is boilerplate and is removed. A document that loses
-too much is rejected. Documents with the same text count as one, so copies do not make their own lines look common.
+each line are counted; a line in more of them than the limit is boilerplate and is removed, but for its first document of
+the host, the one with the smallest id of those that pass the base rules. So boilerplate goes however large its host is,
+and of a group of near copies, whose lines are all common, one member is left. A document that loses too much is rejected.
+Documents with the same text count as one, so copies do not make their own lines look common. A line goes everywhere if no
+document with an id passes the base rules, and with its first document if other lines deplete that.
 
-``line_quality`` gives the figures of that rule. ``clean_documents`` leaves each common line in its first document of the
-host, the one with the smallest id of those that pass the base rules, so that of a group of near copies, whose lines are
-all common, one member is left. A line goes everywhere if no document with an id passes, and with its first document if
-other lines deplete that.
+Each text is read once: its figures and the hashes of its lines go to a table, and all else is made from that.
+``clean_documents`` reads the texts again to cut the lines out.
 
 Cases: null text is the empty text, and is rejected by the base rules. A null host is a host of its own. Repeated rows
 get the same verdict each. Empty tables give empty results. Extra columns are kept by ``clean_documents`` and ignored
@@ -21,23 +22,24 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daytally.llm.common import BLANKS, lower_ascii, text_or_empty
+from daytally.llm.common import BLANKS, lower_ascii, text_or_empty, written
 
 BLANK_RUN = "[ \\t\\n\\x0B\\f\\r]+"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 
 
+# Documents of a common line that go to one task of the join.
+SALT_DOCS = 20_000
+
+
 @dataclass(frozen=True)
 class LineLimits:
-    """A line goes if more documents of its host have it than ``max_docs`` and than ``max_percent`` of the host's.
-    With ``max_percent`` 0 the number of documents is enough, however large the host.
-
-    A document is rejected if more than ``max_removed_percent`` of its words go.
+    """A line goes if more than ``max_docs`` documents of its host have it. A document is rejected if more than
+    ``max_removed_percent`` of its words go.
     """
 
     max_docs: int = 20
-    max_percent: int = 5
     max_removed_percent: int = 70
     min_words: int = 20
     max_repeat_percent: int = 30
@@ -141,126 +143,101 @@ def base_failed(n_words: Column, n_repeat: Column, limits: LineLimits) -> Column
     return (n_words < limits.min_words) | (n_repeat * 100 > n_words * limits.max_repeat_percent)
 
 
-def _doc_lines(docs: DataFrame, limits: LineLimits, text: str, host: str, doc_id: str | None) -> DataFrame:
-    """A row for each line with a word: host, text hash, place in the text, line hash, words.
+def text_key(text: Column) -> Column:
+    """96 bits, so that two texts of one host do not meet by chance in any corpus; the same is done for lines."""
+    return F.struct(F.xxhash64(text).alias("a"), F.hash(text).alias("b"))
 
-    With ``doc_id`` also the id, null where the document fails the base rules. The line hash has 96 bits, so that two
-    lines of one host do not meet by chance in any corpus.
-    """
-    ids = {}
-    if doc_id is not None:
-        body = text_or_empty(text)
-        failed = base_failed(n_words_of(body), n_repeat_words(words_of(body)), limits)
-        ids["id"] = F.when(~failed, F.col(doc_id)).alias("id")
-    lines = docs.select(F.col(host).alias("host"), text_or_empty(text).alias("t"), *ids.values()).select(
-        "host", *ids, F.xxhash64("t").alias("text_hash"), F.posexplode(lines_of(F.col("t"))).alias("place", "line")
-    )
-    norm = lines.filter(has_word(F.col("line"))).withColumn("line", normalised(F.col("line")))
-    return norm.select(
-        "host",
-        *ids,
-        "text_hash",
-        "place",
-        F.xxhash64("line").alias("line_hash"),
-        F.hash("line").alias("line_check"),
-        F.size(F.split("line", " ")).alias("words"),
-    )
 
+def facts(docs: DataFrame, limits: LineLimits, text: str, host: str, doc_id: str) -> DataFrame:
+    """One row per document, written: doc_id, host, text_key, the base figures, failed, and the lines with a word, each
+    with its place in the text, hash and number of words."""
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(host).alias("host"), text_or_empty(text).alias("t"))
 
-def common_lines(
-    docs: DataFrame,
-    limits: LineLimits = LineLimits(),
-    text: str = "text",
-    host: str = "source",
-    doc_id: str | None = None,
-) -> DataFrame:
-    """Lines above the limits: host, line_hash, line_check, n_docs (documents with different texts).
+    def hashed(line: Column, place: Column) -> Column:
+        norm = normalised(line)
+        return F.struct(
+            place.alias("place"),
+            F.xxhash64(norm).alias("a"),
+            F.hash(norm).alias("b"),
+            F.size(F.split(norm, " ")).alias("words"),
+        )
 
-    With ``doc_id`` also first_id, the smallest id of the documents that have the line and pass the base rules.
-    """
-    lines = _doc_lines(docs, limits, text, host, doc_id)
-    smallest = lambda c: [] if doc_id is None else [F.min(c).alias("first_id")]
-    # Two aggregates, both combined before their shuffle: a line that is in a third of all documents is spread by text.
-    counted = (
-        lines.groupBy("host", "line_hash", "line_check", "text_hash")
-        .agg(F.lit(1).alias("one"), *smallest("id"))
-        .groupBy("host", "line_hash", "line_check")
-        .agg(F.count("one").alias("n_docs"), *smallest("first_id"))
-        .filter(F.col("n_docs") > limits.max_docs)
-    )
-    hosts = (
-        docs.groupBy(F.col(host).alias("host"), F.xxhash64(text_or_empty(text)).alias("text_hash"))
-        .agg(F.lit(1).alias("one"))
-        .groupBy("host")
-        .agg(F.count("one").alias("host_docs"))
-    )
-    named = hosts.withColumnRenamed("host", "of_host")
-    return (
-        counted.join(named, F.col("host").eqNullSafe(F.col("of_host")))
-        .filter(F.col("n_docs") * 100 > F.col("host_docs") * limits.max_percent)
-        .select(*counted.columns)
-    )
+    placed = F.transform(lines_of(F.col("t")), lambda line, place: F.struct(line.alias("line"), place.alias("place")))
+    lines = F.transform(F.filter(placed, lambda x: has_word(x["line"])), lambda x: hashed(x["line"], x["place"]))
+    figures = [column.alias(name) for name, column in base_figures(F.col("t")).items()]
+    found = rows.select("doc_id", "host", text_key(F.col("t")).alias("text_key"), *figures, lines.alias("lines"))
+    failed = base_failed(F.col("n_words"), F.col("n_repeat_words"), limits)
+    return written(found.withColumn("failed", failed), "line-facts")
 
 
-SALTS = 16
+def _lines(found: DataFrame) -> DataFrame:
+    """A row for each line of each document; id is null where the document fails the base rules."""
+    rows = found.select("host", "text_key", F.when(~F.col("failed"), F.col("doc_id")).alias("id"), F.explode("lines").alias("x"))
+    key = F.struct(F.col("x.a").alias("a"), F.col("x.b").alias("b")).alias("line_key")
+    return rows.select("host", "text_key", "id", key, "x.place", "x.words")
 
 
-def removed_lines(
-    docs: DataFrame,
-    limits: LineLimits = LineLimits(),
-    text: str = "text",
-    host: str = "source",
-    doc_id: str | None = None,
-) -> DataFrame:
-    """Per host and text: places (of the lines that go, ascending) and removed_words.
+def common_lines(found: DataFrame, limits: LineLimits = LineLimits()) -> DataFrame:
+    """Lines above the limit: host, line_key, n_docs (documents with different texts), first_id (the smallest id of the
+    documents that have the line and pass the base rules)."""
+    # Two aggregates, both combined before their shuffle: a line that is in a third of all documents is spread by text.
+    return (
+        _lines(found)
+        .groupBy("host", "line_key", "text_key")
+        .agg(F.min("id").alias("id"))
+        .groupBy("host", "line_key")
+        .agg(F.count(F.lit(1)).alias("n_docs"), F.min("id").alias("first_id"))
+        .filter(F.col("n_docs") > limits.max_docs)
+    )
 
-    With ``doc_id``, a line stays in the first document of its host that has it.
-    """
+
+def removed_lines(found: DataFrame, limits: LineLimits = LineLimits()) -> DataFrame:
+    """Per host and text: places (of the lines that go, ascending) and removed_words."""
+    common = written(common_lines(found, limits), "common-lines")
     # A line that is in a third of the documents would make one task of the join; its documents are spread over salts.
-    common = (
-        common_lines(docs, limits, text, host, doc_id)
-        .withColumnsRenamed({"host": "c_host", "line_hash": "c_line", "line_check": "c_check"})
-        .withColumn("c_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        .drop("n_docs")
+    most = common.agg(F.max("n_docs")).first()[0] or 0
+    salts = max(1, min(256, -(-most // SALT_DOCS)))
+    salted = common.select(
+        F.col("host").alias("c_host"),
+        F.col("line_key").alias("c_line"),
+        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("c_salt"),
+        "first_id",
     )
-    lines = _doc_lines(docs, limits, text, host, doc_id).withColumn("salt", F.pmod("text_hash", F.lit(SALTS)).cast("int"))
+    lines = _lines(found).withColumn("salt", F.pmod("text_key.a", F.lit(salts)).cast("int"))
     hits = lines.join(
-        common,
-        (F.col("line_hash") == F.col("c_line"))
-        & (F.col("line_check") == F.col("c_check"))
+        salted,
+        (F.col("line_key") == F.col("c_line"))
         & (F.col("salt") == F.col("c_salt"))
         & F.col("host").eqNullSafe(F.col("c_host")),
-        "left_semi" if doc_id is None else "inner",
     )
-    words = F.first("words").alias("words")
-    if doc_id is None:
-        gone = hits.groupBy("host", "text_hash", "place").agg(words)
-    else:
-        # All copies of a text have the id of the first of them.
-        gone = (
-            hits.groupBy("host", "text_hash", "place")
-            .agg(words, F.min("id").alias("id"), F.min("first_id").alias("first_id"))
-            .filter(F.coalesce(F.col("id") != F.col("first_id"), F.lit(True)))
-        )
-    return gone.groupBy("host", "text_hash").agg(
+    # All copies of a text have the id of the first of them.
+    gone = (
+        hits.groupBy("host", "text_key", "place")
+        .agg(F.first("words").alias("words"), F.min("id").alias("id"), F.min("first_id").alias("first_id"))
+        .filter(F.coalesce(F.col("id") != F.col("first_id"), F.lit(True)))
+    )
+    return gone.groupBy("host", "text_key").agg(
         F.array_sort(F.collect_list("place")).alias("places"), F.sum("words").alias("removed_words")
     )
 
 
+def _depleted(removed: Column, n_words: Column, limits: LineLimits) -> Column:
+    return removed * 100 > n_words * limits.max_removed_percent
+
+
+def _with_removed(rows: DataFrame, removed: DataFrame) -> DataFrame:
+    """Left join by host (null-safe) and text; rows without a removed line stay."""
+    r = removed.withColumnsRenamed({"host": "r_host", "text_key": "r_text"})
+    joined = rows.join(r, (F.col("text_key") == F.col("r_text")) & F.col("host").eqNullSafe(F.col("r_host")), "left")
+    return joined.withColumn("removed_words", F.coalesce("removed_words", F.lit(0).cast("long")))
+
+
 def line_quality(
     docs: DataFrame, limits: LineLimits = LineLimits(), doc_id: str = "doc_id", text: str = "text", host: str = "source"
 ) -> DataFrame:
     """One row per document: the base figures, base_failed, removed_words, kept."""
-    t = text_or_empty(text)
-    figures = docs.select(
-        F.col(doc_id).alias("doc_id"),
-        F.col(host).alias("d_host"),
-        F.xxhash64(t).alias("d_text"),
-        *[column.alias(name) for name, column in base_figures(t).items()],
-    )
-    joined = _with_removed(figures, removed_lines(docs, limits, text, host))
-    removed = F.coalesce("removed_words", F.lit(0))
-    failed = base_failed(F.col("n_words"), F.col("n_repeat_words"), limits)
+    found = facts(docs, limits, text, host, doc_id)
+    joined = _with_removed(found.drop("lines"), removed_lines(found, limits))
     return joined.select(
         "doc_id",
         "n_words",
@@ -268,18 +245,12 @@ def line_quality(
         "n_symbols",
         "n_dup_lines",
         "n_repeat_words",
-        failed.alias("base_failed"),
-        removed.alias("removed_words"),
-        (~failed & ~(removed * 100 > F.col("n_words") * limits.max_removed_percent)).alias("kept"),
+        F.col("failed").alias("base_failed"),
+        "removed_words",
+        (~F.col("failed") & ~_depleted(F.col("removed_words"), F.col("n_words"), limits)).alias("kept"),
     )
 
 
-def _with_removed(rows: DataFrame, removed: DataFrame) -> DataFrame:
-    """Left join by host (null-safe) and text; rows without a removed line stay."""
-    r = removed.withColumnsRenamed({"host": "r_host", "text_hash": "r_text"})
-    return rows.join(r, (F.col("d_text") == F.col("r_text")) & F.col("d_host").eqNullSafe(F.col("r_host")), "left")
-
-
 def _text_without(lines: Column, places: Column) -> Column:
     """The lines between the removed places, joined again; linear in the number of lines."""
     bounds = F.concat(F.array(F.lit(-1)), places, F.array(F.size(lines)))
@@ -297,23 +268,18 @@ def _text_without(lines: Column, places: Column) -> Column:
 def clean_documents(
     docs: DataFrame, limits: LineLimits = LineLimits(), text: str = "text", host: str = "source", doc_id: str = "doc_id"
 ) -> DataFrame:
-    """The documents that are kept, with all their columns and without the common lines; n_chars follows the text.
-
-    Each common line stays in its first document of the host.
-    """
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
-    whole = whole.select(
-        "doc",
-        F.col(f"doc.`{host}`").alias("d_host"),
-        F.xxhash64(text_or_empty(F.col(f"doc.`{text}`"))).alias("d_text"),
+    """The documents that are kept, with all their columns and without the lines that go; n_chars follows the text."""
+    found = facts(docs, limits, text, host, doc_id)
+    texts = found.filter("NOT failed").groupBy("host", "text_key").agg(F.first("n_words").alias("n_words"))
+    kept = _with_removed(texts, removed_lines(found, limits))
+    kept = kept.filter(~_depleted(F.col("removed_words"), F.col("n_words"), limits)).select(
+        F.col("host").alias("k_host"), F.col("text_key").alias("k_text"), "places"
     )
-    joined = _with_removed(whole, removed_lines(docs, limits, text, host, doc_id))
     body = text_or_empty(F.col(f"doc.`{text}`"))
-    joined = joined.withColumn("n_words", n_words_of(body)).filter(
-        (F.col("n_words") >= limits.min_words)
-        & ~(F.coalesce("removed_words", F.lit(0)) * 100 > F.col("n_words") * limits.max_removed_percent)
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")).select(
+        "doc", F.col(f"doc.`{host}`").alias("d_host"), text_key(body).alias("d_text")
     )
-    joined = joined.filter(n_repeat_words(words_of(body)) * 100 <= F.col("n_words") * limits.max_repeat_percent)
+    joined = whole.join(kept, (F.col("d_text") == F.col("k_text")) & F.col("d_host").eqNullSafe(F.col("k_host")))
     cleaned = F.when(
         F.col("places").isNotNull(), _let(lines_of(body), lambda x: _text_without(x, F.col("places")))
     ).otherwise(F.col(f"doc.`{text}`"))
@@ -349,15 +315,21 @@ WITH d AS (
   WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')
 ), dup AS (
   SELECT rid, sum(n_occ - 1) AS n FROM ln GROUP BY rid
-), hosts AS (
-  SELECT source, count(DISTINCT t) AS host_docs FROM d GROUP BY source
+), failed AS (
+  SELECT w.rid, (len(ws) < {LineLimits.min_words} OR coalesce(rep.n, 0) * 100 > len(ws) * {LineLimits.max_repeat_percent}) AS failed
+  FROM w LEFT JOIN rep USING (rid)
+), texts AS (
+  SELECT source, t, min(doc_id) FILTER (WHERE NOT failed) AS id FROM d JOIN failed USING (rid) GROUP BY source, t
 ), common AS (
-  SELECT c.source, c.norm FROM (SELECT source, norm, count(DISTINCT t) AS n FROM ln GROUP BY source, norm) c
-  JOIN hosts h ON c.source IS NOT DISTINCT FROM h.source
-  WHERE c.n > {LineLimits.max_docs} AND c.n * 100 > h.host_docs * {LineLimits.max_percent}
+  SELECT x.source, norm, min(id) AS first_id
+  FROM (SELECT DISTINCT source, t, norm FROM ln) x
+  JOIN texts ON x.t = texts.t AND x.source IS NOT DISTINCT FROM texts.source
+  GROUP BY x.source, norm HAVING count(*) > {LineLimits.max_docs}
 ), gone AS (
   SELECT rid, sum(n_occ * len(string_split(ln.norm, ' '))) AS n
-  FROM ln JOIN common c ON ln.norm = c.norm AND ln.source IS NOT DISTINCT FROM c.source GROUP BY rid
+  FROM ln JOIN common c ON ln.norm = c.norm AND ln.source IS NOT DISTINCT FROM c.source
+  JOIN texts ON ln.t = texts.t AND ln.source IS NOT DISTINCT FROM texts.source
+  WHERE coalesce(id <> first_id, TRUE) GROUP BY rid
 ), f AS (
   SELECT w.rid, doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
     length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
