@@ -4,12 +4,15 @@ Fingerprints are made per document, then only distinct fingerprints are joined.
 binary trie: a node is a range of it, and its children are the range's parts below and above the next bit. The self-join
 goes down node pairs together, adds up differing bits, and drops a pair when they exceed the budget.
 
-To spread the join: if two fingerprints differ in at most ``max_bits`` bits, then at least one of ``max_bits + 1`` blocks
-of bits is equal in both. So the fingerprints are rotated to have each block in front in turn, and a cell of the join
-is one block with one value, i.e. one subtree below a fixed prefix. A cell with more than ``CELL`` fingerprints is
-dealt over pairs of salts, so no task holds more than a few cells' worth. Each task returns a spanning forest of the links
-it finds, at most one link for each fingerprint of a cell, and skips node pairs that are already in one tree. Components
-are found by alternating star contractions over written tables.
+To spread the join: if two fingerprints differ in at most ``max_bits`` bits, then of any m blocks of bits at least m -
+``max_bits`` are equal in both. So for each choice of that many blocks the bits are arranged to have them in front, and a
+cell of the join is one choice with one value, i.e. one subtree below a fixed prefix. The more fingerprints there are, the
+more blocks are taken, so that prefixes get longer and cells stay small: with 4 bits, 5 choices of 12 or 13 bits up to 51
+million fingerprints, 15 of 20 to 22 up to 13 billion, 35 of 27 to 28 up to 1.7 trillion; that many rows are joined
+per fingerprint. A cell that has more than ``CELL`` all the same, as fingerprints are not spread evenly, is dealt over pairs
+of salts, so no task holds more than a few cells' worth. Each task returns a spanning forest of the links it finds, at
+most one link for each fingerprint of a cell, and skips node pairs that are already in one tree. Components are found by
+alternating star contractions over written tables.
 
 Cases: null and empty texts have the fingerprint zero and are linked like any other. Rows with equal texts share all
 results. The component id is the smallest id that is not null; it is null if no row of the component has an id.
@@ -19,6 +22,7 @@ Empty tables give empty results. Extra columns are ignored, and kept by ``one_of
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -33,6 +37,7 @@ SHINGLE = 4
 MAX_BITS = 4
 SEED = 42
 CELL = 50_000
+BROADCAST_CELLS = 500_000
 BATCH = 200_000
 CHUNK = 1 << 18
 LEAF = 16
@@ -82,10 +87,60 @@ def as_hex(fp: Column) -> Column:
 # Trie self-join
 
 
-def blocks(max_bits: int) -> list[tuple[int, int]]:
-    """First bit (from the top) and width of each of ``max_bits + 1`` blocks."""
-    cuts = [64 * i // (max_bits + 1) for i in range(max_bits + 2)]
-    return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
+Choice = list[tuple[int, int]]
+
+
+def choices(max_bits: int, m: int) -> list[Choice]:
+    """Every choice of the blocks that are equal at least, of m: first bit (from the top) and width of each block."""
+    cuts = [64 * i // m for i in range(m + 1)]
+    blocks = [(a, b - a) for a, b in zip(cuts, cuts[1:])]
+    return [list(chosen) for chosen in combinations(blocks, m - max_bits)]
+
+
+def prefix_bits(choice: Choice) -> int:
+    return sum(width for _, width in choice)
+
+
+def choices_for(n: int, max_bits: int, cell_size: int) -> list[Choice]:
+    """As few blocks as leave a cell a quarter of its size or less, at an even spread."""
+    for m in range(max_bits + 1, 65):
+        chosen = choices(max_bits, m)
+        if 4 * n <= cell_size << min(map(prefix_bits, chosen)) or len(chosen) > 1000:
+            return chosen
+    raise ValueError(f"max_bits must be below 64, not {max_bits}")
+
+
+def _in_front(choice: Choice) -> Choice:
+    """The chosen blocks, then the stretches between them: an arrangement of all bits."""
+    out, at = list(choice), 0
+    for start, width in [*choice, (64, 0)]:
+        if start > at:
+            out.append((at, start - at))
+        at = start + width
+    return out
+
+
+def _arranged(fp: np.ndarray, number: np.ndarray, chosen: list[Choice]) -> np.ndarray:
+    """Fingerprints with the blocks of their choice in front."""
+    u = fp.view(np.uint64)
+    out = np.zeros(len(u), np.uint64)
+    for i in np.unique(number):
+        rows = number == i
+        at = 0
+        for start, width in _in_front(chosen[i]):
+            part = (u[rows] << np.uint64(start)) >> np.uint64(64 - width)
+            out[rows] |= part << np.uint64(64 - at - width)
+            at += width
+    return out
+
+
+def _prefix(fp: str, choice: Choice) -> Column:
+    """The chosen blocks' bits as one number."""
+    value = F.lit(0).cast("long")
+    for start, width in choice:
+        part = F.shiftrightunsigned(F.shiftleft(fp, start), 64 - width)
+        value = F.shiftleft(value, width).bitwiseOR(part)
+    return value
 
 
 class Forest:
@@ -204,57 +259,50 @@ def trie_links(cell: np.ndarray, rotated: np.ndarray, depth: np.ndarray, max_bit
     return forest.root
 
 
-def _rotate(fp: np.ndarray, by: np.ndarray) -> np.ndarray:
-    u = fp.view(np.uint64)
-    by = by.astype(np.uint64)
-    return (u << by) | (u >> ((np.uint64(64) - by) % np.uint64(64)))
-
-
-def links(prints: DataFrame, max_bits: int = MAX_BITS, cell_size: int = CELL) -> DataFrame:
-    """Links (a, b) between distinct fingerprints (column fp) that join the same components as all links do."""
-    cuts = blocks(max_bits)
-    keyed = prints.select(
-        "fp",
-        F.posexplode(
-            F.array(
-                *[
-                    F.shiftrightunsigned(F.shiftleft("fp", start), 64 - width) if width < 64 else F.lit(0).cast("long")
-                    for start, width in cuts
-                ]
-            )
-        ).alias("block", "value"),
-    )
-    # At most 5 * 2^13 cells exist (for 4 bits), so the list of the large ones is small however many rows there are.
-    large = (
-        keyed.groupBy("block", "value")
+def dealt_over_cells(prints: DataFrame, chosen: list[Choice], cell_size: int) -> DataFrame:
+    """fp, cell, choice: a row for each cell that a fingerprint (column fp) is compared in."""
+    keyed = prints.select("fp", F.posexplode(F.array(*[_prefix("fp", c) for c in chosen])).alias("choice", "value"))
+    large = written(
+        keyed.groupBy("choice", "value")
         .count()
         .filter(F.col("count") > cell_size)
-        .select("block", "value", F.ceil(2 * F.col("count") / cell_size).cast("int").alias("salts"))
+        .select("choice", "value", F.ceil(2 * F.col("count") / cell_size).cast("int").alias("salts")),
+        "large-cells",
     )
-    if sum(1 << width for _, width in cuts) <= 1 << 20:
+    if large.count() <= BROADCAST_CELLS:
         large = F.broadcast(large)
-    salted = keyed.join(large, ["block", "value"], "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
+    salted = keyed.join(large, ["choice", "value"], "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
     own = F.pmod(F.xxhash64("fp"), F.col("salts")).cast("int")
     other = F.when(F.col("salts") == 1, F.array(F.lit(0))).otherwise(
         F.filter(F.sequence(F.lit(0), F.col("salts") - 1), lambda s: s != F.col("own"))
     )
-    dealt = salted.withColumn("own", own).select(
-        "fp", "block", "value", "own", "salts", F.explode(other).alias("other")
-    )
-    dealt = dealt.select(
+    dealt = salted.withColumn("own", own).select("fp", "choice", "value", "own", "salts", F.explode(other).alias("other"))
+    return dealt.select(
         "fp",
-        F.xxhash64("block", "value", F.least("own", "other"), F.greatest("own", "other")).alias("cell"),
-        F.col("block").cast("short").alias("block"),
+        F.xxhash64("choice", "value", F.least("own", "other"), F.greatest("own", "other")).alias("cell"),
+        F.col("choice").cast("short").alias("choice"),
     )
-    starts = np.array([start for start, _ in cuts])
-    widths = np.array([width for _, width in cuts])
+
+
+def links(
+    prints: DataFrame, max_bits: int = MAX_BITS, cell_size: int = CELL, chosen: list[Choice] | None = None
+) -> DataFrame:
+    """Links (a, b) between distinct fingerprints (column fp) that join the same components as all links do.
+
+    ``chosen``: see ``choices``; by default what the number of fingerprints asks for.
+    """
+    chosen = chosen or choices_for(prints.count(), max_bits, cell_size)
+    depths = np.array([prefix_bits(c) for c in chosen])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def join(fp, cell, block) -> pa.RecordBatch:
-            rotated = _rotate(fp, starts[block])
-            order = np.lexsort((rotated, cell))
-            fp, cell, block, rotated = fp[order], cell[order], block[order], rotated[order]
-            root = trie_links(cell, rotated, widths[block], max_bits)
+        def join(fp, cell, choice) -> pa.RecordBatch:
+            arranged = _arranged(fp, choice, chosen)
+            order = np.lexsort((arranged, choice, cell))
+            fp, cell, choice, arranged = fp[order], cell[order], choice[order], arranged[order]
+            # Cells of two choices may have one hash.
+            other = (cell[1:] != cell[:-1]) | (choice[1:] != choice[:-1])
+            number = np.concatenate([[0], np.cumsum(other)])
+            root = trie_links(number, arranged, depths[choice], max_bits)
             linked = root != np.arange(len(root))
             return pa.RecordBatch.from_arrays([pa.array(fp[linked]), pa.array(fp[root[linked]])], names=["a", "b"])
 
@@ -265,16 +313,17 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, cell_size: int = CELL) ->
             rows += batch.num_rows
             if rows < BATCH:
                 continue
-            fp, cell, block = (np.concatenate(x) for x in zip(*held))
+            fp, cell, choice = (np.concatenate(x) for x in zip(*held))
             last = np.flatnonzero(cell[1:] != cell[:-1])
             if not len(last):
                 continue  # one cell so far; it has few times CELL rows at most
             cut = int(last[-1]) + 1
-            yield join(fp[:cut], cell[:cut], block[:cut])
-            held, rows = [[fp[cut:], cell[cut:], block[cut:]]], len(fp) - cut
+            yield join(fp[:cut], cell[:cut], choice[:cut])
+            held, rows = [[fp[cut:], cell[cut:], choice[cut:]]], len(fp) - cut
         if rows:
             yield join(*(np.concatenate(x) for x in zip(*held)))
 
+    dealt = dealt_over_cells(prints, chosen, cell_size)
     return dealt.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, "a long, b long").distinct()
 
 

@@ -1,6 +1,7 @@
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 
@@ -58,8 +59,8 @@ def test_odd_rows(edges):
     assert order(map(tuple, sh.digests(edges).collect())) == order(want)
 
 
-@pytest.mark.parametrize("cell", [50_000, 40])
-def test_dense_groups_and_chains(spark, cell):
+@pytest.mark.parametrize(("cell", "m"), [(50_000, None), (40, None), (50_000, 5), (40, 6), (50_000, 6), (7, 7)])
+def test_dense_groups_and_chains(spark, cell, m):
     rng = np.random.default_rng(1)
     prints = {0, 2**64 - 1}
     for base in rng.integers(0, 2**63, 12, dtype=np.uint64).tolist():
@@ -74,7 +75,8 @@ def test_dense_groups_and_chains(spark, cell):
         v ^= 0b1111 << (4 * i)
     u = np.array(sorted(prints), np.uint64)
     signed = u.view(np.int64).tolist()
-    edges = sh.links(spark.createDataFrame([(x,) for x in signed], "fp long"), 4, cell)
+    chosen = sh.choices(4, m) if m else None
+    edges = sh.links(spark.createDataFrame([(x,) for x in signed], "fp long"), 4, cell, chosen)
     root = {r.node: r.root for r in sh.components(edges).collect()}
     assert [root.get(x, x) for x in signed] == brute_components(signed, u)
 
@@ -107,3 +109,33 @@ def test_no_join_of_all_pairs(spark):
     prints = spark.range(100).withColumnRenamed("id", "fp")
     plan = sh.links(prints)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Cartesian|NestedLoop", plan)
+
+
+@pytest.mark.parametrize("m", [5, 6, 7, 9])
+def test_arrangements_keep_all_bits(m):
+    rng = np.random.default_rng(m)
+    u = rng.integers(0, 2**63, 50, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    chosen = sh.choices(4, m)
+    for i, choice in enumerate(chosen):
+        made = sh._arranged(u.view(np.int64), np.full(len(u), i), chosen)
+        assert (np.bitwise_count(made[1:] ^ made[:-1]) == np.bitwise_count(u[1:] ^ u[:-1])).all()
+        bits = "".join(f"{x:064b}"[a : a + w] for x in u[:1].tolist() for a, w in choice)
+        assert int(made[0]) >> (64 - sh.prefix_bits(choice)) == int(bits, 2)
+
+
+def test_rows_joined_per_fingerprint_are_bounded(spark):
+    """A cell 5,000 times smaller than the real one stands for 5,000 times as many fingerprints, 2 billion."""
+    n, cell = 400_000, 10
+    rng = np.random.default_rng(3)
+    prints = rng.integers(-(2**63), 2**63, n, dtype=np.int64)
+    table = spark.createDataFrame(pd.DataFrame({"fp": prints}))
+    chosen = sh.choices_for(n, 4, cell)
+    assert len(chosen) == 15
+    rows = sh.dealt_over_cells(table, chosen, cell)
+    assert rows.count() <= 16 * n
+    assert rows.groupBy("cell").count().agg({"count": "max"}).first()[0] <= 3 * cell
+
+
+def test_more_blocks_as_fingerprints_grow():
+    assert [len(sh.choices_for(n, 4, sh.CELL)) for n in (10, 51_000_000, 52_000_000, 2_000_000_000, 14_000_000_000)] == [5, 5, 15, 15, 35]
+    assert [sh.choices_for(9, k, 5) for k in (0,)] == [[[(0, 64)]]]
