@@ -14,7 +14,7 @@ Work goes back and forth between two layouts, neither of which can be unbalanced
 1. Batches are written. 2. Buckets count; the counts, as answers to batches, are a table partitioned by order. 3. With
 counts of counts (a few numbers) the discounts are known. Each batch follows the recursion of every token down to where
 its n-gram has been seen, and notes the contexts whose backoff weights that took. For each n-gram one batch, its owner,
-sends its terms of the context's sums. 4. Buckets by context make the backoff weights, and answer. 5. Batches add them up.
+sends its terms of the context's sums, if the context is in a held-out text at all. 4. Buckets by context make the backoff weights, and answer. 5. Batches add them up.
 
 A suffix of a seen n-gram has itself been seen, so the sums of step 4 need no weights of lower orders.
 
@@ -49,7 +49,7 @@ CACHED_WORDS = 300_000
 
 U = np.uint64
 PLACE = np.int32
-CODEC = pa.Codec("zstd", compression_level=6)
+CODEC = pa.Codec("zstd", compression_level=2)
 END, BEGIN = U(xxhash.xxh64_intdigest(b"\n")), U(xxhash.xxh64_intdigest(b"\n\n"))  # no word has a line break
 
 
@@ -75,11 +75,11 @@ def unpack(data: bytes) -> list[np.ndarray]:
 
 
 def deltas(keys: np.ndarray) -> np.ndarray:
-    return np.diff(keys, prepend=U(0))
+    return np.diff(keys, prepend=keys.dtype.type(0))
 
 
 def undelta(steps: np.ndarray) -> np.ndarray:
-    return np.cumsum(steps, dtype=U)
+    return np.cumsum(steps, dtype=steps.dtype)
 
 
 def narrow(counts: np.ndarray) -> np.ndarray:
@@ -110,7 +110,7 @@ class Keys(dict):
 
 
 def token_batches(docs: DataFrame, modulus: int = 5, held: int = 1, size: int = BATCH) -> DataFrame:
-    """batch, doc_ids, held_out and words (lengths, distinct word keys, place of each token's key), written."""
+    """batch, doc_ids, held_out and words (lengths, distinct word keys, their ranks, each token's rank), written."""
     rows = docs.select(
         "doc_id",
         (remainder("doc_id", modulus) == held).alias("held_out"),
@@ -127,7 +127,11 @@ def token_batches(docs: DataFrame, modulus: int = 5, held: int = 1, size: int =
         def flush() -> pa.RecordBatch:
             nonlocal tokens, made
             vocabulary, place = np.unique(np.concatenate(words), return_inverse=True)
-            payload = pack(np.array(lengths, np.int32), deltas(vocabulary), narrow(place))
+            # Tokens go as ranks by frequency, which pack better than places among sorted keys.
+            by_count = np.argsort(-np.bincount(place), kind="stable")
+            rank = np.empty(len(by_count), PLACE)
+            rank[by_count] = np.arange(len(by_count), dtype=PLACE)
+            payload = pack(np.array(lengths, np.int32), deltas(vocabulary), narrow(by_count), narrow(rank[place]))
             columns = [
                 pa.array([(part << 24) + made], pa.int64()),
                 pa.array([ids], pa.list_(kind)),
@@ -209,7 +213,11 @@ def dealt(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
 
     A bucket has the keys of one remainder by ``buckets``, so what is sent of a key is the quotient.
     """
-    bucket = (keys % U(buckets)).astype(np.int64)
+    yield from by_bucket(narrow((keys % U(buckets)).astype(np.int64)))
+
+
+def by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each bucket that occurs, and its places. Small numbers are sorted by their digits, which is fast."""
     order = np.argsort(bucket, kind="stable")
     cuts = np.flatnonzero(np.diff(bucket[order])) + 1
     for part in np.split(order, cuts):
@@ -218,8 +226,8 @@ def dealt(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def _read(row) -> tuple[np.ndarray, np.ndarray]:
-    lengths, steps, place = unpack(row["words"])
-    return lengths, undelta(steps)[place]
+    lengths, steps, by_count, rank = unpack(row["words"])
+    return lengths, undelta(steps)[by_count][rank]
 
 
 # Counting
@@ -230,8 +238,8 @@ def count_table(tokens: DataFrame, order: int, buckets: int) -> DataFrame:
 
     So the messages of one order are gone from the disks before those of the next, and larger, are made.
 
-    Answers: batch, order, bucket, data (count of each key the batch sent; whether the batch owns it). Statistics: batch
-    -1, and stats: training tokens, distinct n-grams, and numbers of n-grams that occur 1, 2, ... times.
+    Answers: batch, order, bucket, data (count of each key the batch sent; whether the batch owns it; whether it is in a
+    held-out text). Statistics: batch -1, and stats: training tokens, distinct n-grams, and numbers of n-grams that occur 1, 2, ... times.
     """
 
     steps = [range(1, min(order, 2) + 1), *(range(k, k + 1) for k in range(3, order + 1))]
@@ -251,29 +259,35 @@ def _counts_of(tokens: DataFrame, orders: range, buckets: int) -> DataFrame:
                 for k in orders:
                     g = all_grams[k - 1]
                     counts = np.bincount(g.place, weight[g.at], len(g.keys)).astype(np.int64)
+                    held = np.bincount(g.place, ~weight[g.at], len(g.keys)) > 0
                     if k == 1:
-                        counts[np.searchsorted(g.keys, BEGIN)] = trained.sum()
+                        begin = np.searchsorted(g.keys, BEGIN)
+                        counts[begin], held[begin] = trained.sum(), not trained.all()
                     for bucket, part in dealt(g.keys, buckets):
-                        out.append((bucket, k, row["batch"], pack(deltas(g.keys[part] // U(buckets)), narrow(counts[part]))))
+                        data = pack(deltas(g.keys[part] // U(buckets)), narrow(counts[part]), np.packbits(held[part]))
+                        out.append((bucket, k, row["batch"], data))
                 yield pd.DataFrame(out, columns=["bucket", "order", "batch", "data"])
 
     def add(frame: pd.DataFrame) -> pd.DataFrame:
         out = []
         for (bucket, k), rows in frame.sort_values("batch").groupby(["bucket", "order"]):
             sent = [unpack(d) for d in rows["data"]]
-            keys = [undelta(s) for s, _ in sent]
+            keys = [undelta(s) for s, _, _ in sent]
             distinct, first, place = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
             begin = distinct == BEGIN // U(buckets) if bucket == int(BEGIN % U(buckets)) else np.zeros(len(distinct), bool)
-            total = np.bincount(place, np.concatenate([c for _, c in sent]), len(distinct)).astype(np.int64)
+            total = np.bincount(place, np.concatenate([c for _, c, _ in sent]), len(distinct)).astype(np.int64)
+            held = np.concatenate([np.unpackbits(h, count=len(c)) for _, c, h in sent])
+            in_held = np.bincount(place, held, len(distinct)) > 0
             owned = np.zeros(len(place), bool)
             owned[first] = True
             real = total[~begin & (total > 0)] if k == 1 else total[total > 0]
             stats = [int(real.sum()), len(real), *np.bincount(real[real <= LARGEST + 1], minlength=LARGEST + 2)[1:].tolist()]
             out.append((-1, int(bucket), b"", stats, int(k)))
-            answers, at = total[place], 0
+            answers, asked, at = total[place], in_held[place], 0
             for batch, sent_keys in zip(rows["batch"], keys):
                 end = at + len(sent_keys)
-                out.append((batch, int(bucket), pack(narrow(answers[at:end]), np.packbits(owned[at:end])), None, int(k)))
+                data = pack(narrow(answers[at:end]), np.packbits(owned[at:end]), np.packbits(asked[at:end]))
+                out.append((batch, int(bucket), data, None, int(k)))
                 at = end
         return pd.DataFrame(out, columns=["batch", "bucket", "data", "stats", "order"])
 
@@ -376,16 +390,19 @@ def _walk(tokens: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
         row = left.iloc[0]
         lengths, words = _read(row)
         g = grams_of(lengths, words, order)
-        c, owned = [], []
+        c, owned, in_held = [], [], []
         for k in range(1, order + 1):
-            count, own = np.zeros(len(g[k - 1].keys), np.int64), np.zeros(len(g[k - 1].keys), bool)
+            count = np.zeros(len(g[k - 1].keys), np.int64)
+            own, asked = np.zeros(len(count), bool), np.zeros(len(count), bool)
             answers = {b: unpack(d) for b, d in right.loc[right["order"] == k, ["bucket", "data"]].to_numpy()}
             for bucket, part in dealt(g[k - 1].keys, buckets):
-                total, bits = answers.pop(bucket)
+                total, own_bits, asked_bits = answers.pop(bucket)
                 count[part] = total
-                own[part] = np.unpackbits(bits, count=len(part)).astype(bool)
+                own[part] = np.unpackbits(own_bits, count=len(part))
+                asked[part] = np.unpackbits(asked_bits, count=len(part))
             c.append(count)
             owned.append(own)
+            in_held.append(asked)
         n = len(words)
         del words
         doc = np.repeat(np.arange(len(lengths), dtype=PLACE), lengths)
@@ -411,11 +428,15 @@ def _walk(tokens: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
                 (doc[at[~seen][met]].astype(np.int64) << 32) | context[met], return_counts=True
             )
             used, which = np.unique(pairs & 0xFFFFFFFF, return_inverse=True)
-            needed.append((k, (pairs >> 32).astype(PLACE), which.astype(PLACE), narrow(times), g[k - 2].keys[used]))
+            # Answers come by bucket, in order of the keys: so the buckets are all that has to be kept of these.
+            of_bucket = narrow((g[k - 2].keys[used] % U(buckets)).astype(np.int64))
+            needed.append((k, (pairs >> 32).astype(PLACE), narrow(which), narrow(times), of_bucket))
             for bucket, part in dealt(g[k - 2].keys[used], buckets):
                 data = pack(deltas(g[k - 2].keys[used][part] // U(buckets)), narrow(c[k - 2][used[part]]))
                 out.append(("ask", k, bucket, row["batch"], data))
+            # All n-grams of training texts have been seen, so only contexts of held-out texts are ever asked for.
             mine = np.flatnonzero(owned[k - 1] & (c[k - 1] > 0))
+            mine = mine[in_held[k - 2][grams.context[mine]]]
             contexts, where = np.unique(grams.context[mine], return_inverse=True)
             kept = np.bincount(where, model.levels[k - 1].discounted(c[k - 1][mine]), len(contexts))
             lower = np.bincount(where, probability(g, c, k - 1, grams.suffix[mine]), len(contexts))
@@ -423,14 +444,13 @@ def _walk(tokens: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
                 data = pack(deltas(g[k - 2].keys[contexts][part] // U(buckets)), *listed(kept[part]), *listed(lower[part]))
                 out.append(("sum", k, bucket, row["batch"], data))
             del grams, here, at, place, seen, context, met, pairs, mine, contexts, where, kept, lower
-            g.pop()
-            c.pop()
-            owned.pop()
+            for x in (g, c, owned, in_held):
+                x.pop()
         at, count = np.flatnonzero(todo), known[todo]
         with np.errstate(divide="ignore"):
             score[at] += np.log10(np.where(count > 0, first.discounted(count) / max(first.tokens, 1), unknown))
         per_doc = [lengths.astype(np.int64), n_known, base, np.bincount(doc, score, len(lengths))]
-        flat = [x for k, a, b, t, keys in needed for x in (np.array([k]), a, b, t, keys)]
+        flat = [x for k, a, b, t, at in needed for x in (np.array([k]), deltas(a), b, t, at)]
         out.append(("doc", 0, -1, row["batch"], pack(*per_doc, *flat)))
         return pd.DataFrame(out, columns=["kind", "order", "bucket", "batch", "data"])
 
@@ -494,12 +514,12 @@ def score(
         lengths, n_known, base, score = arrays[:4]
         score = score.copy()
         for i in range(4, len(arrays), 5):
-            k, doc, which, times, keys = arrays[i : i + 5]
+            k, steps, which, times, of_bucket = arrays[i : i + 5]
             answers = {b: unpack(d)[0] for b, d in right.loc[right["order"] == k[0], ["bucket", "data"]].to_numpy()}
-            weight = np.zeros(len(keys))
-            for b, part in dealt(keys, buckets):
+            weight = np.zeros(len(of_bucket))
+            for b, part in by_bucket(of_bucket):
                 weight[part] = answers[b]
-            score += np.bincount(doc, times * weight[which], len(lengths))
+            score += np.bincount(undelta(steps), times * weight[which], len(lengths))
         return pd.DataFrame(
             {
                 "doc_id": list(row["doc_ids"]),
