@@ -187,10 +187,9 @@ class DeltaTables(CalcTables):
         covered = lambda d: base is not None and d <= base.as_of or any(e.first_day <= d <= e.as_of for e in live)
         missing = [d for d in self.partition_days(self.daily) if d < start and not covered(d)]
         if missing:
-            rows = self.spark.table(self.daily).where(F.col("upload_date").isin(missing))
             last = max(missing)
             found = Entry(last, self._next(last, entries), RUN, min(missing), run_time(last))
-            self._add(self._folded(rows), found)
+            self._add(self._folded(self.daily_rows(missing)), found)
             live.append(found)
         self._add(self._folded(staged.where(~F.col("rejected"))), Entry(as_of, 0, RUN, start, run_ts))
         if len(live) + 1 > self.compact_after:
@@ -246,7 +245,8 @@ class DeltaTables(CalcTables):
         staged = self.stage_daily(daily_calc(events, day, self.metrics, ntz(run_time(day)), partition_day=partition_day))
         changed = recreate_staging(self._changed(staged, day), self.changed_temp, f"{self.location}/user_changed_temp")
         self.append_daily(staged, [day])
-        rows = self.spark.table(self.daily).join(changed, KEY, "left_semi").where(F.col("upload_date") <= F.lit(last.as_of))
+        counted = [d for d in self.partition_days(self.daily) if d <= last.as_of]
+        rows = self.daily_rows(counted).join(changed, KEY, "left_semi")
         known = F.min("upload_date") < F.lit(last.first_day)
         mended = rows.groupBy(KEY).agg(
             *folds(self.metrics), F.when(known, ntz(last.run_ts)).otherwise(F.max("update_time")).alias("update_time")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,10 +12,14 @@ from pyspark.sql import types as T
 
 from daytally.functions.dates import as_day
 from daytally.sources.lake import dataset, read_events
-from daytally.sources.landing import object_totals
+from daytally.sources.landing import list_objects, object_totals
 
 BYTES_PER_PARTITION = 128 << 20
 SAMPLED_PER_PARTITION = 100
+# No event day is sampled by more keys than this, about. They and the day's bounds are one row each.
+SAMPLED_PER_DAY = 100_000
+# One job of a load makes no more partitions than this. Their bounds, a key each, go to every task.
+PARTITIONS_PER_JOB = 10_000
 
 
 def _place(key: Column, bounds: Column, partitions: int) -> Column:
@@ -33,6 +38,36 @@ def _place(key: Column, bounds: Column, partitions: int) -> Column:
     return F.aggregate(halvings, start, halve, lambda at: at["low"])
 
 
+@dataclass(frozen=True)
+class DayPlan:
+    """Where the rows of an event day go: ``partitions`` of them from ``first`` on."""
+
+    event_day: date | None
+    rows: int
+    first: int
+    partitions: int
+
+    @property
+    def sampled(self) -> float:
+        """The share of the rows whose keys are sampled; none if there is nothing to cut."""
+        wanted = min(SAMPLED_PER_PARTITION * self.partitions, SAMPLED_PER_DAY)
+        return min(1.0, wanted / self.rows) if self.partitions > 1 else 0.0
+
+
+def plan_days(rows_per_day: list[tuple[date | None, int]], partitions: int) -> list[DayPlan]:
+    """Days in order, large ones cut in proportion to their rows, small ones together in one partition."""
+    each = max(1, math.ceil(sum(n for _, n in rows_per_day) / partitions))
+    plans: list[DayPlan] = []
+    place, filled = 0, 0
+    for day, n in sorted(rows_per_day, key=lambda x: (x[0] is not None, x[0] or date.min)):
+        if filled and filled + n > each:
+            place, filled = place + 1, 0
+        parts = max(1, round(n / each))
+        plans.append(DayPlan(day, n, place, parts))
+        place, filled = (place + parts, 0) if parts > 1 else (place, filled + n)
+    return plans
+
+
 def clustered(rows: DataFrame, event_time: str, cluster_by: tuple[str, ...], partitions: int) -> DataFrame:
     """Rows by event day, and within it ordered by the cluster columns across files and inside each.
 
@@ -40,26 +75,37 @@ def clustered(rows: DataFrame, event_time: str, cluster_by: tuple[str, ...], par
     too, by their place in the source file, so that no single task gets them all.
 
     The bounds between partitions come from a sample of the key columns alone, so the other columns are read once;
-    ``repartitionByRange`` would read all of them a first time for its own sample.
+    ``repartitionByRange`` would read all of them a first time for its own sample. Each event day is sampled and cut by
+    itself, so what one row holds does not grow with the number of days.
     """
-    order = ["event_day", *cluster_by, event_time, "source_row"]
+    spark = rows.sparkSession
+    order = [*cluster_by, event_time, "source_row"]
     dated = rows.withColumn("event_day", F.to_date(event_time)).withColumn("source_row", F.col("_metadata.row_index"))
-    wanted = SAMPLED_PER_PARTITION * partitions
-    total = rows.count()  # from the files' footers
-    keys = dated.select(F.struct(*order).alias("key"))
-    if total > wanted:
-        keys = keys.sample(min(1.0, wanted / total), seed=7)
-    ordered = keys.agg(F.array_sort(F.collect_list("key")).alias("keys"))  # about SAMPLED_PER_PARTITION * partitions
-    cut = lambda i: F.get("keys", F.floor(F.size("keys") * i / partitions).cast("int"))
-    bounds = ordered.select(F.array_distinct(F.array_compact(F.array(*[cut(i) for i in range(1, partitions)]))).alias("bounds"))
     if partitions > 1:
-        placed = dated.withColumn("bounds", bounds.scalar()).withColumn(
-            "place", _place(F.struct(*order), F.col("bounds"), partitions)
+        # A row per day; of the files only the event times are read.
+        found = dated.groupBy("event_day").agg(F.count(F.lit(1)).alias("n")).collect()
+        plans = plan_days([(r["event_day"], r["n"]) for r in found], partitions)
+        partitions = max((p.first + p.partitions for p in plans), default=1)
+    if partitions > 1:
+        planned = spark.createDataFrame(
+            [(p.event_day, p.first, p.partitions, p.sampled) for p in plans],
+            "planned_day date, first int, parts int, sampled double",
         )
-        dated = placed.drop("bounds").repartitionById(partitions, "place").drop("place")
+        on_day = F.col("event_day").eqNullSafe(F.col("planned_day"))
+        sampled = dated.join(F.broadcast(planned.where("parts > 1")), on_day).where(F.rand(7) < F.col("sampled"))
+        keys = sampled.groupBy("planned_day", "parts").agg(F.array_sort(F.collect_list(F.struct(*order))).alias("keys"))
+        cut = lambda i: F.get("keys", F.floor(F.size("keys") * i / F.col("parts")).cast("int"))
+        picked = F.transform(F.sequence(F.lit(1), F.col("parts") - 1), cut)
+        bounds = keys.select(F.col("planned_day").alias("bound_day"), F.array_distinct(F.array_compact(picked)).alias("bounds"))
+        # A key per partition at most, and ``PARTITIONS_PER_JOB`` of them.
+        where = planned.join(bounds, F.col("planned_day").eqNullSafe(F.col("bound_day")), "left").drop("bound_day")
+        most = max(p.partitions for p in plans)
+        within = F.when(F.col("bounds").isNull(), 0).otherwise(_place(F.struct(*order), F.col("bounds"), most))
+        placed = dated.join(F.broadcast(where), on_day).withColumn("place", F.col("first") + within)
+        dated = placed.repartitionById(partitions, "place").drop(*where.columns, "place")
     else:
         dated = dated.coalesce(1)
-    return dated.sortWithinPartitions(*order).drop("source_row")
+    return dated.sortWithinPartitions("event_day", *order).drop("source_row")
 
 
 def partitions_for(spark: SparkSession, lake: str, ds: str | date | None = None) -> int:
@@ -97,9 +143,44 @@ def load_lake(
     path: str | None = None,
     partitions: int | None = None,
 ) -> None:
-    """Appends all days of the lake in one job, for a first load; ``partitions`` goes by the size of the whole lake."""
-    rows = read_events(spark, lake, schema)
-    append(clustered(rows, event_time, cluster_by, partitions or partitions_for(spark, lake)), table, path)
+    """Appends all days of the lake, for a first load: in one job, or in some if there is more than one can place.
+
+    ``partitions`` is the number of them for the whole lake, by default by its size. Each job takes upload days that follow
+    one another. A job that fails leaves those before it; the days it was to load are in the error's notes.
+    """
+    sizes = day_sizes(spark, lake)
+    total = sum(sizes.values())
+    wanted = partitions or max(1, math.ceil(total / BYTES_PER_PARTITION))
+    for days in job_days(sizes, wanted):
+        share = max(1, math.ceil(wanted * sum(sizes[d] for d in days) / max(1, total)))
+        rows = read_events(spark, lake, schema).where(F.col("upload_date").isin(days))
+        try:
+            append(clustered(rows, event_time, cluster_by, share), table, path)
+        except Exception as error:
+            error.add_note(f"not loaded: upload days from {days[0]} on")
+            raise
+
+
+def day_sizes(spark: SparkSession, lake: str) -> dict[date, int]:
+    """Bytes of the lake's files by upload day."""
+    objects = list_objects(spark, f"{dataset(lake)}/", ".parquet")
+    day = F.regexp_extract("path", "/upload_date=([0-9]{4}-[0-9]{2}-[0-9]{2})/", 1)
+    sized = objects.groupBy(day.alias("day")).agg(F.sum("length").alias("bytes")).where("day <> ''")
+    return {as_day(r["day"]): r["bytes"] for r in sized.collect()}
+
+
+def job_days(sizes: dict[date, int], partitions: int) -> list[list[date]]:
+    """The days of each job, in order: as many as make ``PARTITIONS_PER_JOB`` partitions, or one that makes more."""
+    room = max(1, sum(sizes.values())) * PARTITIONS_PER_JOB / partitions
+    jobs: list[list[date]] = []
+    filled = 0.0
+    for day in sorted(sizes):
+        if not jobs or filled + sizes[day] > room:
+            jobs.append([])
+            filled = 0.0
+        jobs[-1].append(day)
+        filled += sizes[day]
+    return jobs
 
 
 def append(rows: DataFrame, table: str, path: str | None) -> None:

@@ -55,6 +55,10 @@ class CalcTables:
     def id_sequence(self) -> str:
         return f"{self.database}.user_daily_calc_id_seq"
 
+    @property
+    def appended(self) -> str:
+        return f"{self.database}.user_daily_calc_appended"
+
     @property
     def daily_temp(self) -> str:
         return f"{self.database}.user_daily_calc_temp"
@@ -71,6 +75,8 @@ class CalcTables:
             f"""CREATE TABLE IF NOT EXISTS {self.daily} ({self._ddl(daily)})
                 {LAYOUT} PARTITIONED BY (upload_date)""",
             f"CREATE TABLE IF NOT EXISTS {self.id_sequence} (max_id BIGINT, upload_date DATE) USING parquet",
+            f"""CREATE TABLE IF NOT EXISTS {self.appended} (first_id BIGINT, upload_date DATE)
+                {LAYOUT} PARTITIONED BY (upload_date)""",
         ):
             self.spark.sql(statement)
         for table, wanted in ((self.final, final), (self.daily, daily)):
@@ -156,6 +162,7 @@ class CalcTables:
         if replace:
             taken = taken.where(~F.col("upload_date").isin(run_over))
         start_after = taken.agg(F.max("max_id")).first()[0] or 0
+        self._note_mode(run_over, [day for day, _ in per_day], start_after, replace)
         if per_day:
             last_ids = list(accumulate((n for _, n in per_day), initial=start_after))[1:]
             values = ", ".join(f"({last}, DATE '{day}')" for last, (day, _) in zip(last_ids, per_day))
@@ -167,6 +174,23 @@ class CalcTables:
             for day in emptied.difference(day for day, _ in per_day):
                 self.clear_day(self.daily, "upload_date", day)
 
+    def _note_mode(self, run_over: list[date], filled: list[date], start_after: int, replace: bool) -> None:
+        """Keeps the days whose rows have been appended: such rows may count more than once, or on two days' runs."""
+        if replace:
+            for day in set(run_over).intersection(self.partition_days(self.appended)):
+                self.spark.sql(f"ALTER TABLE {self.appended} DROP IF EXISTS PARTITION (upload_date = DATE '{day}')")
+        else:
+            for day in filled:
+                self.spark.sql(f"INSERT OVERWRITE {self.appended} PARTITION (upload_date = DATE '{day}') SELECT {start_after}")
+
+    def daily_rows(self, days: list[date]) -> DataFrame:
+        """The daily rows of some days, to be added up in place of a snapshot. Appended days are refused: what a run has
+        merged of them is in its snapshot only."""
+        appended = sorted(set(days).intersection(self.partition_days(self.appended)))
+        if appended:
+            raise ValueError(f"no snapshot has the appended days {', '.join(map(str, appended))}; their rows cannot be added up")
+        return self.spark.table(self.daily).where(F.col("upload_date").isin(days))
+
     def rejected(self) -> DataFrame:
         """Rows the last run kept out of both tables, with the rule each breaks."""
         staged = self.spark.table(self.daily_temp)
@@ -179,9 +203,13 @@ class CalcTables:
         return int(self._described(self.final, "Num Buckets"))
 
     def drop_snapshots_before(self, day: date) -> None:
-        """Drops old snapshots. A rerun of a day before the first one kept adds up all daily rows before it."""
+        """Drops old snapshots. A rerun of a day before the first one kept adds up all daily rows before it.
+
+        Where days have been appended, their rows cannot be added up, so the last snapshot before ``day`` is kept.
+        """
+        kept = self.snapshot_before(day) if self.partition_days(self.appended) else None
         for run in self.partition_days(self.final):
-            if run < day:
+            if run < day and run != kept:
                 self._drop_snapshot(run)
 
     def _drop_snapshot(self, run: date) -> None:
@@ -226,15 +254,14 @@ class CalcTables:
         """
         today = staged.where(~F.col("rejected"))
         buckets = self.stored_buckets()
-        for run in self.partition_days(self.final):
-            if run >= start and run != as_of:
-                self._drop_snapshot(run)
         earlier = self.snapshot_before(start)
         known = self.snapshot(earlier)
         since = [d for d in self.partition_days(self.daily) if d < start and (earlier is None or d > earlier)]
         if since:
-            rows = self.spark.table(self.daily).where(F.col("upload_date").isin(since))
-            known = merge_staging(known, rows, self.metrics, buckets=buckets)
+            known = merge_staging(known, self.daily_rows(since), self.metrics, buckets=buckets)
+        for run in self.partition_days(self.final):
+            if run >= start and run != as_of:
+                self._drop_snapshot(run)
         merged = upsert(known, today, run_ts, self.metrics, buckets)
         self._insert(merged.withColumn("as_of", F.lit(as_of)), self.final, True)
         if earlier is None and not since and today.isEmpty():

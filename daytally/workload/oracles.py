@@ -176,17 +176,22 @@ SELECT log_date, CAST(SUM(strlen(line) + 1) AS BIGINT) AS total_bytes,
        CASE WHEN SUM(strlen(line) + 1) > 100000 THEN 4 ELSE 2 END AS writers, TRUE AS within
 FROM lines GROUP BY log_date"""
 
-# Each of the four runs takes its day and the midnight after it.
-INCLUSIVE_DAILY = f"""{_with(_uploads())},
-runs AS (SELECT CAST(d AS TIMESTAMP) AS d FROM generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-04', INTERVAL 1 DAY) t(d))
+# Each run takes its day and the midnight after it.
+INCLUSIVE_RUNS = f"""{_with(_uploads())},
+runs AS (SELECT CAST(d AS TIMESTAMP) AS d FROM generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '{END - DAY}', INTERVAL 1 DAY) t(d)),
+taken AS (SELECT * FROM uploads JOIN runs ON upload_time >= d AND upload_time <= d + INTERVAL 1 DAY)"""
+
+INCLUSIVE_DAILY = f"""{INCLUSIVE_RUNS}
 SELECT user_id, CAST(start_time AS DATE) AS event_date,
        {METRICS},
        CAST(upload_time AS DATE) AS upload_date, d + INTERVAL '17 hours 36 minutes' AS update_time
-FROM uploads JOIN runs ON upload_time >= d AND upload_time <= d + INTERVAL 1 DAY
-GROUP BY user_id, CAST(start_time AS DATE), CAST(upload_time AS DATE), d"""
+FROM taken GROUP BY user_id, CAST(start_time AS DATE), CAST(upload_time AS DATE), d"""
 
-# The same over all upload days.
-INCLUSIVE_DAILY_ALL = INCLUSIVE_DAILY.replace("TIMESTAMP '2024-01-04'", f"TIMESTAMP '{END - DAY}'")
+INCLUSIVE_FINAL = f"""{INCLUSIVE_RUNS}
+SELECT user_id,
+       {METRICS},
+       {_run(END - DAY)} AS update_time
+FROM taken GROUP BY user_id"""
 
 ORACLES: dict[str, str] = {
     "daily_calc": f"{_with(_uploads(), _daily(FIFTH_DAY))}\nSELECT * FROM daily_tmp",
@@ -214,9 +219,9 @@ ORACLES: dict[str, str] = {
     "run_days_deltas": _closed_form(END),
     "correct_day": _closed_form(END),
     "run_days_gated": _closed_form(END),
-    "run_days_inclusive": INCLUSIVE_DAILY,
-    "run_days_inclusive_all": INCLUSIVE_DAILY_ALL,
-    "rerun_after_backfill": _closed_form(FIFTH_DAY),
+    "run_days_inclusive": INCLUSIVE_FINAL,
+    "run_days_inclusive_all": INCLUSIVE_DAILY,
+    "rerun_after_backfill": _closed_form(END),
     "rerun_after_backfill_all": _closed_form(END),
     "backfill_closed_form": _closed_form(END),
     "constraint_violations": VIOLATIONS,

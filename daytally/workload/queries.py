@@ -211,21 +211,33 @@ def q_run_days_gated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return for_output(rows)
 
 
-def q_run_days_inclusive(spark: SparkSession, sf_dir: str, end: date = FIFTH_DAY) -> DataFrame:
-    """Appending runs that also take the next midnight, as the reference's BETWEEN does; the daily table."""
+def inclusive_tables(spark: SparkSession, sf_dir: str) -> CalcTables:
+    """Appending runs over all days that also take the next midnight, as the reference's BETWEEN does."""
     tables = new_tables(spark, "inclusive")
     events = stored(uploads(spark, sf_dir), "uploads")
-    for ds in days(FIRST_DAY, end):
+    for ds in days(FIRST_DAY, END):
         run_day(tables, events, ds, replace=False, inclusive_end=True)
-    return for_output(spark.table(tables.daily).drop("id"))
+    return tables
 
 
-def q_rerun_after_backfill(spark: SparkSession, sf_dir: str, end: date = FIFTH_DAY) -> DataFrame:
+def q_run_days_inclusive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cumulative table of such runs, old snapshots dropped: midnight rows count in both runs that take them."""
+    tables = inclusive_tables(spark, sf_dir)
+    tables.drop_snapshots_before(END)
+    return for_output(tables.latest())
+
+
+def q_run_days_inclusive_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily table of such runs."""
+    return for_output(spark.table(inclusive_tables(spark, sf_dir).daily).drop("id"))
+
+
+def q_rerun_after_backfill(spark: SparkSession, sf_dir: str, kind: type[CalcTables] = CalcTables) -> DataFrame:
     """All days run while the second lacks some uploads; a backfill corrects all but the last; the last runs again."""
-    tables, events = new_tables(spark, "rerun"), stored(uploads(spark, sf_dir), "uploads")
-    last = days(FIRST_DAY, end)[-1]
+    tables, events = new_tables(spark, "rerun", kind), stored(uploads(spark, sf_dir), "uploads")
+    last = days(FIRST_DAY, END)[-1]
     late = (F.to_date("upload_time") == F.lit(SECOND_DAY)) & (F.col("event_id") % 3 == 0)
-    run_days(tables, events.where(~late), FIRST_DAY, end)
+    run_days(tables, events.where(~late), FIRST_DAY, END)
     backfill(tables, events, FIRST_DAY, last)
     run_day(tables, events, last)
     return for_output(tables.latest())
@@ -409,9 +421,9 @@ QUERIES: dict[str, Query] = {
     "correct_day": q_correct_day,
     "run_days_gated": q_run_days_gated,
     "run_days_inclusive": q_run_days_inclusive,
-    "run_days_inclusive_all": partial(q_run_days_inclusive, end=END),
-    "rerun_after_backfill": q_rerun_after_backfill,
-    "rerun_after_backfill_all": partial(q_rerun_after_backfill, end=END),
+    "run_days_inclusive_all": q_run_days_inclusive_all,
+    "rerun_after_backfill": partial(q_rerun_after_backfill, kind=DeltaTables),
+    "rerun_after_backfill_all": q_rerun_after_backfill,
     "backfill_closed_form": q_backfill_closed_form,
     "constraint_violations": q_constraint_violations,
     "duplicate_keys": q_duplicate_keys,

@@ -1,6 +1,6 @@
 import os
 import time
-from datetime import date
+from datetime import date, timedelta
 from pathlib import Path
 
 import pytest
@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 
 from daytally.functions.loglines import LineParser, json_lines
 from daytally.plans.ingest import ingest_day, ingest_logs, writers_for
-from daytally.plans.load import clustered, load_day
+from daytally.plans import load
+from daytally.plans.load import clustered, job_days, load_day, load_lake, plan_days
 from daytally.session import run_dir, shared_dir
 from daytally.sources.lake import misplaced, read_events, read_rejects
 from daytally.sources.landing import (
@@ -372,14 +373,53 @@ def test_load_shuffles_once(spark, root, lake):
     ingest_logs(spark, root, lake, SMALL_PARSER)
     rows_of = read_events(spark, lake, SMALL, "2024-01-05")
     day = clustered(rows_of, "start_time", ("user_id",), 4)
-    plan = plan_of(day)
-    main, _, sample = plan.partition("===== Subqueries =====")
-    assert main.count("REPARTITION_BY_NUM") == 1
+    assert "REPARTITION_BY_NUM" not in plan_of(day)  # a single row needs no cut
+    put(root, "20240106/b.log", *[line(f"u{i}").replace("01-05", "01-06") for i in range(40)])
+    ingest_day(spark, root, lake, "2024-01-06", SMALL_PARSER)
+    rows_of = read_events(spark, lake, SMALL, "2024-01-06")
+    plan = plan_of(clustered(rows_of, "start_time", ("user_id",), 4))
+    assert plan.count("REPARTITION_BY_NUM") == 1
     # The bounds come from the key columns alone.
-    assert "ReadSchema: struct<user_id:string,start_time:timestamp_ntz,_tmp_metadata_row_index:bigint>" in sample
+    assert "ReadSchema: struct<user_id:string,start_time:timestamp_ntz,_tmp_metadata_row_index:bigint>" in plan
     assert exchanges(clustered(rows_of, "start_time", ("user_id",), 1)) == []
 
 
+def test_no_row_of_a_load_holds_more_keys_than_its_day_may(monkeypatch):
+    """However many days and rows: a hundred keys per partition of a day, up to a bound; a bound per partition."""
+    first = date(2024, 1, 1)
+    many = [(first + timedelta(days=i), 1_000_000 + i) for i in range(900)]
+    plans = plan_days([*many, (first + timedelta(days=900), 10**12), (None, 5)], 8_000)
+    assert all(p.sampled * p.rows <= 100 * p.partitions + 1 and p.sampled * p.rows <= load.SAMPLED_PER_DAY + 1 for p in plans)
+    assert max(p.first + p.partitions for p in plans) <= 8_000 + len(plans)
+    places = [(p.first, p.first + p.partitions - 1) for p in plans]
+    assert places == sorted(places) and all(a[1] <= b[0] for a, b in zip(places, places[1:]))
+    sizes = {day: 100 << 30 for day, _ in many}
+    monkeypatch.setattr(load, "PARTITIONS_PER_JOB", 1_000)
+    jobs = job_days(sizes, 80_000)
+    assert [d for days_of in jobs for d in days_of] == sorted(sizes) and all(len(days_of) * 80_000 / 900 <= 1_000 for days_of in jobs)
+
+
+@pytest.mark.parametrize("per_job", [1, 3, 10_000])
+def test_a_lake_is_loaded_in_as_many_jobs_as_it_takes(spark, root, lake, tmp_path, monkeypatch, per_job):
+    for d in (4, 5, 6):
+        put(root, f"2024010{d}/a.log", *[line(f"u{i % 7}").replace("01-05", f"01-0{d}") for i in range(30)])
+    ingest_logs(spark, root, lake, SMALL_PARSER)
+    monkeypatch.setattr(load, "PARTITIONS_PER_JOB", per_job)
+    table = "load_" + run_dir(spark, "t").rpartition("-")[2]
+    load_lake(spark, lake, table, SMALL, path=str(tmp_path / "warehouse"), partitions=4)
+    assert rows(spark.table(table).groupBy("event_day").count()) == [(date(2024, 1, d), 30) for d in (4, 5, 6)]
+
+
+def test_rows_without_an_event_time_are_loaded(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(200).selectExpr(
+        "CAST(id AS STRING) AS user_id", "IF(id % 5 = 0, NULL, TIMESTAMP_NTZ '2024-01-05 00:00:00') AS start_time"
+    ).write.parquet(path)
+    got = clustered(spark.read.parquet(path), "start_time", ("user_id",), 6)
+    assert got.columns == ["user_id", "start_time", "event_day"]
+    assert sorted(int(r[0]) for r in got.select("user_id").collect()) == list(range(200))
+
+
 @pytest.mark.parametrize("partitions", [2, 3, 7, 16])
 def test_clustering_places_every_row(spark, tmp_path, partitions):
     path = str(tmp_path / "rows")

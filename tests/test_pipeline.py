@@ -9,8 +9,10 @@ from daytally.functions.dates import days
 from daytally.functions.metrics import EventCount, Latest
 from daytally.operators.cumulative import upsert
 from daytally.operators.daily import daily_calc
+from daytally.plans.deltas import DeltaTables
 from daytally.plans.pipeline import backfill, run_day, run_days
 from daytally.plans.tables import CalcTables, recreate_staging
+from daytally.session import run_dir
 from daytally.workload.views import log_tree, uploads
 
 SF = "/root/testdata/sf0.001"
@@ -151,6 +153,37 @@ def test_inclusive_end_needs_append(spark, tables, events):
     assert rows(tables.snapshot(D2), "event_count") == [(2,)]
 
 
+@pytest.mark.parametrize("kind", [CalcTables, DeltaTables])
+def test_appended_days_count_alike_with_and_without_old_snapshots(spark, events, kind):
+    """A day that ran twice, and midnight rows that two runs take."""
+    feed = events(("a", "2024-01-01 10:00:00", "2024-01-01 12:00:00", 1.0), ("a", "2024-01-01 23:00:00", "2024-01-02 00:00:00", 2.0), ("a", "2024-01-02 10:00:00", "2024-01-02 12:00:00", 4.0))
+    found = []
+    for dropped in (False, True):
+        for run in ("twice", "inclusive"):
+            name = run_dir(spark, "tables")
+            tables = kind(spark, "calc_" + name.rpartition("-")[2], name, buckets=2).create()
+            inclusive = run == "inclusive"
+            for _ in range(1 if inclusive else 2):
+                run_day(tables, feed, D1, replace=False, inclusive_end=inclusive)
+            if dropped:
+                tables.drop_snapshots_before(D2)
+            last = run_day(tables, feed, D2, replace=False, inclusive_end=inclusive)
+            found.append(rows(last, "event_count", F.col("total_value").cast("double")))
+    assert found == [[(3, 7.0)], [(4, 9.0)]] * 2
+
+
+def test_appended_rows_are_not_added_up(spark, tables, events):
+    feed = events(("a", "2024-01-01 10:00:00", "2024-01-01 12:00:00", 1.0), ("a", "2024-01-02 10:00:00", "2024-01-02 12:00:00", 4.0))
+    for _ in range(2):
+        run_day(tables, feed, D1, replace=False)
+    spark.sql(f"ALTER TABLE {tables.final} DROP PARTITION (as_of = DATE '{D1}')")
+    with pytest.raises(ValueError, match="appended days 2024-01-01"):
+        run_day(tables, feed, D2)
+    run_day(tables, feed, D1)  # replaced: its rows count once again
+    spark.sql(f"ALTER TABLE {tables.final} DROP PARTITION (as_of = DATE '{D1}')")
+    assert rows(run_day(tables, feed, D2), "event_count") == [(2,)]
+
+
 def test_declared_lengths_and_defaults_hold_for_plain_inserts(spark, tables):
     with pytest.raises(PySparkException, match="EXCEED_LIMIT_LENGTH"):
         spark.sql(f"INSERT INTO {tables.daily} (id, user_id, upload_date) VALUES (1, repeat('u', 21), DATE '{D1}')")
