@@ -38,9 +38,21 @@ def written(rows: DataFrame, label: str, by: str | None = None) -> DataFrame:
     It cuts the lineage: a lost executor costs its running tasks and none of the work before. The shuffle files of the
     write go with it.
     """
+    return written_at(rows, label, by)[0]
+
+
+def written_at(rows: DataFrame, label: str, by: str | None = None) -> tuple[DataFrame, str]:
+    """The same, with the table's folder, for ``discard``."""
     spark = rows.sparkSession
     path = run_dir(spark, label)
     with shuffles_dropped(spark):
         (rows.write.partitionBy(by) if by else rows.write).parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+    return spark.read.schema(rows.schema).parquet(path), path
+
 
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Removes tables of ``written_at`` that nothing will read again, as what came of them is in tables itself."""
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daytally.llm.common import LOWER_BYTES, remainder, text_or_empty, written
+from daytally.llm.common import LOWER_BYTES, discard, remainder, text_or_empty, written, written_at
 
 ORDER = 2
 BATCH = 1_000_000
@@ -233,8 +233,8 @@ def _read(row) -> tuple[np.ndarray, np.ndarray]:
 # Counting
 
 
-def count_table(tokens: DataFrame, order: int, buckets: int) -> DataFrame:
-    """The totals, written by order: the first two orders together, then each by itself.
+def count_table(tokens: DataFrame, order: int, buckets: int) -> tuple[DataFrame, list[str]]:
+    """The totals, and the folders they are in: the first two orders together, then each by itself.
 
     So the messages of one order are gone from the disks before those of the next, and larger, are made.
 
@@ -244,10 +244,10 @@ def count_table(tokens: DataFrame, order: int, buckets: int) -> DataFrame:
 
     steps = [range(1, min(order, 2) + 1), *(range(k, k + 1) for k in range(3, order + 1))]
     tables = [_counts_of(tokens, orders, buckets) for orders in steps]
-    return reduce(DataFrame.unionByName, tables)
+    return reduce(DataFrame.unionByName, [rows for rows, _ in tables]), [path for _, path in tables]
 
 
-def _counts_of(tokens: DataFrame, orders: range, buckets: int) -> DataFrame:
+def _counts_of(tokens: DataFrame, orders: range, buckets: int) -> tuple[DataFrame, str]:
     def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for row in frame.to_dict("records"):
@@ -294,7 +294,7 @@ def _counts_of(tokens: DataFrame, orders: range, buckets: int) -> DataFrame:
     sent = tokens.select("batch", "held_out", "words").mapInPandas(
         send, "bucket int, order int, batch long, data binary"
     )
-    return written(
+    return written_at(
         sent.groupBy("bucket").applyInPandas(
             add, "batch long, bucket int, data binary, stats array<long>, order int"
         ),
@@ -502,11 +502,12 @@ def score(
     tokens = token_batches(docs, modulus, held, batch)
     total = tokens.agg(F.sum("tokens")).first()[0] or 0
     buckets = max(8, -(-total // bucket))
-    counts = count_table(tokens, order, buckets)
+    counts, folders = count_table(tokens, order, buckets)
     levels = levels_of(counts, order)
     model = Model(levels, buckets, (_unigram_mass(counts, levels[0]),))
     walked = _walk(tokens, counts, model)
-    weights = backoff_weights(walked)
+    discard(docs.sparkSession, *folders)
+    weights = written(backoff_weights(walked), "weights")
 
     def finish(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         row = left.iloc[0]
