@@ -241,6 +241,16 @@ FROM uploads WHERE event_id % 50 = 0""",
     "warehouse_append_twice": f"{SECOND_DAY_UPLOADS}\n{WAREHOUSE_ROWS} UNION ALL {WAREHOUSE_ROWS}",
     "warehouse_load_lake": f"""{_with(_uploads())}
 SELECT {LANDED}, CAST(start_time AS DATE) AS event_day FROM uploads""",
+    "warehouse_reclustered": f"""{_with(_uploads())}
+SELECT {LANDED}, CAST(start_time AS DATE) AS event_day FROM uploads""",
+    # Users of a day whose events were uploaded in two loads or more make two files overlap.
+    "recluster_report": f"""{_with(_uploads())},
+ranges AS (SELECT CAST(start_time AS DATE) AS event_day, date_diff('day', DATE '1970-01-01', CAST(upload_time AS DATE)) % 3 AS turn,
+       MIN(ROW(user_id, start_time)) AS least, MAX(ROW(user_id, start_time)) AS most
+FROM uploads GROUP BY ALL)
+SELECT a.event_day, bool_or(b.turn IS NOT NULL) AS overlapped, CAST(0 AS BIGINT) AS n_overlapping, CAST(1 AS BIGINT) AS depth
+FROM ranges a LEFT JOIN ranges b ON a.event_day = b.event_day AND a.turn <> b.turn AND a.least < b.most AND b.least < a.most
+GROUP BY a.event_day""",
     "landing_inventory": f"""{LINES}
 SELECT log_date, CAST(SUM(strlen(line) + 1) AS BIGINT) AS total_bytes FROM lines GROUP BY log_date""",
     "landing_gate": f"""{_with(_uploads())}

@@ -26,8 +26,9 @@ from daytally.operators.daily import daily_calc, daily_range
 from daytally.operators.quality import constraint_violations, duplicate_keys, split_rows
 from daytally.plans.deltas import DeltaTables
 from daytally.plans.ingest import ingest_day, ingest_logs
-from daytally.plans.load import load_day, load_lake
+from daytally.plans.load import append, clustered, load_day, load_lake
 from daytally.plans.pipeline import backfill, run_day, run_days
+from daytally.plans.recluster import file_ranges, overlaps, recluster
 from daytally.plans.tables import CalcTables, recreate_staging
 from daytally.session import configure, run_dir
 from daytally.sources.lake import read_events, read_rejects
@@ -355,6 +356,31 @@ def q_warehouse_load_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table)
 
 
+def reclustered(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """All upload days in three loads, every third day each, clustered anew; the overlap of the files before that."""
+    configure(spark)
+    events = read_events(spark, shared_lake(spark, sf_dir), UPLOAD_SCHEMA)
+    path, table = run_dir(spark, "warehouse"), f"daytally_warehouse_{uuid.uuid4().hex[:12]}"
+    for turn in range(3):
+        part = events.where(F.unix_date("upload_date") % 3 == turn)
+        append(clustered(part, "start_time", ("user_id",), 2), table, path)
+    before = stored(overlaps(file_ranges(spark, table, ("user_id", "start_time"))), "overlaps")
+    recluster(spark, table)
+    return table, before
+
+
+def q_warehouse_reclustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.table(reclustered(spark, sf_dir)[0])
+
+
+def q_recluster_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per event day: whether several files had the same keys before, and how many do after."""
+    table, before = reclustered(spark, sf_dir)
+    after = overlaps(file_ranges(spark, table, ("user_id", "start_time")))
+    shown = before.select("event_day", (F.col("depth") > 1).alias("overlapped"))
+    return after.join(shown, "event_day").select("event_day", "overlapped", "n_overlapping", "depth")
+
+
 def q_landing_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing_inventory(spark, log_tree(spark, sf_dir)).select("log_date", "total_bytes")
 
@@ -438,6 +464,8 @@ QUERIES: dict[str, Query] = {
     "warehouse_append": partial(q_warehouse, loads=[SECOND_DAY]),
     "warehouse_append_twice": partial(q_warehouse, loads=[SECOND_DAY, SECOND_DAY]),
     "warehouse_load_lake": q_warehouse_load_lake,
+    "warehouse_reclustered": q_warehouse_reclustered,
+    "recluster_report": q_recluster_report,
     "landing_inventory": q_landing_inventory,
     "landing_gate": q_landing_gate,
     "input_size_profile": q_input_size_profile,

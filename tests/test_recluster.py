@@ -1,0 +1,102 @@
+import json
+import uuid
+from datetime import date
+
+import pytest
+from helpers import rows
+from pyspark.sql import functions as F
+
+from daytally.plans import recluster as rc
+from daytally.plans.load import append, clustered
+from daytally.session import run_dir
+
+KEY = ("user_id", "start_time")
+
+
+@pytest.fixture
+def table(spark):
+    """Two days; the first in three loads, of which the last overlaps with none; the second in one load of two files."""
+    name, path = f"clustered_{uuid.uuid4().hex[:12]}", run_dir(spark, "clustered")
+
+    def load(first, last, step, day, partitions=1):
+        folder = run_dir(spark, "source")
+        made = spark.range(first, last, step).selectExpr(
+            "lpad(CAST(id AS STRING), 4, '0') AS user_id", f"TIMESTAMP_NTZ '2024-01-0{day} 01:00:00' AS start_time", "id AS value"
+        )
+        made.write.parquet(folder)
+        append(clustered(spark.read.parquet(folder), "start_time", ("user_id",), partitions), name, path)
+
+    load(0, 100, 2, 1)
+    load(1, 100, 2, 1)
+    load(500, 550, 1, 1)
+    load(0, 200, 1, 2, 2)
+    return name
+
+
+def files_of(spark, table):
+    return {r[0] for r in spark.table(table).select("_metadata.file_path").distinct().collect()}
+
+
+def report(spark, table):
+    return rows(rc.overlaps(rc.file_ranges(spark, table, KEY)))
+
+
+def test_only_overlapping_files_are_written_anew(spark, table):
+    assert report(spark, table) == [(date(2024, 1, 1), 3, 2, 2), (date(2024, 1, 2), 2, 0, 1)]
+    before, files = rows(spark.table(table)), files_of(spark, table)
+    assert rc.recluster(spark, table) == 2
+    assert report(spark, table) == [(date(2024, 1, 1), 2, 0, 1), (date(2024, 1, 2), 2, 0, 1)]
+    assert rows(spark.table(table)) == before
+    assert len(files & files_of(spark, table)) == 3  # the file apart and the other day's
+    assert rc.recluster(spark, table) == 0
+
+
+def test_some_days_and_larger_groups_only(spark, table):
+    assert rc.recluster(spark, table, days=[date(2024, 1, 2)]) == 0
+    assert rc.recluster(spark, table, least_files=3) == 0
+    assert rc.recluster(spark, table, days=[date(2024, 1, 1)]) == 2
+
+
+@pytest.mark.parametrize("lost", ["before the journal", "after the journal", "half way"])
+def test_a_call_that_dies_is_made_good_by_the_next(spark, table, monkeypatch, lost):
+    before = rows(spark.table(table))
+    if lost == "before the journal":
+        monkeypatch.setattr(rc._Files, "write", lambda *a: 1 / 0)
+    else:
+        real, calls = rc.finish, []
+
+        def dies(spark, name):
+            calls.append(name)
+            if len(calls) == 1:
+                return real(spark, name)
+            if lost == "half way":
+                files = rc._Files(spark, rc._location(spark, name))
+                journal = next(n for n in files.names(f"{files.location}/{rc.JOURNAL}") if n.endswith(".json"))
+                staged, final = json.loads(files.read(journal))["move"][0]
+                files.system.rename(files.path(staged), files.path(final))
+            raise ZeroDivisionError
+
+        monkeypatch.setattr(rc, "finish", dies)
+    with pytest.raises(ZeroDivisionError):
+        rc.recluster(spark, table)
+    monkeypatch.undo()
+    rc.recluster(spark, table)
+    spark.catalog.refreshTable(table)
+    assert rows(spark.table(table)) == before
+    assert all(r[2] == 0 for r in report(spark, table))
+
+
+def test_ranges_that_share_an_end_do_not_overlap(spark):
+    ranges = spark.createDataFrame(
+        [("d", "a", 1, 3), ("d", "b", 3, 3), ("d", "c", 3, 5), ("d", "e", 4, 9), ("d", "f", 5, 6), ("x", "g", 0, 9)],
+        "event_day string, path string, least int, most int",
+    )
+    got = {r["path"]: r["group"] for r in rc.overlap_groups(ranges).collect()}
+    assert got["a"] != got["b"] != got["c"] == got["e"] == got["f"]
+    assert rows(rc.overlaps(ranges)) == [("d", 5, 3, 2), ("x", 1, 0, 1)]
+
+
+def test_the_rest_of_the_columns_is_not_read_for_ranges(spark, table):
+    plan = rc.file_ranges(spark, table, KEY)._jdf.queryExecution().executedPlan().toString()
+    assert "value" not in plan.partition("ReadSchema")[2].split("\n")[0]
+    assert spark.table(table).agg(F.count("*")).first()[0] == 350
