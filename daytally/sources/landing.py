@@ -29,15 +29,21 @@ def list_objects(spark: SparkSession, prefix: str, suffix: str | None = None, ta
     read, so ``tasks`` bounds the number of tasks, of which there would be one per 128 MB of files. As in every Spark
     listing, names that start with ``_`` or ``.`` are left out; ``object_totals`` counts them too.
     """
+    return listing(spark, prefix, suffix, tasks).select("path", "length")
+
+
+def listing(spark: SparkSession, prefix: str, suffix: str | None = None, tasks: int = 1_000) -> DataFrame:
+    """The same with ``modified``, the time of the last change."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if suffix:
         reader = reader.option("pathGlobFilter", f"*{suffix}")
     try:
-        return reader.load(f"{prefix}*").select("path", "length").coalesce(tasks)
+        found = reader.load(f"{prefix}*").select("path", "length", F.col("modificationTime").alias("modified"))
+        return found.coalesce(tasks)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.range(0).select(F.lit("").alias("path"), F.col("id").alias("length"))
+        return spark.createDataFrame([], "path string, length long, modified timestamp")
 
 
 def object_totals(spark: SparkSession, prefix: str) -> tuple[int, int]:
@@ -69,9 +75,37 @@ def log_objects(spark: SparkSession, root: str, wanted: list[date] | None = None
 
 
 def stray_objects(spark: SparkSession, root: str) -> DataFrame:
-    """Objects below the log folder that no job takes: in a folder that is no date, nested deeper, or of another suffix."""
+    """Objects below the log folder that no job takes: in a folder that is no date, nested deeper, of another suffix, or
+    with a hidden name."""
     found = list_objects(spark, f"{root}/{LOG_FOLDER}/")
-    return found.where(folder_day(F.col("path")).isNull())
+    return found.where(folder_day(F.col("path")).isNull()).unionByName(hidden_objects(spark, root))
+
+
+def hidden_objects(spark: SparkSession, root: str) -> DataFrame:
+    """Path and length of objects that no listing has, as a name on their path begins with ``_`` or ``.``.
+
+    The file system's count of each folder below the log folder is held against the listing's. Only folders in which the
+    two differ are gone through, by the driver.
+    """
+    jvm = spark.sparkContext._jvm
+    top = jvm.org.apache.hadoop.fs.Path(f"{root}/{LOG_FOLDER}/*")
+    files = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    folder = F.regexp_extract("path", rf"/{LOG_FOLDER}/([^/]+)", 1)
+    by_folder = list_objects(spark, f"{root}/{LOG_FOLDER}/").groupBy(folder.alias("folder")).count().collect()
+    listed = {r["folder"]: r["count"] for r in by_folder}
+    found: list[tuple[str, int]] = []
+    for status in files.globStatus(top) or []:
+        path = status.getPath()
+        if files.getContentSummary(path).getFileCount() == listed.get(path.getName(), 0):
+            continue
+        above = path.getParent().toString()
+        each = files.listFiles(path, True)
+        while each.hasNext():
+            one = each.next()
+            name = one.getPath().toString()
+            if any(part.startswith(("_", ".")) for part in name.removeprefix(above).split("/")):
+                found.append((name, one.getLen()))
+    return spark.createDataFrame(found, "path string, length long")
 
 
 def prefix_gate(spark: SparkSession, prefix: str, suffix: str | None = None) -> bool:
@@ -86,7 +120,12 @@ def landing_gate(spark: SparkSession, root: str, ds: str | date) -> bool:
 
 def landing_inventory(spark: SparkSession, root: str, wanted: list[date] | None = None) -> DataFrame:
     """Objects and bytes per day, over the wanted days that have logs, or all days."""
-    by_day = log_objects(spark, root, wanted).groupBy("log_date")
+    return inventory(log_objects(spark, root, wanted))
+
+
+def inventory(objects: DataFrame) -> DataFrame:
+    """Objects and bytes per day of ``log_objects``."""
+    by_day = objects.groupBy("log_date")
     return by_day.agg(F.count(F.lit(1)).alias("n_objects"), F.sum("length").alias("total_bytes"))
 
 

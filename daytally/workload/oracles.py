@@ -263,3 +263,5 @@ SELECT CAST(SUM(strlen(line) + 1) AS BIGINT) AS total_bytes,
     "stream_ingest": ALL_UPLOADS,
     "stream_ingest_late": ALL_UPLOADS,
 }
+ORACLES["manifest_inventory"] = ORACLES["landing_inventory"]
+ORACLES["manifest_size_profile"] = ORACLES["input_size_profile"]

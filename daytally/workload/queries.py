@@ -38,6 +38,7 @@ from daytally.sources.landing import (
     landing_status,
     size_profile,
 )
+from daytally.sources.manifest import Manifest
 from daytally.streaming.ingest import stream_ingest
 from daytally.workload.views import UPLOAD_SCHEMA, log_lines, log_tree, uploads, write_log_tree
 
@@ -393,6 +394,23 @@ def q_input_size_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return size_profile(spark, f"{log_tree(spark, sf_dir)}/").select("total_bytes", "writers")
 
 
+def listed(spark: SparkSession, sf_dir: str) -> Manifest:
+    """Filled by a whole listing, then brought up to date by one of the last month."""
+    configure(spark)
+    manifest = Manifest(spark, run_dir(spark, "manifest"), log_tree(spark, sf_dir))
+    manifest.update()
+    manifest.update(since=END)
+    return manifest
+
+
+def q_manifest_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return listed(spark, sf_dir).inventory().select("log_date", "total_bytes")
+
+
+def q_manifest_size_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return listed(spark, sf_dir).size_profile()
+
+
 def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs over the same files: the second one finds nothing new."""
     configure(spark)
@@ -469,6 +487,8 @@ QUERIES: dict[str, Query] = {
     "landing_inventory": q_landing_inventory,
     "landing_gate": q_landing_gate,
     "input_size_profile": q_input_size_profile,
+    "manifest_inventory": q_manifest_inventory,
+    "manifest_size_profile": q_manifest_size_profile,
     "stream_ingest": q_stream_ingest,
     "stream_ingest_late": q_stream_ingest_late,
 }

@@ -1,0 +1,85 @@
+from datetime import date
+from pathlib import Path
+
+import pytest
+from helpers import plan_of, rows
+
+from daytally.sources import manifest as mf
+from daytally.sources.landing import hidden_objects, landing_inventory, stray_objects
+from daytally.sources.manifest import Manifest
+
+
+@pytest.fixture
+def root(tmp_path):
+    return str(tmp_path / "landing")
+
+
+def put(root, name, text="x"):
+    path = Path(root) / "logs" / name
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text(text)
+
+
+@pytest.fixture
+def manifest(spark, root, tmp_path):
+    put(root, "20231231/a.log", "xx")
+    put(root, "20240105/a.log", "xxx")
+    put(root, "20240105/b.log", "x")
+    put(root, "20240105/c.txt", "x")
+    put(root, "20240204/a.log", "xxxx")
+    put(root, "other/a.log", "xxxxx")
+    return Manifest(spark, str(tmp_path / "manifest"), root)
+
+
+def test_it_says_what_a_listing_says(spark, root, manifest):
+    assert manifest.objects().isEmpty() and not manifest.gate("2024-01-05")
+    assert manifest.update() == ["202312", "202401", "202402", "none"]
+    assert rows(manifest.inventory()) == rows(landing_inventory(spark, root))
+    assert manifest.gate("2024-01-05") and not manifest.gate("2024-01-06")
+    assert rows(manifest.size_profile(), "total_bytes") == [(16,)]
+    assert [r[0].rpartition("logs/")[2] for r in rows(manifest.stray_objects())] == ["20240105/c.txt", "other/a.log"]
+    assert rows(manifest.log_objects([date(2024, 1, 5)]), "length") == [(1,), (3,)]
+
+
+def test_an_update_lists_the_months_that_can_change(spark, root, manifest, monkeypatch):
+    manifest.update()
+    before = {p: p.stat().st_mtime_ns for p in Path(manifest.path).rglob("*.parquet") if "202402" not in str(p)}
+    asked = []
+    real = mf.listing
+    monkeypatch.setattr(mf, "listing", lambda spark, prefix, *a: asked.append(prefix) or real(spark, prefix, *a))
+    put(root, "20240209/a.log", "x")
+    put(root, "20240301/a.log", "x")
+    put(root, "20231230/late.log", "x")  # not looked for
+    assert manifest.update(since="2024-02-15") == ["202402", "202403"]
+    assert asked == [f"{root}/logs/{{202402,202403}}"]
+    assert {p: p.stat().st_mtime_ns for p in before} == before
+    assert [r[0] for r in rows(manifest.inventory(), "log_date")] == [date(2023, 12, 31), date(2024, 1, 5), date(2024, 2, 4), date(2024, 2, 9), date(2024, 3, 1)]
+    assert manifest.update(since="2025-01-01") == []
+
+
+def test_months_whose_objects_are_gone_go(root, manifest):
+    manifest.update()
+    for name in ("20240204/a.log", "20240105/b.log"):
+        (Path(root) / "logs" / name).unlink()
+    manifest.update(since="2024-01-01")
+    assert rows(manifest.inventory()) == [(date(2023, 12, 31), 1, 2), (date(2024, 1, 5), 1, 3)]
+    assert manifest.held() == ["202312", "202401", "none"]
+
+
+def test_days_read_their_months_only(manifest):
+    manifest.update()
+    plan = plan_of(manifest.log_objects([date(2024, 1, 5)]))
+    assert "PartitionFilters" in plan and "202401" in plan.partition("PartitionFilters")[2].split("\n")[0]
+
+
+def test_hidden_names_are_reported(spark, root, manifest):
+    assert hidden_objects(spark, root).isEmpty()
+    put(root, "20240105/.x.log", "hidden")
+    put(root, "20240105/_tmp/y.log", "hid")
+    put(root, "_spool/20240106/z.log", "h")
+    put(root, ".top.log", "hh")
+    got = [(r[0].rpartition("/logs/")[2], r[1]) for r in rows(hidden_objects(spark, root))]
+    assert got == [(".top.log", 2), ("20240105/.x.log", 6), ("20240105/_tmp/y.log", 3)]
+    strays = {r[0].rpartition("/logs/")[2] for r in rows(stray_objects(spark, root))}
+    # A listing has what is in a folder right at its prefix, whatever the folder's name is.
+    assert strays == {name for name, _ in got} | {"20240105/c.txt", "other/a.log", "_spool/20240106/z.log"}
