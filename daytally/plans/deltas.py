@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daytally.functions.dates import as_day, ntz, run_time
-from daytally.functions.metrics import folds, state_names
+from daytally.functions.metrics import Metric, folds, state_names
 from daytally.functions.rules import USER_ID_LENGTH
 from daytally.operators.cumulative import KEY, cumulative_columns
 from daytally.operators.daily import daily_calc
@@ -225,17 +225,21 @@ class DeltaTables(CalcTables):
     def rebucket(self, buckets: int) -> None:
         raise NotImplementedError("base and deltas share their buckets; make new tables and backfill them")
 
+    def add_metric(self, events: DataFrame, metric: Metric) -> DeltaTables:
+        raise NotImplementedError("deltas hold the old states; make new tables and backfill them")
+
     # Corrections
 
-    def correct_day(
-        self, events: DataFrame, ds: str | date, partition_day: str | None = None
-    ) -> DataFrame:
+    def correct_day(self, events: DataFrame, ds: str | date, partition_day: str | None = None) -> DataFrame:
         """Runs one earlier day again and mends the users whose rows it changes, without running the days after it.
 
         Of the daily table only rows of changed users are aggregated, and only these users are written, as an entry that
         stands in place of all before it. The result is that of running all days again. Returns all users.
         """
-        day = as_day(ds)
+        with self.lease():
+            return self._correct(events, as_day(ds), partition_day)
+
+    def _correct(self, events: DataFrame, day: date, partition_day: str | None) -> DataFrame:
         entries = self.entries()
         _, live = self._live(entries)
         runs = [e for e in entries if e.kind == RUN]

@@ -124,13 +124,101 @@ def load_day(
     cluster_by: tuple[str, ...] = ("user_id",),
     path: str | None = None,
     partitions: int | None = None,
-) -> None:
+    once: bool = False,
+) -> bool:
     """Appends one upload day of the lake to ``table``, created if absent. Loading a day twice doubles its rows.
 
-    ``partitions`` is the number of tasks that sort and write, by default what the size of the day asks for.
+    ``partitions`` is the number of tasks that sort and write, by default what the size of the day asks for. With
+    ``once`` the table's ledger is kept and asked: a day whose same files have been loaded is skipped, and False comes
+    back. A day that has been loaded from other files, or whose load did not end, raises ``DayLoaded``.
     """
     rows = read_events(spark, lake, schema, ds)
-    append(clustered(rows, event_time, cluster_by, partitions or partitions_for(spark, lake, ds)), table, path)
+    ordered = clustered(rows, event_time, cluster_by, partitions or partitions_for(spark, lake, ds))
+    if not once:
+        append(ordered, table, path)
+        return True
+    ledger = LoadLedger(spark, table, path).create()
+    load = ledger.of_day(lake, ds)
+    if ledger.has(load):
+        return False
+    ledger.note(load, BEGUN)
+    append(ordered, table, path)
+    ledger.note(load, DONE)
+    return True
+
+
+BEGUN, DONE = "begun", "done"
+
+
+class DayLoaded(ValueError):
+    """Loading the day would double rows, or might."""
+
+
+@dataclass(frozen=True)
+class Load:
+    """An upload day's files as a load takes them; ``digest`` is that of their names and lengths."""
+
+    day: date
+    files: int
+    bytes: int
+    digest: str
+
+
+@dataclass(frozen=True)
+class LoadLedger:
+    """A row when a load begins and one when it has ended, beside the table it loads."""
+
+    spark: SparkSession
+    table: str
+    path: str | None = None
+
+    @property
+    def name(self) -> str:
+        return f"{self.table}_loads"
+
+    def create(self) -> LoadLedger:
+        place = f" LOCATION '{self.path}_loads'" if self.path else ""
+        self.spark.sql(
+            f"""CREATE TABLE IF NOT EXISTS {self.name}
+            (day DATE, files BIGINT, bytes BIGINT, digest STRING, state STRING, at TIMESTAMP) USING parquet{place}"""
+        )
+        return self
+
+    def of_day(self, lake: str, ds: str | date) -> Load:
+        day = as_day(ds)
+        objects = list_objects(self.spark, f"{dataset(lake)}/upload_date={day}/", ".parquet")
+        name = F.concat_ws(" ", F.regexp_extract("path", "([^/]+)$", 1), F.col("length").cast("string"))
+        # A sum of hashes does not depend on the order, and nothing has to be in one place.
+        totals = objects.select("length", F.xxhash64(name).cast("decimal(38,0)").alias("hash")).agg(
+            F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"), F.sum("hash").alias("hash")
+        )
+        found = totals.first()
+        return Load(day, found["files"], found["bytes"], str(found["hash"]))
+
+    def has(self, load: Load) -> bool:
+        """Whether the same files have been loaded. Other loads of the day are errors."""
+        rows = self.spark.table(self.name).where(F.col("day") == F.lit(load.day)).collect()
+        done = {r["digest"] for r in rows if r["state"] == DONE}
+        begun = {r["digest"] for r in rows if r["state"] == BEGUN}
+        if begun - done:
+            raise DayLoaded(f"a load of {load.day} into {self.table} did not end: look for its rows, then settle the ledger")
+        if done - {load.digest}:
+            raise DayLoaded(f"{load.day} has been loaded into {self.table} from other files")
+        return bool(done)
+
+    def note(self, load: Load, state: str) -> None:
+        values = f"DATE '{load.day}', {load.files}, {load.bytes}, '{load.digest}', '{state}', current_timestamp()"
+        self.spark.sql(f"INSERT INTO {self.name} SELECT {values}")
+
+    def settle(self, ds: str | date, loaded: bool) -> None:
+        """Says of a load that did not end whether its rows are in the table."""
+        rows = self.spark.table(self.name).where(F.col("day") == F.lit(as_day(ds)))
+        kept = [r for r in self.spark.table(self.name).collect() if r["day"] != as_day(ds) or r["state"] == DONE]
+        open_ = [r for r in rows.collect() if r["state"] == BEGUN]
+        schema = self.spark.table(self.name).schema
+        added = [(*r[:4], state, r["at"]) for r in open_ for state in (BEGUN, DONE)] if loaded else []
+        whole = self.spark.createDataFrame([*map(tuple, kept), *added], schema)
+        whole.write.insertInto(self.name, overwrite=True)
 
 
 def load_lake(

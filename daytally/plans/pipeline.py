@@ -25,7 +25,8 @@ def run_day(
 ) -> DataFrame | None:
     """One day: daily figures, appended to the daily table and merged into the cumulative one. Returns the latter.
 
-    With ``landing_root``, a day without logs is skipped and None comes back. ``run_ts`` is the time both tables are
+    Of two runs on the same tables at a time one raises ``RunsOverlap``, before it writes. With ``landing_root``, a day
+    without logs is skipped and None comes back. ``run_ts`` is the time both tables are
     stamped with, by default the scheduled time of the day. ``partition_day``: see ``daily_calc``.
     """
     if inclusive_end and replace:
@@ -36,9 +37,10 @@ def run_day(
         return None
     stamp = run_ts or run_time(day)
     daily = daily_calc(events, day, tables.metrics, ntz(stamp), inclusive_end, partition_day)
-    staged = tables.stage_daily(daily)
-    tables.append_daily(staged, [day], replace)
-    return tables.upsert(staged, day, day, stamp)
+    with tables.lease():
+        staged = tables.stage_daily(daily)
+        tables.append_daily(staged, [day], replace)
+        return tables.upsert(staged, day, day, stamp)
 
 
 def run_days(
@@ -80,7 +82,8 @@ def backfill(
     last = run_over[-1]
     stamp = run_time_of(F.col("upload_date"))
     daily = daily_range(events, start, end, tables.metrics, stamp, partition_day=partition_day)
-    staged = tables.stage_daily(daily)
-    tables.append_daily(staged, run_over)
-    stamped = staged.withColumn("update_time", ntz(run_time(last)))
-    return tables.upsert(stamped, run_over[0], last, run_time(last))
+    with tables.lease():
+        staged = tables.stage_daily(daily)
+        tables.append_daily(staged, run_over)
+        stamped = staged.withColumn("update_time", ntz(run_time(last)))
+        return tables.upsert(stamped, run_over[0], last, run_time(last))

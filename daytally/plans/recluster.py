@@ -14,13 +14,13 @@ from __future__ import annotations
 import json
 import math
 import uuid
-from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from daytally.plans.load import BYTES_PER_PARTITION, clustered
+from daytally.sources.files import Files
 
 JOURNAL = "_recluster"
 
@@ -64,45 +64,6 @@ def overlaps(ranges: DataFrame) -> DataFrame:
     return counted.join(depth, F.col("event_day").eqNullSafe(F.col("of_day"))).drop("of_day")
 
 
-@dataclass(frozen=True)
-class _Files:
-    """The table's folder, through the file system it is in."""
-
-    spark: SparkSession
-    location: str
-
-    def path(self, name: str):
-        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
-
-    @property
-    def system(self):
-        return self.path(self.location).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-
-    def names(self, folder: str) -> list[str]:
-        if not self.system.exists(self.path(folder)):
-            return []
-        return [status.getPath().toString() for status in self.system.listStatus(self.path(folder))]
-
-    def below(self, folder: str) -> list[str]:
-        """All files, however deep."""
-        found, listed = [], self.system.listFiles(self.path(folder), True)
-        while listed.hasNext():
-            found.append(listed.next().getPath().toString())
-        return found
-
-    def write(self, name: str, text: str) -> None:
-        """Whole or not at all: the text gets its name when it is written."""
-        out = self.system.create(self.path(f"{name}.new"), True)
-        out.write(bytearray(text.encode()))
-        out.close()
-        if not self.system.rename(self.path(f"{name}.new"), self.path(name)):
-            raise RuntimeError(f"could not write {name}")
-
-    def read(self, name: str) -> str:
-        rows = self.spark.read.format("binaryFile").load(name).select("content").collect()
-        return bytes(rows[0]["content"]).decode()
-
-
 def _location(spark: SparkSession, table: str) -> str:
     described = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").first()
     return described["data_type"].rstrip("/")
@@ -110,7 +71,7 @@ def _location(spark: SparkSession, table: str) -> str:
 
 def finish(spark: SparkSession, table: str) -> int:
     """Carries out what journals say that a call before has left. Each step may have been done already."""
-    files = _Files(spark, _location(spark, table))
+    files = Files(spark, _location(spark, table))
     journals = [n for n in files.names(f"{files.location}/{JOURNAL}") if n.endswith(".json")]
     for name in journals:
         journal = json.loads(files.read(name))
@@ -140,7 +101,7 @@ def recluster(
     A group of less than ``least_files`` files waits for more. One job for each group: its size is that of the group.
     """
     finish(spark, table)
-    files = _Files(spark, _location(spark, table))
+    files = Files(spark, _location(spark, table))
     found = overlap_groups(file_ranges(spark, table, (*cluster_by, event_time), days))
     groups = (
         found.groupBy("event_day", "group")

@@ -2,21 +2,37 @@
 
 from __future__ import annotations
 
+import json
+import time
+import uuid
 from collections import Counter
-from dataclasses import dataclass
+from collections.abc import Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass, replace
 from datetime import date, datetime
 from itertools import accumulate
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daytally.functions.metrics import DEFAULT_METRICS, Metric, states
+from daytally.functions.dates import next_day
+from daytally.functions.metrics import DEFAULT_METRICS, Metric, folds, states
 from daytally.functions.rules import USER_ID_LENGTH, daily_rules
 from daytally.operators.cumulative import cumulative_columns, merge_staging, upsert
 from daytally.operators.quality import tag_rows
+from daytally.operators.daily import daily_range
 from daytally.operators.serial import POSITION, assign_ids, partition_sizes, with_positions
+from daytally.sources.files import Files
 
 
+class RunsOverlap(RuntimeError):
+    """Another run has the lease of the tables."""
+
+
+# Leases that this process holds.
+_held: set[str] = set()
+
 LAYOUT = "USING parquet OPTIONS (partitionOverwriteMode 'dynamic')"
 
 
@@ -63,6 +79,38 @@ class CalcTables:
     def daily_temp(self) -> str:
         return f"{self.database}.user_daily_calc_temp"
 
+    @contextmanager
+    def lease(self, hours: float = 12) -> Iterator[None]:
+        """Only one run at a time: another that begins meanwhile raises ``RunsOverlap`` before it writes anything.
+
+        A file in the tables' folder, made by whoever comes first. One that a dead run has left counts until it expires;
+        so ``hours`` must be more than a run takes. A lease within one of the same tables object is part of it.
+        """
+        name = f"{self.location}/_lease"
+        if name in _held:
+            yield
+            return
+        files, mine = Files(self.spark, self.location), uuid.uuid4().hex
+        text = json.dumps({"owner": mine, "until": time.time() + hours * 3600, "run": self.spark.sparkContext.applicationId})
+        if not files.create(name, text):
+            try:
+                held = json.loads(files.read(name))
+            except (Py4JJavaError, ValueError):
+                held = {"until": time.time() + 1, "run": "one that has just begun or ended"}
+            if held["until"] > time.time():
+                raise RunsOverlap(f"{self.database} is in use by {held['run']}")
+            # Of several that find it expired, one can move it away.
+            files.rename(name, f"{name}-{mine}")
+            files.delete(f"{name}-{mine}")
+            if not files.create(name, text):
+                raise RunsOverlap(f"{self.database} has just been taken by another run")
+        _held.add(name)
+        try:
+            yield
+        finally:
+            _held.discard(name)
+            files.delete(name)
+
     def create(self) -> CalcTables:
         """Creates what is missing. Overwrites replace only the partitions they write to.
 
@@ -231,6 +279,40 @@ class CalcTables:
         self.spark.sql(f"ALTER TABLE {self.final} RENAME TO {before}")
         self.spark.sql(f"ALTER TABLE {made} RENAME TO {self.final}")
 
+    def add_metric(self, events: DataFrame, metric: Metric) -> CalcTables:
+        """Tables with one metric more, filled from ``events`` for all days that have run; the last snapshot moves along.
+
+        Both tables are written anew under other names, which then take the place of the old ones; those stay as
+        ``..._before``. Daily rows keep their ids. The new states of a user are those of the user's daily rows, so days
+        that have been appended are refused. ``self`` no longer fits the tables; go on with what comes back.
+        """
+        grown = replace(self, metrics=(*self.metrics, metric))
+        with self.lease():
+            run = sorted(self.partition_days(self.daily))
+            latest = max(self.partition_days(self.final), default=None)
+            daily = self.daily_rows(run)
+            names = {table: f"{table}_grown" for table in (self.daily, self.final)}
+            for table, made in names.items():
+                self.spark.sql(f"DROP TABLE IF EXISTS {made}")
+                self.spark.sql(f"DROP TABLE IF EXISTS {table}_before")
+            self.spark.sql(f"CREATE TABLE {names[self.daily]} ({self._ddl(grown._daily_columns())}) {LAYOUT} PARTITIONED BY (upload_date)")
+            self.spark.sql(grown._create_final(names[self.final], self.stored_buckets()))
+            if run:
+                keys = ["user_id", "event_date", "upload_date"]
+                added = daily_range(events, run[0], next_day(run[-1]), (metric,), F.lit(None)).drop("update_time")
+                added = added.where(F.col("upload_date").isin(run))
+                self._insert(daily.join(added, keys, "left"), names[self.daily], True)
+            if latest is not None:
+                states = self.spark.table(names[self.daily]).where(F.col("upload_date") <= F.lit(latest))
+                buckets = self.stored_buckets()
+                per_user = states.groupBy("user_id").agg(*folds((metric,))).repartition(buckets, "user_id")
+                moved = self.snapshot(latest).join(per_user, "user_id", "left").withColumn("as_of", F.lit(latest))
+                self._insert(moved.repartition(buckets, "user_id"), names[self.final], True)
+            for table, made in names.items():
+                self.spark.sql(f"ALTER TABLE {table} RENAME TO {table}_before")
+                self.spark.sql(f"ALTER TABLE {made} RENAME TO {table}")
+        return grown.create()
+
     def snapshot_before(self, day: date) -> date | None:
         return max((run for run in self.partition_days(self.final) if run < day), default=None)
 

@@ -265,3 +265,6 @@ SELECT CAST(SUM(strlen(line) + 1) AS BIGINT) AS total_bytes,
 }
 ORACLES["manifest_inventory"] = ORACLES["landing_inventory"]
 ORACLES["manifest_size_profile"] = ORACLES["input_size_profile"]
+ORACLES["warehouse_append_once"] = ORACLES["warehouse_append"]
+ORACLES["stream_batches"] = ALL_UPLOADS
+ORACLES["add_metric"] = ORACLES["upsert_figures"]

@@ -13,7 +13,17 @@ from pyspark.sql import types as T
 
 from daytally.functions.dates import days, next_day, ntz, run_time, run_time_of
 from daytally.functions.loglines import json_lines
-from daytally.functions.metrics import DEFAULT_METRICS, RICH_METRICS, EventCount, Metric, figures, per_day
+from daytally.functions.metrics import (
+    DEFAULT_METRICS,
+    RICH_METRICS,
+    Average,
+    Different,
+    EventCount,
+    Metric,
+    Quantile,
+    figures,
+    per_day,
+)
 from daytally.functions.rules import user_rules
 from daytally.operators.cumulative import (
     insert_new_users,
@@ -39,6 +49,7 @@ from daytally.sources.landing import (
     size_profile,
 )
 from daytally.sources.manifest import Manifest
+from daytally.streaming.batches import read_batches, stream_batches
 from daytally.streaming.ingest import stream_ingest
 from daytally.workload.views import UPLOAD_SCHEMA, log_lines, log_tree, uploads, write_log_tree
 
@@ -181,6 +192,16 @@ def q_upsert_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return for_output(figures(tables.latest(), RICH_METRICS))
 
 
+def q_add_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables that have run without them get an average and a median; then the last days run."""
+    tables, events = new_tables(spark, "grown"), stored(uploads(spark, sf_dir), "uploads")
+    backfill(tables, events, FIRST_DAY, LATE_DAY)
+    for metric in (Average(), Different(), Quantile()):
+        tables = tables.add_metric(events, metric)
+    run_days(tables, events, LATE_DAY, END)
+    return for_output(figures(tables.latest(), tables.metrics))
+
+
 def q_run_days(spark: SparkSession, sf_dir: str, end: date = END) -> DataFrame:
     """Day by day over all upload days; the last snapshot."""
     tables = new_tables(spark, "run")
@@ -340,12 +361,12 @@ def q_logs_to_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     return for_output(backfill(tables, events, FIRST_DAY, END, root, partition_day="upload_date"))
 
 
-def q_warehouse(spark: SparkSession, sf_dir: str, loads: list[date]) -> DataFrame:
+def q_warehouse(spark: SparkSession, sf_dir: str, loads: list[date], once: bool = False) -> DataFrame:
     configure(spark)
     lake = shared_lake(spark, sf_dir)
     path, table = run_dir(spark, "warehouse"), f"daytally_warehouse_{uuid.uuid4().hex[:12]}"
     for ds in loads:
-        load_day(spark, lake, table, ds, UPLOAD_SCHEMA, path=path)
+        load_day(spark, lake, table, ds, UPLOAD_SCHEMA, path=path, once=once)
     return spark.table(table)
 
 
@@ -433,6 +454,18 @@ def q_stream_ingest_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(lake).where(F.col("kind") == "good").drop("kind", "line")
 
 
+def q_stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Even days' logs first, then the rest, in batches of a few files; read without a sink log."""
+    configure(spark)
+    root, lake, checkpoint = run_dir(spark, "landing"), run_dir(spark, "stream"), run_dir(spark, "stream-checkpoint")
+    lines = log_lines(spark, sf_dir)
+    even = F.col("folder") % 2 == 0
+    for part in (even, ~even):
+        write_log_tree(lines.where(part), root)
+        stream_batches(spark, root, lake, checkpoint, PARSER, max_files_per_batch=40)
+    return read_batches(spark, lake, UPLOAD_SCHEMA).drop("line", "source_file")
+
+
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily run over the first three days; the last snapshot."""
     return q_run_days(spark, sf_dir, date(2024, 1, 4))
@@ -460,6 +493,7 @@ QUERIES: dict[str, Query] = {
     "upsert_final_late": partial(q_upsert_final, ds=LATE_DAY),
     "upsert_bucketed": q_upsert_bucketed,
     "upsert_figures": q_upsert_figures,
+    "add_metric": q_add_metric,
     "run_days": q_run_days,
     "run_days_deltas": q_run_days_deltas,
     "correct_day": q_correct_day,
@@ -481,6 +515,7 @@ QUERIES: dict[str, Query] = {
     "logs_to_final": q_logs_to_final,
     "warehouse_append": partial(q_warehouse, loads=[SECOND_DAY]),
     "warehouse_append_twice": partial(q_warehouse, loads=[SECOND_DAY, SECOND_DAY]),
+    "warehouse_append_once": partial(q_warehouse, loads=[SECOND_DAY, SECOND_DAY], once=True),
     "warehouse_load_lake": q_warehouse_load_lake,
     "warehouse_reclustered": q_warehouse_reclustered,
     "recluster_report": q_recluster_report,
@@ -491,4 +526,5 @@ QUERIES: dict[str, Query] = {
     "manifest_size_profile": q_manifest_size_profile,
     "stream_ingest": q_stream_ingest,
     "stream_ingest_late": q_stream_ingest_late,
+    "stream_batches": q_stream_batches,
 }

@@ -61,7 +61,7 @@ def test_some_days_and_larger_groups_only(spark, table):
 def test_a_call_that_dies_is_made_good_by_the_next(spark, table, monkeypatch, lost):
     before = rows(spark.table(table))
     if lost == "before the journal":
-        monkeypatch.setattr(rc._Files, "write", lambda *a: 1 / 0)
+        monkeypatch.setattr(rc.Files, "write", lambda *a: 1 / 0)
     else:
         real, calls = rc.finish, []
 
@@ -70,7 +70,7 @@ def test_a_call_that_dies_is_made_good_by_the_next(spark, table, monkeypatch, lo
             if len(calls) == 1:
                 return real(spark, name)
             if lost == "half way":
-                files = rc._Files(spark, rc._location(spark, name))
+                files = rc.Files(spark, rc._location(spark, name))
                 journal = next(n for n in files.names(f"{files.location}/{rc.JOURNAL}") if n.endswith(".json"))
                 staged, final = json.loads(files.read(journal))["move"][0]
                 files.system.rename(files.path(staged), files.path(final))
