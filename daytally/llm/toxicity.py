@@ -4,12 +4,14 @@ Voters. Lexicon voters hold words, and beginnings of words, that labelled rows m
 group of them. Pattern voters look at shouting, repeated characters, stretches of symbols, and at how many
 lexicon entries a text has. The lexicon is learned from a bounded sample of labelled rows (``MAX_LABELLED``).
 
-Label model. The labelled sample gives the voters' covariance within the classes (their correlations). Every text's votes
-are written; expectation-maximisation over sums of all of them estimates the share of toxic texts and each voter's mean
-vote in both classes (its accuracy). Weights that take the covariance into account give each text a posterior label.
+Label model. Every text's votes are written. Expectation-maximisation over sums of all of them estimates the share of toxic
+texts, each voter's mean vote in both classes (its accuracy), and the covariance of the votes within the classes (the
+voters' correlations), as ``RANK`` factors that voters have in common and a rest of each voter's own. Labelled rows keep
+their labels, and weigh ``ANCHOR`` times as much as all others together: with less of an anchor, voters that copy each
+other would be taken for the label. Weights that take the covariance into account give each text a posterior label.
 
 Classifier. A logistic regression on votes and counts is fitted to the posterior labels by Newton steps, each a sum over
-all rows; it gives the scores.
+all rows; it gives the scores. The posterior label of a labelled row is its label, and such a row counts ``KNOWN`` times.
 
 Cases: null and empty texts cast no lexicon vote and are scored like other texts without any. Without labels, or with
 one kind of label only, the score is that of the labels' mean (0 without any). Rows without an id are scored and not
@@ -37,6 +39,10 @@ SHORTEST, LONGEST = 4, 8
 LEAST_PRECISION = 0.7
 LEAST_EVIDENCE = 20.0  # log-likelihood ratio; chance gives this to about one gram in a hundred thousand
 EM_STEPS = 8
+RANK = 4
+ANCHOR = 2.0
+AXIS_STEPS = 50
+KNOWN = 10.0
 NEWTON_STEPS = 6
 SMOOTH = 0.02
 ROWS_AT_ONCE = 1024
@@ -194,60 +200,91 @@ class LabelModel:
         within = outer / n - (1 - share) * np.outer(means[0], means[0]) - share * np.outer(means[1], means[1])
         return cls(share, means, within + SMOOTH * np.eye(len(total)))
 
-    def with_sums(self, n, toxic, total, total_toxic) -> LabelModel:
-        """Share and means of other sums, with the same covariance.
-
-        Were the covariance fitted along, voters that copy each other would be taken for the label itself.
-        """
-        share = float(np.clip(toxic / n, 1e-4, 1 - 1e-4))
-        means = np.stack([(total - total_toxic) / max(n - toxic, 1e-9), total_toxic / max(toxic, 1e-9)])
-        return LabelModel(share, means, self.covariance)
+    @classmethod
+    def of_sums(cls, n, toxic, total, total_toxic, outer, rank: int = RANK) -> LabelModel:
+        """The same from sums over all rows by their posterior labels, with common factors and rests as covariance."""
+        model = cls.of_labels(n, toxic, total, total_toxic, outer)
+        scale = np.sqrt(np.diag(model.covariance))
+        model.covariance = with_common_factors(model.covariance / np.outer(scale, scale), rank) * np.outer(scale, scale)
+        return model
+
+
+def with_common_factors(correlation: np.ndarray, rank: int) -> np.ndarray:
+    """The correlation that so many common factors leave, by principal axes: a voter's own part is in no factor."""
+    shared = 1 - 1 / np.diag(np.linalg.inv(correlation))
+    for _ in range(AXIS_STEPS):
+        values, vectors = np.linalg.eigh(correlation - np.diag(1 - shared))
+        factors = vectors[:, -rank:] * np.sqrt(np.maximum(values[-rank:], 0))
+        common = factors @ factors.T
+        shared = np.minimum(np.diag(common), 1 - 1e-3)
+    np.fill_diagonal(common, 1)
+    return common
 
 
 def _sums(votes: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, ...]:
     return np.array(float(len(p))), np.array(p.sum()), votes.sum(0), p @ votes
 
 
-def fit_label_model(table: DataFrame, labelled: DataFrame) -> LabelModel:
-    """The voters' correlations come from the labelled sample; share and accuracies from the votes of all texts.
+def _voter_votes(batch: pa.RecordBatch) -> np.ndarray:
+    return matrix(batch.column("votes")).astype(float)[:, :N_VOTERS]
+
 
-    The labelled rows stay in the sums with their known labels, so that the classes cannot change places.
-    """
+def fit_label_model(table: DataFrame, labelled: DataFrame) -> LabelModel:
+    """``table`` has all rows, the labelled ones too. Sums over the others are those of all less those of the labelled."""
 
     def known(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
-        v = matrix(batch.column("votes")).astype(float)[:, :N_VOTERS]
+        v = _voter_votes(batch)
         return *_sums(v, batch.column("label").to_numpy()), v.T @ v
 
-    *anchor, outer = partition_sums(labelled, known)
-    model = LabelModel.of_labels(*anchor, outer)
-    for _ in range(EM_STEPS):
+    def products(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+        v = _voter_votes(batch)
+        return np.array(float(len(v))), v.T @ v
+
+    anchor = partition_sums(labelled, known)
+    rows, outer = partition_sums(table, products)
+    others = max(0.0, float(rows) - float(anchor[0]))
+    weight = max(1.0, ANCHOR * others / float(anchor[0]))
+    outer_of_others = outer - anchor[-1] if others else np.zeros_like(outer)
+    model = LabelModel.of_labels(*anchor)
+    for _ in range(EM_STEPS if others else 0):
         now = model
 
         def step(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
-            v = matrix(batch.column("votes")).astype(float)[:, :N_VOTERS]
+            v = _voter_votes(batch)
             return _sums(v, now.posterior(v))
 
-        model = now.with_sums(*(a + b for a, b in zip(anchor, partition_sums(table, step))))
+        unknown = [a - b for a, b in zip(partition_sums(table, step), partition_sums(labelled, step))]
+        model = LabelModel.of_sums(*(a + weight * b for a, b in zip([*unknown, outer_of_others], anchor)))
         if np.abs(model.means - now.means).max() < 1e-4:
             break
     return model
 
 
-def fit_classifier(table: DataFrame, model: LabelModel) -> np.ndarray:
+def fit_classifier(table: DataFrame, labelled: DataFrame, model: LabelModel) -> np.ndarray:
     """Weights of a logistic regression on the posterior labels, over all rows."""
     width = N_VOTERS + 3
     weights = np.zeros(width)
     weights[-1] = np.log(model.share / (1 - model.share))
+
+    def sums(x: np.ndarray, target: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        return x.T @ (target - p), (x * (p * (1 - p))[:, None]).T @ x
+
     for _ in range(NEWTON_STEPS):
         now = weights
 
         def step(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
             v = matrix(batch.column("votes")).astype(float)
-            x, y = with_constant(v), model.posterior(v[:, :N_VOTERS])
-            p = 1 / (1 + np.exp(-np.clip(x @ now, -30, 30)))
-            return x.T @ (y - p), (x * (p * (1 - p))[:, None]).T @ x
+            return sums(with_constant(v), model.posterior(v[:, :N_VOTERS]), now)
 
-        gradient, curvature = partition_sums(table, step)
+        def known(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+            """What makes of a row with a posterior label ``KNOWN`` rows with the known one."""
+            v = matrix(batch.column("votes")).astype(float)
+            x = with_constant(v)
+            mine, its = sums(x, batch.column("label").to_numpy(), now), sums(x, model.posterior(v[:, :N_VOTERS]), now)
+            return tuple(KNOWN * a - b for a, b in zip(mine, its))
+
+        gradient, curvature = (a + b for a, b in zip(partition_sums(table, step), partition_sums(labelled, known)))
         move = np.linalg.solve(curvature + 1e-2 * np.eye(width), gradient - 1e-2 * now)
         size = np.abs(move).max()
         weights = now + move * min(1.0, 4 / size)
@@ -274,9 +311,11 @@ def toxicity(docs: DataFrame, labels: DataFrame, column: str = "toxic", threshol
         return docs.select("doc_id", held, score.alias("score"), (score >= threshold).cast("int").alias("predicted"))
     voters = Voters(learn_lexicon(sample, toxic, n - toxic))
     table = votes_table(docs, voters)
-    labelled = table.join(ids, F.col("doc_id") == F.col("label_id")).select("doc_id", "votes", "label")
+    labelled = written(
+        table.join(ids, F.col("doc_id") == F.col("label_id")).select("doc_id", "votes", "label"), "labelled-votes"
+    )
     model = fit_label_model(table, labelled)
-    shared = docs.sparkSession.sparkContext.broadcast(fit_classifier(table, model))
+    shared = docs.sparkSession.sparkContext.broadcast(fit_classifier(table, labelled, model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -56,6 +56,46 @@ def test_toxic_held_out_rows_are_found(spark):
     assert recall > 0.8, recall
 
 
+def test_toxic_held_out_rows_of_the_large_tables_are_found(spark):
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    label, _, predicted = held_out(toxicity.toxicity(docs, labels), labels, "toxic")
+    recall, precision = (predicted[label == 1] == 1).mean(), (label[predicted == 1] == 1).mean()
+    assert recall >= 0.9 and precision >= 0.95, (recall, precision)
+
+
+def test_expectation_maximisation_by_brute_force(spark):
+    """The same model from all votes in one place, row by row."""
+    rng = np.random.default_rng(8)
+    n, k = 400, toxicity.N_VOTERS
+    truth = rng.random(n) < 0.3
+    votes = np.where(rng.random((n, k)) < 0.25, 0.0, np.where((rng.random((n, k)) < 0.7) == truth[:, None], 1.0, -1.0))
+    votes = np.hstack([votes, rng.random((n, 2))]).astype(np.float32)
+    known = np.arange(n) % 9 == 0
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(votes)], "doc_id long, votes array<float>").repartition(3)
+    labelled = spark.createDataFrame([(i, votes[i].tolist(), float(truth[i])) for i in np.flatnonzero(known).tolist()], "doc_id long, votes array<float>, label double")
+    model = toxicity.fit_label_model(table, labelled)
+
+    v = votes[:, :k].astype(float)
+    weight = np.where(known, toxicity.ANCHOR * (~known).sum() / known.sum(), 1.0)
+    p, w, rank = truth.astype(float), weight * known, None
+    for _ in range(toxicity.EM_STEPS + 1):
+        share = (w * p).sum() / w.sum()
+        means = np.stack([((w * (1 - p)) @ v) / (w * (1 - p)).sum(), ((w * p) @ v) / (w * p).sum()])
+        spread = sum(
+            wi * (pi * np.outer(x - means[1], x - means[1]) + (1 - pi) * np.outer(x - means[0], x - means[0])) for x, pi, wi in zip(v, p, w)
+        )
+        covariance = spread / w.sum() + toxicity.SMOOTH * np.eye(k)
+        if rank:
+            scale = np.sqrt(np.diag(covariance))
+            covariance = toxicity.with_common_factors(covariance / np.outer(scale, scale), rank) * np.outer(scale, scale)
+        z = (v - means.mean(0)) @ np.linalg.solve(covariance, means[1] - means[0]) + np.log(share / (1 - share))
+        p = np.where(known, truth, 1 / (1 + np.exp(-np.clip(z, -30, 30))))
+        w, rank = weight, toxicity.RANK
+    assert np.abs(model.posterior(v)[~known] - p[~known]).max() < 1e-2
+    assert ((model.posterior(v) > 0.5) == truth).mean() > 0.9
+
+
 def test_every_telling_word_is_in_the_lexicon(spark):
     words = [a + b + c for a in "abcdefghi" for b in "jklmnopqr" for c in "stuvwxyz"]
     rows = [(" ".join(words), 1.0)] * 60 + [("fine clean text", 0.0)] * 600
@@ -156,6 +196,16 @@ def test_isotonic_steps():
     assert values.tolist() == [0, 0.5, 1] and places.tolist() == [1, 2.5, 4.5]
 
 
+def test_common_factors_leave_what_voters_have_of_their_own():
+    rng = np.random.default_rng(5)
+    loads = rng.normal(0, 0.5, (9, 2))
+    true = loads @ loads.T
+    true = true / max(1.3, np.diag(true).max() * 1.3)
+    np.fill_diagonal(true, 1)
+    assert np.abs(toxicity.with_common_factors(true, 2) - true).max() < 0.02
+    assert np.abs(toxicity.with_common_factors(np.eye(5), 3) - np.eye(5)).max() < 1e-6
+
+
 def test_label_model_finds_accuracies_and_correlations():
     """Two voters that copy each other, one that does not, one that votes at random."""
     rng = np.random.default_rng(3)
@@ -165,10 +215,13 @@ def test_label_model_finds_accuracies_and_correlations():
     votes = np.stack([one, one, vote(0.8), rng.choice([-1.0, 1.0], len(y))], axis=1)
     known = rng.random(len(y)) < 0.02
     anchor = toxicity._sums(votes[known], y[known].astype(float))
-    model = toxicity.LabelModel.of_labels(*anchor, votes[known].T @ votes[known])
+    outer = votes.T @ votes
+    anchor = (*anchor, votes[known].T @ votes[known])
+    weight = toxicity.ANCHOR * (~known).sum() / known.sum()
+    model = toxicity.LabelModel.of_labels(*anchor)
     for _ in range(10):
-        step = toxicity._sums(votes, model.posterior(votes))
-        model = model.with_sums(*(a + b for a, b in zip(anchor, step)))
+        rest = toxicity._sums(votes[~known], model.posterior(votes[~known]))
+        model = toxicity.LabelModel.of_sums(*(a + weight * b for a, b in zip((*rest, outer - anchor[-1]), anchor)), rank=1)
     assert model.share == pytest.approx(0.3, abs=0.08)
     assert model.covariance[0, 1] > 0.5 and abs(model.covariance[0, 2]) < 0.15
     weights = np.linalg.solve(model.covariance, model.means[1] - model.means[0])
