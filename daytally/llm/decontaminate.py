@@ -18,6 +18,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -227,10 +228,14 @@ def without_spans(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, tex
     What is left can meet to form another window; such rows are cut again, until no window is left in any.
     """
     boxed = docs.select(text_or_empty(text).alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+
+    @F.pandas_udf("string")
+    def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
+        return pd.Series([cut_spans(t, s) if len(s) else t for t, s in zip(texts, spans)], dtype=object)
+
     while True:
         hits = written(find_hits(boxed, benchmark, size, "text"), "spans")
-        cut = F.udf(cut_spans, "string")(F.col("text"), F.col("spans"))
-        boxed = hits.select(F.when(F.size("spans") == 0, F.col("text")).otherwise(cut).alias("text"), "doc")
+        boxed = hits.select(cut("text", "spans").alias("text"), "doc")
         if hits.filter(F.size("spans") > 0).limit(1).count() == 0:
             break
     columns = [

@@ -18,6 +18,9 @@ sends its terms of the context's sums, if the context is in a held-out text at a
 
 A suffix of a seen n-gram has itself been seen, so the sums of step 4 need no weights of lower orders.
 
+A batch has whole documents, so a single text is one task's memory, about 200 bytes a token. Words and n-grams are known by
+64-bit hashes; where two n-grams meet by chance (some millions among 10^13), each counts for the other too.
+
 Cases: null and empty texts have one token, the end. Without training texts the only word is the unknown one, with
 probability 1. Repeated rows count as many times as they occur. A null id counts as the empty text for the split.
 Extra columns are ignored.

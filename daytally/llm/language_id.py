@@ -114,9 +114,9 @@ class Model:
 
 
 def training_rows(docs: DataFrame, modulus: int = 4, held: int = 2) -> DataFrame:
-    return docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (remainder("doc_id", modulus) != held)).select(
-        "doc_id", "text", "lang"
-    )
+    """Rows without an id are left out: they share one hash, so a sample by it has all of them or none."""
+    whole = F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull()
+    return docs.filter(whole & (remainder("doc_id", modulus) != held)).select("doc_id", "text", "lang")
 
 
 def _per_language(rows: DataFrame, counts: dict[str, int], most: int, seed: int) -> DataFrame:

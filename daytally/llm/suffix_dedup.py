@@ -351,7 +351,6 @@ def _around(docs: DataFrame, asked: DataFrame, p: Parsing) -> DataFrame:
 
 def repeated_ranges(docs: DataFrame, p: Parsing = Parsing()) -> DataFrame:
     """t (hash of the text), first, last: ranges of places where a string begins that begins elsewhere too."""
-    spark = docs.sparkSession
     found = contexts(docs, p)
     cells = found.groupBy("cell").agg(
         F.count("*").alias("n"), F.min("context").alias("least"), F.max("context").alias("most")
@@ -396,8 +395,8 @@ def merged(ranges: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def with_runs(docs: DataFrame, p: Parsing = Parsing()) -> DataFrame:
-    """doc (all columns), text (bytes), runs: the repeated bytes of each text, as array of (begin, end)."""
+def with_ranges(docs: DataFrame, p: Parsing = Parsing()) -> DataFrame:
+    """doc (the other columns), text (bytes), ranges: beginnings of repeated strings, as an array of (first, last)."""
     ranges = repeated_ranges(docs, p)
     per_text = ranges.groupBy("t").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
     others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
@@ -430,7 +429,7 @@ def without_repeats(docs: DataFrame, p: Parsing = Parsing()) -> DataFrame:
         return type(texts)([x.decode("utf-8", "ignore") for x in made])
 
     none = F.array().cast("array<struct<first:bigint,last:bigint>>")
-    left = with_runs(docs, p).withColumn("left", cut("text", F.coalesce("ranges", none)))
+    left = with_ranges(docs, p).withColumn("left", cut("text", F.coalesce("ranges", none)))
     text = F.when(F.col("doc.`no text`"), None).otherwise(F.col("left")).cast(kind).alias("text")
     return left.select(*[text if c == "text" else F.col(f"doc.`{c}`").alias(c) for c in columns])
 
@@ -438,7 +437,7 @@ def without_repeats(docs: DataFrame, p: Parsing = Parsing()) -> DataFrame:
 def digests(docs: DataFrame, p: Parsing = Parsing()) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of each row."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    rows = with_runs(docs.select("doc_id", "text"), p).select("doc.doc_id", "text", "ranges")
+    rows = with_ranges(docs.select("doc_id", "text"), p).select("doc.doc_id", "text", "ranges")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
