@@ -68,3 +68,17 @@ def test_a_day_that_has_not_landed(spark, tmp_path):
     root, lake = str(tmp_path / "none"), str(tmp_path / "lake")
     assert call("check", root=root, ds="2024-01-01") == {"landed": False, "total_bytes": 0, "writers": 2}
     assert call("ingest", root=root, lake=lake, ds="2024-01-01", schema=SCHEMA) == {}
+
+
+def test_deltas_corrections_and_loads_by_command(spark, tmp_path):
+    root, lake, days = log_tree(spark, SF), str(tmp_path / "lake"), ("2024-01-01", "2024-01-02")
+    calc = {"lake": lake, "schema": SCHEMA, "database": f"job_{uuid.uuid4().hex[:12]}", "location": run_dir(spark, "job"), "buckets": "2"}
+    table = {"table": f"job_{uuid.uuid4().hex[:12]}"}
+    for ds in days:
+        call("ingest", root=root, lake=lake, ds=ds, schema=SCHEMA)
+        assert call("load", "once", lake=lake, ds=ds, schema=SCHEMA, path=str(tmp_path / "w"), **table) == {"loaded": ds}
+        users = call("run", "deltas", ds=ds, compact_after="1", **calc)["users"]
+    assert call("load", "once", lake=lake, ds=days[0], schema=SCHEMA, path=str(tmp_path / "w"), **table) == {"loaded": "nothing"}
+    assert call("recluster", **table)["replaced"] >= 0
+    assert call("correct", ds=days[0], **calc) == {"users": users, "changed": 0}
+    assert call("strays", root=root) == {"objects": 0, "bytes": 0, "first": []}
