@@ -49,6 +49,7 @@ BUCKET = 2_000_000
 LARGEST = 5
 KEEP_LARGE = 0.999
 CACHED_WORDS = 300_000
+ROUNDS = 4
 
 U = np.uint64
 PLACE = np.int32
@@ -112,8 +113,8 @@ class Keys(dict):
 # Batches
 
 
-def token_batches(docs: DataFrame, modulus: int = 5, held: int = 1, size: int = BATCH) -> DataFrame:
-    """batch, doc_ids, held_out and words (lengths, distinct word keys, their ranks, each token's rank), written."""
+def token_batches(docs: DataFrame, modulus: int = 5, held: int = 1, size: int = BATCH) -> tuple[DataFrame, str]:
+    """batch, doc_ids, held_out and words (lengths, distinct word keys, their ranks, each token's rank), and their folder."""
     rows = docs.select(
         "doc_id",
         (remainder("doc_id", modulus) == held).alias("held_out"),
@@ -156,6 +157,9 @@ def token_batches(docs: DataFrame, modulus: int = 5, held: int = 1, size: int =
                 row = np.empty(len(found) + 1, U)
                 row[:-1] = [keys[w] for w in found]
                 row[-1] = END
+                # A long text does not come on top of a batch that is nearly full.
+                if words and tokens + len(row) > size:
+                    yield flush()
                 part = p.as_py()
                 ids.append(doc_id.as_py())
                 held_out.append(out.as_py())
@@ -169,7 +173,7 @@ def token_batches(docs: DataFrame, modulus: int = 5, held: int = 1, size: int =
         if words:
             yield flush()
 
-    return written(
+    return written_at(
         rows.mapInArrow(
             run, f"batch long, doc_ids array<{id_type}>, held_out array<boolean>, tokens long, words binary"
         ),
@@ -251,9 +255,11 @@ def count_table(tokens: DataFrame, order: int, buckets: int) -> tuple[DataFrame,
 
 
 def _counts_of(tokens: DataFrame, orders: range, buckets: int) -> tuple[DataFrame, str]:
-    def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for row in frame.to_dict("records"):
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("bucket", pa.int32()), ("order", pa.int32()), ("batch", pa.int64()), ("data", pa.binary())])
+        for rows in batches:
+            for i in range(rows.num_rows):  # one by one, as a task has many megabytes of them
+                row = rows.slice(i, 1).to_pylist()[0]
                 lengths, words = _read(row)
                 trained = ~np.asarray(row["held_out"], bool)
                 weight = np.repeat(trained, lengths)
@@ -269,7 +275,9 @@ def _counts_of(tokens: DataFrame, orders: range, buckets: int) -> tuple[DataFram
                     for bucket, part in dealt(g.keys, buckets):
                         data = pack(deltas(g.keys[part] // U(buckets)), narrow(counts[part]), np.packbits(held[part]))
                         out.append((bucket, k, row["batch"], data))
-                yield pd.DataFrame(out, columns=["bucket", "order", "batch", "data"])
+                columns = [pa.array(column, kind) for column, kind in zip(zip(*out), schema.types)]
+                del all_grams, g, counts, held, out
+                yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     def add(frame: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -294,7 +302,7 @@ def _counts_of(tokens: DataFrame, orders: range, buckets: int) -> tuple[DataFram
                 at = end
         return pd.DataFrame(out, columns=["batch", "bucket", "data", "stats", "order"])
 
-    sent = tokens.select("batch", "held_out", "words").mapInPandas(
+    sent = tokens.select("batch", "held_out", "words").mapInArrow(
         send, "bucket int, order int, batch long, data binary"
     )
     return written_at(
@@ -379,7 +387,10 @@ def _unigram_mass(counts: DataFrame, level: Level) -> float:
 
 
 def _walk(tokens: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
-    """Per batch: the known part of each document's score, the weights it still needs, terms of contexts' sums."""
+    """Per batch: the known part of each document's score, the weights it still needs, terms of contexts' sums.
+
+    Batches go in ``ROUNDS`` rounds, as the tokens and answers of a round are on the disks twice, in tables and shuffled.
+    """
     order, buckets = len(model.levels), model.buckets
     unknown = model.unknown
 
@@ -457,13 +468,17 @@ def _walk(tokens: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
         out.append(("doc", 0, -1, row["batch"], pack(*per_doc, *flat)))
         return pd.DataFrame(out, columns=["kind", "order", "bucket", "batch", "data"])
 
-    left = tokens.select("batch", "words").groupBy("batch")
-    right = counts.filter("batch >= 0").select("batch", "bucket", "data", "order").groupBy("batch")
-    return written(
-        left.cogroup(right).applyInPandas(walk, "kind string, order int, bucket int, batch long, data binary"),
-        "walk",
-        by="kind",
-    )
+    def round_of(i: int) -> DataFrame:
+        mine = F.col("batch") % ROUNDS == i
+        left = tokens.filter(mine).select("batch", "words").groupBy("batch")
+        right = counts.filter(mine).select("batch", "bucket", "data", "order").groupBy("batch")
+        return written(
+            left.cogroup(right).applyInPandas(walk, "kind string, order int, bucket int, batch long, data binary"),
+            "walk",
+            by="kind",
+        )
+
+    return reduce(DataFrame.unionByName, [round_of(i) for i in range(ROUNDS)])
 
 
 def backoff_weights(walked: DataFrame) -> DataFrame:
@@ -502,14 +517,15 @@ def score(
 
     Learns from the rows whose remainder by ``modulus`` is not ``held``.
     """
-    tokens = token_batches(docs, modulus, held, batch)
+    tokens, folder = token_batches(docs, modulus, held, batch)
+    ids = written(tokens.select("batch", "doc_ids", "held_out"), "ids")
     total = tokens.agg(F.sum("tokens")).first()[0] or 0
     buckets = max(8, -(-total // bucket))
     counts, folders = count_table(tokens, order, buckets)
     levels = levels_of(counts, order)
     model = Model(levels, buckets, (_unigram_mass(counts, levels[0]),))
     walked = _walk(tokens, counts, model)
-    discard(docs.sparkSession, *folders)
+    discard(docs.sparkSession, folder, *folders)
     weights = written(backoff_weights(walked), "weights")
 
     def finish(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -537,7 +553,7 @@ def score(
         )
 
     known = (
-        tokens.select("batch", "doc_ids", "held_out")
+        ids.select("batch", "doc_ids", "held_out")
         .join(walked.filter(F.col("kind") == "doc").select(F.col("batch").alias("b"), "data"), F.col("batch") == F.col("b"))
         .select("batch", "doc_ids", "held_out", "data")
     )
