@@ -7,10 +7,11 @@ import time
 import uuid
 from collections import Counter
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 from dataclasses import dataclass, replace
 from datetime import date, datetime
 from itertools import accumulate
+from threading import Event, Thread
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -30,8 +31,8 @@ class RunsOverlap(RuntimeError):
     """Another run has the lease of the tables."""
 
 
-# Leases that this process holds.
-_held: set[str] = set()
+# Leases that this process holds, and whose they are.
+_held: dict[str, str] = {}
 
 LAYOUT = "USING parquet OPTIONS (partitionOverwriteMode 'dynamic')"
 
@@ -80,36 +81,77 @@ class CalcTables:
         return f"{self.database}.user_daily_calc_temp"
 
     @contextmanager
-    def lease(self, hours: float = 12) -> Iterator[None]:
+    def lease(self, hours: float = 1) -> Iterator[None]:
         """Only one run at a time: another that begins meanwhile raises ``RunsOverlap`` before it writes anything.
 
-        A file in the tables' folder, made by whoever comes first. One that a dead run has left counts until it expires;
-        so ``hours`` must be more than a run takes. A lease within one of the same tables object is part of it.
+        A file in the tables' folder, made by whoever comes first and renewed while the run goes on. One that a dead run
+        has left counts until it expires. A run that finds its lease taken over, as it could not renew it in time, raises
+        ``RunsOverlap`` before its next write. A lease within one of the same tables object is part of it.
         """
-        name = f"{self.location}/_lease"
+        name = self._lease_name
         if name in _held:
             yield
             return
         files, mine = Files(self.spark, self.location), uuid.uuid4().hex
-        text = json.dumps({"owner": mine, "until": time.time() + hours * 3600, "run": self.spark.sparkContext.applicationId})
-        if not files.create(name, text):
-            try:
-                held = json.loads(files.read(name))
-            except (Py4JJavaError, ValueError):
-                held = {"until": time.time() + 1, "run": "one that has just begun or ended"}
+
+        def text() -> str:
+            until = time.time() + hours * 3600
+            return json.dumps({"owner": mine, "until": until, "run": self.spark.sparkContext.applicationId})
+
+        if not files.create(name, text()):
+            held = self._lease_in(name) or {"until": time.time() + 1, "run": "one that has just begun or ended"}
             if held["until"] > time.time():
                 raise RunsOverlap(f"{self.database} is in use by {held['run']}")
-            # Of several that find it expired, one can move it away.
-            files.rename(name, f"{name}-{mine}")
-            files.delete(f"{name}-{mine}")
-            if not files.create(name, text):
-                raise RunsOverlap(f"{self.database} has just been taken by another run")
-        _held.add(name)
+            # Of several that find it expired, one can move it away. What it has moved may be the lease of another that
+            # did so before, though; that one gets it back.
+            aside, taken = f"{name}-{mine}", RunsOverlap(f"{self.database} has just been taken by another run")
+            try:
+                files.rename(name, aside)
+            except Py4JJavaError as gone:
+                raise taken from gone
+            moved = self._lease_in(aside)
+            if moved != held:
+                if moved:
+                    files.rename(aside, name)
+                raise taken
+            files.delete(aside)
+            if not files.create(name, text()):
+                raise taken
+        _held[name] = mine
+        ended = Event()
+
+        def renew() -> None:
+            while not ended.wait(hours * 3600 / 4):
+                with suppress(RunsOverlap, Py4JJavaError):
+                    self._check_lease()
+                    files.overwrite(name, text())
+
+        renewal = Thread(target=renew, daemon=True)
+        renewal.start()
         try:
             yield
         finally:
-            _held.discard(name)
-            files.delete(name)
+            ended.set()
+            renewal.join()
+            del _held[name]
+            if (self._lease_in(name) or {}).get("owner") == mine:
+                files.delete(name)
+
+    @property
+    def _lease_name(self) -> str:
+        return f"{self.location}/_lease"
+
+    def _lease_in(self, name: str) -> dict | None:
+        try:
+            return json.loads(Files(self.spark, self.location).read(name))
+        except (Py4JJavaError, ValueError):
+            return None
+
+    def _check_lease(self) -> None:
+        """Raises if another run has taken over the lease that this one holds."""
+        mine = _held.get(self._lease_name)
+        if mine and (self._lease_in(self._lease_name) or {}).get("owner") != mine:
+            raise RunsOverlap(f"another run has taken over {self.database}")
 
     def create(self) -> CalcTables:
         """Creates what is missing. Overwrites replace only the partitions they write to.
@@ -160,6 +202,7 @@ class CalcTables:
 
     def _insert(self, rows: DataFrame, table: str, overwrite: bool) -> None:
         """Inserts go by position; so the columns are brought into the table's own order first."""
+        self._check_lease()
         rows.select(*self.spark.table(table).columns).write.insertInto(table, overwrite=overwrite)
 
     def _described(self, table: str, name: str) -> str | None:
@@ -188,6 +231,7 @@ class CalcTables:
         """
         tagged = tag_rows(daily, daily_rules()).withColumn("rejected", F.col("broken_rule").isNotNull())
         placed = with_positions(tagged, "rejected", "upload_date", "user_id", "event_date")
+        self._check_lease()
         return recreate_staging(placed, self.daily_temp, f"{self.location}/user_daily_calc_temp")
 
     def append_daily(self, staged: DataFrame, run_over: list[date], replace: bool = True) -> None:
@@ -210,6 +254,7 @@ class CalcTables:
         if replace:
             taken = taken.where(~F.col("upload_date").isin(run_over))
         start_after = taken.agg(F.max("max_id")).first()[0] or 0
+        self._check_lease()
         self._note_mode(run_over, [day for day, _ in per_day], start_after, replace)
         if per_day:
             last_ids = list(accumulate((n for _, n in per_day), initial=start_after))[1:]

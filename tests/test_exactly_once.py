@@ -20,6 +20,7 @@ from daytally.plans.load import DayLoaded, LoadLedger, load_day
 from daytally.plans.pipeline import run_day, run_days
 from daytally.plans.tables import CalcTables, RunsOverlap
 from daytally.session import run_dir
+from daytally.sources.files import Files
 from daytally.streaming import batches
 from daytally.streaming.batches import last_batch, read_batches, stream_batches, untaken_objects
 
@@ -169,6 +170,47 @@ def test_a_lease_is_given_back_after_an_error(tables):
     assert not (Path(tables.location) / "_lease").exists()
 
 
+def test_a_lease_is_renewed(tables):
+    lease = Path(tables.location) / "_lease"
+    until = lambda: json.loads(lease.read_text())["until"]
+    with tables.lease(hours=2 / 3600):
+        first = until()
+        deadline = time.time() + 10
+        while time.time() < deadline and not (lease.read_text() and until() > first):
+            time.sleep(0.05)
+        assert until() > first
+    assert not lease.exists()
+
+
+def test_a_run_that_has_lost_its_lease_writes_no_more(spark, tables, events):
+    feed = events(("u", "2024-01-01 10:00:00", "2024-01-01 12:00:00", 1.0))
+    lease = Path(tables.location) / "_lease"
+    other = json.dumps({"owner": "x", "until": time.time() + 60, "run": "another"})
+    with pytest.raises(RunsOverlap, match="taken over"), tables.lease():
+        lease.write_text(other)
+        run_day(tables, feed, "2024-01-01")
+    assert lease.read_text() == other
+    assert spark.table(tables.daily).isEmpty() and tables.latest().isEmpty()
+
+
+def test_a_lease_taken_from_a_dead_run_is_not_taken_again(tables, monkeypatch):
+    lease = Path(tables.location) / "_lease"
+    lease.write_text(json.dumps({"owner": "x", "until": time.time() - 1, "run": "dead"}))
+    other = json.dumps({"owner": "y", "until": time.time() + 60, "run": "another"})
+    rename = Files.rename
+
+    def later(self, old, new):
+        if old.endswith("_lease"):
+            lease.unlink()
+            lease.write_text(other)
+        return rename(self, old, new)
+
+    monkeypatch.setattr(Files, "rename", later)
+    with pytest.raises(RunsOverlap), tables.lease():
+        pass
+    assert lease.read_text() == other
+
+
 # Metrics that come later
 
 
