@@ -22,7 +22,7 @@ from daytally.operators.cumulative import KEY, cumulative_columns
 from daytally.operators.daily import daily_calc
 from daytally.plans.tables import LAYOUT, CalcTables, recreate_staging
 
-RUN, CORRECTION, BASE = "run", "correction", "base"
+RUN, CORRECTION, BASE, PENDING = "run", "correction", "base", "pending"
 
 
 @dataclass(frozen=True, order=True)
@@ -30,7 +30,8 @@ class Entry:
     """A row of the ledger. Entries are in order of the day and of the number they got on it.
 
     run: the figures of the upload days ``first_day`` to ``as_of``, to be added. correction: whole users, in place of all
-    that entries before say of them. base: all entries up to here are in the snapshot of ``as_of``.
+    that entries before say of them; ``first_day`` is the first day corrected. base: all entries up to here are in the
+    snapshot of ``as_of``. pending: users that a correction has still to be made for; readers pass over it.
     """
 
     as_of: date
@@ -99,9 +100,21 @@ class DeltaTables(CalcTables):
 
     @staticmethod
     def _live(entries: list[Entry]) -> tuple[Entry | None, list[Entry]]:
-        """The last base, and the entries since."""
+        """The last base, and the entries since that count."""
         base = max((e for e in entries if e.kind == BASE), default=None)
-        return base, [e for e in entries if base is None or e.at > base.at]
+        return base, [e for e in entries if e.kind != PENDING and (base is None or e.at > base.at)]
+
+    @staticmethod
+    def _last_run(entries: list[Entry]) -> Entry | None:
+        """The last run, or the base that it is in."""
+        return max((e for e in entries if e.kind in (RUN, BASE)), default=None)
+
+    @staticmethod
+    def _partitions(entries: list[Entry]) -> Column:
+        wanted = F.lit(False)
+        for e in entries:
+            wanted |= (F.col("as_of") == F.lit(e.as_of)) & (F.col("seq") == e.seq)
+        return wanted
 
     def _next(self, as_of: date, entries: list[Entry]) -> int:
         return max((e.seq for e in entries if e.as_of == as_of), default=-1) + 1
@@ -148,10 +161,7 @@ class DeltaTables(CalcTables):
         old = base.select(*columns, F.lit(-1).cast("long").alias("at"), F.lit(False).alias("whole"))
         number = F.unix_date("as_of").cast("long") * 1_000_000 + F.col("seq")
         corrections = [self._number(e) for e in live if e.kind == CORRECTION]
-        partitions = F.lit(False)
-        for e in live:
-            partitions |= (F.col("as_of") == F.lit(e.as_of)) & (F.col("seq") == e.seq)
-        new = self.spark.table(self.delta).where(partitions).select(
+        new = self.spark.table(self.delta).where(self._partitions(live)).select(
             *columns, number.alias("at"), (number.isin(corrections) if corrections else F.lit(False)).alias("whole")
         )
         return old.unionByName(new)
@@ -175,14 +185,16 @@ class DeltaTables(CalcTables):
         """Adds the staged good rows as the run's entry, whose size is that of the day, and returns all users.
 
         Entries and bases from ``start`` on are stale and dropped, as ``CalcTables`` drops snapshots. Days that have run
-        since the last entry, but are in none, get one of their own first, from the daily table.
+        since the last entry, but are in none, get one of their own first, from the daily table. Corrections of days before
+        ``start`` are made again where they are dropped, and those that a dead run has left are made now.
         """
         entries = self.entries()
-        self._drop_entries([e for e in entries if e.as_of >= start])
+        stale = [e for e in entries if e.as_of >= start]
+        entries = self._carry([e for e in entries if e.as_of < start], [e for e in stale if e.first_day < start])
+        self._drop_entries(stale)
         for run in self.partition_days(self.final):
             if run >= start:
                 self._drop_snapshot(run)
-        entries = [e for e in entries if e.as_of < start]
         base, live = self._live(entries)
         covered = lambda d: base is not None and d <= base.as_of or any(e.first_day <= d <= e.as_of for e in live)
         missing = [d for d in self.partition_days(self.daily) if d < start and not covered(d)]
@@ -190,26 +202,29 @@ class DeltaTables(CalcTables):
             last = max(missing)
             found = Entry(last, self._next(last, entries), RUN, min(missing), run_time(last))
             self._add(self._folded(self.daily_rows(missing)), found)
-            live.append(found)
+        self._settle()
         self._add(self._folded(staged.where(~F.col("rejected"))), Entry(as_of, 0, RUN, start, run_ts))
-        if len(live) + 1 > self.compact_after:
-            self.compact()
+        self._compact_if_long()
         return self.latest()
 
+    def _compact_if_long(self) -> None:
+        if len(self._live(self.entries())[1]) > self.compact_after:
+            self.compact()
+
     def compact(self) -> None:
         """Writes the users as of the last entry as the base of the entries to come. Entries before stay, for reruns."""
         entries = self.entries()
         base, live = self._live(entries)
         if not live:
             return
-        last = max(live)
+        last, run = max(live), self._last_run(entries)
         merged = self.snapshot(last.as_of)
         if base is not None and base.as_of == last.as_of:
             # The partition that is read is also the one to be written.
             merged = recreate_staging(merged, f"{self.final}_temp", f"{self.location}/user_final_calc_temp")
             merged = merged.repartition(self.stored_buckets(), KEY)
         self._insert(merged.withColumn("as_of", F.lit(last.as_of)), self.final, True)
-        self._record(Entry(last.as_of, last.seq + 1, BASE, last.first_day, last.run_ts))
+        self._record(Entry(last.as_of, self._next(last.as_of, entries), BASE, run.first_day, run.run_ts))
 
     def drop_snapshots_before(self, day: date) -> None:
         """Drops what no snapshot from ``day`` on needs: bases and entries before the last base that is not after it."""
@@ -217,7 +232,7 @@ class DeltaTables(CalcTables):
         base, _ = self._live([e for e in entries if e.as_of <= day])
         if base is None:
             return
-        self._drop_entries([e for e in entries if e.at < base.at])
+        self._drop_entries([e for e in entries if e.at < base.at and e.kind != PENDING])
         for run in self.partition_days(self.final):
             if run < base.as_of:
                 self._drop_snapshot(run)
@@ -235,34 +250,67 @@ class DeltaTables(CalcTables):
 
         Of the daily table only rows of changed users are aggregated, and only these users are written, as an entry that
         stands in place of all before it. The result is that of running all days again. Returns all users.
+
+        The changed users are noted before the daily table changes. So a correction that dies can be repeated, and the
+        next run finishes it.
         """
         with self.lease():
             return self._correct(events, as_day(ds), partition_day)
 
     def _correct(self, events: DataFrame, day: date, partition_day: str | None) -> DataFrame:
         entries = self.entries()
-        _, live = self._live(entries)
-        runs = [e for e in entries if e.kind == RUN]
-        if not runs or day > max(runs).as_of:
+        last = self._last_run(entries)
+        if last is None or day > last.as_of:
             raise ValueError(f"{day} has not run yet")
-        last = max(runs)
+        self.daily_rows([d for d in self._days_up_to(last) if d != day])
         staged = self.stage_daily(daily_calc(events, day, self.metrics, ntz(run_time(day)), partition_day=partition_day))
-        changed = recreate_staging(self._changed(staged, day), self.changed_temp, f"{self.location}/user_changed_temp")
+        self._add(self._blank(self._changed(staged, day)), Entry(last.as_of, self._next(last.as_of, entries), PENDING, day, last.run_ts))
         self.append_daily(staged, [day])
-        counted = [d for d in self.partition_days(self.daily) if d <= last.as_of]
-        rows = self.daily_rows(counted).join(changed, KEY, "left_semi")
-        known = F.min("upload_date") < F.lit(last.first_day)
-        mended = rows.groupBy(KEY).agg(
-            *folds(self.metrics), F.when(known, ntz(last.run_ts)).otherwise(F.max("update_time")).alias("update_time")
-        )
-        # Users without any row left have an entry too, an empty one.
-        mended = changed.select(KEY).join(mended, KEY, "left")
-        seq = self._next(last.as_of, entries)
-        self._add(mended, Entry(last.as_of, seq, CORRECTION, day, last.run_ts))
-        if len(live) + 1 > self.compact_after:
-            self.compact()
+        self._settle()
+        self._compact_if_long()
         return self.latest()
 
+    def _days_up_to(self, last: Entry) -> list[date]:
+        return [d for d in self.partition_days(self.daily) if d <= last.as_of]
+
+    def _blank(self, users: DataFrame) -> DataFrame:
+        """Users with no states, as rows of the delta table."""
+        kinds = {f.name: f.dataType for f in self.spark.table(self.delta).schema}
+        return users.select(KEY, *[F.lit(None).cast(kinds[c]).alias(c) for c in cumulative_columns(self.metrics) if c != KEY])
+
+    def _users(self, entries: list[Entry]) -> DataFrame:
+        return self.spark.table(self.delta).where(self._partitions(entries)).select(KEY).distinct()
+
+    def _carry(self, kept: list[Entry], stale: list[Entry]) -> list[Entry]:
+        """The kept entries, and one of the users that stale corrections are of: those have to be made again."""
+        lost = [e for e in stale if e.kind in (CORRECTION, PENDING)]
+        last = self._last_run(kept)
+        if not lost or last is None:
+            return kept
+        carried = Entry(last.as_of, self._next(last.as_of, kept), PENDING, min(e.first_day for e in lost), last.run_ts)
+        self._add(self._blank(self._users(lost)), carried)
+        return [*kept, carried]
+
+    def _settle(self) -> None:
+        """Makes one correction of all that are pending, as of the last run."""
+        entries = self.entries()
+        pending = [e for e in entries if e.kind == PENDING]
+        last = self._last_run(entries)
+        if pending and last:
+            path = f"{self.location}/user_changed_temp"
+            changed = recreate_staging(self._users(pending), self.changed_temp, path)
+            rows = self.daily_rows(self._days_up_to(last)).join(changed, KEY, "left_semi")
+            # Whoever was there before the run's last day carries the run's time.
+            known = F.min("upload_date") < F.lit(last.as_of)
+            mended = rows.groupBy(KEY).agg(
+                *folds(self.metrics), F.when(known, ntz(last.run_ts)).otherwise(F.max("update_time")).alias("update_time")
+            )
+            # Users without any row left have an entry too, an empty one.
+            mended = changed.join(mended, KEY, "left")
+            first = min(e.first_day for e in pending)
+            self._add(mended, Entry(last.as_of, self._next(last.as_of, entries), CORRECTION, first, last.run_ts))
+        self._drop_entries(pending)
+
     def _changed(self, staged: DataFrame, day: date) -> DataFrame:
         """Users that have another set of rows on the day than the daily table has."""
         columns = [KEY, "event_date", *state_names(self.metrics)]

@@ -12,6 +12,7 @@ from daytally.plans.tables import CalcTables
 from daytally.session import run_dir
 
 JAN = [date(2024, 1, d) for d in range(1, 10)]
+WITHOUT_U2 = "user_id <> 'u2' OR upload_time < TIMESTAMP_NTZ '2024-01-02'"  # on the second day
 
 
 def new(spark, kind=DeltaTables, **options):
@@ -111,6 +112,92 @@ def test_a_correction_equals_running_all_days_again(spark, feed):
         same(tables.latest(), again.latest())
 
 
+@pytest.mark.parametrize("compact_after", [30, 2])
+def test_a_correction_outlasts_reruns_of_later_days(spark, feed, compact_after):
+    tables, again = new(spark, compact_after=compact_after), new(spark, CalcTables)
+    run_days(tables, feed.where("user_id <> 'u5' AND user_id <> 'u2'"), JAN[0], JAN[5])
+    run_day(tables, feed, JAN[5])
+    for day in JAN[:5]:
+        tables.correct_day(feed, day)
+    run_days(again, feed, JAN[0], JAN[6])
+    same(tables.latest(), again.latest())
+    run_day(tables, feed, JAN[5])
+    same(tables.latest(), again.latest())
+    run_days(tables, feed, JAN[3], JAN[6])
+    same(tables.latest(), again.latest())
+    backfill(tables, feed, JAN[2], JAN[6])
+    same(tables.latest(), again.latest())
+
+
+@pytest.mark.parametrize("step", ["append_daily", "_settle", "_record"])
+def test_a_correction_that_dies_can_be_repeated(spark, feed, monkeypatch, step):
+    tables, again = new(spark), new(spark, CalcTables)
+    run_days(tables, feed.where(WITHOUT_U2), JAN[0], JAN[4])
+    run_days(again, feed, JAN[0], JAN[4])
+    whole = getattr(DeltaTables, step)
+
+    def dies(self, *args):
+        if step == "_record" and args[0].kind != "correction":
+            return whole(self, *args)
+        if step == "append_daily":
+            whole(self, *args)
+        raise InterruptedError
+
+    monkeypatch.setattr(DeltaTables, step, dies, raising=False)
+    with pytest.raises(InterruptedError):
+        tables.correct_day(feed, JAN[1])
+    monkeypatch.undo()
+    tables.correct_day(feed, JAN[1])
+    same(tables.latest(), again.latest())
+
+
+def test_a_correction_that_died_is_finished_by_the_next_run(spark, feed, monkeypatch):
+    tables, again = new(spark), new(spark, CalcTables)
+    run_days(tables, feed.where(WITHOUT_U2), JAN[0], JAN[4])
+    monkeypatch.setattr(DeltaTables, "_settle", lambda self: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        tables.correct_day(feed, JAN[1])
+    monkeypatch.undo()
+    run_day(tables, feed, JAN[4])
+    run_days(again, feed, JAN[0], JAN[5])
+    same(tables.latest(), again.latest())
+    assert "pending" not in [e.kind for e in tables.entries()]
+
+
+def test_corrections_after_old_entries_are_gone(spark, feed):
+    tables, again = new(spark), new(spark, CalcTables)
+    run_days(tables, feed.where("user_id <> 'u4'"), JAN[0], JAN[6])
+    tables.compact()
+    tables.drop_snapshots_before(JAN[8])
+    assert [e.kind for e in tables.entries()] == ["base"]
+    for day in JAN[:6]:
+        tables.correct_day(feed, day)
+    run_days(again, feed, JAN[0], JAN[6])
+    same(tables.latest(), again.latest())
+
+
+def test_a_correction_after_a_backfill_keeps_its_time(spark, feed):
+    tables, again = new(spark), new(spark, CalcTables)
+    backfill(tables, feed.where("user_id <> 'u2'"), JAN[0], JAN[6])
+    tables.correct_day(feed, JAN[0])
+    tables.correct_day(feed, JAN[1])
+    early = feed.where("user_id <> 'u2' OR upload_time < TIMESTAMP_NTZ '2024-01-03'")
+    backfill(again, early, JAN[0], JAN[6])
+    same(tables.latest(), again.latest())
+
+
+def test_a_day_among_appended_ones_is_not_corrected(spark, feed):
+    tables = new(spark)
+    run_day(tables, feed, JAN[0])
+    run_day(tables, feed, JAN[1], replace=False)
+    run_day(tables, feed, JAN[2])
+    before = rows(spark.table(tables.daily))
+    with pytest.raises(ValueError, match="appended"):
+        tables.correct_day(feed.where("user_id <> 'u2'"), JAN[0])
+    assert rows(spark.table(tables.daily)) == before
+    assert [e.kind for e in tables.entries()] == ["run"] * 3
+
+
 def test_a_correction_writes_changed_users_only(spark, feed):
     tables = new(spark)
     run_days(tables, feed.where("user_id <> 'u2'"), JAN[0], JAN[6])
