@@ -1,3 +1,4 @@
+import os
 import subprocess
 import sys
 import textwrap
@@ -37,6 +38,11 @@ def test_a_write_leaves_no_shuffle_files(tmp_path):
         """
     )
     done = subprocess.run(
-        [sys.executable, "-c", script], cwd=Path(__file__).resolve().parent.parent, capture_output=True, text=True, timeout=120
+        [sys.executable, "-c", script],
+        cwd=Path(__file__).resolve().parent.parent,
+        env=os.environ | {"SPARK_LOCAL_DIRS": f"{tmp_path}/local"},  # where it is set, it goes before spark.local.dir
+        capture_output=True,
+        text=True,
+        timeout=120,
     )
     assert done.returncode == 0, done.stderr[-2000:]
